@@ -58,6 +58,25 @@ def with_tile(df: DataFrame, k: int, *order: Column, tile: str) -> DataFrame:
     return ranked.withColumn(tile, tile_of(F.col("_rank"), F.col("_n"), k)).drop("_rank", "_n")
 
 
+def with_group_rank(df: DataFrame, groups: Sequence[str], *order: Column, rank: str = "rank", total: str = "n") -> DataFrame:
+    """Like ``with_rank`` inside each group, for a large group as well as a small one.
+
+    One order over all groups is cut up by the first rank of each group, so a
+    group may span many partitions. ``groups`` must be few (bands, segments,
+    strata): one row per group is broadcast.
+    """
+    ranked = with_rank(df, *[F.col(g) for g in groups], *order, rank="_rank", total="_all").drop("_all")
+    sizes = ranked.groupBy(*[F.col(g).alias(f"_g_{g}") for g in groups]).agg(
+        F.count("*").alias(total), F.min("_rank").alias("_first")
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
+    return (
+        ranked.join(F.broadcast(sizes), same)
+        .withColumn(rank, F.col("_rank") - F.col("_first") + 1)
+        .drop("_rank", "_first", *[f"_g_{g}" for g in groups])
+    )
+
+
 def grouped_quantiles(
     df: DataFrame,
     groups: Sequence[str],
@@ -80,15 +99,8 @@ def grouped_quantiles(
         .select(*groups, key, "_mv._m", "_mv._v")
         .filter(F.col("_v").isNotNull())
     )
-    at = ["_m", *groups]
-    ranked = with_rank(long, *[F.col(c) for c in at], F.col("_v"), F.col(key))
-    sizes = ranked.groupBy(*at).agg(F.count("*").alias("_size"), F.min("rank").alias("_first"))
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in at]
-    joined = ranked.alias("r").join(F.broadcast(sizes.alias("s")), same).select(
-        *[F.col(f"r.{c}").alias(c) for c in at],
-        "_v",
-        (F.col("rank") - F.col("_first")).alias("_i"),
-        (F.col("_size") - 1).alias("_last"),
+    joined = with_group_rank(long, ["_m", *groups], F.col("_v"), F.col(key)).select(
+        "_m", *groups, "_v", (F.col("rank") - 1).alias("_i"), (F.col("n") - 1).alias("_last")
     )
 
     def spot(p: float) -> Column:

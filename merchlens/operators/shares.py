@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from merchlens.functions.money import pct
 
-# Only for frames with one row per band, category, channel or region.
-WHOLE = Window.partitionBy()
+
+def whole(aggregate: Column) -> Column:
+    """An aggregate over all rows, for frames with one row per band, category,
+    channel or region only."""
+    return aggregate.over(Window.partitionBy())
 
 
 def total(c: Column) -> Column:
-    return F.sum(c).over(WHOLE)
+    return whole(F.sum(c))
 
 
 def share(c: Column, digits: int = 1) -> Column:

@@ -263,15 +263,15 @@ class RetailStar(Star):
 
     # -- shorter ways than the general ones ------------------------------------
 
-    def product_totals(self) -> DataFrame:
+    def product_totals(self, *attributes: str) -> DataFrame:
         """Cost is a product attribute here, so lines shrink before the part join."""
         sold = (
             self.lines("product_key", "quantity", "net_c")
             .groupBy("product_key")
             .agg(F.sum("quantity").alias("units"), F.sum("net_c").alias("net_c"))
         )
-        return sold.join(self.products("product_key", "unit_cost_c"), "product_key").select(
-            "product_key", "units", "net_c", (F.col("units") * F.col("unit_cost_c")).alias("cost_c")
+        return sold.join(self.products("product_key", "unit_cost_c", *attributes), "product_key").select(
+            "product_key", "units", "net_c", (F.col("units") * F.col("unit_cost_c")).alias("cost_c"), *attributes
         )
 
     def order_ledger(self) -> DataFrame:

@@ -91,9 +91,9 @@ class Star(ABC):
             .select("customer_key", "recency_days", "cumulative_orders_to_date", "cumulative_net_c")
         )
 
-    def product_totals(self) -> DataFrame:
-        """product_key, units, net_c, cost_c over all sold lines."""
-        return (
+    def product_totals(self, *attributes: str) -> DataFrame:
+        """product_key, units, net_c, cost_c over all sold lines, with product attributes."""
+        sold = (
             self.lines("product_key", "quantity", "net_c", "unit_cost_c")
             .groupBy("product_key")
             .agg(
@@ -102,6 +102,16 @@ class Star(ABC):
                 F.sum(F.col("quantity") * F.col("unit_cost_c")).alias("cost_c"),
             )
         )
+        return sold.join(self.products("product_key", *attributes), "product_key") if attributes else sold
+
+    def product_returns(self, *attributes: str) -> DataFrame:
+        """product_key, units_returned, refund_c over all returns, with product attributes."""
+        back = (
+            self.returns("product_key", "return_quantity", "refund_c")
+            .groupBy("product_key")
+            .agg(F.sum("return_quantity").alias("units_returned"), F.sum("refund_c").alias("refund_c"))
+        )
+        return back.join(self.products("product_key", *attributes), "product_key") if attributes else back
 
     def order_ledger(self) -> DataFrame:
         """One row per order with its sales and the refunds it drew.
