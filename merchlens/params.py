@@ -40,7 +40,7 @@ RETAIL_PARAMS = Params(
     cadence_cuts=(180, 540),
     low_base_customers=55,
     variance_years=(1999, 2000),
-    growth_years=(1998, 1999, 2000),
+    growth_years=(1995, 1996, 1997),
     mix_categories=("ECONOMY", "LARGE", "PROMO"),
     high_return_category="STANDARD",
 )

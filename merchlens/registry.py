@@ -43,3 +43,7 @@ def analytics() -> dict[str, Plan]:
             if own and not name.startswith("_") and name not in _HELPERS:
                 found[name] = item
     return found
+
+
+def registered() -> dict[str, Plan]:
+    return analytics()
