@@ -15,6 +15,7 @@ from merchlens.plans import (
     executive,
     geography,
     marketing,
+    model,
     portfolio,
     product,
     retention,
@@ -46,4 +47,4 @@ def analytics() -> dict[str, Plan]:
 
 
 def registered() -> dict[str, Plan]:
-    return analytics()
+    return {**analytics(), **model.JOBS}

@@ -2,8 +2,8 @@
 
 Only completed orders count. Their lines give the line fact, lines flagged as
 returned give the returns fact, and the order header is the sum of its lines.
-Sales and marketing channels keep their own names as keys, so no join is needed
-to place an order in a channel.
+Channel keys are computed from channel names, so no join is needed to place an
+order or a customer in a channel.
 """
 
 from __future__ import annotations
@@ -34,6 +34,11 @@ _REASONS = [
 _LAG_FROM, _LAG_SPREAD = 5, 17
 
 
+def _name_key(name: str) -> Column:
+    """A positive INT key for a short list of names; uniqueness is a quality check."""
+    return F.crc32(name).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+
+
 class RetailStar(Star):
     def __init__(self, spark: SparkSession, root: str, completed: str = "F"):
         self.spark, self.root, self.completed = spark, root.rstrip("/"), completed
@@ -92,16 +97,16 @@ class RetailStar(Star):
         )
 
     def marketing_channels(self) -> DataFrame:
-        return self.raw("customer").select(F.col("c_mktsegment").alias("marketing_channel_key")).distinct().select(
-            "marketing_channel_key",
-            F.col("marketing_channel_key").alias("channel_name"),
+        return self.raw("customer").select(F.col("c_mktsegment").alias("channel_name")).distinct().select(
+            _name_key("channel_name").alias("marketing_channel_key"),
+            "channel_name",
             F.lit("Segment").alias("channel_category"),
         )
 
     def sales_channels(self) -> DataFrame:
-        return self.raw("orders").select(F.col("o_orderpriority").alias("sales_channel_key")).distinct().select(
-            "sales_channel_key",
-            F.col("sales_channel_key").alias("channel_name"),
+        return self.raw("orders").select(F.col("o_orderpriority").alias("channel_name")).distinct().select(
+            _name_key("channel_name").alias("sales_channel_key"),
+            "channel_name",
             F.lit("Priority").alias("channel_type"),
         )
 
@@ -125,7 +130,7 @@ class RetailStar(Star):
             "last_name": F.substring_index("c_name", "#", -1),
             "email": F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")),
             "birth_year": F.lit(None).cast("int"),
-            "acquisition_channel_key": F.col("c_mktsegment"),
+            "acquisition_channel_key": _name_key("c_mktsegment"),
             "home_geography_key": F.col("c_nationkey"),
         }
         return c.select(*[derived[x].alias(x) if x in derived else F.col(x) for x in cols])
@@ -155,7 +160,7 @@ class RetailStar(Star):
             "order_key": F.col("o_orderkey"),
             "customer_key": F.col("o_custkey"),
             "order_date": F.to_date("o_orderdate"),
-            "sales_channel_key": F.col("o_orderpriority"),
+            "sales_channel_key": _name_key("o_orderpriority"),
         }
         return (
             self.raw("orders")

@@ -37,6 +37,11 @@ class Star(ABC):
     def horizon(self) -> dt.date:
         """The last day observed: the month end the final snapshot is taken at."""
 
+    @property
+    @abstractmethod
+    def calendar_start(self) -> dt.date:
+        """The first day of the calendar."""
+
     @abstractmethod
     def orders(self, *cols: str) -> DataFrame: ...
 
@@ -143,8 +148,16 @@ class StoredStar(Star):
         return read_star_table(self.spark, self.root, name, self.fmt)
 
     @cached_property
+    def _bounds(self) -> tuple[dt.date, dt.date]:
+        return tuple(self.table("dim_date").agg(F.min("full_date"), F.max("full_date")).first())
+
+    @property
+    def calendar_start(self) -> dt.date:
+        return self._bounds[0]
+
+    @property
     def horizon(self) -> dt.date:
-        return self.table("dim_date").agg(F.max("full_date")).first()[0]
+        return self._bounds[1]
 
     def orders(self, *cols: str) -> DataFrame:
         o = self.table("fact_orders")

@@ -1 +1,72 @@
-SQL: dict[str, str] = {}
+"""The model-building jobs and data-quality operators in SQL."""
+
+_LINE_KEY = "concat_ws('-', ord, ln, part, supp, CAST(gross * 100 AS BIGINT))"
+
+MODEL: dict[str, str] = {
+    "calendar_dimension": """
+        SELECT {i(strftime(d, '%Y%m%d'))} AS date_key, d AS full_date, {i(year(d))} AS year, {i(quarter(d))} AS quarter,
+               {i(month(d))} AS month, monthname(d) AS month_name, {i(weekofyear(d))} AS week_of_year,
+               {i(isodow(d))} AS day_of_week, dayname(d) AS day_name, isodow(d) IN (6, 7) AS is_weekend,
+               d IN (SELECT d FROM feasts) AS holiday_flag, {i(quarter(d))} AS fiscal_quarter,
+               {i(year(d))} AS fiscal_year, s.season,
+               EXISTS (SELECT 1 FROM promo p WHERE d BETWEEN p.start_date AND p.end_date) AS campaign_period_flag
+        FROM alldays JOIN seasons s ON s.m = month(d)""",
+    "holiday_calendar": "SELECT d AS full_date, holiday_name FROM feasts",
+    "campaign_windows": """
+        SELECT p.campaign_key, p.campaign_name, p.campaign_type, p.start_date, p.end_date, p.discount_depth,
+               p.pct AS discount_pct, s.season
+        FROM promo p JOIN seasons s ON s.m = month(p.start_date)""",
+    "campaign_day_map": """
+        SELECT d AS full_date, campaign_key, discount_depth, pct AS discount_pct FROM promo_day""",
+    "campaign_attribution": """
+        SELECT h.ord AS order_key, h.day AS order_date, x.campaign_key, COALESCE(x.pct, 0) AS discount_pct,
+               {d(h.gross)} AS gross_revenue,
+               {d((CAST(h.gross * 100 AS BIGINT) * COALESCE(x.pct, 0) + 50) // 100)} / 100 AS campaign_discount
+        FROM hdr h LEFT JOIN promo_day x ON x.d = h.day""",
+    "order_header_rollup": """
+        SELECT ord AS order_key, cust AS customer_key, day AS order_date, {d(gross)} AS gross_revenue,
+               {d(disc)} AS discount_amount, {d(net)} AS net_revenue,
+               CASE WHEN net < 75 THEN 6.99::DOUBLE ELSE 0.0::DOUBLE END AS shipping_revenue,
+               ROW_NUMBER() OVER (PARTITION BY cust ORDER BY day, ord) = 1 AS is_first_order
+        FROM hdr""",
+    "discount_allocation": """
+        SELECT k AS order_line_key, ord AS order_key, {d(c)} / 100 AS gross_line_revenue,
+               {d(off_c)} / 100 AS line_discount, {d(c - off_c)} / 100 AS net_line_revenue
+        FROM (SELECT k, ord, c,
+                     CASE WHEN rest > 0 THEN own ELSE whole - COALESCE(SUM(own) OVER (
+                          PARTITION BY ord ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                     END AS off_c
+              FROM (SELECT k, l.ord, c, (c * COALESCE(x.pct, 0) + 50) // 100 AS own,
+                           (CAST(h.gross * 100 AS BIGINT) * COALESCE(x.pct, 0) + 50) // 100 AS whole,
+                           COUNT(*) OVER (PARTITION BY l.ord ORDER BY k
+                               ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS rest
+                    FROM (SELECT ord, CAST(gross * 100 AS BIGINT) AS c, """ + _LINE_KEY + """ AS k FROM sale) l
+                    JOIN hdr h ON h.ord = l.ord LEFT JOIN promo_day x ON x.d = h.day))""",
+    "refund_proration": f"""
+        SELECT {_LINE_KEY} AS return_key, ord AS order_key, part AS product_key, rday AS return_date,
+               reason AS return_reason_key, back AS return_quantity, {{d(refund)}} AS return_amount,
+               {{d(fee)}} AS restocking_fee,
+               date_diff('day', rday, (SELECT horizon FROM span)) >= 5 AS refund_completed_flag
+        FROM back""",
+    "customer_monthly_snapshot": """
+        SELECT cust AS customer_key, me AS month_end, {i(age_days)} AS customer_age_days,
+               {i(msfp)} AS months_since_first_purchase, {i(rec)} AS recency_days, n30 AS orders_last_30_days,
+               n90 AS orders_last_90_days, n AS cumulative_orders_to_date, COALESCE(rec <= 90, FALSE) AS is_active_flag,
+               n > 1 AS is_repeat_customer_flag, COALESCE(rec BETWEEN 61 AND 90, FALSE) AS churn_risk_flag,
+               {d(value)} AS cumulative_net_revenue_to_date, {d(value12)} AS rolling_12mo_net_revenue
+        FROM snap""",
+    "publish_table": """
+        SELECT h.ord AS order_key, 'ORD-' || lpad(CAST(h.ord AS VARCHAR), CAST(GREATEST(6, length(CAST(h.ord AS VARCHAR))) AS INTEGER), '0')
+               AS order_id, h.cust AS customer_key, {i(strftime(h.day, '%Y%m%d'))} AS order_date_key, x.campaign_key,
+               {d(h.gross)} AS gross_revenue, {d(h.disc)} AS discount_amount, {d(h.net)} AS net_revenue,
+               ROW_NUMBER() OVER (PARTITION BY h.cust ORDER BY h.day, h.ord) = 1 AS is_first_order
+        FROM hdr h LEFT JOIN promo_day x ON x.d = h.day""",
+    "read_star_table": f"""
+        SELECT {_LINE_KEY} AS return_key, {_LINE_KEY} AS order_line_key, {{i(strftime(rday, '%Y%m%d'))}} AS return_date_key,
+               reason AS return_reason_key, back AS return_quantity, {{d(refund)}} AS return_amount,
+               {{d(fee)}} AS restocking_fee,
+               date_diff('day', rday, (SELECT horizon FROM span)) >= 5 AS refund_completed_flag
+        FROM back""",
+}
+
+SQL: dict[str, str] = {**MODEL}
