@@ -18,6 +18,7 @@ from merchlens.plans import (
     model,
     portfolio,
     product,
+    quality,
     retention,
     returns,
     revenue,
@@ -47,4 +48,4 @@ def analytics() -> dict[str, Plan]:
 
 
 def registered() -> dict[str, Plan]:
-    return {**analytics(), **model.JOBS}
+    return {**analytics(), **model.JOBS, **quality.OPERATORS}
