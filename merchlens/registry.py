@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from merchlens.params import Params
 from merchlens.plans import (
     behaviour,
+    certification,
     clv,
     cohorts,
     concentration,
@@ -48,4 +49,4 @@ def analytics() -> dict[str, Plan]:
 
 
 def registered() -> dict[str, Plan]:
-    return {**analytics(), **model.JOBS, **quality.OPERATORS}
+    return {**analytics(), **model.JOBS, **quality.OPERATORS, **certification.SUITES}

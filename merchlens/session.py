@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_together(jobs: Sequence[Callable[[], object]], at_once: int = 6) -> list:
+    """Run independent Spark jobs side by side, so small ones do not queue up
+    behind each other; results in the given order."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(lambda job: job(), jobs))

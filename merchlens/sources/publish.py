@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 
 from merchlens.schema import TABLES
+from merchlens.session import run_together
 from merchlens.sources.star import Star, stored_form
 
 # Reports read the snapshot at single month ends, so it is stored by month.
@@ -60,4 +61,5 @@ def publish_table(
 
 def publish_star(star: Star, root: str, tables: tuple[str, ...] = TABLES, fmt: str = "parquet") -> dict[str, int]:
     """Publish the named tables of ``star``; returns the rows of each."""
-    return {t: publish_table(stored_form(star, t), root, t, fmt) for t in tables}
+    rows = run_together([lambda t=t: publish_table(stored_form(star, t), root, t, fmt) for t in tables])
+    return dict(zip(tables, rows))

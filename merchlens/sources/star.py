@@ -143,9 +143,12 @@ class StoredStar(Star):
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_star_table(self.spark, self.root, name, self.fmt)
+        if name not in self._read:
+            self._read[name] = read_star_table(self.spark, self.root, name, self.fmt)
+        return self._read[name]
 
     @cached_property
     def _bounds(self) -> tuple[dt.date, dt.date]:

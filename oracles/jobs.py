@@ -324,4 +324,74 @@ QUALITY: dict[str, str] = {
                      ('2000-09-04', 'holiday_flag', 'true'), ('2000-09-04', 'fiscal_quarter', '3')) AS t(k, attr, want)""",
 }
 
-SQL: dict[str, str] = {**MODEL, **QUALITY}
+
+def _values(rows) -> str:
+    quoted = (", ".join("'" + str(v).replace("'", "''") + "'" for v in row) for row in rows)
+    return ", ".join(f"({r})" for r in quoted)
+
+
+def _certified() -> str:
+    """Check names and severities as data, with the violations counted here.
+
+    What the derivation of the star rules out (an orphan, a stale copy) is zero
+    and has no branch below.
+    """
+    from merchlens.plans.certification import CHECKS
+
+    claims, needs = QUALITY["dq_narrative"], QUALITY["dq_analytics_readiness"]
+    by_claim = {
+        "5.1": "revenue grows every year", "5.2": "November and December beat the other months",
+        "5.3": "no month has negative net revenue", "5.4": "the expected category has the highest return rate",
+        "5.5": "repeat customers bring a minority of revenue", "5.6": "the repeat share grows every year",
+    }
+    by_need = {
+        "6.1": ["rfm inputs complete"], "6.2": ["recency can be cut in five", "value can be cut in five"],
+        "6.3": ["every cohort has customers"],
+        "6.4": ["churn labels can be derived", "no label beyond the horizon"], "6.5": ["both churn classes occur"],
+        "6.6": ["enough customers to rank"], "6.7": ["no month without orders"], "6.8": ["lines fan out of orders"],
+    }
+    pairs = [(k, v) for k, vs in by_need.items() for v in vs]
+    return f"""
+        SELECT c.check_id, c.tier, c.severity, c.name, {{b(COALESCE(v.n, 0))}} AS violations,
+               CASE WHEN COALESCE(v.n, 0) = 0 THEN 'PASS' WHEN c.severity = 'ADVISORY' THEN 'FINDING' ELSE 'FAIL' END
+               AS status
+        FROM (VALUES {_values([(c.id, c.tier, c.severity, c.name) for c in CHECKS])})
+             AS c(check_id, tier, severity, name)
+        LEFT JOIN (
+            SELECT '4a.1' AS id, ABS((SELECT COUNT(DISTINCT cust) FROM spine) - COUNT(*)) AS n FROM customer
+            UNION ALL SELECT '2.4', CASE WHEN (SELECT SUM(refund) FROM back) > SUM(net) THEN 1 ELSE 0 END FROM sale
+            UNION ALL SELECT '2.3', COUNT(*) FILTER (WHERE back > qty) FROM back
+            UNION ALL SELECT '3.7', COUNT(*) FILTER (WHERE cost <= 0)
+                      + CASE WHEN SUM(net) <= SUM(qty * cost) THEN 1 ELSE 0 END FROM sale
+            UNION ALL SELECT '4b.1', COUNT(*) FROM part WHERE p_partkey NOT IN (SELECT part FROM sale)
+            UNION ALL SELECT '4b.2', COUNT(*) FROM promo WHERE campaign_key NOT IN
+                      (SELECT x.campaign_key FROM hdr h JOIN promo_day x ON x.d = h.day)
+            UNION ALL SELECT '4b.4', COUNT(DISTINCT o_orderpriority) FROM orders
+                      WHERE o_orderpriority NOT IN (SELECT chan FROM hdr)
+            UNION ALL SELECT '4b.5', COUNT(*) FROM reason_names WHERE reason NOT IN (SELECT reason FROM back)
+            UNION ALL SELECT '4b.6', COUNT(*) FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)
+            UNION ALL SELECT '4b.7', COUNT(*) FROM purse WHERE orders = 0
+            UNION ALL SELECT m.id, COUNT(*) FILTER (WHERE z.status <> 'PASS')
+                      FROM (VALUES {_values(by_claim.items())}) AS m(id, claim)
+                      JOIN ({claims}) z ON z.claim = m.claim GROUP BY m.id
+            UNION ALL SELECT m.id, COUNT(*) FILTER (WHERE z.status <> 'PASS')
+                      FROM (VALUES {_values(pairs)}) AS m(id, requirement)
+                      JOIN ({needs}) z ON z.requirement = m.requirement GROUP BY m.id
+        ) v ON v.id = c.check_id"""
+
+
+def _suites() -> dict[str, str]:
+    checks = _certified()
+    return {
+        "warehouse_checks": checks,
+        "dq_results": f"""
+            SELECT t AS tier, COUNT(*) AS checks, COUNT(*) FILTER (WHERE status = 'PASS') AS passed,
+                   COUNT(*) FILTER (WHERE status = 'FINDING') AS findings,
+                   COUNT(*) FILTER (WHERE status = 'FAIL' AND severity = 'BLOCKING') AS blocking_failures,
+                   COUNT(*) FILTER (WHERE status = 'FAIL' AND severity = 'ADVISORY') AS advisory_failures,
+                   CASE WHEN bool_or(status = 'FAIL') THEN 'NOT CERTIFIED' ELSE 'CERTIFIED' END AS overall
+            FROM (SELECT unnest([tier, 'all']) AS t, severity, status FROM ({checks})) GROUP BY t""",
+    }
+
+
+SQL: dict[str, str] = {**MODEL, **QUALITY, **_suites()}
