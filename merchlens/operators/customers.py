@@ -43,6 +43,17 @@ FRAMEWORK_NONE = "5 Not activated"
 
 def buyer_totals(star: Star) -> DataFrame:
     """One row per customer with an order: sums of the order ledger."""
+    return star.held["buyer_totals"] if "buyer_totals" in star.held else _buyer_totals(star)
+
+
+def hold_buyer_totals(star: Star) -> None:
+    """Store the buyer totals for a job that starts from them more than once,
+    so that the facts are read and shuffled once."""
+    if "buyer_totals" not in star.held:
+        star.held["buyer_totals"] = stage(_buyer_totals(star), "buyer-totals")
+
+
+def _buyer_totals(star: Star) -> DataFrame:
     return star.order_ledger().groupBy("customer_key").agg(
         F.count("*").alias("orders"),
         *[F.sum(c).alias(c) for c in _SUMS],
@@ -163,6 +174,7 @@ def framework_of(segment: Column) -> Column:
 
 def customer_portfolio(star: Star, params: Params) -> DataFrame:
     """Every customer with value, class, segment, features and value rank."""
+    hold_buyer_totals(star)
     segments = rfm_segments(star).select("customer_key", F.col("segment").alias("rfm_segment"), "rfm_code")
     features = behavioral_features(star, params).select(
         "customer_key",
@@ -183,4 +195,6 @@ def customer_portfolio(star: Star, params: Params) -> DataFrame:
 
 
 def staged_portfolio(star: Star, params: Params) -> DataFrame:
-    return stage(customer_portfolio(star, params), "portfolio")
+    if "portfolio" not in star.held:
+        star.held["portfolio"] = stage(customer_portfolio(star, params), "portfolio")
+    return star.held["portfolio"]

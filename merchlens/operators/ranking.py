@@ -22,9 +22,10 @@ _ROW_BITS = 33
 
 def with_rank(df: DataFrame, *order: Column, rank: str = "rank", total: str = "n") -> DataFrame:
     """Add the 1-based ``rank`` in ``order`` and the row count ``total``."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Without a fixed number, adaptive execution may merge neighbouring ranges of
+    # a small table; merged ranges keep their order.
     stored = stage(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id()),
         "rank",

@@ -144,6 +144,7 @@ def non_explanatory_variables(star: Star, params: Params) -> DataFrame:
 
 
 def behavior_by_rfm_segment(star: Star, params: Params) -> DataFrame:
+    cust.hold_buyer_totals(star)
     segments = cust.rfm_segments(star).select("customer_key", "segment")
     rows = stage(cust.behavioral_features(star, params).join(segments, "customer_key"), "segment-features")
     q = grouped_quantiles(

@@ -86,6 +86,7 @@ def clv_value_classes(star: Star, params: Params) -> DataFrame:
 
 def clv_by_rfm_segment(star: Star, params: Params) -> DataFrame:
     """A buyer's monetary value at the final snapshot is the lifetime value."""
+    cust.hold_buyer_totals(star)
     values = cust.buyer_totals(star).select("customer_key", (F.col("net_c") - F.col("refund_c")).alias("clv_c"))
     rows = stage(
         cust.rfm_segments(star).select("customer_key", "segment").join(values, "customer_key"), "segment-clv"

@@ -24,6 +24,7 @@ from merchlens.plans import (
     returns,
     revenue,
     rfm,
+    verdicts,
 )
 from merchlens.sources.star import Star
 
@@ -49,4 +50,4 @@ def analytics() -> dict[str, Plan]:
 
 
 def registered() -> dict[str, Plan]:
-    return {**analytics(), **model.JOBS, **quality.OPERATORS, **certification.SUITES}
+    return {**analytics(), **model.JOBS, **quality.OPERATORS, **certification.SUITES, **verdicts.VERDICTS}

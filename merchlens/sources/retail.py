@@ -41,7 +41,8 @@ def _name_key(name: str) -> Column:
 
 class RetailStar(Star):
     def __init__(self, spark: SparkSession, root: str, completed: str = "F"):
-        self.spark, self.root, self.completed = spark, root.rstrip("/"), completed
+        super().__init__(spark)
+        self.root, self.completed = root.rstrip("/"), completed
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")

@@ -30,7 +30,11 @@ from merchlens.schema import TABLES, table_schema
 
 
 class Star(ABC):
-    spark: SparkSession
+    """One star, as read by one job. ``held`` keeps tables that job has stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.held: dict[str, DataFrame] = {}
 
     @property
     @abstractmethod
@@ -142,7 +146,8 @@ class StoredStar(Star):
     """A star kept as twelve tables below one folder."""
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
-        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+        super().__init__(spark)
+        self.root, self.fmt = root.rstrip("/"), fmt
         self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:

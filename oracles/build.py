@@ -277,6 +277,6 @@ def assemble(body: str) -> str:
 
 
 def statements() -> dict[str, str]:
-    from oracles import jobs, reports
+    from oracles import jobs, reports, verdicts
 
-    return {k: assemble(v) for k, v in {**reports.SQL, **jobs.SQL}.items()}
+    return {k: assemble(v) for k, v in {**reports.SQL, **jobs.SQL, **verdicts.SQL}.items()}
