@@ -34,13 +34,6 @@ def shipping(net_c: Column) -> Column:
     return F.when(net_c >= FREE_SHIPPING_FROM_C, 0).otherwise(SHIPPING_FEE_C).cast("bigint")
 
 
-def order_header_rollup(lines: DataFrame) -> DataFrame:
-    """gross_c, discount_c, net_c per order from its lines."""
-    return lines.groupBy("order_key").agg(
-        F.sum("gross_c").alias("gross_c"), F.sum("discount_c").alias("discount_c"), F.sum("net_c").alias("net_c")
-    )
-
-
 def first_order_flag(orders: DataFrame) -> DataFrame:
     """Flag each customer's earliest order (lowest key on that day).
 

@@ -231,7 +231,7 @@ def distribution(
     whole = F.sum("_n").over(Window.partitionBy())
     shares = groups.withColumn("_share", F.col("_n") * 100.0 / whole)
     found = F.coalesce("_share", F.lit(0.0))
-    return F.broadcast(targets).join(shares, "group_value", "left").select(
+    return targets.join(shares, "group_value", "left").select(
         F.lit(label).alias("measure"),
         "group_value",
         F.coalesce("_n", F.lit(0)).cast("bigint").alias("row_count"),

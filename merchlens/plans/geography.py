@@ -13,12 +13,12 @@ from merchlens.sources.star import Star
 
 
 def _buyers(star: Star) -> DataFrame:
-    """region, customer_key, orders, net_c: orders shrink to customers per region."""
+    """region, customer_key, orders, net_c."""
     return (
-        star.orders("customer_key", "geography_key", "net_c")
+        star.orders_by_customer("geography_key")
         .join(star.geography().select("geography_key", "region"), "geography_key")
         .groupBy("region", "customer_key")
-        .agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
+        .agg(F.sum("orders").alias("orders"), F.sum("net_c").alias("net_c"))
     )
 
 
@@ -89,7 +89,9 @@ def region_rpc_index(star: Star, params: Params) -> DataFrame:
 
 
 def city_rpc_index(star: Star, params: Params) -> DataFrame:
-    sales = star.orders("geography_key", "net_c").groupBy("geography_key").agg(F.sum("net_c").alias("net_c"))
+    sales = (
+        star.orders_by_customer("geography_key").groupBy("geography_key").agg(F.sum("net_c").alias("net_c"))
+    )
     rows = _per_customer(_city_base(star), sales, "geography_key")
     return rows.join(star.geography(), "geography_key").select(
         "geography_key",
@@ -118,8 +120,8 @@ def region_customer_quality(star: Star, params: Params) -> DataFrame:
 def region_yoy(star: Star, params: Params) -> DataFrame:
     years = params.growth_years
     per = (
-        star.orders("geography_key", "order_date", "net_c")
-        .groupBy("geography_key", F.year("order_date").alias("year"))
+        star.orders_by_customer("geography_key", "year")
+        .groupBy("geography_key", "year")
         .agg(F.sum("net_c").alias("net_c"))
         .join(star.geography().select("geography_key", "region"), "geography_key")
         .groupBy("region")

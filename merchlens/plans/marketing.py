@@ -18,12 +18,11 @@ from merchlens.sources.star import Star
 
 def customer_orders(star: Star, *attributes: str) -> DataFrame:
     """Every customer with the number and net amount of its orders."""
-    per = (
-        star.orders("customer_key", "net_c")
-        .groupBy("customer_key")
-        .agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
+    return (
+        star.customers("customer_key", *attributes)
+        .join(star.orders_by_customer(), "customer_key", "left")
+        .fillna(0, ["orders", "net_c"])
     )
-    return star.customers("customer_key", *attributes).join(per, "customer_key", "left").fillna(0, ["orders", "net_c"])
 
 
 def _channels(star: Star) -> DataFrame:

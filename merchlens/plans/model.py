@@ -58,9 +58,8 @@ def campaign_attribution(star: Star, params: Params) -> DataFrame:
 
 def order_header_rollup(star: Star, params: Params) -> DataFrame:
     """Headers summed from lines, with shipping and the first-order flag."""
-    sums = ops.order_header_rollup(star.lines("order_key", "gross_c", "discount_c", "net_c"))
     flagged = ops.first_order_flag(star.orders("order_key", "customer_key", "order_date"))
-    return flagged.join(sums, "order_key").select(
+    return flagged.join(star.order_line_totals(), "order_key").select(
         "order_key",
         "customer_key",
         "order_date",

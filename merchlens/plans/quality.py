@@ -158,7 +158,7 @@ def dq_reconcile_groups(star: RetailStar, params: Params) -> DataFrame:
         F.col("l_orderkey").alias("order_key"), cents(F.col("l_extendedprice")).alias("amount")
     )
     headers = star.orders("order_key", "net_c").withColumnRenamed("net_c", "amount")
-    lines = star.lines("order_key", "net_c").withColumnRenamed("net_c", "amount")
+    lines = star.order_line_totals().select("order_key", F.col("net_c").alias("amount"))
     return q.reconcile_groups(stated, raw_lines, "order_key", "amount", 1, "raw total").unionByName(
         q.reconcile_groups(headers, lines, "order_key", "amount", 1, "header net")
     )
@@ -430,9 +430,7 @@ def dq_analytics_readiness(star: Star, params: Params) -> DataFrame:
     dead = ordered.agg(
         (F.lit(end) - month_index(first) + 1 - F.count("*")).alias("dead")
     )
-    grains = star.lines("order_key").groupBy("order_key").agg(F.count("*").alias("n")).agg(
-        F.sum("n").alias("lines"), F.count("*").alias("orders")
-    )
+    grains = star.order_line_totals().agg(F.sum("lines").alias("lines"), F.count("*").alias("orders"))
     return q.union_all(
         [
             _ready(inputs, "rfm inputs complete", F.col("incomplete"), F.col("incomplete") == 0),

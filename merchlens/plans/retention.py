@@ -73,11 +73,7 @@ def value_deciles(star: Star, params: Params) -> DataFrame:
 
 
 def repeat_vs_one_time(star: Star, params: Params) -> DataFrame:
-    per = (
-        star.orders("customer_key", "net_c")
-        .groupBy("customer_key")
-        .agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
-    )
+    per = star.orders_by_customer()
     return (
         per.groupBy(F.when(F.col("orders") >= 2, "Repeat (2+)").otherwise("One-Time").alias("segment"))
         .agg(F.count("*").alias("customers"), F.sum("orders").alias("orders"), F.sum("net_c").alias("net_c"))

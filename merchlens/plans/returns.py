@@ -186,11 +186,7 @@ def value_leakage_ranked(star: Star, params: Params) -> DataFrame:
         F.sum(F.when(~F.col("is_controllable"), F.col("refund_c")).otherwise(0)).alias("theirs"),
     )
     discounts = star.orders("discount_c").agg(F.sum("discount_c").alias("discount_c"))
-    per = (
-        star.orders("customer_key", "net_c")
-        .groupBy("customer_key")
-        .agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
-    )
+    per = star.orders_by_customer()
     once, again = F.col("orders") == 1, F.col("orders") >= 2
     gap = F.avg(F.when(again, F.col("net_c"))) - F.avg(F.when(once, F.col("net_c")))
     opportunity = per.agg(exact_round(gap * F.count_if(once) / 100, 2).alias("dollars"))

@@ -26,6 +26,18 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Settings the jobs count on; all can be set on a running session.
+
+    A join on a hot key is split even where the aggregate after it uses the same
+    key: the aggregate's map side then runs on the split parts.
+    """
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder staged tables go to.
 

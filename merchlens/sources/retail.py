@@ -244,6 +244,10 @@ class RetailStar(Star):
         if ("campaign_key" in cols or first) and "order_date" not in attrs:
             attrs.append("order_date")
         df = self._completed(*attrs).join(sums, "order_key")
+        if first:
+            # Before the customer join, so that finding a customer's first order
+            # is a map-side aggregate and not a pass over a customer's partition.
+            df = ops.first_order_flag(df)
         if of_customer:
             who = self.customers("customer_key", "home_geography_key", "acquisition_channel_key")
             df = df.join(who.withColumnRenamed("home_geography_key", "geography_key"), "customer_key")
@@ -253,8 +257,6 @@ class RetailStar(Star):
             )
             # One row per calendar day at most.
             df = df.join(F.broadcast(days), "order_date", "left")
-        if first:
-            df = ops.first_order_flag(df)
         if "shipping_c" in cols:
             df = df.withColumn("shipping_c", ops.shipping(F.col("net_c")))
         return df.select(*cols)
@@ -269,6 +271,28 @@ class RetailStar(Star):
 
     # -- shorter ways than the general ones ------------------------------------
 
+    def orders_by_customer(self, *by: str) -> DataFrame:
+        """Geography and channel are the customer's, so orders shrink to customers
+        before they meet the customer table and a customer with very many orders
+        is one row there."""
+        of_customer = [c for c in by if c in ("geography_key", "acquisition_channel_key")]
+        per = super().orders_by_customer(*[c for c in by if c not in of_customer])
+        if not of_customer:
+            return per
+        who = self.customers("customer_key", "home_geography_key", "acquisition_channel_key")
+        return per.join(
+            who.withColumnRenamed("home_geography_key", "geography_key").select("customer_key", *of_customer),
+            "customer_key",
+        )
+
+    def order_line_totals(self) -> DataFrame:
+        """Lines are summed before orders are filtered, so an order with very many
+        lines is one row in the join."""
+        sums = self._priced().groupBy("order_key").agg(
+            F.count("*").alias("lines"), *[F.sum(c).alias(c) for c in ("gross_c", "discount_c", "net_c")]
+        )
+        return sums.join(self._completed(), "order_key", "left_semi")
+
     def product_totals(self, *attributes: str) -> DataFrame:
         """Cost is a product attribute here, so lines shrink before the part join."""
         sold = (

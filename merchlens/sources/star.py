@@ -122,6 +122,25 @@ class Star(ABC):
         )
         return back.join(self.products("product_key", *attributes), "product_key") if attributes else back
 
+    def orders_by_customer(self, *by: str) -> DataFrame:
+        """customer_key, ``by``, orders, net_c: orders summed per customer.
+
+        ``by`` names order columns, or ``year`` for the year of the order date.
+        """
+        cols = ["order_date" if c == "year" else c for c in by]
+        orders = self.orders("customer_key", *cols, "net_c")
+        if "year" in by:
+            orders = orders.withColumn("year", F.year("order_date"))
+        return orders.groupBy("customer_key", *by).agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
+
+    def order_line_totals(self) -> DataFrame:
+        """order_key, lines, gross_c, discount_c, net_c: lines summed per order."""
+        return (
+            self.lines("order_key", "gross_c", "discount_c", "net_c")
+            .groupBy("order_key")
+            .agg(F.count("*").alias("lines"), *[F.sum(c).alias(c) for c in ("gross_c", "discount_c", "net_c")])
+        )
+
     def order_ledger(self) -> DataFrame:
         """One row per order with its sales and the refunds it drew.
 
