@@ -194,7 +194,8 @@ def customer_portfolio(star: Star, params: Params) -> DataFrame:
     )
 
 
-def staged_portfolio(star: Star, params: Params) -> DataFrame:
+def held_portfolio(star: Star, params: Params) -> DataFrame:
+    """The portfolio for a job that reads it more than once; ranking stored it."""
     if "portfolio" not in star.held:
-        star.held["portfolio"] = stage(customer_portfolio(star, params), "portfolio")
+        star.held["portfolio"] = customer_portfolio(star, params)
     return star.held["portfolio"]

@@ -76,7 +76,7 @@ def method_convergence(star: Star, params: Params) -> DataFrame:
     Positive values rank first, so the top tenth of them are the ranks up to a
     tenth of their number.
     """
-    rows = cust.staged_portfolio(star, params)
+    rows = cust.held_portfolio(star, params)
     positive = rows.agg(F.count_if(F.col("clv_c") > 0).alias("n")).scalar()
     top = (F.col("clv_c") > 0) & (F.col("portfolio_value_rank") * 10 <= positive)
     flagged = rows.select(_champion().alias("a"), _elite().alias("b"), top.alias("c"))
@@ -99,7 +99,7 @@ def method_disagreement(star: Star, params: Params) -> DataFrame:
     population = F.when(elite & ~champion, "Elite but NOT Champion").when(
         champion & ~elite, "Champion but NOT Elite"
     )
-    rows = cust.staged_portfolio(star, params).withColumn("disagreement_population", population)
+    rows = cust.held_portfolio(star, params).withColumn("disagreement_population", population)
     rows = rows.filter("disagreement_population is not null")
     q = grouped_quantiles(
         rows,
@@ -126,7 +126,7 @@ def method_disagreement(star: Star, params: Params) -> DataFrame:
 
 
 def portfolio_by_framework(star: Star, params: Params) -> DataFrame:
-    rows = cust.staged_portfolio(star, params)
+    rows = cust.held_portfolio(star, params)
     q = grouped_quantiles(
         rows,
         ["executive_framework"],

@@ -467,7 +467,7 @@ def _behaviour(s: Star, p: Params) -> Iterable[Verdict]:
 
 
 def _portfolio(s: Star, p: Params) -> Iterable[Verdict]:
-    folio = cust.staged_portfolio(s, p)
+    folio = cust.held_portfolio(s, p)
     sets = portfolio.method_convergence(s, p).groupBy().pivot(
         "method_or_overlap",
         ["A RFM Champions", "B Elite value class", "C Top value decile", "A and B", "A and C", "B and C", "A and B and C"],

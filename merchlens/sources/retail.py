@@ -43,9 +43,13 @@ class RetailStar(Star):
     def __init__(self, spark: SparkSession, root: str, completed: str = "F"):
         super().__init__(spark)
         self.root, self.completed = root.rstrip("/"), completed
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        """A raw table; its files are listed and its footer is read once per star."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._raw[name]
 
     # -- observed period: three scalars from one pass over two columns ---------
 
@@ -169,22 +173,21 @@ class RetailStar(Star):
             .select(*[derived[x].alias(x) for x in ("order_key", *cols)])
         )
 
+    @cached_property
     def _priced(self) -> DataFrame:
         """All raw lines with their money in cents; unused columns are pruned."""
-        gross = cents(F.col("l_extendedprice"))
+        money = self.raw("lineitem").withColumn("gross_c", cents(F.col("l_extendedprice")))
         percent = cents(F.col("l_discount"))
-        return (
-            self.raw("lineitem")
-            .withColumn("gross_c", gross)
-            .withColumn("discount_c", half_up_percent(F.col("gross_c"), percent))
-            .withColumn("net_c", F.col("gross_c") - F.col("discount_c"))
-            .withColumn("quantity", F.col("l_quantity").cast("bigint"))
-            .withColumn("product_key", F.col("l_partkey"))
-            .withColumn("order_key", F.col("l_orderkey"))
-            .withColumn(
-                "order_line_key",
-                F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("gross_c")),
-            )
+        return money.withColumn("discount_c", half_up_percent(F.col("gross_c"), percent)).withColumns(
+            {
+                "net_c": F.col("gross_c") - F.col("discount_c"),
+                "quantity": F.col("l_quantity").cast("bigint"),
+                "product_key": F.col("l_partkey"),
+                "order_key": F.col("l_orderkey"),
+                "order_line_key": F.concat_ws(
+                    "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("gross_c")
+                ),
+            }
         )
 
     def lines(self, *cols: str) -> DataFrame:
@@ -193,7 +196,7 @@ class RetailStar(Star):
         if "unit_cost_c" in cols and "product_key" not in own:
             own.append("product_key")
         how = "inner" if from_order else "left_semi"
-        df = self._priced().select(*own).join(self._completed(*from_order), "order_key", how)
+        df = self._priced.select(*own).join(self._completed(*from_order), "order_key", how)
         if "unit_cost_c" in cols:
             df = df.join(self.products("product_key", "unit_cost_c"), "product_key")
         return df.select(*cols)
@@ -220,7 +223,7 @@ class RetailStar(Star):
         }
         derived["fee_c"] = ops.restocking_fee(derived["refund_c"], derived["return_reason_key"])
         return (
-            self._priced()
+            self._priced
             .filter(F.col("l_returnflag") == "R")
             .join(self._completed("order_date", *from_order), "order_key")
             .filter(self._return_date() <= F.lit(self.horizon))
@@ -232,7 +235,7 @@ class RetailStar(Star):
         if "shipping_c" in cols and "net_c" not in money:
             money.append("net_c")
         # Lines shrink to one row per order before they meet the orders.
-        sums = self._priced().groupBy("order_key").agg(
+        sums = self._priced.groupBy("order_key").agg(
             *[F.sum(c).alias(c) for c in money] or [F.count("*").alias("_lines")]
         )
         # order_key comes with every frame; the rest follows what is asked for.
@@ -288,7 +291,7 @@ class RetailStar(Star):
     def order_line_totals(self) -> DataFrame:
         """Lines are summed before orders are filtered, so an order with very many
         lines is one row in the join."""
-        sums = self._priced().groupBy("order_key").agg(
+        sums = self._priced.groupBy("order_key").agg(
             F.count("*").alias("lines"), *[F.sum(c).alias(c) for c in ("gross_c", "discount_c", "net_c")]
         )
         return sums.join(self._completed(), "order_key", "left_semi")
@@ -312,7 +315,7 @@ class RetailStar(Star):
         """
         back = F.col("l_returnflag") == "R"
         refund_c = ops.refund(F.col("net_c"), self._returned_units(), F.col("quantity"))
-        sums = self._priced().groupBy("order_key").agg(
+        sums = self._priced.groupBy("order_key").agg(
             F.sum("gross_c").alias("gross_c"),
             F.sum("discount_c").alias("discount_c"),
             F.sum("net_c").alias("net_c"),
