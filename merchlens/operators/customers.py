@@ -41,16 +41,23 @@ FRAMEWORK_OTHER = "4 Other"
 FRAMEWORK_NONE = "5 Not activated"
 
 
-def buyer_totals(star: Star) -> DataFrame:
-    """One row per customer with an order: sums of the order ledger."""
-    return star.held["buyer_totals"] if "buyer_totals" in star.held else _buyer_totals(star)
+def buyer_totals(star: Star, breadth: bool = False) -> DataFrame:
+    """One row per customer with an order: sums of the order ledger.
+
+    ``breadth`` asks for ``channel_breadth`` too.
+    """
+    held = star.held.get("buyer_totals")
+    if held is not None and (not breadth or "channel_breadth" in held.columns):
+        return held
+    return _buyer_totals(star)
 
 
-def hold_buyer_totals(star: Star) -> None:
+def hold_buyer_totals(star: Star, breadth: bool = False) -> None:
     """Store the buyer totals for a job that starts from them more than once,
     so that the facts are read and shuffled once."""
     if "buyer_totals" not in star.held:
-        star.held["buyer_totals"] = stage(_buyer_totals(star), "buyer-totals")
+        rows = _buyer_totals(star)
+        star.held["buyer_totals"] = stage(rows if breadth else rows.drop("channel_breadth"), "buyer-totals")
 
 
 def _buyer_totals(star: Star) -> DataFrame:
@@ -59,6 +66,7 @@ def _buyer_totals(star: Star) -> DataFrame:
         *[F.sum(c).alias(c) for c in _SUMS],
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
+        F.count_distinct("sales_channel_key").alias("channel_breadth"),
     )
 
 
@@ -129,7 +137,8 @@ def behavioral_features(star: Star, params: Params) -> DataFrame:
     """Breadth and cadence of every customer with positive value.
 
     The mean gap between consecutive orders is the span from first to last order
-    over the number of gaps, so no per-customer sort is needed.
+    over the number of gaps, so no per-customer sort is needed. Value, channels
+    and span come from one pass over the orders.
     """
     categories = (
         star.lines("customer_key", "product_key")
@@ -137,18 +146,12 @@ def behavioral_features(star: Star, params: Params) -> DataFrame:
         .groupBy("customer_key")
         .agg(F.count_distinct("category").alias("category_breadth"))
     )
-    channels = (
-        star.orders("customer_key", "sales_channel_key")
-        .groupBy("customer_key")
-        .agg(F.count_distinct("sales_channel_key").alias("channel_breadth"))
-    )
     span = F.datediff("last_order", "first_order").cast("double")
     return (
-        buyer_totals(star)
+        buyer_totals(star, breadth=True)
         .withColumn("clv_c", F.col("net_c") - F.col("refund_c"))
         .filter("clv_c > 0")
         .join(categories, "customer_key", "left")
-        .join(channels, "customer_key", "left")
         .select(
             "customer_key",
             F.col("orders").alias("order_frequency"),
@@ -174,7 +177,7 @@ def framework_of(segment: Column) -> Column:
 
 def customer_portfolio(star: Star, params: Params) -> DataFrame:
     """Every customer with value, class, segment, features and value rank."""
-    hold_buyer_totals(star)
+    hold_buyer_totals(star, breadth=True)
     segments = rfm_segments(star).select("customer_key", F.col("segment").alias("rfm_segment"), "rfm_code")
     features = behavioral_features(star, params).select(
         "customer_key",

@@ -513,7 +513,7 @@ _MODULES = {
 
 def _table(module: str, judge: Callable[[Star, Params], Iterable[Verdict]]) -> Callable[[Star, Params], DataFrame]:
     def verdicts(star: Star, params: Params) -> DataFrame:
-        cust.hold_buyer_totals(star)
+        cust.hold_buyer_totals(star, breadth=module in ("behaviour", "portfolio"))
         rows = [
             (module, i, statement, round(float(measure or 0), 2), PASS if holds else FAIL)
             for i, (statement, measure, holds) in enumerate(judge(star, params), start=1)

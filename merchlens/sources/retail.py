@@ -325,7 +325,7 @@ class RetailStar(Star):
         )
         seen = self._return_date() <= F.lit(self.horizon)
         return (
-            self._completed("customer_key", "order_date")
+            self._completed("customer_key", "order_date", "sales_channel_key")
             .join(sums, "order_key")
             .withColumn("refund_c", F.when(seen, F.col("refund_c")).otherwise(0))
             .withColumn("units_returned", F.when(seen, F.col("units_returned")).otherwise(0))

@@ -144,8 +144,8 @@ class Star(ABC):
     def order_ledger(self) -> DataFrame:
         """One row per order with its sales and the refunds it drew.
 
-        order_key customer_key order_date gross_c discount_c net_c units
-        refund_c units_returned
+        order_key customer_key order_date sales_channel_key gross_c discount_c
+        net_c units refund_c units_returned
         """
         sold = self.lines("order_key", "quantity").groupBy("order_key").agg(F.sum("quantity").alias("units"))
         back = (
@@ -154,7 +154,9 @@ class Star(ABC):
             .agg(F.sum("refund_c").alias("refund_c"), F.sum("return_quantity").alias("units_returned"))
         )
         return (
-            self.orders("order_key", "customer_key", "order_date", "gross_c", "discount_c", "net_c")
+            self.orders(
+                "order_key", "customer_key", "order_date", "sales_channel_key", "gross_c", "discount_c", "net_c"
+            )
             .join(sold, "order_key", "left")
             .join(back, "order_key", "left")
             .fillna(0, ["units", "refund_c", "units_returned"])

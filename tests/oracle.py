@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -42,7 +43,7 @@ def _rows(table: pa.Table) -> Counter:
 def differences(spark_df, con, sql: str) -> list[str]:
     """What differs; empty when names, types and all rows agree."""
     got = spark_df.toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     out = []
     if sorted(got.column_names) != sorted(want.column_names):
         return [f"columns {sorted(got.column_names)} != {sorted(want.column_names)}"]
@@ -61,7 +62,8 @@ def main(sf_dir: str, *names: str) -> int:
     import __spark_entry__ as entry
     from merchlens.session import local_session
 
-    spark = local_session()
+    # SHUFFLE_PARTITIONS=200 runs with Spark's own default instead.
+    spark = local_session(shuffle_partitions=int(os.environ.get("SHUFFLE_PARTITIONS", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     queries, oracle = entry.queries(), entry.oracle_sql()
