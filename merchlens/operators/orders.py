@@ -52,28 +52,36 @@ def first_order_flag(orders: DataFrame) -> DataFrame:
     )
 
 
-def discount_allocation(lines: DataFrame, headers: DataFrame, line_order: list[str]) -> DataFrame:
-    """Spread each header's discount over its lines.
-
-    Every line takes its gross times the header's percent, rounded; the last
-    line in ``line_order`` takes what is left, so the lines sum to the header.
-    ``lines``: order_key, gross_c and the ``line_order`` columns, which tell the
-    lines of an order apart. ``headers``: order_key, discount_pct, discount_c.
-    Two aggregates per order replace a running sum, so no order has to fit in
+def discount_allocation(lines: DataFrame, line_order: list[str]) -> DataFrame:
+    """Spread each order's discount over its lines.
+
+    The order's discount is ``discount_pct`` of its gross, rounded once. Every
+    line takes that percent of its own gross, rounded; the last line in
+    ``line_order`` also takes the remainder, so the lines sum to the order.
+    ``lines``: order_key, gross_c, discount_pct (the same on all lines of an
+    order) and the ``line_order`` columns, which tell its lines apart. One
+    aggregate per order replaces a running sum, so no order has to be sorted in
     one task.
     """
-    own = half_up_percent(F.col("gross_c"), F.col("discount_pct"))
-    priced = lines.join(headers, "order_key").withColumn("_own", own)
-    tail = priced.groupBy("order_key").agg(
-        F.sum("_own").alias("_all"), F.max(F.struct(*line_order)).alias("_last")
+    percent = F.col("discount_pct")
+    own = lines.withColumn("_own", half_up_percent(F.col("gross_c"), percent))
+    per_order = own.groupBy("order_key").agg(
+        F.sum("gross_c").alias("_gross"),
+        F.max("discount_pct").alias("_pct"),
+        F.sum("_own").alias("_given"),
+        F.max(F.struct(*line_order)).alias("_last"),
     )
-    mine = F.struct(*line_order)
-    split = F.when(mine == F.col("_last"), F.col("discount_c") - (F.col("_all") - F.col("_own")))
+    rest = per_order.select(
+        "order_key",
+        "_last",
+        (half_up_percent(F.col("_gross"), F.col("_pct")) - F.col("_given")).alias("_rest"),
+    )
+    is_last = F.struct(*line_order) == F.col("_last")
     return (
-        priced.join(tail, "order_key")
-        .withColumn("line_discount_c", split.otherwise(F.col("_own")))
+        own.join(rest, "order_key")
+        .withColumn("line_discount_c", F.col("_own") + F.when(is_last, F.col("_rest")).otherwise(0))
         .withColumn("line_net_c", F.col("gross_c") - F.col("line_discount_c"))
-        .drop("_own", "_all", "_last")
+        .drop("_own", "_rest", "_last")
     )
 
 

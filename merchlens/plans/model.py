@@ -39,14 +39,9 @@ def campaign_day_map(star: Star, params: Params) -> DataFrame:
     return cal.campaign_day_map(star.campaigns())
 
 
-def _attributed(star: Star) -> DataFrame:
-    return ops.campaign_attribution(
-        star.orders("order_key", "order_date", "gross_c"), cal.campaign_day_map(star.campaigns())
-    )
-
-
 def campaign_attribution(star: Star, params: Params) -> DataFrame:
-    return _attributed(star).select(
+    days = cal.campaign_day_map(star.campaigns())
+    return ops.campaign_attribution(star.orders("order_key", "order_date", "gross_c"), days).select(
         "order_key",
         "order_date",
         "campaign_key",
@@ -58,26 +53,29 @@ def campaign_attribution(star: Star, params: Params) -> DataFrame:
 
 def order_header_rollup(star: Star, params: Params) -> DataFrame:
     """Headers summed from lines, with shipping and the first-order flag."""
-    flagged = ops.first_order_flag(star.orders("order_key", "customer_key", "order_date"))
-    return flagged.join(star.order_line_totals(), "order_key").select(
+    return star.orders(
+        "order_key", "customer_key", "order_date", "gross_c", "discount_c", "net_c", "shipping_c", "is_first_order"
+    ).select(
         "order_key",
         "customer_key",
         "order_date",
         currency(F.col("gross_c")).alias("gross_revenue"),
         currency(F.col("discount_c")).alias("discount_amount"),
         currency(F.col("net_c")).alias("net_revenue"),
-        currency(ops.shipping(F.col("net_c"))).alias("shipping_revenue"),
+        currency(F.col("shipping_c")).alias("shipping_revenue"),
         "is_first_order",
     )
 
 
 def discount_allocation(star: Star, params: Params) -> DataFrame:
-    """The campaign discount of each order spread over its lines."""
-    headers = _attributed(star).select(
-        "order_key", "discount_pct", F.col("campaign_discount_c").alias("discount_c")
-    )
-    lines = star.lines("order_key", "order_line_key", "gross_c")
-    return ops.discount_allocation(lines, headers, ["order_line_key"]).select(
+    """The campaign discount of each order spread over its lines.
+
+    A line's campaign follows from its order's date, so lines get their percent
+    without meeting the headers.
+    """
+    days = cal.campaign_day_map(star.campaigns())
+    lines = ops.campaign_attribution(star.lines("order_key", "order_line_key", "order_date", "gross_c"), days)
+    return ops.discount_allocation(lines, ["order_line_key"]).select(
         "order_line_key",
         "order_key",
         currency(F.col("gross_c")).alias("gross_line_revenue"),

@@ -73,12 +73,10 @@ def test_attribution_leaves_orders_outside_windows_alone(spark):
 
 
 def test_discount_split_sums_to_the_header(spark):
-    lines = [(1, 1, 333), (1, 2, 333), (1, 3, 335), (2, 1, 999), (3, 1, 5), (3, 2, 5)]
+    lines = [(1, 1, 333, 10), (1, 2, 333, 10), (1, 3, 335, 10), (2, 1, 999, 45), (3, 1, 5, 10), (3, 2, 5, 10)]
     headers = [(1, 10, 100), (2, 45, 450), (3, 10, 1)]
     got = ops.discount_allocation(
-        spark.createDataFrame(lines, "order_key bigint, line bigint, gross_c bigint"),
-        spark.createDataFrame(headers, "order_key bigint, discount_pct int, discount_c bigint"),
-        ["line"],
+        spark.createDataFrame(lines, "order_key bigint, line bigint, gross_c bigint, discount_pct int"), ["line"]
     ).collect()
     split = {(r.order_key, r.line): r.line_discount_c for r in got}
     for order, _, whole in headers:
