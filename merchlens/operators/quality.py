@@ -83,7 +83,7 @@ def domain_values(df: DataFrame, column: str, allowed: Sequence[str], label: str
     """Values outside a closed list, their rows, and listed values never seen."""
     listed = df.sparkSession.createDataFrame([(v,) for v in allowed], "_k0 string").withColumn("_listed", F.lit(True))
     seen = _per_key(df, F.col(column).cast("string"))
-    both = seen.join(F.broadcast(listed), "_k0", "full")
+    both = seen.join(listed, "_k0", "full")
     strange, unseen = F.col("_listed").isNull(), F.col("_n").isNull()
     return both.agg(
         _count(strange).alias("unexpected_values"),
