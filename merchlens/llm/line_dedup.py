@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchlens.session import stage
+
 # The characters stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -54,14 +56,16 @@ def drop_repeated_lines(
     hashed = lines.select(
         "id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2")
     )
-    repeated = (
+    # Written out, so that the join below reads two shuffles and a hot line's rows can be split.
+    repeated = stage(
         hashed.groupBy("h1", "h2")
         .agg(
             (F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))).alias("n_docs"),
             F.max("id").alias("last_id"),
         )
         .filter(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "last_id")
+        .select("h1", "h2", "last_id"),
+        "repeated-lines",
     )
     dropped = (
         hashed.join(repeated, ["h1", "h2"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchlens.llm import fingerprint, jaccard_join, line_dedup
+from merchlens.llm import embedding_dedup, fingerprint, jaccard_join, line_dedup
 from merchlens.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op3_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edited(_table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(_table(spark, sf_dir, "documents"))
 
@@ -29,5 +33,5 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_doc_fingerprints, op9_line_dedup, op10_ngram_jaccard)}
-SQL: dict[str, str] = {"op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_doc_fingerprints, op4_embedding_neardup, op9_line_dedup, op10_ngram_jaccard)}
+SQL: dict[str, str] = {"op4_embedding_neardup": embedding_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL}
