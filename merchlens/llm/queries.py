@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchlens.llm import embedding_dedup, fingerprint, jaccard_join, line_dedup
-from merchlens.session import tune
+from merchlens.llm import embedding_dedup, fingerprint, jaccard_join, line_dedup, token_files, toxicity
+from merchlens.session import scratch_path, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public vocabulary file; executors have it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tune(spark)
+    # Batches that Python workers take at once, by rows and by bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -25,6 +35,16 @@ def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = _table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
+    token_files.write_token_files(docs, path, vocabulary("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, path, summary=True)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(_table(spark, sf_dir, "documents"))
 
@@ -33,5 +53,5 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_doc_fingerprints, op4_embedding_neardup, op9_line_dedup, op10_ngram_jaccard)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op8_token_files, op9_line_dedup, op10_ngram_jaccard)}
 SQL: dict[str, str] = {"op4_embedding_neardup": embedding_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL}
