@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Hashable
+from itertools import chain
 
 import numpy as np
 
@@ -29,49 +30,39 @@ class _Numbers(dict):
         return number
 
 
-class UnitTable:
-    """Ids of units by number, filled by ``encode``, which takes strings and returns an id list for each.
+class Units:
+    """Numbers the units of texts; a subclass keeps what it learns of each unit by its number.
 
-    It is emptied once it holds ``limit`` units, which bounds its memory; ids
-    do not depend on it.
+    All is forgotten once ``limit`` units are held, which bounds the memory;
+    results do not depend on it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 300_000):
-        self.encode, self.limit = encode, limit
-        self._clear()
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.forget()
 
-    def _clear(self) -> None:
+    def forget(self) -> None:
         self.numbers = _Numbers()
-        self.lengths = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
-        self.starts = np.zeros(0, np.int64)
         self.clean = np.zeros(0, bool)
 
+    def learn(self, strings: list[str]) -> None:
+        """Take in new units; a unit that does not begin its text has its leading space."""
+        raise NotImplementedError
+
     def _learn(self) -> None:
-        """Encode the units met since the last call."""
         new, self.numbers.new = self.numbers.new, []
         if not new:
             return
         # Keys: a plain string follows a space; (text,) begins a text; (text, 1) follows a
         # space and may hold white space at an end.
-        strings = [" " + k if isinstance(k, str) else k[0] if len(k) == 1 else " " + k[0] for k in new]
-        ids = self.encode(strings)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate([np.asarray(i, np.int32) for i in ids]) if len(ids) else np.zeros(0, np.int32)
-        clean = np.fromiter(
-            (len(k) == 2 if isinstance(k, tuple) and len(k) == 2 else _clean(k if isinstance(k, str) else k[0]) for k in new),
-            bool,
-            len(new),
-        )
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, flat])
-        self.clean = np.concatenate([self.clean, clean])
+        self.learn([" " + k if isinstance(k, str) else k[0] if len(k) == 1 else " " + k[0] for k in new])
+        clean = ((isinstance(k, tuple) and len(k) == 2) or _clean(k if isinstance(k, str) else k[0]) for k in new)
+        self.clean = np.concatenate([self.clean, np.fromiter(clean, bool, len(new))])
 
     def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of all texts one after the other, and how many each text has."""
         if len(self.numbers) > self.limit:
-            self._clear()
+            self.forget()
         parts: list[Hashable] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
@@ -99,6 +90,26 @@ class UnitTable:
         self._learn()
         return out
 
+
+class UnitTable(Units):
+    """Ids of units by number, from ``encode``, which takes strings and returns an id list for each."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 600_000):
+        self.encode = encode
+        super().__init__(limit)
+
+    def forget(self) -> None:
+        super().forget()
+        self.lengths = self.starts = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def learn(self, strings: list[str]) -> None:
+        ids = self.encode(strings)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))])
+
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
         every, counts = self.units(texts)
