@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchlens.llm import embedding_dedup, fingerprint, jaccard_join, line_dedup, sentence_pieces, token_files, toxicity
+from merchlens.llm import chat_format, embedding_dedup, fingerprint, jaccard_join, line_dedup, sentence_pieces, token_files, toxicity
 from merchlens.session import scratch_path, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.chat_digest(_table(spark, sf_dir, "conversations"))
+
+
 def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.coded_documents(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -57,5 +61,5 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op8_token_files, op9_line_dedup, op10_ngram_jaccard)}
-SQL: dict[str, str] = {"op4_embedding_neardup": embedding_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op8_token_files, op9_line_dedup, op10_ngram_jaccard)}
+SQL: dict[str, str] = {"op1_chat_formatting": chat_format.SQL, "op4_embedding_neardup": embedding_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL}
