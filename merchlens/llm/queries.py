@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchlens.llm import chat_format, embedding_dedup, fingerprint, jaccard_join, line_dedup, sentence_pieces, token_files, toxicity
+from merchlens.llm import chat_format, embedding_dedup, fingerprint, jaccard_join, license_scan, line_dedup, mixing, sentence_pieces, token_files, toxicity
 from merchlens.session import scratch_path, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(_table(spark, sf_dir, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = _table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
     token_files.write_token_files(docs, path, vocabulary("byte_bpe_50k.json"))
@@ -61,5 +69,5 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op8_token_files, op9_line_dedup, op10_ngram_jaccard)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op6_license_scan, op7_source_mixing, op8_token_files, op9_line_dedup, op10_ngram_jaccard)}
 SQL: dict[str, str] = {"op1_chat_formatting": chat_format.SQL, "op4_embedding_neardup": embedding_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL}
