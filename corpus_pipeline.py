@@ -1,24 +1,66 @@
-"""A corpus pipeline: the stages in order, each over all that the one before it kept."""
+"""A corpus pipeline: the stages in order, each over all that the one before it kept.
+
+Every stage but the last returns the columns of ``documents``; ``n_chars``
+follows the text where a stage changes it. The last returns the sampled piece
+ids of every document left.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from merchlens.llm import jaccard_join, line_dedup, mixing, queries, sentence_pieces, toxicity
+
+# The mix takes this share of the tokens that reach it, each document once at most.
+MIX_SHARE = 0.9
 
-from merchlens.llm import line_dedup
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learn from the labels outside the held-out fifth and drop documents that score one half or more."""
+    labels = queries.table(spark, sf_dir, "labels").filter(~toxicity.held_out())
+    model = toxicity.train(docs, labels)
+    return toxicity.with_toxicity(docs, model, out="toxicity_score").filter("toxicity_score < 0.5").select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.drop_repeated_lines(docs).select(docs.columns)
+    """Drop lines that many documents share, except in the last document that holds them."""
+    kept = line_dedup.drop_repeated_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents with similar shingle sets, keep the one with the smallest id."""
+    return jaccard_join.keep_one_of_each_group(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take documents so that tokens follow the weights of domains, languages and sources."""
+    placed = docs.withColumn("domain", mixing.domain_of(F.col("source")))
+    return mixing.mix(placed, share=MIX_SHARE, max_epochs=1).select(docs.columns)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of every document, and a digest of the text decoded from them."""
+    return sentence_pieces.coded_documents(docs, queries.vocabulary("piece_bpe_32k.model"))
+
 
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("source mixing", mix_sources),
+    ("SentencePiece", encode_pieces),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("line dedup", dedup_lines)]
+# The toxicity model and the sampled pieces cannot be stated in SQL.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = queries.table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

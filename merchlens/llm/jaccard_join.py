@@ -274,11 +274,11 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
     Rows without an id, or without words, all stay. Rows that share the
     smallest id of a group all stay, so ids should be unique.
     """
-    groups = jaccard_groups(docs, id_col=id_col, text_col=text_col).select(
-        F.col(id_col).alias("g_id"), F.col("component_id").alias("g_least")
-    )
-    gone = groups.filter("g_id <> g_least").select("g_id").distinct()
-    return docs.join(gone, F.col(id_col) == F.col("g_id"), "left_anti")
+    groups = jaccard_groups(docs, id_col=id_col, text_col=text_col).toDF("id", "n_shingles", "least")
+    gone = groups.filter("id <> least").select(F.col("id").alias("gone_id")).distinct()
+    # The input's columns stay inside one struct, so no name can clash.
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
+    return rows.join(gone, F.col("id") == F.col("gone_id"), "left_anti").select("row.*")
 
 
 SQL = r"""

@@ -19,7 +19,7 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tune(spark)
     # Batches that Python workers take at once, by rows and by bytes.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
@@ -28,45 +28,45 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_format.chat_digest(_table(spark, sf_dir, "conversations"))
+    return chat_format.chat_digest(table(spark, sf_dir, "conversations"))
 
 
 def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_pieces.coded_documents(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return sentence_pieces.coded_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op3_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.compare_with_edited(_table(spark, sf_dir, "documents"))
+    return fingerprint.compare_with_edited(table(spark, sf_dir, "documents"))
 
 
 def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_dedup.embedding_groups(_table(spark, sf_dir, "embeddings"))
+    return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.license_report(_table(spark, sf_dir, "documents"))
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(_table(spark, sf_dir, "documents"))
+    return mixing.mixed_documents(table(spark, sf_dir, "documents"))
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, path = _table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
     token_files.write_token_files(docs, path, vocabulary("byte_bpe_50k.json"))
     return token_files.read_token_files(spark, path, summary=True)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup_digest(_table(spark, sf_dir, "documents"))
+    return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op6_license_scan, op7_source_mixing, op8_token_files, op9_line_dedup, op10_ngram_jaccard)}
