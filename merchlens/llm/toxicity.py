@@ -1,22 +1,24 @@
 """Toxicity by a support vector machine on a gap-weighted subsequence kernel.
 
-Two strings are alike in this kernel if they share subsequences of three
-letters; a subsequence that spans s characters weighs decay ** s, so letters
-may stand apart and characters may be put between them. A sentence is a bag of
+Two strings are alike in this kernel if they share subsequences of three and
+four letters; a subsequence that spans s letters weighs decay ** s, so letters
+may be put between those of an insult, and other characters do not count. A sentence is a bag of
 windows (its words, runs of single letters taken together, and stretches of
 very long words) and scores as its highest window does.
 
-Training is on labelled sentences: those of documents labelled 0 are clean; of
-a document labelled 1 the highest-scoring sentence is the witness. Landmarks
-are words of the labelled sentences; Nystroem features of the kernel against
-them go into a linear support vector machine, trained in rounds that add the
-clean windows scored highest so far. As the kernel is a finite sum over
-three-letter subsequences, the trained machine folds into one weight for each
-of them, and a window's score is a sum over its own subsequences.
+Training is on labelled sentences, each distinct one once: those of documents
+labelled 0 are clean; those of documents labelled 1 are toxic if they hold a
+witness, a word found in more of them than chance explains and in no clean one.
+Nystroem features of the kernel against landmarks, which are windows of both
+kinds, go into a linear support vector machine, trained in rounds that add the
+clean windows scored highest so far, also as landmarks. As the kernel is a
+finite sum over subsequences, the trained machine folds into one weight for
+each of them, and a window's score is a sum over its own subsequences.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -28,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.llm.token_files import text_batches
+from merchlens.llm.worker import kept
 from merchlens.session import stage
 
 DECAY = 0.7
-REACH = 7  # a subsequence spans at most this many characters plus one
+REACH = 6  # a subsequence spans at most this many letters plus one
 WINDOW = 24  # longer words are cut into windows of this length, half overlapping
-LANDMARKS = 96
+LANDMARKS = 200
 # Bounds of what is fitted on: labelled documents of each label, and distinct windows.
 SAMPLE_DOCS = 4_000
 CANDIDATES = 4_000
@@ -68,24 +71,38 @@ def windows_of(word: str) -> list[str]:
     return [word[i : i + WINDOW] for i in range(0, len(word) - half, half)]
 
 
+# Codes of subsequences: three letters of five bits, then four letters.
+_THREE = 1 << 15
+CODES = _THREE + (1 << 20)
+
+
 def subsequences(words: list[str], letters: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All three-letter subsequences of windows as (window, code, weight), window by window.
+    """All subsequences of three and four letters of windows as (window, code, weight).
 
     The weights of a window are scaled to unit length.
     """
-    width = max([len(w) for w in words], default=0)
-    codes = np.zeros((len(words), max(width, 3)), np.int64)
-    for i, w in enumerate(words):
-        codes[i, : len(w)] = [letters[c] for c in w]
+    # Characters that can only be a gap leave none, so letters set apart by them stand together.
+    own = [[code for c in w if (code := letters[c])] for w in words]
+    width = max(3, *map(len, own)) if own else 3
+    codes = np.zeros((len(words), width), np.int64)
+    for i, o in enumerate(own):
+        codes[i, : len(o)] = o
     found, owners, weights = [], [], []
-    size = codes.shape[1]
-    for far in range(2, min(REACH, size - 1) + 1):
-        for mid in range(1, far):
-            a, b, c = codes[:, : size - far], codes[:, mid : size - far + mid], codes[:, far:]
-            w, at = np.nonzero((a > 0) & (b > 0) & (c > 0))
-            owners.append(w)
-            found.append(a[w, at] << 10 | b[w, at] << 5 | c[w, at])
-            weights.append(np.full(len(w), DECAY ** (far + 1)))
+
+    def add(code: np.ndarray, far: int) -> None:
+        # Letters stand at the front, so the last letter's place tells whether all are there.
+        w, at = np.nonzero(codes[:, far:])
+        owners.append(w)
+        found.append(code[w, at])
+        weights.append(np.full(len(w), DECAY ** (far + 1)))
+
+    for far in range(2, min(REACH, width - 1) + 1):
+        a, z = codes[:, : width - far], codes[:, far:]
+        for i in range(1, far):
+            b = codes[:, i : width - far + i]
+            add(a << 10 | b << 5 | z, far)
+            for j in range(i + 1, far):
+                add(_THREE + (a << 15 | b << 10 | codes[:, j : width - far + j] << 5 | z), far)
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     owner, code, weight = np.concatenate(owners), np.concatenate(found), np.concatenate(weights)
@@ -97,32 +114,47 @@ def _features(words: list[str], landmarks: list[str]) -> np.ndarray:
     """The kernel of windows against landmarks."""
     letters = _Letters()
     owner, code, weight = subsequences(landmarks, letters)
-    table = np.zeros((1 << 15, len(landmarks)))
-    np.add.at(table, (code, owner), weight)
+    # Only subsequences of landmarks matter: the others share the empty last row.
+    used, row = np.unique(code, return_inverse=True)
+    table = np.zeros((len(used) + 1, len(landmarks)))
+    np.add.at(table, (row, owner), weight)
     out = np.zeros((len(words), len(landmarks)))
     for a in range(0, len(words), 2000):
         owner, code, weight = subsequences(words[a : a + 2000], letters)
-        np.add.at(out, owner + a, weight[:, None] * table[code])
+        row = np.minimum(np.searchsorted(used, code), len(used) - 1) if len(used) else np.zeros(len(code), np.int64)
+        shared = used[row] == code if len(used) else np.zeros(len(code), bool)
+        owner, row, weight = owner[shared], row[shared], weight[shared]
+        order = np.argsort(owner, kind="stable")
+        if len(order):
+            heads = np.flatnonzero(np.diff(owner[order], prepend=-1))
+            out[a + owner[order][heads]] = np.add.reduceat(weight[order][:, None] * table[row[order]], heads)
     return out
 
 
 @dataclass
 class Model:
-    """Weights of the three-letter subsequences, the offset, and the slope and offset of the score."""
+    """Weights of subsequences (those that have one), the offset, and the slope and shift of the score."""
 
+    codes: np.ndarray
     weights: np.ndarray
     offset: float
     slope: float = 1.0
     shift: float = 0.0
 
-    def margins(self, words: list[str], letters: dict[str, int]) -> np.ndarray:
+    def table(self) -> np.ndarray:
+        out = np.zeros(CODES)
+        out[self.codes] = self.weights
+        return out
+
+    def margins(self, words: list[str], letters: dict[str, int], table: np.ndarray) -> np.ndarray:
+        """The margins of windows; ``table`` is that of this model."""
         out = np.zeros(len(words))
         # By length, so that short windows are not padded to long ones.
         sizes = np.array([len(w) for w in words])
         for low, high in ((0, 8), (8, 12), (12, 16), (16, WINDOW)):
             at = np.flatnonzero((sizes > low) & (sizes <= high))
             owner, code, weight = subsequences([words[i] for i in at], letters)
-            out[at] = np.bincount(owner, weights=weight * self.weights[code], minlength=len(at)) if len(owner) else 0.0
+            out[at] = np.bincount(owner, weights=weight * table[code], minlength=len(at)) if len(owner) else 0.0
         return out + self.offset
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
@@ -133,7 +165,7 @@ class _Scorer:
     """Margins of words, each computed once; emptied at a bound."""
 
     def __init__(self, model: Model):
-        self.model, self.letters = model, _Letters()
+        self.model, self.letters, self.table = model, _Letters(), model.table()
         self.known: dict[str, float] = {}
 
     def documents(self, texts: list[str]) -> np.ndarray:
@@ -143,7 +175,7 @@ class _Scorer:
         split = [t.split() for t in texts]
         new = list({w for words in split for w in words} - self.known.keys())
         cut = [windows_of(w) for w in new]
-        margins = self.model.margins([w for c in cut for w in c], self.letters)
+        margins = self.model.margins([w for c in cut for w in c], self.letters, self.table)
         if new:
             self.known.update(zip(new, np.maximum.reduceat(margins, np.cumsum([0, *map(len, cut)])[:-1]).tolist(), strict=True))
         look = self.known.__getitem__
@@ -151,13 +183,15 @@ class _Scorer:
         for i, text in enumerate(texts):
             spelled = [w for run in _SPELLED.findall(text) for w in windows_of(run)]
             if spelled:
-                out[i] = max(out[i], self.model.margins(spelled, self.letters).max())
+                out[i] = max(out[i], self.model.margins(spelled, self.letters, self.table).max())
         return out
 
 
 def _score(model: Model) -> Callable:
+    name = f"toxicity:{hashlib.sha256(model.weights.tobytes() + model.codes.tobytes()).hexdigest()}:{model.offset}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(model)
+        scorer: _Scorer = kept(name, lambda: _Scorer(model))
         for batch in batches:
             parts = [scorer.documents(texts) for _, texts in text_batches(batch.column("text").to_pylist())]
             margins = np.concatenate(parts) if parts else np.zeros(0)
@@ -186,20 +220,23 @@ def _sample(docs: DataFrame, labels: DataFrame, per_label: int, id_col: str, tex
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id")
 
 
-def _window_counts(sample: DataFrame) -> DataFrame:
-    """Distinct windows of the sample's sentences, with the documents of each label that have them."""
+def _window_counts(sample: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Windows of the sample's distinct sentences, with the sentences of each label that have them, and how many there are.
+
+    A sentence counts once however often it is copied; one that also stands in a
+    clean document is clean.
+    """
     sentence = F.explode(F.split(F.coalesce("text", F.lit("")), r"(?<=[.!?])\s+|\n"))
-    words = sample.select("id", "toxic", sentence.alias("sentence")).select(
-        "id", "toxic", F.explode(F.split("sentence", r"\s+")).alias("word")
+    distinct = stage(
+        sample.select("toxic", sentence.alias("sentence")).groupBy("sentence").agg(F.min("toxic").alias("toxic")), "sentences"
     )
-    return (
+    words = distinct.select("toxic", F.explode(F.array_distinct(F.split("sentence", r"\s+"))).alias("word"))
+    counts = (
         words.filter(F.char_length("word").between(3, WINDOW))
         .groupBy("word")
-        .agg(
-            F.count_distinct(F.when(F.col("toxic") == 1, F.col("id"))).alias("n_toxic"),
-            F.count_distinct(F.when(F.col("toxic") == 0, F.col("id"))).alias("n_clean"),
-        )
+        .agg(F.sum("toxic").alias("n_toxic"), F.sum(1 - F.col("toxic")).alias("n_clean"))
     )
+    return stage(counts, "windows"), {r["toxic"]: r["count"] for r in distinct.groupBy("toxic").count().collect()}
 
 
 def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 50.0, steps: int = 400) -> tuple[np.ndarray, float]:
@@ -237,70 +274,65 @@ def train(
 ) -> Model:
     """Fit the model on at most ``per_label`` labelled documents of each label.
 
-    Without labelled documents of both labels, every text scores below one half.
+    Without sentences of both labels, or a telling word, every text scores below one half.
     Null ids, texts and labels, and ids labelled both ways, are left out. What
     the driver holds is bounded by ``CANDIDATES`` and ``NEGATIVES`` words.
     """
     sample = stage(_sample(docs, labels, per_label, id_col, text_col), "labelled")
-    totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count_distinct("id").alias("n")).collect()}
-    empty = Model(np.zeros(1 << 15), -1.0, 4.0, 0.0)
+    empty = Model(np.zeros(0, np.int64), np.zeros(0), -1.0, 4.0, 0.0)
+    counts, totals = _window_counts(sample)
     if not totals.get(0) or not totals.get(1):
         return empty
-    counts = stage(_window_counts(sample), "windows")
-    # How much more often a word is found in documents of label 1 than in those of label 0.
-    gain = F.col("n_toxic") / totals[1] * F.log((F.col("n_toxic") + 0.1) / totals[1] / ((F.col("n_clean") + 0.1) / totals[0]))
-    likely = counts.filter("n_toxic > 0").orderBy(F.desc(gain), "word").limit(CANDIDATES).select("word", "n_toxic", "n_clean").toPandas()
-    # Words of both kinds are taken as they are; only words never found in clean text can be witnesses.
-    telling = likely[(likely.n_clean == 0) & (likely.n_toxic >= max(2, totals[1] // 1000))]
+    # A word of k toxic sentences is in them alone by chance with probability share ** k;
+    # so many words are looked at that only far smaller ones tell.
+    share = totals[1] / (totals[0] + totals[1])
+    least = max(3.0, 2 * float(np.log(max(counts.count(), 2))) / -float(np.log(share)))
+    telling = (
+        counts.filter((F.col("n_clean") == 0) & (F.col("n_toxic") >= least))
+        .orderBy(F.desc("n_toxic"), "word").limit(CANDIDATES).toPandas()
+    )
     if telling.empty:
         return empty
     clean = (
         counts.filter("n_clean > 0").orderBy(F.xxhash64("word"), "word").limit(NEGATIVES // 2).select("word").toPandas()["word"].tolist()
     )
     positives = telling["word"].tolist()
-    landmarks = _choose_landmarks(positives[:1500], LANDMARKS // 2)
-    landmarks += _choose_landmarks(clean[: LANDMARKS * 4], LANDMARKS - len(landmarks))
-    kernel = _features(landmarks, landmarks)
-    values, vectors = np.linalg.eigh(kernel)
-    good = values > 1e-6 * values.max()
-    whiten = vectors[:, good] / np.sqrt(values[good])
-    owner, code, weight = subsequences(landmarks, _Letters())
-    table = np.zeros((1 << 15, len(landmarks)))
-    np.add.at(table, (code, owner), weight)
     importance = np.log1p(telling["n_toxic"].to_numpy(float))
-    px = _features(positives, landmarks) @ whiten
+    landmarks = _choose_landmarks(positives[:1500], LANDMARKS // 2)
+    landmarks += _choose_landmarks(clean[: 2 * LANDMARKS], LANDMARKS - len(landmarks))
     model = empty
     for _ in range(ROUNDS):
-        x = np.concatenate([px, _features(clean, landmarks) @ whiten])
-        y = np.concatenate([np.ones(len(px)), -np.ones(len(clean))])
-        each = np.concatenate([importance / importance.sum(), np.full(len(clean), 1 / len(clean))]) * len(y) / 2
+        values, vectors = np.linalg.eigh(_features(landmarks, landmarks))
+        good = values > 1e-6 * values.max()
+        whiten = vectors[:, good] / np.sqrt(values[good])
+        x = _features(positives + clean, landmarks) @ whiten
+        y = np.concatenate([np.ones(len(positives)), -np.ones(len(clean))])
+        each = np.concatenate([importance / importance.sum(), np.full(len(clean), 1 / max(len(clean), 1))]) * len(y) / 2
         w, b = _hinge(x, y, each)
-        model = Model(table @ (whiten @ w), b)
-        # Clean windows that this model scores highest join the training, as does what it
-        # cannot tell from them.
+        owner, code, weight = subsequences(landmarks, _Letters())
+        codes, row = np.unique(code, return_inverse=True)
+        model = Model(codes, np.bincount(row, weights=weight * (whiten @ w)[owner], minlength=len(codes)), b)
+        # The clean windows that this model scores highest join the training.
         hard = (
-            counts.filter("n_clean > 0")
-            .select(F.col("word"))
+            counts.filter("n_clean > 0").select("word")
             .mapInArrow(_rank_words(model), "word string, margin double")
-            .orderBy(F.desc("margin"), "word")
-            .limit(NEGATIVES // 8)
-            .select("word")
-            .toPandas()["word"]
-            .tolist()
-        )
-        fresh = [w for w in hard if w not in set(clean)]
+            .orderBy(F.desc("margin"), "word").limit(NEGATIVES // 8).select("word").toPandas()["word"].tolist()
+        )
+        met = set(clean)
+        fresh = [w for w in hard if w not in met]
         if not fresh:
             break
         clean += fresh
+        landmarks += fresh[: LANDMARKS // 4]
     return _calibrated(model, sample)
 
 
 def _rank_words(model: Model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = _Letters()
+        letters, table = _Letters(), model.table()
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(model.margins(words, letters))], ["word", "margin"])
+            margins = model.margins(batch.column("word").to_pylist(), letters, table)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(margins)], ["word", "margin"])
 
     return run
 
@@ -309,7 +341,7 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
     """Fit slope and offset of the score to the highest margins of the sample's documents."""
     margins = (
         sample.select(F.col("toxic").alias("row"), "text")
-        .mapInArrow(_score(Model(model.weights, model.offset, 1.0, 0.0)), "row int, score double")
+        .mapInArrow(_score(Model(model.codes, model.weights, model.offset)), "row int, score double")
         .groupBy("row", F.round("score", 4).alias("score"))
         .count()
         .toPandas()
@@ -326,7 +358,7 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
     best = np.flatnonzero(errors <= errors.min() + 1e-12)
     k = best[np.argmax(gaps[best])]
     cut = (edges[k] + edges[k + 1]) / 2
-    return Model(model.weights, model.offset, 6.0, -6.0 * cut)
+    return Model(model.codes, model.weights, model.offset, 6.0, -6.0 * cut)
 
 
 def with_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:

@@ -11,14 +11,14 @@ INSULTS = ["idiot", "moron", "worthless", "pathetic"]
 
 
 def _kernel(a, b):
-    """The subsequence kernel by enumeration, scaled to unit length by position."""
+    """The subsequence kernel by enumeration; each occurrence counts in the length to which it is scaled."""
 
     def parts(word):
-        codes = [tx._letter(c) for c in word]
-        for at in itertools.combinations(range(len(word)), 3):
-            span = at[2] - at[0]
-            if span <= tx.REACH and all(codes[i] for i in at):
-                yield tuple(codes[i] for i in at), tx.DECAY ** (span + 1)
+        codes = [c for c in map(tx._letter, word) if c]
+        for size in (3, 4):
+            for at in itertools.combinations(range(len(codes)), size):
+                if at[-1] - at[0] <= tx.REACH:
+                    yield tuple(codes[i] for i in at), tx.DECAY ** (at[-1] - at[0] + 1)
 
     x, y = list(parts(a)), list(parts(b))
     norm = np.sqrt(sum(w * w for _, w in x) * sum(w * w for _, w in y))
@@ -30,7 +30,7 @@ def test_kernel_against_enumeration():
     got = tx._features(words, ["idiot", "moron", "banana"])
     want = [[_kernel(w, v) for v in ("idiot", "moron", "banana")] for w in words]
     assert np.allclose(got, want)
-    assert got[1, 0] > 0.6 and got[7, 0] > 0.6 and got[4].tolist() == [0, 0, 0]
+    assert got[1, 0] == got[7, 0] == got[0, 0] and got[2, 0] > 0.6 and got[4].tolist() == [0, 0, 0]
 
 
 def _corpus():
