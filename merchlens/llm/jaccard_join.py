@@ -6,13 +6,14 @@
    buckets of several classes go on.
 3. Each class is compared with the class it shares most signatures with, which
    already joins most groups. Components are made of the links found.
-4. Buckets that still hold several components are compared in blocks, each
-   class with all of the other components. So every pair of classes that share
-   a signature is either compared or already in one component, and large groups
-   of near copies need no pair of every two members.
-
-A pair is compared by cell counts first, which only rules out pairs that cannot
-be similar, and then by its whole sets.
+4. Buckets that still hold several components are compared, large ones in
+   blocks, each class with all of the other components. So every pair of classes
+   that share a signature is either compared or already in one component, and
+   large groups of near copies need no pair of every two members. Buckets with
+   the same first class are compared together, each pair once.
+
+A pair is compared by bitmaps first, which only rule out pairs that cannot be
+similar, and then by its whole sets.
 """
 
 from __future__ import annotations
@@ -140,36 +141,56 @@ def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, n
     )
 
 
-def _compare_blocks(num: int, den: int) -> Callable:
+def _pairs_to_compare(frame: pd.DataFrame, of_row: np.ndarray, classes: int, num: int, den: int) -> np.ndarray:
+    """Distinct pairs of classes, as one number each, that share a bucket but no component and have fitting sizes."""
+    order = np.argsort(frame["sig"].to_numpy(), kind="stable")
+    sig, comp, n, block = (frame[c].to_numpy()[order] for c in ("sig", "comp", "n", "block"))
+    owner, crossed = of_row[order], frame["low"].iloc[0] != frame["high"].iloc[0]
+    at, found, step = np.arange(len(order) - 1), [], 1
+    while len(at):
+        at = at[at < len(order) - step]
+        at = at[sig[at] == sig[at + step]]
+        i, j = at, at + step
+        may = (comp[i] != comp[j]) & (den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j]))
+        if crossed:
+            may &= block[i] != block[j]
+        a, b = owner[i[may]], owner[j[may]]
+        found.append(np.unique(np.minimum(a, b) * classes + np.maximum(a, b)))
+        step += 1
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def _compare(num: int, den: int) -> Callable:
     bands = Bands(num, den)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        keys, first, of_row = np.unique(frame["key"].to_numpy(), return_index=True, return_inverse=True)
+        pairs = _pairs_to_compare(frame, of_row, len(keys), num, den)
+        left, right = pairs // len(keys), pairs % len(keys)
+        profiles, sizes = frame["profile"].to_numpy()[first], frame["n"].to_numpy()[first]
+        widths = np.array([len(p) for p in profiles])
         out = []
-        for _, bucket in frame.groupby("sig", sort=False):
-            keys, comps, sizes = (bucket[c].to_numpy() for c in ("key", "comp", "n"))
-            blocks, crossed = bucket["block"].to_numpy(), bucket["low"].iloc[0] != bucket["high"].iloc[0]
-            profiles = [np.frombuffer(p, np.uint8).astype(np.int64) for p in bucket["profile"]]
-            cells = min(map(len, profiles))
-            table = np.stack([folded(p, cells) for p in profiles]).astype(np.int32)
-            for i in range(len(keys) - 1):
-                rest = slice(i + 1, None)
-                may = (comps[rest] != comps[i]) & (
-                    np.abs(table[rest] - table[i]).sum(axis=1)
-                    <= (den - num) * (sizes[rest] + sizes[i]) // (den + num)
-                )
-                if crossed:
-                    may &= blocks[rest] != blocks[i]
-                for j in np.flatnonzero(may) + i + 1:
-                    if may_resemble(bucket["profile"].iloc[i], int(sizes[i]), bucket["profile"].iloc[j], int(sizes[j]), bands):
-                        out.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64").drop_duplicates()
+        narrow = np.minimum(widths[left], widths[right])
+        for width in np.unique(narrow):
+            a, b = left[narrow == width], right[narrow == width]
+            used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+            table = np.frombuffer(b"".join(folded(profiles[k], int(width)) for k in used), np.uint64).reshape(len(used), -1)
+            a_row, b_row = place[: len(a)], place[len(a) :]
+            for k in range(0, len(a), 20_000):
+                part = slice(k, k + 20_000)
+                apart = np.bitwise_count(table[a_row[part]] ^ table[b_row[part]]).sum(axis=1, dtype=np.int64)
+                total = sizes[a[part]] + sizes[b[part]]
+                near = apart <= (bands.den - bands.num) * total // (bands.den + bands.num)
+                out.append(np.stack([keys[a[part][near]], keys[b[part][near]]], axis=1))
+        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return pd.DataFrame(found, columns=["a", "b"])
 
     return run
 
 
 def _open_pairs(shared: DataFrame, comps: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of classes of different components that share a signature and may be similar."""
-    members = shared.select("sig", "key").union(shared.select("sig", F.col("hub").alias("key")).distinct())
+    members = shared.select("sig", "hub", "key").union(shared.select("sig", "hub", F.col("hub").alias("key")).distinct())
     placed = members.join(comps.toDF("key", "comp"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     sizes = (
         placed.groupBy("sig")
@@ -177,21 +198,23 @@ def _open_pairs(shared: DataFrame, comps: DataFrame, classes: DataFrame, num: in
         .filter("first < last")
         .select("sig", "size")
     )
-    todo = stage(placed.join(sizes, "sig").join(classes.select("key", "n", "profile"), "key"), "open")
+    todo = stage(placed.join(sizes, "sig"), "open")
     calls = todo.count() // _ROWS_A_CALL + 1
-    cut = F.ceil(F.col("size") / _BLOCK).cast("int")
     paired = (
-        todo.withColumn("blocks", cut)
+        todo.withColumn("blocks", F.ceil(F.col("size") / _BLOCK).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("key", "sig"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        # Small buckets share a call; a pair of blocks of a large one has its own.
-        .withColumn("call", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("sig"), F.lit(calls))).otherwise(F.col("sig")))
+        # A class is the first of no more buckets than it has signatures, so these calls are
+        # bounded; a pair of blocks of a large bucket has a call of its own.
+        .withColumn("call", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("hub"), F.lit(calls))).otherwise(F.col("sig")))
+        .select("sig", "key", "comp", "blocks", "block", "low", "high", "call")
     )
     return (
-        paired.groupBy("call", "blocks", "low", "high")
-        .applyInPandas(_compare_blocks(num, den), "a long, b long")
+        paired.join(classes.select("key", "n", "profile"), "key")
+        .groupBy("call", "blocks", "low", "high")
+        .applyInPandas(_compare(num, den), "a long, b long")
         .distinct()
     )
 

@@ -104,28 +104,30 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
     return mix(np.concatenate(out)).astype(np.int64)
 
 
-# A profile has between this many set elements per cell and half as many.
-_PER_CELL = 8
-
-
 def profile(s: np.ndarray) -> bytes:
-    """How many hashes of a set fall into each of 2**b cells of the hash range, one byte each."""
-    b = max(3, (len(s) // (_PER_CELL // 2)).bit_length() - 1)
-    counts = np.bincount((s >> _U(64 - b)).astype(np.int64), minlength=1 << b)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    """A bitmap of the cells that a set's hashes fall into: two to four cells for each, by their lowest bits."""
+    cells = max(64, 2 << max(2 * len(s) - 1, 1).bit_length())
+    bits = np.zeros(cells, np.uint8)
+    bits[(s & _U(cells - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
-def folded(counts: np.ndarray, cells: int) -> np.ndarray:
-    return counts if len(counts) == cells else counts.reshape(cells, -1).sum(axis=1, dtype=np.int64)
+def folded(bits: bytes, size: int) -> bytes:
+    """A bitmap brought to fewer cells (``size`` bytes), as if made with so many."""
+    while len(bits) > size:
+        half = len(bits) // 2
+        bits = (int.from_bytes(bits[:half], "little") | int.from_bytes(bits[half:], "little")).to_bytes(half, "little")
+    return bits
 
 
 def may_resemble(p: bytes, n: int, q: bytes, m: int, bands: Bands) -> bool:
     """False only if two sets with these profiles and sizes cannot be similar enough.
 
-    The cell counts of two sets differ by no more than the sets do.
+    A cell that one bitmap has and the other has not holds an element that one
+    set has and the other has not.
     """
     if n == 0 or m == 0:
         return False
-    a, b = np.frombuffer(p, np.uint8).astype(np.int64), np.frombuffer(q, np.uint8).astype(np.int64)
-    cells = min(len(a), len(b))
-    return int(np.abs(folded(a, cells) - folded(b, cells)).sum()) <= bands.differ(n + m)
+    size = min(len(p), len(q))
+    apart = int.from_bytes(folded(p, size), "little") ^ int.from_bytes(folded(q, size), "little")
+    return apart.bit_count() <= bands.differ(n + m)

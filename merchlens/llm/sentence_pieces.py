@@ -30,6 +30,7 @@ THETA = 2e-4
 _SPACE = 0x2581  # how a space is written in pieces
 _RAW = 0x110000  # added to a text's own U+2581, which no piece may match
 _U = np.uint64
+_DECODE_ROWS = 200
 
 
 class Vocabulary:
@@ -76,10 +77,28 @@ class Vocabulary:
         self.ids = np.array([prefixes[h][0] for h in order], np.int64)
         self.scores = np.array([prefixes[h][1] for h in order])
 
+        self.sizes = np.fromiter(map(len, self.as_bytes), np.int64, size)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.as_bytes), np.uint8)
+
     def decode(self, ids: list[int]) -> str:
         """The text of a segmentation; the space put before every text goes again."""
         return b"".join(map(self.as_bytes.__getitem__, ids)).decode()[1:]
 
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[bytes]:
+        """The texts, as UTF-8, of segmentations that stand one after the other."""
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        # In runs, so that the working memory is bounded.
+        for a in range(0, len(counts), _DECODE_ROWS):
+            b = min(a + _DECODE_ROWS, len(counts))
+            own = ids[bounds[a] : bounds[b]]
+            sizes = self.sizes[own]
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            at = np.arange(ends[-1]) + np.repeat(self.starts[own] - ends[:-1], sizes)
+            text = self.flat[at].tobytes()
+            cuts = ends[bounds[a : b + 1] - bounds[a]].tolist()
+            yield from (text[x + 1 : y] for x, y in zip(cuts, cuts[1:], strict=False))
+
 
 class Lattices(Units):
     """Filtered lattices of units.
@@ -284,8 +303,8 @@ def _coder(path: str, theta: float) -> Callable:
         vocabulary: Vocabulary = kept(f"pieces:{path}", lambda: Vocabulary(path))
         for batch in _encoder(path, theta)(batches):
             ids = batch.column("ids")
-            texts = [vocabulary.decode(i) for i in ids.to_pylist()]
-            digests = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+            flat, bounds = ids.values.to_numpy(), ids.offsets.to_numpy()
+            digests = [hashlib.sha256(t).hexdigest() for t in vocabulary.decode_all(flat, np.diff(bounds))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], ["row", "ids", "decoded_sha256"])
 
     return run

@@ -43,6 +43,7 @@ CANDIDATES = 4_000
 NEGATIVES = 6_000
 ROUNDS = 4
 _CACHE = 400_000
+_CHUNK = 200  # windows whose kernel rows are made at once
 
 # Characters read as letters.
 _READ_AS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -119,8 +120,8 @@ def _features(words: list[str], landmarks: list[str]) -> np.ndarray:
     table = np.zeros((len(used) + 1, len(landmarks)))
     np.add.at(table, (row, owner), weight)
     out = np.zeros((len(words), len(landmarks)))
-    for a in range(0, len(words), 2000):
-        owner, code, weight = subsequences(words[a : a + 2000], letters)
+    for a in range(0, len(words), _CHUNK):
+        owner, code, weight = subsequences(words[a : a + _CHUNK], letters)
         row = np.minimum(np.searchsorted(used, code), len(used) - 1) if len(used) else np.zeros(len(code), np.int64)
         shared = used[row] == code if len(used) else np.zeros(len(code), bool)
         owner, row, weight = owner[shared], row[shared], weight[shared]
@@ -298,7 +299,7 @@ def train(
     )
     positives = telling["word"].tolist()
     importance = np.log1p(telling["n_toxic"].to_numpy(float))
-    landmarks = _choose_landmarks(positives[:1500], LANDMARKS // 2)
+    landmarks = _choose_landmarks(positives[: 2 * LANDMARKS], LANDMARKS // 2)
     landmarks += _choose_landmarks(clean[: 2 * LANDMARKS], LANDMARKS - len(landmarks))
     model = empty
     for _ in range(ROUNDS):
