@@ -103,22 +103,21 @@ class Vocabulary:
 class Lattices(Units):
     """Filtered lattices of units.
 
-    Nodes are positions in units, numbered through. ``cuts`` holds, for every
-    edge, its end node plus the probability that this edge or one before it at
-    this node is taken on the way back.
+    Nodes are positions in units, numbered through; ``head`` is the first of the
+    edges that end at a node. ``cuts`` holds, for every edge, the probability
+    that it or one before it at its node is taken on the way back.
     """
 
-    def __init__(self, vocabulary: Vocabulary, theta: float, limit: int = 150_000):
+    def __init__(self, vocabulary: Vocabulary, theta: float, limit: int = 250_000):
         self.vocabulary, self.theta = vocabulary, theta
         super().__init__(limit)
 
     def forget(self) -> None:
         super().forget()
-        self.nodes = 0
-        self.first = self.last = np.zeros(0, np.int64)
+        self.first = self.last = self.head = np.zeros(0, np.int32)
         self.cuts = np.zeros(0)
-        self.origin = np.zeros(0, np.int64)
-        self.token = np.zeros(0, np.int64)  # a piece's id, or -1 - code point for one spelled in bytes
+        self.origin = np.zeros(0, np.int32)
+        self.token = np.zeros(0, np.int32)  # a piece's id, or -1 - code point for one spelled in bytes
 
     def learn(self, strings: list[str]) -> None:
         # The text's first unit gets the space that every text begins with.
@@ -151,14 +150,14 @@ class Lattices(Units):
             chance[a:b] = np.minimum((summed - before) / np.repeat(total, runs), 1.0)
             chance[a + np.append(heads[1:], b - a) - 1] = 1.0
         order = np.argsort(target, kind="stable")
-        base = self.nodes
-        self.cuts = np.concatenate([self.cuts, base + target[order] + chance[order]])
-        self.origin = np.concatenate([self.origin, base + source[order]])
-        self.token = np.concatenate([self.token, token[order]])
+        base, edges = len(self.head), len(self.cuts)
+        heads = edges + np.searchsorted(target[order], np.arange(len(alpha)))
         last = ends + np.arange(len(sizes))
-        self.first = np.concatenate([self.first, base + last - sizes])
-        self.last = np.concatenate([self.last, base + last])
-        self.nodes += len(alpha)
+        grown = {"head": heads, "cuts": chance[order], "origin": base + source[order], "token": token[order],
+                 "first": base + last - sizes, "last": base + last}
+        for name, values in grown.items():
+            have = getattr(self, name)
+            setattr(self, name, np.concatenate([have, values.astype(have.dtype)]))
 
     def _follows(self, i: int) -> bool:
         return not self._begins[i]
@@ -211,7 +210,11 @@ class Lattices(Units):
         while len(live):
             with np.errstate(over="ignore"):
                 drawn = (mix(seed[live] + _U(step) * _STEP) >> _U(12)).astype(np.float64) * 2.0**-52
-            edge = np.searchsorted(self.cuts, node[live] + drawn, side="right")
+            edge = self.head[node[live]].astype(np.int64)
+            on = np.flatnonzero(self.cuts[edge] <= drawn)
+            while len(on):
+                edge[on] += 1
+                on = on[self.cuts[edge[on]] <= drawn[on]]
             steps.append((live, self.token[edge]))
             sizes[live] += 1
             node[live] = self.origin[edge]
