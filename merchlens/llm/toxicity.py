@@ -42,7 +42,8 @@ SAMPLE_DOCS = 4_000
 CANDIDATES = 4_000
 NEGATIVES = 6_000
 ROUNDS = 4
-_CACHE = 400_000
+_CACHE = 300_000
+_WINDOWS_AT_ONCE = 2_000  # windows whose subsequences are made at once
 _CHUNK = 200  # windows whose kernel rows are made at once
 
 # Characters read as letters.
@@ -153,9 +154,11 @@ class Model:
         # By length, so that short windows are not padded to long ones.
         sizes = np.array([len(w) for w in words])
         for low, high in ((0, 8), (8, 12), (12, 16), (16, WINDOW)):
-            at = np.flatnonzero((sizes > low) & (sizes <= high))
-            owner, code, weight = subsequences([words[i] for i in at], letters)
-            out[at] = np.bincount(owner, weights=weight * table[code], minlength=len(at)) if len(owner) else 0.0
+            group = np.flatnonzero((sizes > low) & (sizes <= high))
+            for a in range(0, len(group), _WINDOWS_AT_ONCE):
+                at = group[a : a + _WINDOWS_AT_ONCE]
+                owner, code, weight = subsequences([words[i] for i in at], letters)
+                out[at] = np.bincount(owner, weights=weight * table[code], minlength=len(at))
         return out + self.offset
 
     def probability(self, margin: np.ndarray) -> np.ndarray:

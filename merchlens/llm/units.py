@@ -94,7 +94,7 @@ class Units:
 class UnitTable(Units):
     """Ids of units by number, from ``encode``, which takes strings and returns an id list for each."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1_000_000):
         self.encode = encode
         super().__init__(limit)
 
