@@ -27,7 +27,7 @@ SHARD_IDS = 2_000_000
 END_ID = 0
 _SHARD_SCHEMA = "part int, shard int, before long, n_ids long, first long, doc_ids array<long>, payload binary"
 # Texts of a task are taken in batches of about this many characters.
-_BATCH_CHARS = 4_000_000
+_BATCH_CHARS = 1_500_000
 
 
 def byte_bpe_units(path: str) -> UnitTable:
