@@ -25,6 +25,8 @@ class Params:
     mix_categories: tuple[str, str, str] = ("Accessories", "Footwear", "Womenswear")
     driver_reason: str = "Wrong Size"
     high_return_category: str = "Footwear"
+    # Only orders of this status count; None counts every order.
+    order_status: str | None = None
     # Order frequency from which a mature cohort counts, in months.
     repeat_days: int = 90
 
@@ -34,10 +36,10 @@ class Params:
 
 
 # Fits the order tables the registered queries run on: lifetime values there lie
-# around half a million and gaps between orders around a year.
+# around two million and gaps between orders around seven months.
 RETAIL_PARAMS = Params(
-    value_cuts=(250_000, 500_000, 1_000_000),
-    cadence_cuts=(180, 540),
+    value_cuts=(1_000_000, 2_000_000, 3_000_000),
+    cadence_cuts=(180, 280),
     low_base_customers=55,
     variance_years=(1999, 2000),
     growth_years=(1995, 1996, 1997),

@@ -1,7 +1,8 @@
 """A star derived from order, line, customer, part, nation and region tables.
 
-Only completed orders count. Their lines give the line fact, lines flagged as
-returned give the returns fact, and the order header is the sum of its lines.
+Every order that has lines counts, unless a status is asked for. Lines give the
+line fact, lines flagged as returned give the returns fact, and the order header
+is the sum of its lines.
 Channel keys are computed from channel names, so no join is needed to place an
 order or a customer in a channel.
 """
@@ -40,9 +41,10 @@ def _name_key(name: str) -> Column:
 
 
 class RetailStar(Star):
-    def __init__(self, spark: SparkSession, root: str, completed: str = "F"):
+    def __init__(self, spark: SparkSession, root: str, status: str | None = None):
+        """``status`` restricts the star to orders of that status; None takes all."""
         super().__init__(spark)
-        self.root, self.completed = root.rstrip("/"), completed
+        self.root, self.status = root.rstrip("/"), status
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -56,7 +58,7 @@ class RetailStar(Star):
     @cached_property
     def _bounds(self) -> tuple[dt.date, dt.date, dt.date]:
         day = F.to_date("o_orderdate")
-        done = F.when(F.col("o_orderstatus") == self.completed, day)
+        done = day if self.status is None else F.when(F.col("o_orderstatus") == self.status, day)
         return tuple(self.raw("orders").agg(F.min(day), F.min(done), F.last_day(F.max(done))).first())
 
     @property
@@ -160,18 +162,17 @@ class RetailStar(Star):
 
     # -- facts -----------------------------------------------------------------
 
-    def _completed(self, *cols: str) -> DataFrame:
+    def _counted(self, *cols: str) -> DataFrame:
         derived = {
             "order_key": F.col("o_orderkey"),
             "customer_key": F.col("o_custkey"),
             "order_date": F.to_date("o_orderdate"),
             "sales_channel_key": _name_key("o_orderpriority"),
         }
-        return (
-            self.raw("orders")
-            .filter(F.col("o_orderstatus") == self.completed)
-            .select(*[derived[x].alias(x) for x in ("order_key", *cols)])
-        )
+        orders = self.raw("orders")
+        if self.status is not None:
+            orders = orders.filter(F.col("o_orderstatus") == self.status)
+        return orders.select(*[derived[x].alias(x) for x in ("order_key", *cols)])
 
     @cached_property
     def _priced(self) -> DataFrame:
@@ -196,7 +197,7 @@ class RetailStar(Star):
         if "unit_cost_c" in cols and "product_key" not in own:
             own.append("product_key")
         how = "inner" if from_order else "left_semi"
-        df = self._priced.select(*own).join(self._completed(*from_order), "order_key", how)
+        df = self._priced.select(*own).join(self._counted(*from_order), "order_key", how)
         if "unit_cost_c" in cols:
             df = df.join(self.products("product_key", "unit_cost_c"), "product_key")
         return df.select(*cols)
@@ -225,7 +226,7 @@ class RetailStar(Star):
         return (
             self._priced
             .filter(F.col("l_returnflag") == "R")
-            .join(self._completed("order_date", *from_order), "order_key")
+            .join(self._counted("order_date", *from_order), "order_key")
             .filter(self._return_date() <= F.lit(self.horizon))
             .select(*[derived[c].alias(c) if c in derived else F.col(c) for c in cols])
         )
@@ -246,7 +247,7 @@ class RetailStar(Star):
             attrs.append("customer_key")
         if ("campaign_key" in cols or first) and "order_date" not in attrs:
             attrs.append("order_date")
-        df = self._completed(*attrs).join(sums, "order_key")
+        df = self._counted(*attrs).join(sums, "order_key")
         if first:
             # Before the customer join, so that finding a customer's first order
             # is a map-side aggregate and not a pass over a customer's partition.
@@ -294,7 +295,7 @@ class RetailStar(Star):
         sums = self._priced.groupBy("order_key").agg(
             F.count("*").alias("lines"), *[F.sum(c).alias(c) for c in ("gross_c", "discount_c", "net_c")]
         )
-        return sums.join(self._completed(), "order_key", "left_semi")
+        return sums.join(self._counted(), "order_key", "left_semi")
 
     def product_totals(self, *attributes: str) -> DataFrame:
         """Cost is a product attribute here, so lines shrink before the part join."""
@@ -325,7 +326,7 @@ class RetailStar(Star):
         )
         seen = self._return_date() <= F.lit(self.horizon)
         return (
-            self._completed("customer_key", "order_date", "sales_channel_key")
+            self._counted("customer_key", "order_date", "sales_channel_key")
             .join(sums, "order_key")
             .withColumn("refund_c", F.when(seen, F.col("refund_c")).otherwise(0))
             .withColumn("units_returned", F.when(seen, F.col("units_returned")).otherwise(0))

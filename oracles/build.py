@@ -13,8 +13,8 @@ import re
 TABLES: dict[str, str] = {
     "span": """
         SELECT CAST(MIN(o_orderdate) AS DATE) AS first_any,
-               CAST(MIN(o_orderdate) FILTER (WHERE o_orderstatus = 'F') AS DATE) AS first_done,
-               CAST(last_day(MAX(o_orderdate) FILTER (WHERE o_orderstatus = 'F')) AS DATE) AS horizon
+               CAST(MIN(o_orderdate) AS DATE) AS first_done,
+               CAST(last_day(MAX(o_orderdate)) AS DATE) AS horizon
         FROM orders""",
     "cal0": """
         SELECT CAST(date_trunc('month', first_any) - INTERVAL 1 MONTH AS DATE) AS day0, horizon FROM span""",
@@ -27,7 +27,7 @@ TABLES: dict[str, str] = {
                     AS DECIMAL(12,2)) AS disc,
                CAST(p.p_retailprice AS DECIMAL(10,2)) AS cost, p.p_type AS cat, p.p_name AS pname
         FROM lineitem l, orders o, part p
-        WHERE o.o_orderkey = l.l_orderkey AND p.p_partkey = l.l_partkey AND o.o_orderstatus = 'F'""",
+        WHERE o.o_orderkey = l.l_orderkey AND p.p_partkey = l.l_partkey""",
     "sale": "SELECT *, CAST(gross - disc AS DECIMAL(12,2)) AS net FROM sale0",
     "hdr": """
         SELECT ord, any_value(cust) AS cust, any_value(day) AS day, any_value(chan) AS chan,
@@ -112,8 +112,8 @@ TABLES: dict[str, str] = {
         SELECT cust, date_diff('day', LAG(day) OVER (PARTITION BY cust ORDER BY day), day) AS gap FROM hdr""",
     "traits": """
         SELECT p.cust, p.orders, p.value, p.gross, p.disc, p.net, p.units, p.units_back,
-               CASE WHEN p.value >= 1000000 THEN '4 Elite' WHEN p.value >= 500000 THEN '3 High'
-                    WHEN p.value >= 250000 THEN '2 Moderate' ELSE '1 Low' END AS class,
+               CASE WHEN p.value >= 3000000 THEN '4 Elite' WHEN p.value >= 2000000 THEN '3 High'
+                    WHEN p.value >= 1000000 THEN '2 Moderate' ELSE '1 Low' END AS class,
                b.cats, b.chans, g.cadence
         FROM purse p
         LEFT JOIN (SELECT cust, COUNT(DISTINCT cat) AS cats, COUNT(DISTINCT chan) AS chans FROM sale GROUP BY cust) b

@@ -481,7 +481,7 @@ SQL: dict[str, str] = {
         FROM traits WHERE orders = 4 OR orders = 6 GROUP BY orders, chans""",
     "cadence_controlled": """
         SELECT orders AS order_frequency_stratum,
-               CASE WHEN cadence >= 540 THEN '3 Slow' WHEN cadence >= 180 THEN '2 Moderate' ELSE '1 Fast' END
+               CASE WHEN cadence >= 280 THEN '3 Slow' WHEN cadence >= 180 THEN '2 Moderate' ELSE '1 Fast' END
                    AS cadence_band, COUNT(*) AS customers, {quant(value, 0.5, 2)} AS median_historical_clv,
                CASE WHEN COUNT(*) >= 30 THEN 'RELIABLE' ELSE 'LOW_BASE' END AS cell_reliability
         FROM traits WHERE (orders = 4 OR orders = 6) AND cadence IS NOT NULL GROUP BY 1, 2""",

@@ -64,7 +64,7 @@ def hot_dir(tmp_path_factory, sf_dir):
         if t == "orders":
             query = f"SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 1 THEN 17 ELSE o_custkey END AS o_custkey) FROM {src}"
         if t == "lineitem":
-            hot = f"(SELECT MIN(o_orderkey) FROM '{sf_dir}/orders.parquet' WHERE o_orderstatus = 'F')"
+            hot = f"(SELECT MIN(o_orderkey) FROM '{sf_dir}/orders.parquet')"
             query = (
                 "SELECT * EXCLUDE (rn) REPLACE (CASE WHEN rn % 3 = 1 THEN " + hot + " ELSE l_orderkey END AS l_orderkey,"
                 " CASE WHEN rn % 3 = 2 THEN 7 ELSE l_partkey END AS l_partkey,"
