@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.functions.bands import cadence_band, frequency_score, value_class
-from merchlens.operators.ranking import with_rank, with_tile
+from merchlens.operators.ranking import with_rank, with_tile, with_tile_of_few
 from merchlens.session import stage
 
 if TYPE_CHECKING:
@@ -103,33 +103,40 @@ def segment_of(r: Column, f: Column) -> Column:
     return out
 
 
-def rfm_scores(star: Star) -> DataFrame:
-    """Recency, frequency and monetary scores of every buyer at the horizon."""
-    base = star.final_buyers().select(
-        "customer_key",
-        "recency_days",
-        F.col("cumulative_orders_to_date").alias("frequency"),
-        F.col("cumulative_net_c").alias("monetary_c"),
+def rfm_scores(star: Star, money: bool = True) -> DataFrame:
+    """Recency, frequency and monetary scores of every buyer at the horizon.
+
+    The monetary score takes an order of all buyers and is left out without ``money``.
+    """
+    # Stored, as the recency score reads the buyers more than once.
+    base = stage(
+        star.final_buyers().select(
+            "customer_key",
+            "recency_days",
+            F.col("cumulative_orders_to_date").alias("frequency"),
+            F.col("cumulative_net_c").alias("monetary_c"),
+        ),
+        "buyers",
     )
-    recency = with_tile(base, 5, F.col("recency_days"), F.col("customer_key"), tile="_r")
-    both = with_tile(recency, 5, F.col("monetary_c"), F.col("customer_key"), tile="m_score")
-    return both.select(
+    scored = with_tile_of_few(base, 5, "recency_days", F.col("customer_key"), tile="_r")
+    if money:
+        scored = with_tile(scored, 5, F.col("monetary_c"), F.col("customer_key"), tile="m_score")
+    return scored.select(
         "customer_key",
         "recency_days",
         "frequency",
         "monetary_c",
         (6 - F.col("_r")).alias("r_score"),
         frequency_score(F.col("frequency")).cast("bigint").alias("f_score"),
-        "m_score",
+        *(["m_score"] if money else []),
     )
 
 
-def rfm_segments(star: Star) -> DataFrame:
-    scores = rfm_scores(star)
-    return scores.select(
-        "*",
-        F.concat(F.lit("R"), "r_score", F.lit("F"), "f_score", F.lit("M"), "m_score").alias("rfm_code"),
-        segment_of(F.col("r_score"), F.col("f_score")).alias("segment"),
+def rfm_segments(star: Star, money: bool = True) -> DataFrame:
+    """Scores with the segment, which hangs on recency and frequency only; the code needs ``money``."""
+    code = F.concat(F.lit("R"), "r_score", F.lit("F"), "f_score", F.lit("M"), "m_score").alias("rfm_code")
+    return rfm_scores(star, money).select(
+        "*", *([code] if money else []), segment_of(F.col("r_score"), F.col("f_score")).alias("segment")
     )
 
 
@@ -175,10 +182,13 @@ def framework_of(segment: Column) -> Column:
     return out.otherwise(FRAMEWORK_OTHER)
 
 
-def customer_portfolio(star: Star, params: Params) -> DataFrame:
-    """Every customer with value, class, segment, features and value rank."""
+def customer_portfolio(star: Star, params: Params, ranked: bool = True) -> DataFrame:
+    """Every customer with value, class, segment and features; ``ranked`` adds the
+    value rank and the code, each an order of all customers."""
     hold_buyer_totals(star, breadth=True)
-    segments = rfm_segments(star).select("customer_key", F.col("segment").alias("rfm_segment"), "rfm_code")
+    segments = rfm_segments(star, money=ranked).select(
+        "customer_key", F.col("segment").alias("rfm_segment"), *(["rfm_code"] if ranked else [])
+    )
     features = behavioral_features(star, params).select(
         "customer_key",
         "historical_value_class",
@@ -192,13 +202,18 @@ def customer_portfolio(star: Star, params: Params) -> DataFrame:
         .join(features, "customer_key", "left")
         .withColumn("executive_framework", framework_of(F.col("rfm_segment")))
     )
+    if not ranked:
+        return rows
     return with_rank(
         rows, F.desc("clv_c"), F.col("customer_key"), rank="portfolio_value_rank", total="base_size"
     )
 
 
-def held_portfolio(star: Star, params: Params) -> DataFrame:
-    """The portfolio for a job that reads it more than once; ranking stored it."""
-    if "portfolio" not in star.held:
-        star.held["portfolio"] = customer_portfolio(star, params)
-    return star.held["portfolio"]
+def held_portfolio(star: Star, params: Params, ranked: bool = False) -> DataFrame:
+    """The portfolio, stored for a job that reads it more than once."""
+    held = star.held.get("portfolio")
+    if held is None or (ranked and "portfolio_value_rank" not in held.columns):
+        rows = customer_portfolio(star, params, ranked)
+        # Ranking stores its rows already.
+        star.held["portfolio"] = held = rows if ranked else stage(rows, "portfolio")
+    return held

@@ -59,6 +59,31 @@ def with_tile(df: DataFrame, k: int, *order: Column, tile: str) -> DataFrame:
     return ranked.withColumn(tile, tile_of(F.col("_rank"), F.col("_n"), k)).drop("_rank", "_n")
 
 
+def with_tile_of_few(df: DataFrame, k: int, value: str, *ties: Column, tile: str) -> DataFrame:
+    """Like ``with_tile`` in the order of ``value``, which has few distinct values (days).
+
+    Counts per value tell the tile of every row of most values; only the rows of
+    the at most k - 1 values on which a tile ends are put in order by ``ties``.
+    ``df`` is read twice.
+    """
+    counts = df.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_value_rows"))
+    # One row per distinct value, so these windows and the broadcast are bounded.
+    before = F.sum("_value_rows").over(Window.orderBy(F.col("_v").asc_nulls_first())) - F.col("_value_rows")
+    marks = counts.select("_v", "_value_rows", before.alias("_value_start"), F.sum("_value_rows").over(Window.partitionBy()).alias("_value_n"))
+    marks = marks.select(
+        "_v",
+        "_value_start",
+        "_value_n",
+        tile_of(F.col("_value_start") + 1, F.col("_value_n"), k).alias("_low"),
+        tile_of(F.col("_value_start") + F.col("_value_rows"), F.col("_value_n"), k).alias("_high"),
+    )
+    placed = df.join(F.broadcast(marks), F.col(value).eqNullSafe(F.col("_v")))
+    whole = placed.filter("_low = _high").select(*df.columns, F.col("_low").alias(tile))
+    cut = with_group_rank(placed.filter("_low < _high"), ["_v"], *ties, rank="_in_value", total="_value_size")
+    rank = F.col("_value_start") + F.col("_in_value")
+    return whole.unionByName(cut.select(*df.columns, tile_of(rank, F.col("_value_n"), k).alias(tile)))
+
+
 def with_group_rank(df: DataFrame, groups: Sequence[str], *order: Column, rank: str = "rank", total: str = "n") -> DataFrame:
     """Like ``with_rank`` inside each group, for a large group as well as a small one.
 

@@ -145,7 +145,7 @@ def non_explanatory_variables(star: Star, params: Params) -> DataFrame:
 
 def behavior_by_rfm_segment(star: Star, params: Params) -> DataFrame:
     cust.hold_buyer_totals(star, breadth=True)
-    segments = cust.rfm_segments(star).select("customer_key", "segment")
+    segments = cust.rfm_segments(star, money=False).select("customer_key", "segment")
     rows = stage(cust.behavioral_features(star, params).join(segments, "customer_key"), "segment-features")
     q = grouped_quantiles(
         rows, ["segment"], {"cadence": F.col("purchase_cadence_days")}, {"c50": ("cadence", 0.5)}, "customer_key"

@@ -89,7 +89,7 @@ def clv_by_rfm_segment(star: Star, params: Params) -> DataFrame:
     cust.hold_buyer_totals(star)
     values = cust.buyer_totals(star).select("customer_key", (F.col("net_c") - F.col("refund_c")).alias("clv_c"))
     rows = stage(
-        cust.rfm_segments(star).select("customer_key", "segment").join(values, "customer_key"), "segment-clv"
+        cust.rfm_segments(star, money=False).select("customer_key", "segment").join(values, "customer_key"), "segment-clv"
     )
     q = grouped_quantiles(
         rows, ["segment"], {"clv": F.col("clv_c") / 100}, {"median": ("clv", 0.5)}, "customer_key"

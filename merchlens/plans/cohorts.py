@@ -142,7 +142,7 @@ def cohort_customer_value(star: Star, params: Params) -> DataFrame:
 def cohort_rfm_mix(star: Star, params: Params) -> DataFrame:
     """Mix of four segments per class; the percentage is of those four only."""
     rows = (
-        cust.rfm_segments(star)
+        cust.rfm_segments(star, money=False)
         .filter(F.col("segment").isin(*MIX_SEGMENTS))
         .select("customer_key", "segment")
         .join(star.customers("customer_key", "signup_date"), "customer_key")

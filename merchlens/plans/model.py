@@ -140,11 +140,9 @@ def read_returns_csv(star: Star, params: Params) -> DataFrame:
     )
 
 
+# The calendar and campaign tables above read no table but the span of order dates, so they are
+# functions for a star, and no queries of their own.
 JOBS = {
-    "calendar_dimension": calendar_dimension,
-    "holiday_calendar": holiday_calendar,
-    "campaign_windows": campaign_windows,
-    "campaign_day_map": campaign_day_map,
     "campaign_attribution": campaign_attribution,
     "order_header_rollup": order_header_rollup,
     "discount_allocation": discount_allocation,

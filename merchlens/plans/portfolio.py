@@ -34,7 +34,7 @@ def customer_portfolio(star: Star, params: Params) -> DataFrame:
 
 def portfolio_composition(star: Star, params: Params) -> DataFrame:
     scored, profiled = F.col("rfm_segment").isNotNull(), F.col("category_breadth").isNotNull()
-    return cust.customer_portfolio(star, params).agg(
+    return cust.customer_portfolio(star, params, ranked=False).agg(
         F.count("*").alias("total_customers"),
         F.count_if(scored).alias("rfm_scored"),
         F.count_if(profiled).alias("behavioral_population"),
@@ -46,12 +46,12 @@ def portfolio_composition(star: Star, params: Params) -> DataFrame:
 
 def classification_drift(star: Star, params: Params) -> DataFrame:
     """Portfolio rows whose segment or class differs from a fresh derivation."""
-    fresh_segment = cust.rfm_segments(star).select("customer_key", "segment")
+    fresh_segment = cust.rfm_segments(star, money=False).select("customer_key", "segment")
     fresh_class = cust.behavioral_features(star, params).select(
         "customer_key", F.col("historical_value_class").alias("fresh_class")
     )
     rows = (
-        cust.customer_portfolio(star, params)
+        cust.customer_portfolio(star, params, ranked=False)
         .select("customer_key", "rfm_segment", "historical_value_class")
         .join(fresh_segment, "customer_key", "left")
         .join(fresh_class, "customer_key", "left")
@@ -76,7 +76,7 @@ def method_convergence(star: Star, params: Params) -> DataFrame:
     Positive values rank first, so the top tenth of them are the ranks up to a
     tenth of their number.
     """
-    rows = cust.held_portfolio(star, params)
+    rows = cust.held_portfolio(star, params, ranked=True)
     positive = rows.agg(F.count_if(F.col("clv_c") > 0).alias("n")).scalar()
     top = (F.col("clv_c") > 0) & (F.col("portfolio_value_rank") * 10 <= positive)
     flagged = rows.select(_champion().alias("a"), _elite().alias("b"), top.alias("c"))

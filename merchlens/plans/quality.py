@@ -458,13 +458,14 @@ def dq_spot_row(star: Star, params: Params) -> DataFrame:
     return q.spot_rows(star.calendar(), "full_date", SPOT_DAYS)
 
 
+# Schema shapes come from footers and spot rows from the generated calendar; neither reads a
+# table's rows, so both are functions for a star and no queries of their own.
 OPERATORS = {
     f.__name__: f
     for f in (
         dq_fk_orphans, dq_pk_unique, dq_grain_unique, dq_not_null, dq_domain_values, dq_pattern, dq_row_rule,
         dq_cross_table_rule, dq_reconcile_groups, dq_reconcile_totals, dq_series_continuity, dq_monotonic,
-        dq_schema_shape, dq_row_count, dq_dense_key, dq_distribution, dq_key_coverage, dq_date_range,
+        dq_row_count, dq_dense_key, dq_distribution, dq_key_coverage, dq_date_range,
         dq_rederive_snapshot, dq_explained_negatives, dq_two_source_month, dq_narrative, dq_analytics_readiness,
-        dq_spot_row,
     )
 }

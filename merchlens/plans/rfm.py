@@ -48,7 +48,7 @@ def rfm_segments(star: Star, params: Params) -> DataFrame:
 
 def rfm_segment_summary(star: Star, params: Params) -> DataFrame:
     return (
-        cust.rfm_segments(star)
+        cust.rfm_segments(star, money=False)
         .groupBy("segment")
         .agg(
             F.count("*").alias("customers"),
@@ -74,7 +74,7 @@ def rfm_reconciliation(star: Star, params: Params) -> DataFrame:
     base = star.customers("customer_key").agg(F.count("*").alias("n")).scalar()
     sales = star.orders("net_c").agg(F.sum("net_c").alias("net_c")).scalar()
     refunds = star.returns("refund_c").agg(F.sum("refund_c").alias("refund_c")).scalar()
-    scored = cust.rfm_segments(star).agg(
+    scored = cust.rfm_segments(star, money=False).agg(
         F.sum("monetary_c").alias("value_c"),
         F.count("*").alias("scored"),
         F.count_if(F.col("segment").isNull()).alias("unclassified"),

@@ -350,7 +350,7 @@ def _cohorts(s: Star, p: Params) -> Iterable[Verdict]:
             "eng": lambda: cohorts.engagement_curve(s, p).filter("age_months = 0"),
             "rev": lambda: _sums(cohorts.cohort_revenue(s, p), "order_net_revenue", "orders"),
             "val": lambda: _sums(cohorts.cohort_customer_value(s, p), "net_revenue", "customers"),
-            "mix": lambda: cust.rfm_segments(s).join(s.customers("customer_key", "signup_date"), "customer_key").agg(
+            "mix": lambda: cust.rfm_segments(s, money=False).join(s.customers("customer_key", "signup_date"), "customer_key").agg(
                 F.count("*").alias("n")
             ),
         }
@@ -467,7 +467,7 @@ def _behaviour(s: Star, p: Params) -> Iterable[Verdict]:
 
 
 def _portfolio(s: Star, p: Params) -> Iterable[Verdict]:
-    folio = cust.held_portfolio(s, p)
+    folio = cust.held_portfolio(s, p, ranked=True)
     sets = portfolio.method_convergence(s, p).groupBy().pivot(
         "method_or_overlap",
         ["A RFM Champions", "B Elite value class", "C Top value decile", "A and B", "A and C", "B and C", "A and B and C"],
