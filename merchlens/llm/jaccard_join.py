@@ -7,10 +7,12 @@
 3. Each class is compared with the class it shares most signatures with, which
    already joins most groups. Components are made of the links found.
 4. Buckets that still hold several components are compared, large ones in
-   blocks, each class with all of the other components. So every pair of classes
-   that share a signature is either compared or already in one component, and
-   large groups of near copies need no pair of every two members. Buckets with
-   the same first class are compared together, each pair once.
+   blocks, each class with all of the other components; buckets with the same
+   first class together, each pair once. At first only the best partner of each
+   class goes on, which joins nearly all that belongs together; then all that is
+   still in different components. So every pair of classes that share a signature
+   is either compared or already in one component, and large groups of near
+   copies need no pair of every two members.
 
 A pair is compared by bitmaps first, which only rule out pairs that cannot be
 similar, and then by its whole sets.
@@ -160,7 +162,9 @@ def _pairs_to_compare(frame: pd.DataFrame, of_row: np.ndarray, classes: int, num
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def _compare(num: int, den: int) -> Callable:
+def _compare(num: int, den: int, best_only: bool) -> Callable:
+    """Pairs of a call that may be similar, with how far apart their bitmaps are;
+    with ``best_only`` just the nearest partner of each class."""
     bands = Bands(num, den)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -169,7 +173,7 @@ def _compare(num: int, den: int) -> Callable:
         left, right = pairs // len(keys), pairs % len(keys)
         profiles, sizes = frame["profile"].to_numpy()[first], frame["n"].to_numpy()[first]
         widths = np.array([len(p) for p in profiles])
-        out = []
+        out, distance = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
         narrow = np.minimum(widths[left], widths[right])
         for width in np.unique(narrow):
             a, b = left[narrow == width], right[narrow == width]
@@ -181,14 +185,23 @@ def _compare(num: int, den: int) -> Callable:
                 apart = np.bitwise_count(table[a_row[part]] ^ table[b_row[part]]).sum(axis=1, dtype=np.int64)
                 total = sizes[a[part]] + sizes[b[part]]
                 near = apart <= (bands.den - bands.num) * total // (bands.den + bands.num)
-                out.append(np.stack([keys[a[part][near]], keys[b[part][near]]], axis=1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(found, columns=["a", "b"])
+                out.append(np.stack([a[part][near], b[part][near]], axis=1))
+                distance.append(apart[near] / total[near])
+        found, far = np.concatenate(out), np.concatenate(distance)
+        if best_only:
+            order = np.argsort(far, kind="stable")
+            found, far = found[order], far[order]
+            chosen = np.concatenate([np.unique(found[:, side], return_index=True)[1] for side in (0, 1)])
+            chosen = np.unique(chosen)
+            found, far = found[chosen], far[chosen]
+        return pd.DataFrame({"a": keys[found[:, 0]], "b": keys[found[:, 1]], "apart": far})
 
     return run
 
 
-def _open_pairs(shared: DataFrame, comps: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+def _open_pairs(
+    shared: DataFrame, comps: DataFrame, classes: DataFrame, num: int, den: int, best_only: bool
+) -> DataFrame:
     """Pairs of classes of different components that share a signature and may be similar."""
     members = shared.select("sig", "hub", "key").union(shared.select("sig", "hub", F.col("hub").alias("key")).distinct())
     placed = members.join(comps.toDF("key", "comp"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
@@ -211,12 +224,18 @@ def _open_pairs(shared: DataFrame, comps: DataFrame, classes: DataFrame, num: in
         .withColumn("call", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("hub"), F.lit(calls))).otherwise(F.col("sig")))
         .select("sig", "key", "comp", "blocks", "block", "low", "high", "call")
     )
-    return (
+    found = (
         paired.join(classes.select("key", "n", "profile"), "key")
         .groupBy("call", "blocks", "low", "high")
-        .applyInPandas(_compare(num, den), "a long, b long")
-        .distinct()
+        .applyInPandas(_compare(num, den, best_only), "a long, b long, apart double")
     )
+    if not best_only:
+        return found.select("a", "b").distinct()
+    # The best of all calls, for each class as either end.
+    best = F.min(F.struct("apart", "b")).alias("best")
+    ends = found.select("a", "b", "apart").union(found.select("b", "a", "apart"))
+    chosen = ends.groupBy("a").agg(best).select("a", F.col("best.b").alias("b"))
+    return chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_groups(
@@ -271,10 +290,13 @@ def jaccard_groups(
     )
     links = stage(_linked(likely, classes, rows, words, num, den), "found")
     comps = stage(components(links, "a", "b"), "comps")
-    more = stage(_open_pairs(shared, comps, classes, num, den), "pairs")
-    if not more.isEmpty():
-        links = links.union(stage(_linked(more, classes, rows, words, num, den), "found"))
-        comps = components(links, "a", "b")
+    for best_only in (True, False):
+        more = stage(_open_pairs(shared, comps, classes, num, den, best_only), "pairs")
+        if more.isEmpty():
+            break
+        found = stage(_linked(more, classes, rows, words, num, den), "found")
+        # Components stand for the links that made them.
+        comps = stage(components(comps.toDF("a", "b").union(found), "a", "b"), "comps")
     named = (
         classes.select("key", "least_id").join(comps.toDF("key", "comp"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     )
