@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -59,16 +61,48 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Folders that staged tables of this process lie in.
+_staged: dict[str, SparkSession] = {}
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Later readers see stored rows, so row positions assigned by the writing job
     stay fixed, the lineage ends here, and a lost executor costs a re-read, not
-    a re-run. The stored columns can still be pruned and filtered.
+    a re-run. The stored columns can still be pruned and filtered. The folder
+    goes with ``unstage``, with ``clear_scratch`` or when the process ends.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    if not _staged:
+        atexit.register(clear_scratch)
+    _staged[path] = df.sparkSession
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove the folder of a staged table that nothing will read any more."""
+    path = getattr(df, "_staged_at", None)
+    if path in _staged:
+        _delete(_staged.pop(path), path)
+
+
+def clear_scratch() -> None:
+    """Remove all staged tables of this process; results that still read them can no longer be computed."""
+    for path in list(_staged):
+        spark = _staged.pop(path)
+        # At the end of the process the session may be gone already.
+        with contextlib.suppress(Exception):
+            _delete(spark, path)
 
 
 def run_together(jobs: Sequence[Callable[[], object]], at_once: int = 6) -> list:

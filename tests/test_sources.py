@@ -94,3 +94,16 @@ def test_staged_tables_go_to_the_named_folder(spark):
 def test_channel_keys_do_not_collide(star):
     for df, key in ((star.sales_channels(), "sales_channel_key"), (star.marketing_channels(), "marketing_channel_key")):
         assert df.count() == df.select(key).distinct().count() == 5
+
+
+def test_staged_tables_can_be_removed(spark):
+    from pathlib import Path
+
+    from merchlens.session import clear_scratch, stage, unstage
+
+    a, b = stage(spark.range(5), "first"), stage(spark.range(7), "second")
+    assert Path(a._staged_at).exists() and a.count() + b.count() == 12
+    unstage(a)
+    assert not Path(a._staged_at).exists() and Path(b._staged_at).exists() and b.count() == 7
+    clear_scratch()
+    assert not Path(b._staged_at).exists()
