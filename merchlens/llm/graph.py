@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.session import stage
+from merchlens.session import stage, unstage
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     )
     state = _summary(now)
     while state is not None:
-        now = stage(_small_star(_large_star(now).distinct()).distinct(), "links")
+        before, now = now, stage(_small_star(_large_star(now).distinct()).distinct(), "links")
+        unstage(before)
         after = _summary(now)
         if after == state:
             break
