@@ -30,13 +30,32 @@ _SHARD_SCHEMA = "part int, shard int, before long, n_ids long, first long, doc_i
 _BATCH_CHARS = 1_500_000
 
 
+# So many units are handed to the tokenizer as one text, with a special token between them.
+_JOINED = 500
+
+
 def byte_bpe_units(path: str) -> UnitTable:
-    """Units of a tokenizers-library file that splits before single spaces, as byte-level BPE does."""
+    """Units of a tokenizers-library file that splits before single spaces, as byte-level BPE does.
+
+    A special token cuts a text before anything else happens to it, so units
+    with one between them get the ids that each gets alone.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return UnitTable(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+    between, mark = next((i, t.content) for i, t in tokenizer.get_added_tokens_decoder().items() if t.special)
+
+    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if any(mark in u for u in units):
+            found = [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.int64), np.array(list(map(len, found)), np.int64)
+        texts = [mark.join(units[i : i + _JOINED]) + mark for i in range(0, len(units), _JOINED)]
+        ids = np.concatenate([np.array(e.ids, np.int64) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == between)
+        return ids[ids != between], np.diff(ends, prepend=-1) - 1
+
+    return UnitTable(encode)
 
 
 def vocabulary_size(path: str) -> int:

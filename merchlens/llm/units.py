@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Hashable
-from itertools import chain
 
 import numpy as np
 
@@ -92,9 +91,9 @@ class Units:
 
 
 class UnitTable(Units):
-    """Ids of units by number, from ``encode``, which takes strings and returns an id list for each."""
+    """Ids of units by number, from ``encode``, which takes strings and returns all their ids and how many each has."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000):
         self.encode = encode
         super().__init__(limit)
 
@@ -104,11 +103,10 @@ class UnitTable(Units):
         self.flat = np.zeros(0, np.int32)
 
     def learn(self, strings: list[str]) -> None:
-        ids = self.encode(strings)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat, lengths = self.encode(strings)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))])
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
