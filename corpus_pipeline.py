@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens.llm import jaccard_join, line_dedup, mixing, queries, sentence_pieces, toxicity
+from merchlens.session import stage
 
 # The mix takes this share of the tokens that reach it, each document once at most.
 MIX_SHARE = 0.9
@@ -60,7 +61,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result but the last is written and read again,
+    so that no later pass computes an earlier stage anew."""
     docs = queries.table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
