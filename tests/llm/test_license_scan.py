@@ -66,3 +66,54 @@ def test_scan_equals_all_segments_against_all_templates(spark, sf_dir):
                     want[name] = max(want.get(name, 0), score)
         got = scanner.scan(r.text)
         assert {k: v for k, v in got.items() if k in want} == want or set(got) > set(want)
+
+
+_TERMS = "redistribute it and/or modify\n  it under the terms of the GNU {}General Public License as published by\n  the Free Software Foundation; either version {} of the License, or\n  (at your option) any later version.\n"
+
+
+def test_versions_and_families_are_told_apart():
+    scanner = ls.Scanner()
+    notices = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "Licensed under the GNU General Public License v3": "GPL-3.0",
+        "Licensed under the GNU General Public License.": "GPL",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This work is licensed under a Creative Commons Attribution 3.0 Unported License.": "CC-BY-3.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    }
+    for family, version, name in (
+        ("", "2", "GPL-2.0"), ("", "3", "GPL-3.0"), ("Lesser ", "2.1", "LGPL-2.1"), ("Lesser ", "3", "LGPL-3.0"),
+        ("Library ", "2", "LGPL-2.0"), ("Affero ", "3", "AGPL-3.0"),
+    ):
+        notices["  This program is free software: you can " + _TERMS.format(family, version)] = name
+    for text, name in notices.items():
+        assert list(scanner.licenses(text)) == [name], text
+        assert list(scanner.licenses("Some words.\n" + text + "\nOther words.")) == [name], text
+
+
+def test_whole_texts_are_one_licence_each():
+    scanner, texts = ls.Scanner(), dict(ls.whole_texts())
+    for name, text in texts.items():
+        assert scanner.licenses(text) == {name: 1.0}
+    edited = texts["BSD-3-Clause"].replace("copyright holder", "Foo Corp").replace("(INCLUDING", "[INCL")
+    found = scanner.licenses("plain words\n" * 50 + edited + "\nprose and more\n" * 40 + texts["MIT"] + "\n" + texts["BSD-2-Clause"])
+    assert set(found) == {"BSD-3-Clause", "MIT", "BSD-2-Clause"} and 0.9 < found["BSD-3-Clause"] < 1
+
+
+def test_stretches_that_gain_most_together_are_chosen():
+    rng = random.Random(7)
+    for _ in range(200):
+        found = []
+        for _ in range(rng.randrange(9)):
+            a = rng.randrange(12)
+            found.append(ls.Found(a, a + rng.randrange(2, 6), rng.randrange(1, 9), 1.0, "x"))
+        best = 0
+        for pick in range(1 << len(found)):
+            chosen = sorted(f for i, f in enumerate(found) if pick >> i & 1)
+            if all(f.stop <= g.start for f, g in zip(chosen, chosen[1:])):
+                best = max(best, sum(f.gain for f in chosen))
+        got = ls._best_apart(found)
+        assert sum(f.gain for f in got) == best and all(f.stop <= g.start for f, g in zip(got, got[1:]))
