@@ -406,10 +406,12 @@ def with_licenses(docs: DataFrame, threshold: float = THRESHOLD, text_col: str =
 
 
 def license_report(docs: DataFrame) -> DataFrame:
-    """One row per document: its best licence, if any, with the coefficient, and how many were found."""
+    """One row per document: its best licence, if any, with the coefficient, how many were found, and all with theirs."""
     return with_licenses(docs.select("doc_id", "text")).select(
         "doc_id",
         F.get("licenses", F.lit(0)).alias("license"),
         F.get("scores", F.lit(0)).alias("dice"),
         F.size("licenses").cast("bigint").alias("n_licenses"),
+        "licenses",
+        "scores",
     )

@@ -117,3 +117,12 @@ def test_stretches_that_gain_most_together_are_chosen():
                 best = max(best, sum(f.gain for f in chosen))
         got = ls._best_apart(found)
         assert sum(f.gain for f in got) == best and all(f.stop <= g.start for f, g in zip(got, got[1:]))
+
+
+def test_report_keeps_every_licence_and_its_score(spark):
+    text = "Licensed under CC BY 4.0.\nNow released under the MIT License."
+    docs = spark.createDataFrame([(1, text, "old", 1), (2, "plain words", "old", 1)], SCHEMA)
+    got = {r.doc_id: r for r in ls.license_report(docs).collect()}
+    assert got[1].licenses == ["CC-BY-4.0", "MIT"] and got[1].scores[0] == 1.0 and 0.8 < got[1].scores[1] < 1.0
+    assert (got[1].license, got[1].dice, got[1].n_licenses) == ("CC-BY-4.0", 1.0, 2)
+    assert got[2].licenses == [] and got[2].scores == [] and got[2].license is None
