@@ -102,3 +102,30 @@ def test_without_labels_nothing_is_toxic(spark):
     got = tx.toxicity_scores(docs, labels).collect()
     assert len(got) == 2 and all(r.predicted == 0 and 0 <= r.score < 0.5 for r in got)
     assert tx.toxicity_scores(docs.limit(0), labels).collect() == []
+
+
+def _learn(spark, rows):
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    return tx.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+
+
+def test_one_in_a_hundred_labels_wrong(spark):
+    rows = _corpus()
+    # One toxic document with each insult among those flipped, and two clean ones.
+    wrong = {next(i for i, t, y in rows if y and w in t.split()) for w in INSULTS} | {1, 2}
+    assert len(wrong) == 6
+    model = _learn(spark, [(i, t, 1 - y if i in wrong else y) for i, t, y in rows])
+    margins = tx._Scorer(model).documents([t for _, t, _ in rows])
+    score = model.probability(margins)
+    assert np.mean([(s >= 0.5) == bool(y) for s, (_, _, y) in zip(score, rows)]) > 0.98
+
+
+def test_a_rare_insult_is_learned_from_balanced_labels(spark):
+    rng, rows = random.Random(3), _corpus()
+    plain = [t for _, t, y in rows if not y]
+    rows = [(i, rng.choice(plain).replace(" ", f" {rng.choice(INSULTS) if i % 120 else 'grumbald'} ", 1), 1) for i in range(0, 1200, 2)]
+    rows += [(i, rng.choice(plain) + f" more{i}", 0) for i in range(1, 1200, 2)]
+    assert 8 <= sum("grumbald" in t for _, t, _ in rows) < 15
+    model = _learn(spark, rows)
+    margins = tx._Scorer(model).documents(["thaner oure grumbald sting", "thaner oure idiot sting", "thaner oure sting han er"])
+    assert (model.probability(margins) >= 0.5).tolist() == [True, True, False]
