@@ -71,6 +71,17 @@ def containment(a: Column, b: Column) -> Column:
     )
 
 
+def too_short(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """Whether two unequal sketches cannot tell likeness or containment, as a side has only the smallest hash.
+
+    That hash lies above the threshold, so a sketch with hashes below it never
+    holds it, even if its text holds all of the other.
+    """
+    # Sketches are in ascending order.
+    only = [F.coalesce(F.get(s, F.lit(0)) >= F.lit(_limit(fraction)), F.lit(False)) for s in (a, b)]
+    return (F.size(a) > 0) & (F.size(b) > 0) & (only[0] | only[1]) & (a != b)
+
+
 def as_text(s: Column) -> Column:
     """A sketch as 16 hexadecimal digits per kept hash."""
     return F.array_join(F.transform(s, lambda h: F.lpad(F.hex(h), 16, "0")), "")
@@ -103,6 +114,8 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     an id are ordered by a hash of their text; wholly repeated rows take one
     place in the order and get the same result each; a table of one document
     follows itself; an empty table gives none. Other columns are not read.
+    Where ``edited_too_short`` or ``next_too_short`` is true, the likeness and
+    containment of that pair say nothing (see ``too_short``).
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), *_row_key(id_col, text_col), text.alias("text")).withColumn(
@@ -158,6 +171,8 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         resemblance(F.col("own"), F.col("next")).alias("near_next"),
         containment(F.col("own"), F.col("edited")).alias("held_by_edited"),
         containment(F.col("own"), F.col("next")).alias("held_by_next"),
+        too_short(F.col("own"), F.col("edited")).alias("edited_too_short"),
+        too_short(F.col("own"), F.col("next")).alias("next_too_short"),
         F.col("next_id").alias("next_doc_id"),
         F.col("next_n").alias("next_n_chars"),
     )

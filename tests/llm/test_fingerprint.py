@@ -75,3 +75,19 @@ def test_added_column_replaces_one_of_its_name(spark):
 def test_runs_without_python(spark, sf_dir):
     plan = fp.compare_with_edited(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_texts_inside_long_ones_are_marked(spark):
+    long = _text(3, 400)
+    words = long.split(" ")
+    # Short texts that the long one holds whole, each followed by it.
+    rows = [(2 * i + k, t, "", "") for i in range(40) for k, t in enumerate((" ".join(words[i : i + 5]), long))]
+    got = {r.doc_id: r for r in fp.compare_with_edited(_docs(spark, rows)).collect()}
+    short = [got[2 * i] for i in range(40)]
+    assert {(r.held_by_next == 1.0) for r in short} == {True, False}
+    # Where the sketch holds the short text's hash it tells; everywhere else it says that it cannot.
+    assert all(r.next_too_short == (r.held_by_next < 1.0) for r in short)
+    assert not got[1].edited_too_short
+    # Equal texts and empty ones are told.
+    equal = fp.compare_with_edited(_docs(spark, [(1, "two words", "", ""), (2, "two words", "", ""), (3, "", "", "")])).collect()
+    assert [r.next_too_short for r in sorted(equal, key=lambda r: r.doc_id)] == [False, False, False]
