@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchlens.llm import chat_format, embedding_dedup, fingerprint, jaccard_join, license_scan, line_dedup, mixing, sentence_pieces, token_files, toxicity
+from merchlens.llm import chat_format, embedding_dedup, fingerprint, jaccard_join, license_scan, line_dedup, merkle, mixing, sentence_pieces, token_files, toxicity
 from merchlens.session import scratch_path, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,5 +69,9 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op6_license_scan, op7_source_mixing, op8_token_files, op9_line_dedup, op10_ngram_jaccard)}
-SQL: dict[str, str] = {"op1_chat_formatting": chat_format.SQL, "op4_embedding_neardup": embedding_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op6_license_scan, op7_source_mixing, op8_token_files, op9_line_dedup, op10_ngram_jaccard, op11_merkle_manifest)}
+SQL: dict[str, str] = {"op1_chat_formatting": chat_format.SQL, "op4_embedding_neardup": embedding_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL, "op11_merkle_manifest": merkle.SQL}

