@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators, for comparison on small tables."""
 
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -193,3 +194,97 @@ def merkle(rows):
             root = above[-1][0]
             out.append((r[0], leaf, levels[lang][-1][0], root, sha("".join(d for _, o in steps for d in o)), now, now == root))
     return out
+
+
+def damage(rows):
+    """rows: (conv_id, turn, role, text) -> those left after damage."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        code = crc(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}") % 20
+        if code == 1:
+            text = ""
+        elif code == 2:
+            text = re.sub("[.!?]", "", text)
+        elif code == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * {0: 0, 3: 2}.get(code, 1)
+    return out
+
+
+def scripts(kinds, inserts=2):
+    """Every edit of rows (initial, must go, truncated) with up to ``inserts`` turns at each place that gives a legal order: (cost, audit)."""
+    legal = re.compile(r"(s?(ua)+)?")
+    out = []
+
+    def walk(i, cost, audit, roles):
+        for n in range(inserts + 1):
+            for new in itertools.product("ua", repeat=n):
+                c, a, r = cost + 2 * n, audit + "I" * n, roles + "".join(new)
+                if i == len(kinds):
+                    if legal.fullmatch(r):
+                        out.append((c, a))
+                    continue
+                initial, gone, cut = kinds[i]
+                walk(i + 1, c + 3, a + "D", r)
+                if not gone:
+                    walk(i + 1, c + cut, a + "K", r + initial)
+                    for role in "ua":
+                        walk(i + 1, c + 2 + cut, a + "R", r + role)
+
+    walk(0, 0, "", "")
+    return out
+
+
+def least_edits(kinds):
+    """The least (cost, audit) of a conversation, by the least of every (rows done, last role)."""
+    after = {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}
+    now = {"": (0, "")}
+
+    def insert(ways):
+        for _ in range(3):
+            for last, (c, a) in list(ways.items()):
+                for role in "ua":
+                    if (last, role) in after:
+                        ways[role] = min(ways.get(role, (c + 2, a + "I")), (c + 2, a + "I"))
+        return ways
+
+    for initial, gone, cut in kinds:
+        then = {}
+        for last, (c, a) in insert(now).items():
+            options = [(last, c + 3, a + "D")]
+            if not gone:
+                if (last, initial) in after:
+                    options.append((initial, c + cut, a + "K"))
+                options += [(role, c + 2 + cut, a + "R") for role in "ua" if (last, role) in after]
+            for role, cost, audit in options:
+                then[role] = min(then.get(role, (cost, audit)), (cost, audit))
+        now = then
+    now = insert(now)
+    return min(now[q] for q in ("", "a") if q in now)
+
+
+def conversation_report(rows):
+    """rows: (conv_id, turn, role, text) after damage, one conversation -> gaps, blank, duplicate, truncated, illegal, cost, audit, digest."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        bare = text.strip(BLANKS)
+        faults.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    kinds = [(r[2][:1], f in ("blank", "duplicate"), f == "truncated") for r, f in zip(rows, faults, strict=True)]
+    cost, audit = least_edits(kinds)
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(kinds, kinds[1:], strict=False))
+    lines, at = [], 0
+    for edit in audit:
+        forced = "assistant" if lines and lines[-1][0][:1] == "u" else "user"
+        if edit == "I":
+            lines.append((forced, ""))
+            continue
+        if edit != "D":
+            lines.append((rows[at][2] if edit == "K" else forced, rows[at][3]))
+        at += 1
+    digest = sha("\n".join(f"{r}:{t}" for r, t in lines))
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest), lines
