@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchlens.llm import chat_format, embedding_dedup, fingerprint, jaccard_join, license_scan, line_dedup, merkle, mixing, sentence_pieces, token_files, toxicity, turn_repair
+from merchlens.llm import chat_format, embedding_dedup, fingerprint, jaccard_join, language_id, license_scan, line_dedup, merkle, mixing, sentence_pieces, token_files, toxicity, turn_repair
 from merchlens.session import scratch_path, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,5 +77,9 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair_digest(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op6_license_scan, op7_source_mixing, op8_token_files, op9_line_dedup, op10_ngram_jaccard, op11_merkle_manifest, op12_turn_repair)}
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_sentence_pieces, op3_doc_fingerprints, op4_embedding_neardup, op5_toxicity, op6_license_scan, op7_source_mixing, op8_token_files, op9_line_dedup, op10_ngram_jaccard, op11_merkle_manifest, op12_turn_repair, op13_language_id)}
 SQL: dict[str, str] = {"op1_chat_formatting": chat_format.SQL, "op4_embedding_neardup": embedding_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op10_ngram_jaccard": jaccard_join.SQL, "op11_merkle_manifest": merkle.SQL, "op12_turn_repair": turn_repair.SQL}
