@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,3 +48,9 @@ def first_weekday_from(d: Column, weekday: str) -> Column:
 
 def last_weekday_of_month(d: Column, weekday: str) -> Column:
     return F.next_day(F.date_sub(F.last_day(d), 7), weekday)
+
+
+def span_of_years(years: Iterable[int]) -> tuple[dt.date, dt.date]:
+    """The first and last day of the years and those between them."""
+    years = list(years)
+    return dt.date(min(years), 1, 1), dt.date(max(years), 12, 31)

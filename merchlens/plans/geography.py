@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.functions.bands import quadrant
+from merchlens.functions.dates import span_of_years
 from merchlens.functions.money import currency, mean_currency, pct, ratio
 from merchlens.operators.shares import share, total, whole
 from merchlens.params import Params
@@ -120,7 +121,7 @@ def region_customer_quality(star: Star, params: Params) -> DataFrame:
 def region_yoy(star: Star, params: Params) -> DataFrame:
     years = params.growth_years
     per = (
-        star.orders_by_customer("geography_key", "year")
+        star.orders_by_customer("geography_key", "year", during=span_of_years(years))
         .groupBy("geography_key", "year")
         .agg(F.sum("net_c").alias("net_c"))
         .join(star.geography().select("geography_key", "region"), "geography_key")

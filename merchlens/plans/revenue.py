@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from merchlens.functions.dates import span_of_years
 from merchlens.functions.money import currency, mean_currency, pct
 from merchlens.operators.shares import share, total, whole
 from merchlens.params import Params
@@ -82,22 +83,12 @@ def revenue_yoy_month(star: Star, params: Params) -> DataFrame:
 
 
 def revenue_by_sales_channel(star: Star, params: Params) -> DataFrame:
-    per_key = (
-        star.orders("sales_channel_key", "net_c")
-        .groupBy("sales_channel_key")
-        .agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
-    )
-    return (
-        per_key.join(star.sales_channels(), "sales_channel_key")
-        .groupBy("channel_name")
-        .agg(F.sum("orders").alias("orders"), F.sum("net_c").alias("net_c"))
-        .select(
-            "channel_name",
-            "orders",
-            currency(F.col("net_c")).alias("order_net_revenue"),
-            mean_currency(F.col("net_c"), F.col("orders")).alias("aov"),
-            share(F.col("net_c")).alias("pct_of_revenue"),
-        )
+    return star.orders_by_sales_channel().select(
+        "channel_name",
+        "orders",
+        currency(F.col("net_c")).alias("order_net_revenue"),
+        mean_currency(F.col("net_c"), F.col("orders")).alias("aov"),
+        share(F.col("net_c")).alias("pct_of_revenue"),
     )
 
 
@@ -124,7 +115,8 @@ def revenue_by_category(star: Star, params: Params) -> DataFrame:
 
 
 def _by_category_year(star: Star, *years: int) -> DataFrame:
-    lines = star.lines("product_key", "order_date", "net_c").withColumn("year", F.year("order_date"))
+    during = span_of_years(years) if years else None
+    lines = star.lines("product_key", "order_date", "net_c", during=during).withColumn("year", F.year("order_date"))
     if years:
         lines = lines.filter(F.col("year").isin(*years))
     sold = lines.groupBy("product_key", "year").agg(F.sum("net_c").alias("net_c"))
@@ -175,14 +167,9 @@ def _variance(rows: DataFrame, name: str, params: Params) -> DataFrame:
 
 
 def variance_by_channel(star: Star, params: Params) -> DataFrame:
-    per_key = (
-        star.orders("sales_channel_key", "order_date", "net_c")
-        .withColumn("year", F.year("order_date"))
-        .filter(F.col("year").isin(*params.variance_years))
-        .groupBy("sales_channel_key", "year")
-        .agg(F.sum("net_c").alias("net_c"))
-    )
-    return _variance(per_key.join(star.sales_channels(), "sales_channel_key"), "channel_name", params)
+    years = params.variance_years
+    per = star.orders_by_sales_channel("year", during=span_of_years(years)).filter(F.col("year").isin(*years))
+    return _variance(per, "channel_name", params)
 
 
 def variance_by_category(star: Star, params: Params) -> DataFrame:

@@ -57,12 +57,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
+# Folders of this process: those that staged tables lie in, and others, which go when it ends.
+_staged: dict[str, SparkSession] = {}
+_folders: dict[str, SparkSession] = {}
+
+
+def _new_path(spark: SparkSession, label: str) -> str:
+    if not _staged and not _folders:
+        atexit.register(_leave)
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-# Folders that staged tables of this process lie in.
-_staged: dict[str, SparkSession] = {}
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared scratch folder; it goes when the process ends."""
+    path = _new_path(spark, label)
+    _folders[path] = spark
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -73,12 +83,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     a re-run. The stored columns can still be pruned and filtered. The folder
     goes with ``unstage``, with ``clear_scratch`` or when the process ends.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = _new_path(df.sparkSession, label)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_at = path
-    if not _staged:
-        atexit.register(clear_scratch)
     _staged[path] = df.sparkSession
     return out
 
@@ -98,13 +106,22 @@ def unstage(df: DataFrame) -> None:
 
 def clear_scratch() -> None:
     """Remove all staged tables of this process; results that still read them can no longer be computed."""
-    for path in list(_staged):
-        spark = _staged.pop(path)
+    _clear(_staged)
+
+
+def _clear(paths: dict[str, SparkSession]) -> None:
+    for path in list(paths):
+        spark = paths.pop(path)
         # At the end of the process the session may be gone already.
         with contextlib.suppress(Exception):
             _delete(spark, path)
 
 
+def _leave() -> None:
+    _clear(_staged)
+    _clear(_folders)
+
+
 def run_together(jobs: Sequence[Callable[[], object]], at_once: int = 6) -> list:
     """Run independent Spark jobs side by side, so small ones do not queue up
     behind each other; results in the given order."""

@@ -1,62 +1,66 @@
-"""Replace a stored table in one step, or leave the old one as it was."""
+"""Publish a table as its next version, or leave the one before as it is."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from merchlens.schema import TABLES
 from merchlens.session import run_together
-from merchlens.sources.star import Star, stored_form
-
-# Reports read the snapshot at single month ends, so it is stored by month.
-PARTITIONED = {"fact_customer_monthly_snapshot": "snapshot_month_date_key"}
-
+from merchlens.sources import files
+from merchlens.sources.star import MONTH, Star, stored_form, table_path
+from merchlens.sources.versions import ConcurrentPublish, Version, collect, commit, last_number, new_folder
 
-def table_path(root: str, name: str, fmt: str) -> str:
-    return f"{root.rstrip('/')}/{name}" + (".csv" if fmt == "csv" else "")
+# Reports read facts by period and the snapshot at single month ends, so facts are stored by month.
+DATED = {
+    "fact_orders": "order_date_key",
+    "fact_order_lines": "order_date_key",
+    "fact_returns": "return_date_key",
+    "fact_customer_monthly_snapshot": "snapshot_month_date_key",
+}
 
 
 def publish_table(
-    df: DataFrame, root: str, name: str, fmt: str = "parquet", expected: int | None = None
+    df: DataFrame, root: str, name: str, fmt: str = "parquet", expected: int | None = None, keep: int = 2
 ) -> int:
-    """Write ``df`` beside the table, count it back, then put it in its place.
+    """Write ``df`` as a new version of the table, count it back, then let readers see it.
 
-    An empty or (with ``expected``) wrongly sized result raises before the
-    stored table is touched. Returns the number of rows published.
+    An empty or (with ``expected``) wrongly sized result raises, as does every step that fails, and readers go on
+    with the version before; if another writer has published meanwhile, ``ConcurrentPublish`` is raised. Of earlier
+    versions the last ``keep - 1`` stay for readers that have them open. Returns the number of rows published.
     """
     spark = df.sparkSession
-    target = table_path(root, name, fmt)
-    staging = f"{root.rstrip('/')}/_staging/{name}-{uuid.uuid4().hex}"
-    by = PARTITIONED.get(name) if fmt == "parquet" else None
-    # Rebalancing keeps files of a month together and splits a large month.
-    writer = (df.hint("rebalance", by) if by else df).write.format(fmt)
-    if by:
-        writer = writer.partitionBy(by)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.save(staging)
+    table = table_path(root, name, fmt)
+    number = last_number(spark, table) + 1
+    folder = new_folder(table, number)
+    by = MONTH if fmt == "parquet" and name in DATED else None
+    try:
+        rows = _write(df, folder, fmt, DATED[name] if by else None)
+        if rows == 0 or (expected is not None and rows != expected):
+            raise ValueError(f"{name}: {rows} rows written, {'some' if expected is None else expected} expected")
+        commit(spark, table, Version(number, folder, rows, by))
+    except BaseException as e:
+        # A commit that failed half-way may have been seen by readers, so only what is certainly unnamed goes.
+        if isinstance(e, (ValueError, ConcurrentPublish)):
+            files.remove(spark, folder)
+        raise
+    collect(spark, table, keep)
+    return rows
 
-    reader = spark.read.schema(df.schema).format(fmt)
-    rows = (reader.option("header", True) if fmt == "csv" else reader).load(staging).count()
-    if rows == 0 or (expected is not None and rows != expected):
-        raise ValueError(f"{name}: {rows} rows written, {'some' if expected is None else expected} expected")
 
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    aside = path(f"{staging}-replaced")
-    had_old = fs.exists(path(target))
-    if had_old:
-        fs.rename(path(target), aside)
-    if not fs.rename(path(staging), path(target)):
-        if had_old:
-            fs.rename(aside, path(target))
-        raise OSError(f"could not move {staging} to {target}")
-    if had_old:
-        fs.delete(aside, True)
-    return rows
+def _write(df: DataFrame, folder: str, fmt: str, date_key: str | None) -> int:
+    """Write a version's files and count them as stored."""
+    if date_key:
+        # Rebalancing keeps files of a month together and splits a large month.
+        df = df.withColumn(MONTH, F.floor(F.col(date_key) / 100).cast("int")).hint("rebalance", MONTH)
+    writer = df.write.format(fmt)
+    if date_key:
+        writer = writer.partitionBy(MONTH)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    writer.save(folder)
+    reader = df.sparkSession.read.schema(df.schema).format(fmt)
+    return (reader.option("header", True) if fmt == "csv" else reader).load(folder).count()
 
 
 def publish_star(star: Star, root: str, tables: tuple[str, ...] = TABLES, fmt: str = "parquet") -> dict[str, int]:

@@ -20,7 +20,7 @@ from merchlens.operators import calendar as cal
 from merchlens.operators import orders as ops
 from merchlens.operators.customers import buyer_totals
 from merchlens.operators.snapshot import ACTIVE_DAYS, customer_monthly_snapshot
-from merchlens.sources.star import Star
+from merchlens.sources.star import Period, Star
 
 # The six return reasons.
 _REASONS = [
@@ -36,10 +36,17 @@ _LAG_FROM, _LAG_SPREAD = 5, 17
 
 
 def _name_key(name: str) -> Column:
-    """A positive INT key for a short list of names; uniqueness is a quality check."""
+    """A positive INT key for a short list of names; listing the names fails if two share one."""
     return F.crc32(name).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
 
 
+def _channels(names: DataFrame, key: str, column: str, group: str) -> DataFrame:
+    """Channels from a list of names; two names with one key would double every row joined to them, so that raises."""
+    clash = F.raise_error(F.concat(F.lit("channel names share a key: "), F.min("channel_name"), F.lit(", "), F.max("channel_name")))
+    name = F.when(F.min("channel_name").eqNullSafe(F.max("channel_name")), F.min("channel_name")).otherwise(clash)
+    return names.groupBy(_name_key("channel_name").alias(key)).agg(name.alias("channel_name")).withColumn(column, F.lit(group))
+
+
 class RetailStar(Star):
     def __init__(self, spark: SparkSession, root: str, status: str | None = None):
         """``status`` restricts the star to orders of that status; None takes all."""
@@ -104,18 +111,12 @@ class RetailStar(Star):
         )
 
     def marketing_channels(self) -> DataFrame:
-        return self.raw("customer").select(F.col("c_mktsegment").alias("channel_name")).distinct().select(
-            _name_key("channel_name").alias("marketing_channel_key"),
-            "channel_name",
-            F.lit("Segment").alias("channel_category"),
-        )
+        names = self.raw("customer").select(F.col("c_mktsegment").alias("channel_name"))
+        return _channels(names, "marketing_channel_key", "channel_category", "Segment")
 
     def sales_channels(self) -> DataFrame:
-        return self.raw("orders").select(F.col("o_orderpriority").alias("channel_name")).distinct().select(
-            _name_key("channel_name").alias("sales_channel_key"),
-            "channel_name",
-            F.lit("Priority").alias("channel_type"),
-        )
+        names = self.raw("orders").select(F.col("o_orderpriority").alias("channel_name"))
+        return _channels(names, "sales_channel_key", "channel_type", "Priority")
 
     def customers(self, *cols: str) -> DataFrame:
         c = self.raw("customer").withColumnRenamed("c_custkey", "customer_key")
@@ -162,14 +163,19 @@ class RetailStar(Star):
 
     # -- facts -----------------------------------------------------------------
 
-    def _counted(self, *cols: str) -> DataFrame:
+    def _counted(self, *cols: str, during: Period = None) -> DataFrame:
         derived = {
             "order_key": F.col("o_orderkey"),
             "customer_key": F.col("o_custkey"),
             "order_date": F.to_date("o_orderdate"),
             "sales_channel_key": _name_key("o_orderpriority"),
+            "channel_name": F.col("o_orderpriority"),
         }
         orders = self.raw("orders")
+        if during is not None:
+            # On the stored column, so that the scan skips what lies outside.
+            first, last = during
+            orders = orders.filter((F.col("o_orderdate") >= F.lit(first)) & (F.col("o_orderdate") < F.lit(last + dt.timedelta(days=1))))
         if self.status is not None:
             orders = orders.filter(F.col("o_orderstatus") == self.status)
         return orders.select(*[derived[x].alias(x) for x in ("order_key", *cols)])
@@ -191,13 +197,13 @@ class RetailStar(Star):
             }
         )
 
-    def lines(self, *cols: str) -> DataFrame:
+    def lines(self, *cols: str, during: Period = None) -> DataFrame:
         from_order = [c for c in cols if c in ("customer_key", "order_date")]
         own = [c for c in dict.fromkeys(("order_key", *cols)) if c not in (*from_order, "unit_cost_c")]
         if "unit_cost_c" in cols and "product_key" not in own:
             own.append("product_key")
         how = "inner" if from_order else "left_semi"
-        df = self._priced.select(*own).join(self._counted(*from_order), "order_key", how)
+        df = self._priced.select(*own).join(self._counted(*from_order, during=during), "order_key", how)
         if "unit_cost_c" in cols:
             df = df.join(self.products("product_key", "unit_cost_c"), "product_key")
         return df.select(*cols)
@@ -212,7 +218,7 @@ class RetailStar(Star):
     def _return_date() -> Column:
         return F.date_add("order_date", (_LAG_FROM + F.col("order_key") % _LAG_SPREAD).cast("int"))
 
-    def returns(self, *cols: str) -> DataFrame:
+    def returns(self, *cols: str, during: Period = None) -> DataFrame:
         from_order = [c for c in cols if c == "customer_key"]
         derived = {
             "return_key": F.col("order_line_key"),
@@ -223,15 +229,16 @@ class RetailStar(Star):
             "refund_completed_flag": ops.refund_completed(self._return_date(), F.lit(self.horizon)),
         }
         derived["fee_c"] = ops.restocking_fee(derived["refund_c"], derived["return_reason_key"])
+        first, last = during or (self.calendar_start, self.horizon)
         return (
             self._priced
             .filter(F.col("l_returnflag") == "R")
             .join(self._counted("order_date", *from_order), "order_key")
-            .filter(self._return_date() <= F.lit(self.horizon))
+            .filter(self._return_date().between(F.lit(first), F.lit(min(last, self.horizon))))
             .select(*[derived[c].alias(c) if c in derived else F.col(c) for c in cols])
         )
 
-    def orders(self, *cols: str) -> DataFrame:
+    def orders(self, *cols: str, during: Period = None) -> DataFrame:
         money = [c for c in ("gross_c", "discount_c", "net_c") if c in cols]
         if "shipping_c" in cols and "net_c" not in money:
             money.append("net_c")
@@ -243,11 +250,13 @@ class RetailStar(Star):
         attrs = [c for c in ("customer_key", "order_date", "sales_channel_key") if c in cols]
         of_customer = [c for c in ("geography_key", "acquisition_channel_key") if c in cols]
         first = "is_first_order" in cols
+        if first and during is not None:
+            raise ValueError("a customer's first order is known over all time only")
         if (of_customer or first) and "customer_key" not in attrs:
             attrs.append("customer_key")
         if ("campaign_key" in cols or first) and "order_date" not in attrs:
             attrs.append("order_date")
-        df = self._counted(*attrs).join(sums, "order_key")
+        df = self._counted(*attrs, during=during).join(sums, "order_key")
         if first:
             # Before the customer join, so that finding a customer's first order
             # is a map-side aggregate and not a pass over a customer's partition.
@@ -275,12 +284,12 @@ class RetailStar(Star):
 
     # -- shorter ways than the general ones ------------------------------------
 
-    def orders_by_customer(self, *by: str) -> DataFrame:
+    def orders_by_customer(self, *by: str, during: Period = None) -> DataFrame:
         """Geography and channel are the customer's, so orders shrink to customers
         before they meet the customer table and a customer with very many orders
         is one row there."""
         of_customer = [c for c in by if c in ("geography_key", "acquisition_channel_key")]
-        per = super().orders_by_customer(*[c for c in by if c not in of_customer])
+        per = super().orders_by_customer(*[c for c in by if c not in of_customer], during=during)
         if not of_customer:
             return per
         who = self.customers("customer_key", "home_geography_key", "acquisition_channel_key")
@@ -289,6 +298,15 @@ class RetailStar(Star):
             "customer_key",
         )
 
+    def orders_by_sales_channel(self, *by: str, during: Period = None) -> DataFrame:
+        """The name stands in the order, so no list of channels is needed."""
+        cols = ["order_date" if c == "year" else c for c in by]
+        sums = self._priced.groupBy("order_key").agg(F.sum("net_c").alias("net_c"))
+        orders = self._counted("channel_name", *cols, during=during).join(sums, "order_key")
+        if "year" in by:
+            orders = orders.withColumn("year", F.year("order_date"))
+        return orders.groupBy("channel_name", *by).agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
+
     def order_line_totals(self) -> DataFrame:
         """Lines are summed before orders are filtered, so an order with very many
         lines is one row in the join."""

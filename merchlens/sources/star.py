@@ -23,10 +23,17 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlens.functions.dates import date_key, date_of_key
 from merchlens.functions.money import cents_of_decimal, decimal_of
 from merchlens.schema import TABLES, table_schema
+from merchlens.sources.versions import current
+
+# The partition column of stored facts: year and month of the fact's date, as 199503.
+MONTH = "month_key"
+# First and last day of a period; None is all time.
+Period = tuple[dt.date, dt.date] | None
 
 
 class Star(ABC):
@@ -47,13 +54,16 @@ class Star(ABC):
         """The first day of the calendar."""
 
     @abstractmethod
-    def orders(self, *cols: str) -> DataFrame: ...
+    def orders(self, *cols: str, during: Period = None) -> DataFrame:
+        """Orders, or those of a period; a source reads no more of its files than it must."""
 
     @abstractmethod
-    def lines(self, *cols: str) -> DataFrame: ...
+    def lines(self, *cols: str, during: Period = None) -> DataFrame:
+        """Order lines, or those ordered in a period."""
 
     @abstractmethod
-    def returns(self, *cols: str) -> DataFrame: ...
+    def returns(self, *cols: str, during: Period = None) -> DataFrame:
+        """Returns, or those returned in a period."""
 
     @abstractmethod
     def customers(self, *cols: str) -> DataFrame: ...
@@ -122,17 +132,31 @@ class Star(ABC):
         )
         return back.join(self.products("product_key", *attributes), "product_key") if attributes else back
 
-    def orders_by_customer(self, *by: str) -> DataFrame:
+    def orders_by_customer(self, *by: str, during: Period = None) -> DataFrame:
         """customer_key, ``by``, orders, net_c: orders summed per customer.
 
         ``by`` names order columns, or ``year`` for the year of the order date.
         """
         cols = ["order_date" if c == "year" else c for c in by]
-        orders = self.orders("customer_key", *cols, "net_c")
+        orders = self.orders("customer_key", *cols, "net_c", during=during)
         if "year" in by:
             orders = orders.withColumn("year", F.year("order_date"))
         return orders.groupBy("customer_key", *by).agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
 
+    def orders_by_sales_channel(self, *by: str, during: Period = None) -> DataFrame:
+        """channel_name, ``by``, orders, net_c: orders summed per sales channel."""
+        cols = ["order_date" if c == "year" else c for c in by]
+        orders = self.orders("sales_channel_key", *cols, "net_c", during=during)
+        if "year" in by:
+            orders = orders.withColumn("year", F.year("order_date"))
+        per = orders.groupBy("sales_channel_key", *by).agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c"))
+        names = self.sales_channels().select("sales_channel_key", "channel_name")
+        return (
+            per.join(names, "sales_channel_key")
+            .groupBy("channel_name", *by)
+            .agg(F.sum("orders").alias("orders"), F.sum("net_c").alias("net_c"))
+        )
+
     def order_line_totals(self) -> DataFrame:
         """order_key, lines, gross_c, discount_c, net_c: lines summed per order."""
         return (
@@ -164,7 +188,7 @@ class Star(ABC):
 
 
 class StoredStar(Star):
-    """A star kept as twelve tables below one folder."""
+    """A star kept as twelve tables below one folder, each as published or as a plain folder."""
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         super().__init__(spark)
@@ -172,10 +196,20 @@ class StoredStar(Star):
         self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        """A table; all reads of one star see the version that the first one saw."""
         if name not in self._read:
-            self._read[name] = read_star_table(self.spark, self.root, name, self.fmt)
+            self._read[name] = _stored_table(self.spark, self.root, name, self.fmt)
         return self._read[name]
 
+    def _within(self, df: DataFrame, date_key: str, during: Period) -> DataFrame:
+        """Rows of a period, by the stored keys alone: whole months by partition, days by the file's own bounds."""
+        if during is None:
+            return df
+        first, last = ((d.year * 100 + d.month) * 100 + d.day for d in during)
+        if MONTH in df.columns:
+            df = df.filter(F.col(MONTH).between(first // 100, last // 100))
+        return df.filter(F.col(date_key).between(first, last))
+
     @cached_property
     def _bounds(self) -> tuple[dt.date, dt.date]:
         return tuple(self.table("dim_date").agg(F.min("full_date"), F.max("full_date")).first())
@@ -188,8 +222,8 @@ class StoredStar(Star):
     def horizon(self) -> dt.date:
         return self._bounds[1]
 
-    def orders(self, *cols: str) -> DataFrame:
-        o = self.table("fact_orders")
+    def orders(self, *cols: str, during: Period = None) -> DataFrame:
+        o = self._within(self.table("fact_orders"), "order_date_key", during)
         return o.select(
             "*",
             date_of_key(o.order_date_key).alias("order_date"),
@@ -199,8 +233,8 @@ class StoredStar(Star):
             cents_of_decimal(o.shipping_revenue).alias("shipping_c"),
         ).select(*cols)
 
-    def lines(self, *cols: str) -> DataFrame:
-        ln = self.table("fact_order_lines")
+    def lines(self, *cols: str, during: Period = None) -> DataFrame:
+        ln = self._within(self.table("fact_order_lines"), "order_date_key", during)
         return ln.select(
             "*",
             date_of_key(ln.order_date_key).alias("order_date"),
@@ -210,8 +244,8 @@ class StoredStar(Star):
             cents_of_decimal(ln.unit_cost).alias("unit_cost_c"),
         ).select(*cols)
 
-    def returns(self, *cols: str) -> DataFrame:
-        r = self.table("fact_returns")
+    def returns(self, *cols: str, during: Period = None) -> DataFrame:
+        r = self._within(self.table("fact_returns"), "return_date_key", during)
         return r.select(
             "*",
             date_of_key(r.return_date_key).alias("return_date"),
@@ -244,7 +278,15 @@ class StoredStar(Star):
         return self.table("dim_date")
 
     def snapshot(self) -> DataFrame:
+        return self._months(self.table("fact_customer_monthly_snapshot"))
+
+    def final_snapshot(self) -> DataFrame:
+        """The last month end, read from its partition alone."""
         s = self.table("fact_customer_monthly_snapshot")
+        return self._months(self._within(s, "snapshot_month_date_key", (self.horizon, self.horizon)))
+
+    @staticmethod
+    def _months(s: DataFrame) -> DataFrame:
         return s.select(
             "customer_key",
             date_of_key(s.snapshot_month_date_key).alias("month_end"),
@@ -262,23 +304,37 @@ class StoredStar(Star):
         )
 
 
-def read_star_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """Read one table with its declared schema and fail if it holds no row.
+def table_path(root: str, name: str, fmt: str = "parquet") -> str:
+    return f"{root.rstrip('/')}/{name}" + (".csv" if fmt == "csv" else "")
 
-    CSV files carry a header; an empty field is NULL, the word ``None`` is text.
-    """
+
+def _stored_table(spark: SparkSession, root: str, name: str, fmt: str) -> DataFrame:
+    """The table's current version (with its partition column), or the plain folder where none was published."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = f"{root}/{name}" if fmt == "parquet" else f"{root}/{name}.csv"
-    reader = spark.read.schema(table_schema(name))
+    path = table_path(root, name, fmt)
+    version = current(spark, path)
+    schema = table_schema(name)
+    if version and version.partition_by:
+        schema = T.StructType([*schema.fields, T.StructField(version.partition_by, T.IntegerType())])
+    reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST")
-    df = reader.format(fmt).load(path)
-    if not df.take(1):
+    df = reader.format(fmt).load(version.folder if version else path)
+    if version is None and not df.take(1):
         raise ValueError(f"table {name} at {path} is empty")
     return df
 
 
+def read_star_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """Read one table with its declared schema and fail if it holds no row.
+
+    A published table is read at its current version, which is never empty; a plain folder is looked into.
+    CSV files carry a header; an empty field is NULL, the word ``None`` is text.
+    """
+    return _stored_table(spark, root, name, fmt).select(*table_schema(name).names)
+
+
 def stored_form(star: Star, name: str) -> DataFrame:
     """A table of ``star`` in the columns and types it is stored with."""
     if name == "dim_date":

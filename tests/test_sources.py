@@ -3,9 +3,10 @@ from pyspark.sql import functions as F
 
 from merchlens import RetailStar, StoredStar
 from merchlens.params import RETAIL_PARAMS
-from merchlens.plans import certification, executive, marketing, rfm
+from merchlens.plans import certification, executive, geography, marketing, revenue, rfm
 from merchlens.schema import TABLES, table_schema
 from merchlens.session import scratch_path, scratch_root, stage
+from merchlens.sources import files, publish, versions
 from merchlens.sources.publish import publish_star, publish_table
 from merchlens.sources.star import read_star_table, stored_form
 
@@ -42,10 +43,10 @@ def test_final_rows_are_the_last_snapshot(star, stored):
 
 def test_a_planted_fault_denies_certification(spark, stored):
     class Broken(StoredStar):
-        def orders(self, *cols):
+        def orders(self, *cols, **how):
             late = F.when(F.col("order_key") == self.bad, F.col("net_c") + 100).otherwise(F.col("net_c"))
             more = [c for c in ("order_key", "net_c") if c not in cols]
-            return super().orders(*cols, *more).withColumn("net_c", late).select(*cols)
+            return super().orders(*cols, *more, **how).withColumn("net_c", late).select(*cols)
 
     broken = Broken(spark, stored.root)
     broken.bad = stored.orders("order_key").first()[0]
@@ -63,6 +64,10 @@ def test_csv_keeps_the_word_none_and_types(spark, star):
     assert df.filter("is_active_flag").count() == df.count()
 
 
+def _shown(spark, root, name):
+    return spark.read.parquet(versions.current(spark, f"{root}/{name}").folder).count()
+
+
 def test_publish_leaves_the_old_table_when_the_count_is_wrong(spark):
     root = scratch_path(spark, "swap")
     two, none = spark.range(2), spark.range(0)
@@ -70,9 +75,99 @@ def test_publish_leaves_the_old_table_when_the_count_is_wrong(spark):
     for bad, expected in ((spark.range(5), 4), (none, None)):
         with pytest.raises(ValueError):
             publish_table(bad, root, "t", expected=expected)
-        assert spark.read.parquet(f"{root}/t").count() == 2
+        assert _shown(spark, root, "t") == 2
     assert publish_table(spark.range(3), root, "t", expected=3) == 3
-    assert spark.read.parquet(f"{root}/t").count() == 3
+    assert _shown(spark, root, "t") == 3
+    # Nothing is left of what was refused.
+    assert len([n for n in files.names(spark, f"{root}/t") if n.startswith("v")]) == 2
+
+
+@pytest.mark.parametrize("step", ["write", "commit", "torn"])
+def test_a_failing_step_leaves_the_old_version_readable(spark, monkeypatch, step):
+    root = scratch_path(spark, "failing")
+    publish_table(spark.range(2), root, "t")
+
+    def fails(*args, **how):
+        raise OSError("no space left")
+
+    def torn(spark, path, text, real=files.write_new):
+        real(spark, path, text[: len(text) // 2])
+        raise OSError("no space left")
+
+    if step == "write":
+        monkeypatch.setattr(publish, "_write", fails)
+    else:
+        monkeypatch.setattr(files, "write_new", fails if step == "commit" else torn)
+    with pytest.raises(OSError, match="no space"):
+        publish_table(spark.range(7), root, "t")
+    monkeypatch.undo()
+    assert _shown(spark, root, "t") == 2
+    assert publish_table(spark.range(9), root, "t") == 9 and _shown(spark, root, "t") == 9
+    versions.collect(spark, f"{root}/t", keep=1, grace_s=0)
+    assert len([n for n in files.names(spark, f"{root}/t") if n.startswith("v")]) == 1 and _shown(spark, root, "t") == 9
+
+
+def test_of_two_writers_the_second_fails(spark, monkeypatch):
+    root = scratch_path(spark, "two")
+    publish_table(spark.range(2), root, "t")
+    real = publish._write
+
+    def overtaken(df, *args):
+        monkeypatch.setattr(publish, "_write", real)
+        publish_table(spark.range(5), root, "t")
+        return real(df, *args)
+
+    monkeypatch.setattr(publish, "_write", overtaken)
+    with pytest.raises(versions.ConcurrentPublish):
+        publish_table(spark.range(7), root, "t")
+    assert _shown(spark, root, "t") == 5
+    assert len([n for n in files.names(spark, f"{root}/t") if n.startswith("v")]) == 2
+
+
+def test_a_reader_keeps_its_version_and_old_ones_are_collected(spark, star):
+    root = scratch_path(spark, "kept")
+    reasons = stored_form(star, "dim_return_reason")
+    publish_table(reasons, root, "dim_return_reason")
+    before = StoredStar(spark, root).table("dim_return_reason")
+    publish_table(reasons.filter("return_reason_key < 3"), root, "dim_return_reason")
+    assert before.count() == 6 and StoredStar(spark, root).table("dim_return_reason").count() == 2
+    publish_table(reasons.filter("return_reason_key < 2"), root, "dim_return_reason", keep=1)
+    found = files.names(spark, f"{root}/dim_return_reason")
+    assert len([n for n in found if n.startswith("v")]) == 1
+    assert files.names(spark, f"{root}/dim_return_reason/_versions") == ["000000003"]
+
+
+@pytest.mark.parametrize("plan", [revenue.variance_by_channel, revenue.variance_by_category, geography.region_yoy])
+def test_reports_of_a_period_read_its_months_only(star, stored, plan):
+    told = plan(stored, RETAIL_PARAMS)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_key" in told, told
+    assert sorted(map(tuple, plan(star, RETAIL_PARAMS).collect())) == sorted(map(tuple, plan(stored, RETAIL_PARAMS).collect()))
+
+
+def test_the_final_snapshot_is_one_partition(stored):
+    assert stored.final_snapshot().select(F.input_file_name().alias("f")).distinct().count() == 1
+    scan = stored.final_snapshot()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_key" in scan
+
+
+def test_a_period_gives_the_rows_of_its_days(star, stored):
+    import datetime as dt
+
+    days = (dt.date(1996, 2, 10), dt.date(1996, 5, 3))
+    for source in (star, stored):
+        for read, date in ((source.orders, "order_date"), (source.lines, "order_date"), (source.returns, "return_date")):
+            part = read("order_key", date, during=days)
+            whole = read("order_key", date).filter(F.col(date).between(*map(F.lit, days)))
+            assert part.count() == whole.count() > 0 and part.exceptAll(whole).count() == 0
+
+
+def test_two_channel_names_with_one_key_raise(spark, star):
+    from merchlens.sources.retail import _channels
+
+    # Two strings with the same CRC-32.
+    names = spark.createDataFrame([("plumless",), ("buckeroo",), ("other",)], "channel_name string")
+    with pytest.raises(Exception, match="share a key"):
+        _channels(names, "k", "g", "x").collect()
 
 
 def test_empty_or_unknown_table_is_refused(spark):
