@@ -5,6 +5,8 @@ Raw tables carry real violations; the star built from them must carry none.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from merchlens.operators import quality as q
 from merchlens.operators.snapshot import TRAILING_MONTHS
 from merchlens.operators.snapshot_check import dense_snapshot
 from merchlens.params import Params
+from merchlens.plans.ledger import Ledger
 from merchlens.session import stage
 from merchlens.sources.retail import RetailStar
 from merchlens.sources.star import Star
@@ -296,56 +299,41 @@ def dq_two_source_month(star: Star, params: Params) -> DataFrame:
     return q.disagreements(by_order, by_snapshot, ["customer_key"], ["first_month"])
 
 
-def _claim(df: DataFrame, name: str, value: Column, holds: Column, otherwise: str = q.FAIL) -> DataFrame:
+def _claim(df: DataFrame, check: str, name: str, value: Column, holds: Column, otherwise: str = q.FAIL) -> DataFrame:
     return df.select(
+        F.lit(check).alias("check"),
         F.lit(name).alias("claim"),
         value.cast("string").alias("evidence"),
         F.when(holds, q.PASS).otherwise(otherwise).alias("status"),
     )
 
 
-def dq_narrative(star: Star, params: Params) -> DataFrame:
-    """What is said about the business, checked against the facts."""
-    monthly = stage(
-        star.orders("customer_key", "order_date", "net_c")
-        .groupBy("customer_key", F.year("order_date").alias("year"), F.month("order_date").alias("month"))
-        .agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c")),
-        "customer-months",
-    )
+def claims(monthly: DataFrame, refunds: DataFrame, sold: DataFrame, params: Params) -> DataFrame:
+    """What is said about the business, each with the id of its check.
+
+    ``monthly``: customer_key, month (index), orders, net_c. ``refunds``: month, refund_c. ``sold``: category, units,
+    back. ``monthly`` is read three times, so it should be a stored table.
+    """
     per_customer = monthly.groupBy("customer_key").agg((F.sum("orders") >= 2).alias("again"))
-    by_month = monthly.groupBy("year", "month").agg(F.sum("net_c").alias("net_c"))
+    by_month = monthly.groupBy("month").agg(F.sum("net_c").alias("net_c"))
+    year = F.floor(F.col("month") / 12)
     # Few rows from here on: one per year, month or category.
-    by_year = by_month.groupBy("year").agg(F.sum("net_c").alias("net_c"))
+    by_year = by_month.groupBy(year.alias("year")).agg(F.sum("net_c").alias("net_c"))
     falls = by_year.select((F.col("net_c") <= F.lag("net_c").over(Window.orderBy("year"))).alias("f")).agg(
         F.count_if("f").alias("falls")
     )
-    holiday = F.col("month") >= 11
+    holiday = F.col("month") % 12 >= 10
     peak = by_month.agg(
         F.avg(F.when(holiday, F.col("net_c"))).alias("peak"), F.avg(F.when(~holiday, F.col("net_c"))).alias("rest")
     )
-    refunds = (
-        star.returns("return_date", "refund_c")
-        .groupBy(F.year("return_date").alias("year"), F.month("return_date").alias("month"))
-        .agg(F.sum("refund_c").alias("refund_c"))
-    )
-    negative = by_month.join(refunds, ["year", "month"], "left").agg(
+    negative = by_month.join(refunds, "month", "left").agg(
         F.count_if(F.col("net_c") < F.coalesce("refund_c", F.lit(0))).alias("n")
     )
-    rates = (
-        star.product_totals("category")
-        .groupBy("category")
-        .agg(F.sum("units").alias("units"))
-        .join(
-            star.product_returns("category").groupBy("category").agg(F.sum("units_returned").alias("back")),
-            "category",
-            "left",
-        )
-    )
     rate = ratio(F.coalesce("back", F.lit(0)), F.col("units"))
-    worst = rates.agg(F.max_by("category", F.struct(rate, F.col("category"))).alias("category"))
+    worst = sold.agg(F.max_by("category", F.struct(rate, F.col("category"))).alias("category"))
     repeat = (
         monthly.join(per_customer, "customer_key")
-        .groupBy("year")
+        .groupBy(year.alias("year"))
         .agg(F.sum("net_c").alias("net_c"), F.sum(F.when(F.col("again"), F.col("net_c")).otherwise(0)).alias("again_c"))
     )
     share = repeat.agg(F.sum("again_c").alias("again_c"), F.sum("net_c").alias("net_c"))
@@ -357,103 +345,135 @@ def dq_narrative(star: Star, params: Params) -> DataFrame:
     ).agg(F.count_if("f").alias("falls"))
     return q.union_all(
         [
-            _claim(falls, "revenue grows every year", F.col("falls"), F.col("falls") == 0),
+            _claim(falls, "5.1", "revenue grows every year", F.col("falls"), F.col("falls") == 0),
             _claim(
                 peak,
+                "5.2",
                 "November and December beat the other months",
                 exact_round(F.col("peak") / F.col("rest"), 3),
                 F.col("peak") > F.col("rest"),
             ),
-            _claim(negative, "no month has negative net revenue", F.col("n"), F.col("n") == 0),
+            _claim(negative, "5.3", "no month has negative net revenue", F.col("n"), F.col("n") == 0),
             _claim(
                 worst,
+                "5.4",
                 "the expected category has the highest return rate",
                 F.col("category"),
                 F.col("category") == params.high_return_category,
             ),
             _claim(
                 share,
+                "5.5",
                 "repeat customers bring a minority of revenue",
                 pct(F.col("again_c"), F.col("net_c"), 2),
                 F.col("again_c") * 2 < F.col("net_c"),
                 q.FINDING,
             ),
-            _claim(
-                trend, "the repeat share grows every year", F.col("falls"), F.col("falls") == 0, q.FINDING
-            ),
+            _claim(trend, "5.6", "the repeat share grows every year", F.col("falls"), F.col("falls") == 0, q.FINDING),
         ]
     )
 
 
-def _ready(df: DataFrame, name: str, measure: Column, ok: Column) -> DataFrame:
-    return df.select(
-        F.lit(name).alias("requirement"),
-        measure.cast("bigint").alias("measure"),
-        F.when(ok, q.PASS).otherwise(q.FAIL).alias("status"),
+def dq_narrative(star: Star, params: Params) -> DataFrame:
+    """What is said about the business, checked against the facts, each of which is read once."""
+    monthly = stage(
+        star.orders("customer_key", "order_date", "net_c")
+        .groupBy("customer_key", month_index(F.col("order_date")).alias("month"))
+        .agg(F.count("*").alias("orders"), F.sum("net_c").alias("net_c")),
+        "customer-months",
+    )
+    back = stage(
+        star.returns("product_key", "return_date", "refund_c", "return_quantity")
+        .groupBy("product_key", month_index(F.col("return_date")).alias("month"))
+        .agg(F.sum("refund_c").alias("refund_c"), F.sum("return_quantity").alias("back")),
+        "product-months",
+    )
+    refunds = back.groupBy("month").agg(F.sum("refund_c").alias("refund_c"))
+    of_product = back.groupBy("product_key").agg(F.sum("back").alias("back"))
+    sold = (
+        star.product_totals("category")
+        .select("product_key", "category", "units")
+        .join(of_product, "product_key", "left")
+        .groupBy("category")
+        .agg(F.sum("units").alias("units"), F.sum("back").alias("back"))
+    )
+    return claims(monthly, refunds, sold, params).drop("check")
+
+
+def _ready(*rows: tuple[str, str, Column, Column]) -> Column:
+    return F.inline(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(check).alias("check"),
+                    F.lit(name).alias("requirement"),
+                    measure.cast("bigint").alias("measure"),
+                    F.when(ok, q.PASS).otherwise(q.FAIL).alias("status"),
+                )
+                for check, name, measure, ok in rows
+            ]
+        )
     )
 
 
-def dq_analytics_readiness(star: Star, params: Params) -> DataFrame:
-    """Whether segmentation, cohorts, churn labels and series can be built."""
-    snap = star.snapshot()
-    last = snap.filter(F.col("month_end") == F.lit(star.horizon))
-    end = star.horizon.year * 12 + star.horizon.month - 1
-    months = snap.select("customer_key", month_index(F.col("month_end")).alias("m"), "churn_risk_flag")
-    # Months of a customer are few, so the row two months on is a lead of two.
-    later = F.lead("m", 2).over(Window.partitionBy("customer_key").orderBy("m")) == F.col("m") + 2
-    labels = months.select("m", "churn_risk_flag", F.coalesce(later, F.lit(False)).alias("labelled")).agg(
-        F.count_if("labelled").alias("labelled"),
-        F.count_if(F.col("labelled") & (F.col("m") > end - 2)).alias("impossible"),
-        F.count_if("churn_risk_flag").alias("at_risk"),
-        F.count_if(~F.col("churn_risk_flag")).alias("not_at_risk"),
-    )
-    inputs = last.filter("cumulative_orders_to_date > 0").agg(
-        F.count_if(
-            F.col("recency_days").isNull()
-            | F.col("cumulative_orders_to_date").isNull()
-            | F.col("cumulative_net_c").isNull()
-        ).alias("incomplete"),
-        F.count_distinct("recency_days").alias("recencies"),
-        F.count_if(F.col("cumulative_net_c") > 0).alias("rankable"),
-    )
-    amounts = last.filter("cumulative_orders_to_date > 0").agg(
-        F.count_distinct("cumulative_net_c").alias("amounts")
-    )
-    cohorts = star.customers("signup_date").groupBy(F.trunc("signup_date", "MM").alias("m")).agg(
-        F.count("*").alias("n")
-    )
-    sizes = cohorts.agg(F.min("n").alias("smallest"))
-    ordered = star.orders("order_date").groupBy(F.trunc("order_date", "MM").alias("month")).agg(
-        F.count("*").alias("n")
-    )
-    first = F.min("month")
-    dead = ordered.agg(
-        (F.lit(end) - month_index(first) + 1 - F.count("*")).alias("dead")
-    )
-    grains = star.order_line_totals().agg(F.sum("lines").alias("lines"), F.count("*").alias("orders"))
+def readiness(series: DataFrame, signups: DataFrame, months: DataFrame, grains: DataFrame, horizon: dt.date) -> DataFrame:
+    """Whether segmentation, cohorts, churn labels and series can be built, each with the id of its check.
+
+    ``series``: one row per customer, as ``Ledger.series`` gives it. ``signups``: signup_date. ``months``: month
+    (index) of orders. ``grains``: one row with the counts ``lines`` and ``orders``.
+    """
+    end = horizon.year * 12 + horizon.month - 1
+    bought = F.col("f_orders") > 0
+
+    def one(c: str) -> Column:
+        return F.col(c)
+
+    base = series.agg(
+        F.count_if(bought & (F.col("f_recency").isNull() | F.col("f_net_c").isNull())).alias("incomplete"),
+        F.count_distinct(F.when(bought, F.col("f_recency"))).alias("recencies"),
+        F.count_distinct(F.when(bought, F.col("f_net_c"))).alias("amounts"),
+        F.count_if(bought & (F.col("f_net_c") > 0)).alias("rankable"),
+        F.coalesce(F.sum("labelled"), F.lit(0)).alias("labelled"),
+        F.coalesce(F.sum("impossible"), F.lit(0)).alias("impossible"),
+        F.coalesce(F.sum("at_risk"), F.lit(0)).alias("at_risk"),
+        F.coalesce(F.sum("not_at_risk"), F.lit(0)).alias("not_at_risk"),
+    ).select(
+        _ready(
+            ("6.1", "rfm inputs complete", one("incomplete"), one("incomplete") == 0),
+            ("6.2", "recency can be cut in five", one("recencies"), one("recencies") >= 5),
+            ("6.2", "value can be cut in five", one("amounts"), one("amounts") >= 5),
+            ("6.4", "churn labels can be derived", one("labelled"), one("labelled") > 0),
+            ("6.4", "no label beyond the horizon", one("impossible"), one("impossible") == 0),
+            ("6.5", "both churn classes occur", F.least("at_risk", "not_at_risk"), (one("at_risk") > 0) & (one("not_at_risk") > 0)),
+            ("6.6", "enough customers to rank", one("rankable"), one("rankable") >= 100),
+        )
+    )
+    sizes = signups.groupBy(F.trunc("signup_date", "MM").alias("m")).agg(F.count("*").alias("n")).agg(F.min("n").alias("smallest"))
+    dead = months.distinct().agg((F.lit(end) - F.min("month") + 1 - F.count("*")).alias("dead"))
     return q.union_all(
         [
-            _ready(inputs, "rfm inputs complete", F.col("incomplete"), F.col("incomplete") == 0),
-            _ready(inputs, "recency can be cut in five", F.col("recencies"), F.col("recencies") >= 5),
-            _ready(amounts, "value can be cut in five", F.col("amounts"), F.col("amounts") >= 5),
-            _ready(sizes, "every cohort has customers", F.col("smallest"), F.col("smallest") > 0),
-            _ready(labels, "churn labels can be derived", F.col("labelled"), F.col("labelled") > 0),
-            _ready(labels, "no label beyond the horizon", F.col("impossible"), F.col("impossible") == 0),
-            _ready(
-                labels,
-                "both churn classes occur",
-                F.least("at_risk", "not_at_risk"),
-                (F.col("at_risk") > 0) & (F.col("not_at_risk") > 0),
-            ),
-            _ready(inputs, "enough customers to rank", F.col("rankable"), F.col("rankable") >= 100),
-            _ready(dead, "no month without orders", F.col("dead"), F.col("dead") == 0),
-            _ready(
-                grains, "lines fan out of orders", F.col("lines") - F.col("orders"), F.col("lines") > F.col("orders")
-            ),
+            base,
+            sizes.select(_ready(("6.3", "every cohort has customers", one("smallest"), one("smallest") > 0))),
+            dead.select(_ready(("6.7", "no month without orders", one("dead"), one("dead") == 0))),
+            grains.select(_ready(("6.8", "lines fan out of orders", one("lines") - one("orders"), one("lines") > one("orders")))),
         ]
     )
 
 
+def dq_analytics_readiness(star: Star, params: Params) -> DataFrame:
+    """Whether segmentation, cohorts, churn labels and series can be built; the snapshot is read once."""
+    series = stage(Ledger(star).series, "series")
+    orders = stage(
+        star.order_line_totals().select("order_key", "lines")
+        .join(star.orders("order_key", "order_date"), "order_key")
+        .groupBy(month_index(F.col("order_date")).alias("month"))
+        .agg(F.sum("lines").alias("lines"), F.count("*").alias("orders")),
+        "order-months",
+    )
+    grains = orders.agg(F.sum("lines").alias("lines"), F.sum("orders").alias("orders"))
+    return readiness(series, star.customers("signup_date"), orders.select("month"), grains, star.horizon).drop("check")
+
+
 def dq_spot_row(star: Star, params: Params) -> DataFrame:
     return q.spot_rows(star.calendar(), "full_date", SPOT_DAYS)
 

@@ -351,33 +351,48 @@ def _certified() -> str:
         "6.6": ["enough customers to rank"], "6.7": ["no month without orders"], "6.8": ["lines fan out of orders"],
     }
     pairs = [(k, v) for k, vs in by_need.items() for v in vs]
+    def keys(check: str, key: str, rest: str) -> str:
+        """The keys that break a check: how many, and the five smallest."""
+        return f"""SELECT '{check}' AS id, COUNT(*) AS n,
+                          array_to_string(list_slice(list(CAST(k AS VARCHAR) ORDER BY k), 1, 5), ', ') AS e
+                   FROM (SELECT {key} AS k FROM {rest})"""
+
+    def total(check: str, count: str, rest: str) -> str:
+        return f"SELECT '{check}', {count}, '' FROM {rest}"
+
+    def stated(rows: str, pairs, name: str, value: str) -> str:
+        return f"""SELECT m.id, COUNT(*) FILTER (WHERE z.status <> 'PASS'),
+                          string_agg(CAST(z.{value} AS VARCHAR), ', ' ORDER BY CAST(z.{value} AS VARCHAR))
+                   FROM (VALUES {_values(pairs)}) AS m(id, told) JOIN ({rows}) z ON z.{name} = m.told GROUP BY m.id"""
+
+    counted = [
+        keys("4a.1", "c_custkey", "customer WHERE c_custkey NOT IN (SELECT cust FROM spine)"),
+        total("2.4", "CASE WHEN (SELECT SUM(refund) FROM back) > SUM(net) THEN 1 ELSE 0 END", "sale"),
+        total("2.3", "COUNT(*) FILTER (WHERE back > qty)", "back"),
+        total(
+            "3.7", "COUNT(*) FILTER (WHERE cost <= 0) + CASE WHEN SUM(net) <= SUM(qty * cost) THEN 1 ELSE 0 END", "sale"
+        ),
+        keys("4b.1", "p_partkey", "part WHERE p_partkey NOT IN (SELECT part FROM sale)"),
+        keys(
+            "4b.2", "campaign_key",
+            "promo WHERE campaign_key NOT IN (SELECT x.campaign_key FROM hdr h JOIN promo_day x ON x.d = h.day)",
+        ),
+        total(
+            "4b.4", "COUNT(DISTINCT o_orderpriority)", "orders WHERE o_orderpriority NOT IN (SELECT chan FROM hdr)"
+        ),
+        total("4b.5", "COUNT(*)", "reason_names WHERE reason NOT IN (SELECT reason FROM back)"),
+        keys("4b.6", "n_nationkey", "nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)"),
+        keys("4b.7", "cust", "purse WHERE orders = 0"),
+        stated(claims, by_claim.items(), "claim", "evidence"),
+        stated(needs, pairs, "requirement", "measure"),
+    ]
     return f"""
-        SELECT c.check_id, c.tier, c.severity, c.name, {{b(COALESCE(v.n, 0))}} AS violations,
+        SELECT c.check_id, c.tier, c.severity, c.name, {{b(COALESCE(v.n, 0))}} AS violations, COALESCE(v.e, '') AS evidence,
                CASE WHEN COALESCE(v.n, 0) = 0 THEN 'PASS' WHEN c.severity = 'ADVISORY' THEN 'FINDING' ELSE 'FAIL' END
                AS status
         FROM (VALUES {_values([(c.id, c.tier, c.severity, c.name) for c in CHECKS])})
              AS c(check_id, tier, severity, name)
-        LEFT JOIN (
-            SELECT '4a.1' AS id, ABS((SELECT COUNT(DISTINCT cust) FROM spine) - COUNT(*)) AS n FROM customer
-            UNION ALL SELECT '2.4', CASE WHEN (SELECT SUM(refund) FROM back) > SUM(net) THEN 1 ELSE 0 END FROM sale
-            UNION ALL SELECT '2.3', COUNT(*) FILTER (WHERE back > qty) FROM back
-            UNION ALL SELECT '3.7', COUNT(*) FILTER (WHERE cost <= 0)
-                      + CASE WHEN SUM(net) <= SUM(qty * cost) THEN 1 ELSE 0 END FROM sale
-            UNION ALL SELECT '4b.1', COUNT(*) FROM part WHERE p_partkey NOT IN (SELECT part FROM sale)
-            UNION ALL SELECT '4b.2', COUNT(*) FROM promo WHERE campaign_key NOT IN
-                      (SELECT x.campaign_key FROM hdr h JOIN promo_day x ON x.d = h.day)
-            UNION ALL SELECT '4b.4', COUNT(DISTINCT o_orderpriority) FROM orders
-                      WHERE o_orderpriority NOT IN (SELECT chan FROM hdr)
-            UNION ALL SELECT '4b.5', COUNT(*) FROM reason_names WHERE reason NOT IN (SELECT reason FROM back)
-            UNION ALL SELECT '4b.6', COUNT(*) FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)
-            UNION ALL SELECT '4b.7', COUNT(*) FROM purse WHERE orders = 0
-            UNION ALL SELECT m.id, COUNT(*) FILTER (WHERE z.status <> 'PASS')
-                      FROM (VALUES {_values(by_claim.items())}) AS m(id, claim)
-                      JOIN ({claims}) z ON z.claim = m.claim GROUP BY m.id
-            UNION ALL SELECT m.id, COUNT(*) FILTER (WHERE z.status <> 'PASS')
-                      FROM (VALUES {_values(pairs)}) AS m(id, requirement)
-                      JOIN ({needs}) z ON z.requirement = m.requirement GROUP BY m.id
-        ) v ON v.id = c.check_id"""
+        LEFT JOIN ({" UNION ALL ".join(counted)}) v ON v.id = c.check_id"""
 
 
 def _suites() -> dict[str, str]:
