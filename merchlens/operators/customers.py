@@ -96,6 +96,11 @@ def buyers_by_value(star: Star, *attributes: str) -> DataFrame:
     return with_tile(rows, 10, F.desc("value_c"), F.col("customer_key"), tile="decile")
 
 
+def buyer_values(star: Star) -> DataFrame:
+    """customer_key, value_c of everyone with an order."""
+    return customer_ledger(star).filter("orders > 0").select("customer_key", "value_c")
+
+
 def segment_of(r: Column, f: Column) -> Column:
     out = F
     for name, rs, fs in SEGMENT_RULES:

@@ -1,9 +1,9 @@
-"""Global ranks, tiles and exact quantiles without a one-task window.
+"""Global ranks and tiles without a one-task window.
 
-``row_number``, ``ntile`` and ``percentile`` over a whole table pull it into one
-task. Here the table is range-partitioned by the wanted order, sorted inside
-each partition and stored with the row's position. The count of each partition
-(one row per partition) then turns positions into ranks. The order must end in
+``row_number`` and ``ntile`` over a whole table pull it into one task. Here the
+table is range-partitioned by the wanted order, sorted inside each partition and
+stored with the row's position. The count of each partition (one row per
+partition) then turns positions into ranks. The order must end in
 a unique key, which also lets range partitioning split equal values.
 """
 
@@ -101,45 +101,3 @@ def with_group_rank(df: DataFrame, groups: Sequence[str], *order: Column, rank:
         .withColumn(rank, F.col("_rank") - F.col("_first") + 1)
         .drop("_rank", "_first", *[f"_g_{g}" for g in groups])
     )
-
-
-def grouped_quantiles(
-    df: DataFrame,
-    groups: Sequence[str],
-    values: dict[str, Column],
-    wanted: dict[str, tuple[str, float]],
-    key: str,
-) -> DataFrame:
-    """Exact interpolated quantiles of several measures per group.
-
-    ``values`` names the measures, ``wanted`` maps each output column to
-    ``(measure, probability)``. ``groups`` must be few (bands, segments,
-    strata): their sizes are broadcast. NULL values are left out, and a group
-    with no value of any measure gets no row.
-    """
-    measure = F.explode(
-        F.array(*[F.struct(F.lit(m).alias("_m"), c.cast("double").alias("_v")) for m, c in values.items()])
-    )
-    long = (
-        df.select(*groups, key, measure.alias("_mv"))
-        .select(*groups, key, "_mv._m", "_mv._v")
-        .filter(F.col("_v").isNotNull())
-    )
-    joined = with_group_rank(long, ["_m", *groups], F.col("_v"), F.col(key)).select(
-        "_m", *groups, "_v", (F.col("rank") - 1).alias("_i"), (F.col("n") - 1).alias("_last")
-    )
-
-    def spot(p: float) -> Column:
-        return F.col("_last") * F.lit(float(p))
-
-    hits = F.lit(False)
-    for p in sorted({p for _, p in wanted.values()}):
-        hits = hits | (F.col("_i") == F.floor(spot(p))) | (F.col("_i") == F.ceil(spot(p)))
-    outs = []
-    for out, (m, p) in wanted.items():
-        mine = F.col("_m") == m
-        low = F.max(F.when(mine & (F.col("_i") == F.floor(spot(p))), F.col("_v")))
-        high = F.max(F.when(mine & (F.col("_i") == F.ceil(spot(p))), F.col("_v")))
-        part = F.max(F.when(mine, spot(p) - F.floor(spot(p))))
-        outs.append((low + (high - low) * part).alias(out))
-    return joined.filter(hits).groupBy(*groups).agg(*outs)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchlens.functions.money import currency, exact_round, mean_currency, pct, ratio
 from merchlens.operators import customers as cust
-from merchlens.operators.ranking import grouped_quantiles
+from merchlens.operators.selection import grouped_quantiles
 from merchlens.params import Params
 from merchlens.session import stage
 from merchlens.sources.star import Star
@@ -54,7 +54,6 @@ def behavior_by_value_class(star: Star, params: Params) -> DataFrame:
         ["historical_value_class"],
         {"cadence": F.col("purchase_cadence_days")},
         {"c50": ("cadence", 0.5), "c25": ("cadence", 0.25), "c75": ("cadence", 0.75)},
-        "customer_key",
     )
     few = rows.groupBy("historical_value_class").agg(
         F.count("*").alias("customers"),
@@ -76,7 +75,7 @@ def _cells(rows: DataFrame, by: str, params: Params) -> DataFrame:
     """Size, median and mean value of each (order frequency, ``by``) cell."""
     rows = stage(rows.select("customer_key", "order_frequency", by, "clv_c"), "cells")
     cell = ["order_frequency", by]
-    q = grouped_quantiles(rows, cell, {"clv": F.col("clv_c") / 100}, {"median": ("clv", 0.5)}, "customer_key")
+    q = grouped_quantiles(rows, cell, {"clv": F.col("clv_c") / 100}, {"median": ("clv", 0.5)})
     sizes = rows.groupBy(*cell).agg(F.count("*").alias("customers"), F.sum("clv_c").alias("clv_c"))
     return sizes.join(q, cell).select(
         F.col("order_frequency").alias("order_frequency_stratum"),
@@ -129,7 +128,6 @@ def non_explanatory_variables(star: Star, params: Params) -> DataFrame:
         ["historical_value_class"],
         {"basket": F.col("basket"), "discount": F.col("discount_share")},
         {"basket": ("basket", 0.5), "discount": ("discount", 0.5)},
-        "customer_key",
     )
     sums = rows.groupBy("historical_value_class").agg(
         F.count("*").alias("customers"), F.sum("units").alias("units"), F.sum("units_returned").alias("back")
@@ -148,7 +146,7 @@ def behavior_by_rfm_segment(star: Star, params: Params) -> DataFrame:
     segments = cust.rfm_segments(star, money=False).select("customer_key", "segment")
     rows = stage(cust.behavioral_features(star, params).join(segments, "customer_key"), "segment-features")
     q = grouped_quantiles(
-        rows, ["segment"], {"cadence": F.col("purchase_cadence_days")}, {"c50": ("cadence", 0.5)}, "customer_key"
+        rows, ["segment"], {"cadence": F.col("purchase_cadence_days")}, {"c50": ("cadence", 0.5)}
     )
     few = rows.groupBy("segment").agg(
         F.count("*").alias("customers"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from merchlens.functions.bands import value_class
 from merchlens.functions.money import currency, exact_round, mean_currency
 from merchlens.operators import customers as cust
-from merchlens.operators.ranking import grouped_quantiles
+from merchlens.operators.selection import grouped_quantiles
 from merchlens.operators.shares import share
 from merchlens.params import Params
 from merchlens.session import stage
@@ -55,7 +55,6 @@ def clv_percentiles(star: Star, params: Params) -> DataFrame:
         ["basis"],
         {"clv": F.col("clv_c") / 100},
         {name: ("clv", p) for name, p in points.items()},
-        "customer_key",
     )
     totals = rows.groupBy(F.lit("all").alias("basis")).agg(
         F.count("*").alias("positive_clv_customers"), F.sum("clv_c").alias("clv_c"), F.max("clv_c").alias("max_c")
@@ -92,7 +91,7 @@ def clv_by_rfm_segment(star: Star, params: Params) -> DataFrame:
         cust.rfm_segments(star, money=False).select("customer_key", "segment").join(values, "customer_key"), "segment-clv"
     )
     q = grouped_quantiles(
-        rows, ["segment"], {"clv": F.col("clv_c") / 100}, {"median": ("clv", 0.5)}, "customer_key"
+        rows, ["segment"], {"clv": F.col("clv_c") / 100}, {"median": ("clv", 0.5)}
     )
     return (
         rows.groupBy("segment")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchlens.functions.money import currency, exact_round, pct
 from merchlens.operators.customers import buyers_by_value, historical_clv
-from merchlens.operators.ranking import with_group_rank, with_rank
+from merchlens.operators.running import rows_between, running_by_value
 from merchlens.params import Params
 from merchlens.sources.star import Star
 
@@ -34,14 +34,14 @@ def concentration_bases(star: Star, params: Params) -> DataFrame:
 
 
 def topn_ladder(star: Star, params: Params) -> DataFrame:
-    ranked = with_group_rank(_both_bases(star), ["analytical_basis"], F.desc("clv_c"), F.col("customer_key"))
+    values = running_by_value(_both_bases(star), ["analytical_basis"], "clv_c", descending=True)
 
     def held(p: int) -> Column:
-        # rank <= n * p / 100, in whole numbers.
-        return F.sum(F.when(F.col("rank") * 100 <= F.col("n") * p, F.col("clv_c")))
+        top = F.floor(F.col("total_n") * p / 100)
+        return F.sum(rows_between(F.lit(0), top) * F.col("clv_c"))
 
-    return ranked.groupBy("analytical_basis").agg(
-        *[pct(held(p), F.sum("clv_c")).alias(f"top_{p}_pct") for p in LADDER]
+    return values.groupBy("analytical_basis").agg(
+        *[pct(held(p), F.max("total_sum")).alias(f"top_{p}_pct") for p in LADDER]
     )
 
 
@@ -55,34 +55,30 @@ def top_decile_share(star: Star, params: Params) -> DataFrame:
 def lorenz_curve(star: Star, params: Params) -> DataFrame:
     """Share of value the poorest customers hold, at ten points of the base.
 
-    Each row adds its value to the first point at or above its rank; ten sums
-    then accumulate. Points fall on ranks that are whole multiples of a tenth of
-    the base, so a base not divisible by ten has fewer of them.
+    Points fall on ranks that are whole multiples of a tenth of the base, so a
+    base not divisible by ten has fewer of them. A point inside a run of equal
+    values takes as many of them as its rank asks for.
     """
-    ranked = with_rank(historical_clv(star), F.col("clv_c"), F.col("customer_key"))
-    point = F.ceil(F.col("rank") * LORENZ_POINTS / F.col("n")).cast("int")
-    sums = ranked.groupBy(point.alias("point")).agg(F.sum("clv_c").alias("clv_c"), F.max("n").alias("n"))
-    points = sums.agg(
-        F.sum("clv_c").alias("total_c"), F.max("n").alias("n"), F.collect_list(F.struct("point", "clv_c")).alias("s")
-    ).select(
-        "*",
-        F.explode(F.sequence(F.lit(1), F.lit(LORENZ_POINTS))).alias("at"),
-    )
-    below = F.aggregate(
-        F.filter("s", lambda x: x.point <= F.col("at")), F.lit(0).cast("bigint"), lambda a, x: a + x.clv_c
-    )
+    values = running_by_value(historical_clv(star), [], "clv_c")
+    below = [
+        F.struct(F.lit(at).alias("at"), F.sum(rows_between(F.lit(0), F.floor(F.col("total_n") * at / LORENZ_POINTS)) * F.col("clv_c")).alias("below_c"))
+        for at in range(1, LORENZ_POINTS + 1)
+    ]
+    points = values.agg(F.max("total_n").alias("n"), F.max("total_sum").alias("total_c"), F.array(*below).alias("points"))
     rank = F.col("n") * F.col("at") / LORENZ_POINTS
-    return points.filter((F.col("n") * F.col("at")) % LORENZ_POINTS == 0).select(
+    return points.select("n", "total_c", F.inline("points")).filter((F.col("n") * F.col("at")) % LORENZ_POINTS == 0).select(
         pct(rank, F.col("n")).alias("cumulative_customer_pct"),
-        pct(below, F.col("total_c"), 2).alias("cumulative_value_pct"),
+        pct(F.col("below_c"), F.col("total_c"), 2).alias("cumulative_value_pct"),
     )
 
 
 def gini(star: Star, params: Params) -> DataFrame:
-    ranked = with_group_rank(_both_bases(star), ["analytical_basis"], F.col("clv_c"), F.col("customer_key"))
-    # rank x value outgrows BIGINT on large bases.
-    weighted = F.sum(F.col("rank").cast("decimal(18,0)") * F.col("clv_c").cast("decimal(18,0)")).cast("double")
-    n, value = F.max("n").cast("double"), F.sum("clv_c").cast("double")
-    return ranked.groupBy("analytical_basis").agg(
-        exact_round(2.0 * weighted / F.nullif(n * value, F.lit(0.0)) - (n + 1.0) / n, 4).alias("gini_coefficient")
+    values = running_by_value(_both_bases(star), ["analytical_basis"], "clv_c")
+    # Ranks of equal values add up as a run of whole numbers; rank x value outgrows BIGINT on large bases.
+    n, before = (F.col(c).cast("decimal(18,0)") for c in ("n", "before_n"))
+    ranks = n * before + n * (n + 1) / 2
+    weighted = F.sum(ranks * F.col("clv_c").cast("decimal(18,0)")).cast("double")
+    base, value = F.max("total_n").cast("double"), F.max("total_sum").cast("double")
+    return values.groupBy("analytical_basis").agg(
+        exact_round(2.0 * weighted / F.nullif(base * value, F.lit(0.0)) - (base + 1.0) / base, 4).alias("gini_coefficient")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from merchlens.functions.bands import VALUE_CLASSES
 from merchlens.functions.money import currency, exact_round, pct
 from merchlens.operators import customers as cust
-from merchlens.operators.ranking import grouped_quantiles
+from merchlens.operators.selection import grouped_quantiles
 from merchlens.operators.shares import share
 from merchlens.params import Params
 from merchlens.sources.star import Star
@@ -106,7 +106,6 @@ def method_disagreement(star: Star, params: Params) -> DataFrame:
         ["disagreement_population"],
         {"clv": F.col("clv_c") / 100, "cadence": F.col("purchase_cadence_days")},
         {"clv50": ("clv", 0.5), "c50": ("cadence", 0.5)},
-        "customer_key",
     )
     # Both populations are reported, also when empty.
     both = star.spark.createDataFrame(
@@ -132,7 +131,6 @@ def portfolio_by_framework(star: Star, params: Params) -> DataFrame:
         ["executive_framework"],
         {"cadence": F.col("purchase_cadence_days")},
         {"c50": ("cadence", 0.5)},
-        "customer_key",
     )
     few = rows.groupBy("executive_framework").agg(
         F.count("*").alias("customers"),

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from merchlens.functions.bands import frequency_tier, snapshot_tier
 from merchlens.functions.money import currency, exact_round, mean_currency, pct, ratio
-from merchlens.operators.customers import buyers_by_value, customer_ledger
+from merchlens.operators.customers import buyer_values, buyers_by_value, customer_ledger
+from merchlens.operators.running import rows_between, running_by_value
 from merchlens.operators.shares import share, total
 from merchlens.params import Params
 from merchlens.plans.marketing import customer_orders, mix_columns
@@ -57,13 +58,23 @@ def frequency_tier_value(star: Star, params: Params) -> DataFrame:
 
 
 def value_deciles(star: Star, params: Params) -> DataFrame:
-    rows = (
-        buyers_by_value(star)
-        .groupBy("decile")
-        .agg(F.count("*").alias("customers"), F.sum("value_c").alias("value_c"))
-    )
+    """Buyers in ten groups by value; equal values may lie in two, and then count in each as often as they do."""
+    values = running_by_value(buyer_values(star), [], "value_c", descending=True)
+    # Sizes as NTILE has them: the first ones are larger by one.
+    size, extra = F.floor(F.col("total_n") / 10), F.col("total_n") % 10
+
+    def start(k: int) -> Column:
+        return size * k + F.least(extra, F.lit(k))
+
+    rows = [rows_between(start(k), start(k + 1)) for k in range(10)]
+    sums = [
+        F.struct(F.lit(k + 1).cast("bigint").alias("decile"), F.sum(r).alias("customers"), F.sum(r * F.col("value_c")).alias("value_c"))
+        for k, r in enumerate(rows)
+    ]
+    # Ten rows from here on.
+    deciles = values.agg(F.array(*sums).alias("s")).select(F.inline("s")).filter("customers > 0")
     so_far = F.sum("value_c").over(Window.orderBy("decile"))
-    return rows.select(
+    return deciles.select(
         "decile",
         "customers",
         currency(F.col("value_c")).alias("net_revenue"),
