@@ -14,6 +14,7 @@ from merchlens.functions.dates import (
     last_weekday_of_month,
     season,
 )
+from merchlens.operators.interval_join import interval_join
 
 # Seven campaign windows a year. Windows without a start day hang
 # on Thanksgiving (fourth Thursday of November), by days after it.
@@ -87,17 +88,32 @@ def depth_percent(depth: Column) -> Column:
     return F.element_at(F.create_map(*pairs), depth)
 
 
-def campaign_day_map(campaigns: DataFrame) -> DataFrame:
-    """(full_date, campaign_key, discount_depth, discount_pct), one row per day.
+def campaign_days(days: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """(full_date, campaign_key, discount_depth, discount_pct): the days (``full_date``, each once) that lie in a
+    campaign's window.
 
     Where windows overlap the deepest discount wins, then the lower key.
     """
+    spans = campaigns.select(
+        "campaign_key", "discount_depth", depth_percent(F.col("discount_depth")).alias("discount_pct"), "start_date", "end_date"
+    )
+    held = interval_join(days.select("full_date"), spans, "full_date", "start_date", "end_date").drop("start_date", "end_date")
+    return _best_per_day(held)
+
+
+def campaign_day_map(campaigns: DataFrame) -> DataFrame:
+    """As ``campaign_days``, for every day of any window, without a list of days."""
     days = campaigns.select(
         F.explode(F.sequence("start_date", "end_date")).alias("full_date"),
         "campaign_key",
         "discount_depth",
         depth_percent(F.col("discount_depth")).alias("discount_pct"),
     )
+    return _best_per_day(days)
+
+
+def _best_per_day(days: DataFrame) -> DataFrame:
+    # As many rows to a day as campaigns run on it.
     best = Window.partitionBy("full_date").orderBy(F.desc("discount_pct"), "campaign_key")
     return days.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r")
 

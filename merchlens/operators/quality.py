@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from merchlens.operators.interval_join import interval_join
+
 PASS, FAIL, FINDING = "PASS", "FAIL", "FINDING"
 
 
@@ -278,17 +280,18 @@ def explained_negatives(
     """Negative trailing revenue must come from a refund whose order left the window.
 
     ``snapshot``: customer_key, rolling_12mo_c. ``refunds``: customer_key, and
-    the month indexes order_m and return_m. Each refund names the months it can
-    explain (at most ``trailing``), which are matched by an equi join.
+    the month indexes order_m and return_m. A refund explains the months from
+    its own, or the first in which its order has left the window, to the last in
+    which it lies in the window itself.
     """
     negatives = snapshot.filter("rolling_12mo_c < 0").select("customer_key", month.alias("m"))
+    spans = refunds.select(
+        "customer_key",
+        F.greatest(F.col("return_m"), F.col("order_m") + trailing).alias("first_m"),
+        (F.col("return_m") + trailing - 1).alias("last_m"),
+    )
     explains = (
-        refunds.select(
-            "customer_key",
-            "order_m",
-            F.explode(F.sequence(F.col("return_m"), F.col("return_m") + trailing - 1)).alias("m"),
-        )
-        .filter(F.col("order_m") <= F.col("m") - trailing)
+        interval_join(negatives, spans, "m", "first_m", "last_m", ["customer_key"])
         .select("customer_key", "m")
         .distinct()
         .withColumn("_ok", F.lit(True))

@@ -11,6 +11,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from merchlens.functions.dates import month_index
+from merchlens.operators.interval_join import interval_join
+
 
 def dense_snapshot(customers: DataFrame, orders: DataFrame, returns: DataFrame, horizon: dt.date) -> DataFrame:
     """customer_key, month_end and the measures that events decide.
@@ -30,12 +33,17 @@ def dense_snapshot(customers: DataFrame, orders: DataFrame, returns: DataFrame,
     back = returns.groupBy("customer_key", F.trunc("return_date", "MM").alias("month")).agg(
         F.sum("refund_c").alias("refund_c")
     )
-    ends = F.expr(
-        "sequence(trunc(order_date, 'MM'), trunc(date_add(order_date, 89), 'MM'), interval 1 month)"
+    # Each order counts in the month ends of the 90 days from its own.
+    spans = orders.select(
+        "customer_key",
+        "order_date",
+        month_index(F.col("order_date")).alias("first_m"),
+        month_index(F.date_add("order_date", 89)).alias("last_m"),
     )
+    months = spine.select("customer_key", "month", month_index(F.col("month")).alias("m"))
     age = F.datediff(F.last_day("month"), "order_date")
     near = (
-        orders.select("customer_key", "order_date", F.explode(ends).alias("month"))
+        interval_join(months, spans, "m", "first_m", "last_m", ["customer_key"])
         .filter(age < 90)
         .groupBy("customer_key", "month")
         .agg(F.count_if(age < 30).alias("n30"), F.count("*").alias("n90"))

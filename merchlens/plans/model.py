@@ -40,7 +40,7 @@ def campaign_day_map(star: Star, params: Params) -> DataFrame:
 
 
 def campaign_attribution(star: Star, params: Params) -> DataFrame:
-    days = cal.campaign_day_map(star.campaigns())
+    days = cal.campaign_days(star.calendar(), star.campaigns())
     return ops.campaign_attribution(star.orders("order_key", "order_date", "gross_c"), days).select(
         "order_key",
         "order_date",
@@ -73,7 +73,7 @@ def discount_allocation(star: Star, params: Params) -> DataFrame:
     A line's campaign follows from its order's date, so lines get their percent
     without meeting the headers.
     """
-    days = cal.campaign_day_map(star.campaigns())
+    days = cal.campaign_days(star.calendar(), star.campaigns())
     lines = ops.campaign_attribution(star.lines("order_key", "order_line_key", "order_date", "gross_c"), days)
     return ops.discount_allocation(lines, ["order_line_key"]).select(
         "order_line_key",
