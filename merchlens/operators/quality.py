@@ -100,6 +100,41 @@ def pattern(df: DataFrame, column: str, regex: str, label: str) -> DataFrame:
     )
 
 
+def with_longest_prefix(df: DataFrame, name: str, rules: DataFrame) -> DataFrame:
+    """Every row with the columns of the rule whose ``prefix`` is the longest that ``name`` begins with, or NULLs.
+
+    ``rules``: prefix (each once) and what it allows. Names meet rules by an equi
+    join on their beginnings, as long as the prefixes there are, so neither side
+    has to be small; distinct names are matched once.
+    """
+    # A few: the lengths that prefixes have.
+    lengths = [r[0] for r in rules.select(F.char_length("prefix")).distinct().collect()]
+    names = df.select(F.col(name).alias("_name")).filter(F.col(name).isNotNull()).distinct()
+    starts = F.array(*[F.when(F.char_length("_name") >= n, F.left("_name", F.lit(n))) for n in lengths] or [F.lit(None).cast("string")])
+    allowed = [c for c in rules.columns if c != "prefix"]
+    best = (
+        names.select("_name", F.explode(F.array_compact(starts)).alias("prefix"))
+        .join(rules, "prefix")
+        .groupBy("_name")
+        .agg(F.max_by(F.struct("prefix", *allowed), F.char_length("prefix")).alias("_rule"))
+    )
+    return df.join(best, F.col(name) == F.col("_name"), "left").select(*df.columns, "_rule.*")
+
+
+def prefix_domain(df: DataFrame, name: str, value: str, rules: DataFrame, label: str) -> DataFrame:
+    """(rule_set, prefix, rows, violations, status): values that their name's longest prefix does not allow.
+
+    ``rules``: prefix, allowed (array). A name without a rule breaks none and is counted under a NULL prefix.
+    """
+    allowed = F.array_contains("allowed", F.col(value))
+    rows = with_longest_prefix(df.select(name, value), name, rules)
+    return (
+        rows.groupBy("prefix")
+        .agg(F.count("*").alias("rows"), _count(F.col("prefix").isNotNull() & ~F.coalesce(allowed, F.lit(False))).alias("violations"))
+        .select(F.lit(label).alias("rule_set"), "prefix", "rows", "violations", verdict(F.col("violations")).alias("status"))
+    )
+
+
 def row_rules(df: DataFrame, rules: Mapping[str, Column], label: str) -> DataFrame:
     """(table_name, rule, violations): rows breaking each rule, in one pass.
 

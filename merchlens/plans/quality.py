@@ -1,4 +1,4 @@
-"""The data-quality operators run over whole tables.
+"""The data-quality operators run over whole tables, by what ``specs`` says must hold of them.
 
 Raw tables carry real violations; the star built from them must carry none.
 """
@@ -17,65 +17,12 @@ from merchlens.operators.snapshot import TRAILING_MONTHS
 from merchlens.operators.snapshot_check import dense_snapshot
 from merchlens.params import Params
 from merchlens.plans.ledger import Ledger
+from merchlens.plans.specs import RAW, Specs, stored
 from merchlens.session import stage
 from merchlens.sources.retail import RetailStar
 from merchlens.sources.star import Star
 
-# What the raw tables declare.
-RAW_SCHEMA = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
-    " o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
-    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
-    " l_shipdate timestamp_ntz",
-}
-MINIMUM_ROWS = {"region": 5, "nation": 25, "customer": 100, "part": 100, "orders": 1000, "lineitem": 1000}
-RELATIONS = [
-    # child, foreign key, parent, key
-    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
-    ("lineitem", "l_partkey", "part", "p_partkey"),
-    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
-    ("orders", "o_custkey", "customer", "c_custkey"),
-    ("customer", "c_nationkey", "nation", "n_nationkey"),
-    ("supplier", "s_nationkey", "nation", "n_nationkey"),
-    ("nation", "n_regionkey", "region", "r_regionkey"),
-    ("events", "user_id", "customer", "c_custkey"),
-]
-KEYS = [("customer", "c_custkey"), ("orders", "o_orderkey"), ("part", "p_partkey"), ("supplier", "s_suppkey"),
-        ("events", "event_id"), ("lineitem", "l_orderkey")]
-GRAINS = [
-    ("lineitem", ("l_orderkey", "l_linenumber")),
-    ("lineitem", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")),
-    ("orders", ("o_custkey", "o_orderdate")),
-]
-DOMAINS = {
-    ("orders", "o_orderstatus"): ("F", "O", "P"),
-    ("orders", "o_orderpriority"): ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
-    ("customer", "c_mktsegment"): ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
-    ("lineitem", "l_returnflag"): ("A", "R"),
-    ("part", "p_type"): ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "TINY"),
-}
-PATTERNS = {
-    ("customer", "c_name"): "^Customer#[0-9]{9}$",
-    ("part", "p_brand"): "^Brand#[0-9]{2}$",
-    ("orders", "o_orderpriority"): "^[1-5]-[A-Z]+$",
-}
-DISTRIBUTIONS = {
-    ("orders", "o_orderpriority"): ({p: 20.0 for p in DOMAINS[("orders", "o_orderpriority")]}, 5.0),
-    ("customer", "c_mktsegment"): ({s: 20.0 for s in DOMAINS[("customer", "c_mktsegment")]}, 0.5),
-    ("lineitem", "l_returnflag"): ({"A": 50.0, "R": 33.0}, 5.0),
-}
-COVERAGE = [
-    ("customer", "c_custkey", "orders", "o_custkey"),
-    ("orders", "o_orderkey", "lineitem", "l_orderkey"),
-    ("part", "p_partkey", "lineitem", "l_partkey"),
-    ("supplier", "s_suppkey", "lineitem", "l_suppkey"),
-    ("nation", "n_nationkey", "customer", "c_nationkey"),
-]
+# What the calendar says of some days.
 SPOT_DAYS = {
     "1996-02-29": {"day_name": "Thursday", "season": "Winter", "holiday_flag": "false", "week_of_year": "9"},
     "1999-11-25": {"day_name": "Thursday", "holiday_flag": "true", "campaign_period_flag": "true"},
@@ -84,87 +31,78 @@ SPOT_DAYS = {
 }
 
 
-def dq_fk_orphans(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all(
-        [q.fk_orphans(star.raw(c), fk, star.raw(p), pk, f"{c}.{fk}") for c, fk, p, pk in RELATIONS]
-    )
+def _specs(star: Star) -> Specs:
+    """What must hold of the tables that a star keeps: raw ones, or its own twelve."""
+    return RAW if isinstance(star, RetailStar) else stored()
 
 
-def dq_pk_unique(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all([q.pk_unique(star.raw(t), k, t) for t, k in KEYS])
+def _table(star: Star, name: str) -> DataFrame:
+    return star.raw(name) if isinstance(star, RetailStar) else star.table(name)
 
 
-def dq_grain_unique(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all([q.grain_unique(star.raw(t), g, f"{t}({','.join(g)})") for t, g in GRAINS])
+def dq_fk_orphans(star: Star, params: Params) -> DataFrame:
+    rows = _specs(star).relations
+    return q.union_all([q.fk_orphans(_table(star, c), fk, _table(star, p), pk, f"{c}.{fk}") for c, fk, p, pk in rows])
 
 
-def dq_not_null(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all(
-        [q.not_null(star.raw(t), star.raw(t).columns, t) for t in ("orders", "lineitem", "customer")]
-    )
+def dq_pk_unique(star: Star, params: Params) -> DataFrame:
+    return q.union_all([q.pk_unique(_table(star, t), k, t) for t, k in _specs(star).keys])
 
 
-def dq_domain_values(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all([q.domain_values(star.raw(t), c, v, f"{t}.{c}") for (t, c), v in DOMAINS.items()])
+def dq_grain_unique(star: Star, params: Params) -> DataFrame:
+    return q.union_all([q.grain_unique(_table(star, t), g, f"{t}({','.join(g)})") for t, g in _specs(star).grains])
 
 
-def dq_pattern(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all([q.pattern(star.raw(t), c, r, f"{t}.{c}") for (t, c), r in PATTERNS.items()])
+def dq_not_null(star: Star, params: Params) -> DataFrame:
+    return q.union_all([q.not_null(_table(star, t), cols or _table(star, t).columns, t) for t, cols in _specs(star).not_null.items()])
 
 
-def dq_row_rule(star: RetailStar, params: Params) -> DataFrame:
-    lines = {
-        "positive_quantity": F.col("l_quantity") > 0,
-        "whole_quantity": F.col("l_quantity") == F.floor("l_quantity"),
-        "price_not_negative": F.col("l_extendedprice") >= 0,
-        "discount_below_ten_percent": F.col("l_discount") < 0.1,
-        "line_number_in_range": F.col("l_linenumber").between(1, 7),
-        "returned_means_finished": (F.col("l_returnflag") != "R") | (F.col("l_linestatus") == "F"),
-    }
-    orders = {"positive_total": F.col("o_totalprice") > 0, "date_present": F.col("o_orderdate").isNotNull()}
-    return q.row_rules(star.raw("lineitem"), lines, "lineitem").unionByName(
-        q.row_rules(star.raw("orders"), orders, "orders")
-    )
+def dq_domain_values(star: Star, params: Params) -> DataFrame:
+    return q.union_all([q.domain_values(_table(star, t), c, v, f"{t}.{c}") for (t, c), v in _specs(star).domains.items()])
 
 
-def dq_cross_table_rule(star: RetailStar, params: Params) -> DataFrame:
-    lines = star.raw("lineitem")
-    orders = star.raw("orders").withColumnRenamed("o_orderkey", "l_orderkey")
-    parts = star.raw("part").withColumnRenamed("p_partkey", "l_partkey")
-    price = cents(F.col("l_extendedprice"))
-    catalog = F.col("l_quantity").cast("bigint") * cents(F.col("p_retailprice"))
-    return q.union_all(
-        [
-            q.cross_table_rules(
-                lines,
-                orders,
-                "l_orderkey",
-                {
-                    "ship_not_before_order": F.col("l_shipdate") >= F.col("o_orderdate"),
-                    "line_within_order_total": F.col("l_extendedprice") <= F.col("o_totalprice"),
-                },
-                "lineitem-orders",
-            ),
-            q.cross_table_rules(
-                lines, parts, "l_partkey", {"price_not_below_catalog": price >= catalog}, "lineitem-part"
-            ),
-        ]
-    )
+def dq_pattern(star: Star, params: Params) -> DataFrame:
+    return q.union_all([q.pattern(_table(star, t), c, r, f"{t}.{c}") for (t, c), r in _specs(star).patterns.items()])
 
 
-def dq_reconcile_groups(star: RetailStar, params: Params) -> DataFrame:
-    """Stated order totals against their lines (raw), and headers against lines (star)."""
+def dq_prefix_domain(star: Star, params: Params) -> DataFrame:
+    """Values allowed by the beginning of another column, by the longest prefix that a rule names."""
+    rows = []
+    for (table, name, value), rules in _specs(star).prefixes.items():
+        frame = star.spark.createDataFrame(list(rules.items()), "prefix string, allowed array<string>")
+        df = _table(star, table).select(F.col(name), F.col(value).cast("string").alias(value))
+        rows.append(q.prefix_domain(df, name, value, frame, f"{table}.{value} by {name}"))
+    return q.union_all(rows)
+
+
+def dq_row_rule(star: Star, params: Params) -> DataFrame:
+    return q.union_all([q.row_rules(_table(star, t), rules, t) for t, rules in _specs(star).row_rules().items()])
+
+
+def dq_cross_table_rule(star: Star, params: Params) -> DataFrame:
+    rows = []
+    for child, parent, key, parent_key, rules in _specs(star).cross_rules():
+        other = _table(star, parent).withColumnRenamed(parent_key, key)
+        # The parent's columns that the child has too are the child's.
+        other = other.drop(*[c for c in other.columns if c != key and c in _table(star, child).columns])
+        rows.append(q.cross_table_rules(_table(star, child), other, key, rules, f"{child}-{parent}"))
+    return q.union_all(rows)
+
+
+def dq_reconcile_groups(star: Star, params: Params) -> DataFrame:
+    """Headers against lines, and, where raw tables state order totals, those against their lines."""
+    headers = star.orders("order_key", "net_c").withColumnRenamed("net_c", "amount")
+    lines = star.order_line_totals().select("order_key", F.col("net_c").alias("amount"))
+    of_star = q.reconcile_groups(headers, lines, "order_key", "amount", 1, "header net")
+    if not isinstance(star, RetailStar):
+        return of_star
     stated = star.raw("orders").select(
         F.col("o_orderkey").alias("order_key"), cents(F.col("o_totalprice")).alias("amount")
     )
     raw_lines = star.raw("lineitem").select(
         F.col("l_orderkey").alias("order_key"), cents(F.col("l_extendedprice")).alias("amount")
     )
-    headers = star.orders("order_key", "net_c").withColumnRenamed("net_c", "amount")
-    lines = star.order_line_totals().select("order_key", F.col("net_c").alias("amount"))
-    return q.reconcile_groups(stated, raw_lines, "order_key", "amount", 1, "raw total").unionByName(
-        q.reconcile_groups(headers, lines, "order_key", "amount", 1, "header net")
-    )
+    return q.reconcile_groups(stated, raw_lines, "order_key", "amount", 1, "raw total").unionByName(of_star)
 
 
 def dq_reconcile_totals(star: Star, params: Params) -> DataFrame:
@@ -221,34 +159,34 @@ def dq_monotonic(star: Star, params: Params) -> DataFrame:
     )
 
 
-def dq_schema_shape(star: RetailStar, params: Params) -> DataFrame:
-    return q.schema_shape(star.spark, {t: star.raw(t) for t in RAW_SCHEMA}, RAW_SCHEMA)
+def dq_schema_shape(star: Star, params: Params) -> DataFrame:
+    declared = _specs(star).schema
+    return q.schema_shape(star.spark, {t: _table(star, t) for t in declared}, declared)
 
 
-def dq_row_count(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all([q.row_count(star.raw(t), n, t) for t, n in MINIMUM_ROWS.items()])
+def dq_row_count(star: Star, params: Params) -> DataFrame:
+    return q.union_all([q.row_count(_table(star, t), n, t) for t, n in _specs(star).minimum_rows.items()])
 
 
-def dq_dense_key(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all([q.dense_key(star.raw(t), k, 0, f"{t}.{k}") for t, k in KEYS])
+def dq_dense_key(star: Star, params: Params) -> DataFrame:
+    specs = _specs(star)
+    return q.union_all([q.dense_key(_table(star, t), k, specs.first_key, f"{t}.{k}") for t, k in specs.dense])
 
 
-def dq_distribution(star: RetailStar, params: Params) -> DataFrame:
+def dq_distribution(star: Star, params: Params) -> DataFrame:
     return q.union_all(
-        [q.distribution(star.raw(t), c, goal, tol, f"{t}.{c}") for (t, c), (goal, tol) in DISTRIBUTIONS.items()]
+        [q.distribution(_table(star, t), c, goal, tol, f"{t}.{c}") for (t, c), (goal, tol) in _specs(star).distributions.items()]
     )
 
 
-def dq_key_coverage(star: RetailStar, params: Params) -> DataFrame:
-    return q.union_all(
-        [q.key_coverage(star.raw(p), pk, star.raw(c), fk, f"{p} without {c}") for p, pk, c, fk in COVERAGE]
-    )
+def dq_key_coverage(star: Star, params: Params) -> DataFrame:
+    rows = _specs(star).coverage
+    return q.union_all([q.key_coverage(_table(star, p), pk, _table(star, c), fk, f"{p} without {c}") for p, pk, c, fk in rows])
 
 
-def dq_date_range(star: RetailStar, params: Params) -> DataFrame:
+def dq_date_range(star: Star, params: Params) -> DataFrame:
     low, high = F.lit(star.calendar_start), F.lit(star.horizon)
-    raw = [("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")]
-    rows = [q.date_range(star.raw(t), c, low, high, f"{t}.{c}") for t, c in raw]
+    rows = [q.date_range(_table(star, t), c, low, high, f"{t}.{c}") for t, c in _specs(star).dates]
     rows.append(q.date_range(star.orders("order_date"), "order_date", low, high, "fact_orders.order_date"))
     rows.append(q.date_range(star.returns("return_date"), "return_date", low, high, "fact_returns.return_date"))
     return q.union_all(rows)
@@ -485,7 +423,7 @@ OPERATORS = {
     for f in (
         dq_fk_orphans, dq_pk_unique, dq_grain_unique, dq_not_null, dq_domain_values, dq_pattern, dq_row_rule,
         dq_cross_table_rule, dq_reconcile_groups, dq_reconcile_totals, dq_series_continuity, dq_monotonic,
-        dq_row_count, dq_dense_key, dq_distribution, dq_key_coverage, dq_date_range,
+        dq_prefix_domain, dq_row_count, dq_dense_key, dq_distribution, dq_key_coverage, dq_date_range,
         dq_rederive_snapshot, dq_explained_negatives, dq_two_source_month, dq_narrative, dq_analytics_readiness,
     )
 }

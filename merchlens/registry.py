@@ -24,6 +24,7 @@ from merchlens.plans import (
     returns,
     revenue,
     rfm,
+    star_rules,
     verdicts,
 )
 from merchlens.sources.star import Star
@@ -50,4 +51,4 @@ def analytics() -> dict[str, Plan]:
 
 
 def registered() -> dict[str, Plan]:
-    return {**analytics(), **model.JOBS, **quality.OPERATORS, **certification.SUITES, **verdicts.VERDICTS}
+    return {**analytics(), **model.JOBS, **quality.OPERATORS, **certification.SUITES, **star_rules.SUITES, **verdicts.VERDICTS}

@@ -395,6 +395,88 @@ def _certified() -> str:
         LEFT JOIN ({" UNION ALL ".join(counted)}) v ON v.id = c.check_id"""
 
 
+# name, key, rows: what can be broken in each table of the star; rules that its derivation rules out have no branch.
+_BROKEN: dict[str, list[tuple[str, str, str]]] = {
+    "dq_star_orders": [
+        ("net is gross less discount", "ord", "hdr WHERE ABS(net - (gross - disc)) > 0.01"),
+        ("no discount without a campaign", "ord", "hdr LEFT JOIN promo_day x ON x.d = hdr.day WHERE x.campaign_key IS NULL AND disc <> 0"),
+        ("money is not negative", "ord", "hdr WHERE LEAST(gross, disc, net) < 0"),
+        ("a customer has one first order", "cust", "(SELECT cust, COUNT(*) FILTER (WHERE nth = 1) AS firsts FROM (SELECT cust, ROW_NUMBER() OVER (PARTITION BY cust ORDER BY day, ord) AS nth FROM hdr) GROUP BY cust) WHERE firsts <> 1"),
+    ],
+    "dq_star_lines": [
+        ("quantity is positive", _LINE_KEY, "sale WHERE qty <= 0"),
+        ("net is gross less discount", _LINE_KEY, "sale WHERE ABS(net - (gross - disc)) > 0.01"),
+        ("discount does not exceed gross", _LINE_KEY, "sale WHERE disc < 0 OR disc > gross"),
+        ("cost does not exceed gross", _LINE_KEY, "sale WHERE cost * qty > gross"),
+    ],
+    "dq_star_returns": [
+        ("returned five to 21 days after the order", _LINE_KEY, "back WHERE rday - day < 5 OR rday - day > 21"),
+        ("no more units than sold", _LINE_KEY, "back WHERE back.back <= 0 OR back.back > qty"),
+        ("refund within the line's net", _LINE_KEY, "back WHERE refund > net + 0.01"),
+        ("every reason occurs", "reason", "reason_names WHERE reason NOT IN (SELECT reason FROM back)"),
+    ],
+    "dq_star_snapshot": [
+        ("30 days lie in 90 days lie in all", "cust || ' ' || me", "snap WHERE n30 > n90 OR n90 > n"),
+        ("value is not negative", "cust || ' ' || me", "snap WHERE value < 0"),
+        ("age is not negative", "cust || ' ' || me", "snap WHERE age_days < 0"),
+        ("no order, no value", "cust || ' ' || me", "snap WHERE n = 0 AND (value <> 0 OR value12 <> 0)"),
+        ("months follow one another", "cust || ' ' || me", "(SELECT cust, me, LAG(me) OVER (PARTITION BY cust ORDER BY me) AS was FROM snap) WHERE date_diff('month', was, me) <> 1"),
+    ],
+    "dq_star_dimensions": [
+        ("prices and costs are positive", "p_partkey", "part WHERE p_retailprice <= 0"),
+        ("customers sign up by the horizon", "cust", "who WHERE signup > (SELECT horizon FROM span)"),
+    ],
+}
+
+
+def _star_rules() -> dict[str, str]:
+    from merchlens.plans import star_rules as rules
+
+    lists = {
+        "dq_star_orders": rules.ORDER_RULES, "dq_star_lines": rules.LINE_RULES, "dq_star_returns": rules.RETURN_RULES,
+        "dq_star_snapshot": rules.SNAPSHOT_RULES, "dq_star_dimensions": rules.DIMENSION_RULES,
+    }
+    found = {}
+    for key, broken in _BROKEN.items():
+        branches = " UNION ALL ".join(
+            f"""SELECT {_quoted(name)} AS rule, COUNT(*) AS n,
+                       array_to_string(list_slice(list(CAST(k AS VARCHAR) ORDER BY k), 1, 5), ', ') AS e
+                FROM (SELECT {of} AS k FROM {rows})"""
+            for name, of, rows in broken
+        )
+        found[key] = f"""
+            SELECT r.rule, {{b(COALESCE(v.n, 0))}} AS violations, COALESCE(v.e, '') AS evidence,
+                   CASE WHEN COALESCE(v.n, 0) = 0 THEN 'PASS' ELSE r.otherwise END AS status
+            FROM (VALUES {_values([(r.rule, r.on_violation) for r in lists[key]])}) AS r(rule, otherwise)
+            LEFT JOIN ({branches}) v ON v.rule = r.rule"""
+    return found
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _by_prefix(table: str, name: str, value: str, rules: list[tuple[str, str]]) -> str:
+    """Rules as (prefix, allowed values in SQL), longest first."""
+    prefix = " ".join(f"WHEN {name} LIKE '{p}%' THEN '{p}'" for p, _ in rules)
+    allowed = " ".join(f"WHEN {name} LIKE '{p}%' THEN {value} IN {v}" for p, v in rules)
+    return f"""
+        SELECT '{table}.{value} by {name}' AS rule_set, prefix, COUNT(*) AS rows,
+               COUNT(*) FILTER (WHERE prefix IS NOT NULL AND NOT ok) AS violations,
+               CASE WHEN COUNT(*) FILTER (WHERE prefix IS NOT NULL AND NOT ok) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM (SELECT CASE {prefix} END AS prefix, COALESCE(CASE {allowed} END, FALSE) AS ok FROM {table})
+        GROUP BY prefix"""
+
+
+QUALITY["dq_prefix_domain"] = " UNION ALL ".join([
+    _by_prefix("part", "p_brand", "p_type", [
+        ("Brand#12", "('SMALL', 'TINY')"), ("Brand#1", "('ECONOMY', 'LARGE', 'PROMO')"),
+        ("Brand#", "('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD', 'TINY')"),
+    ]),
+    _by_prefix("orders", "o_orderpriority", "o_orderstatus", [("4-NOT", "('O')"), ("1-", "('F', 'O')"), ("2-", "('F', 'O', 'P')")]),
+])
+
+
 def _suites() -> dict[str, str]:
     checks = _certified()
     return {
@@ -409,4 +491,4 @@ def _suites() -> dict[str, str]:
     }
 
 
-SQL: dict[str, str] = {**MODEL, **QUALITY, **_suites()}
+SQL: dict[str, str] = {**MODEL, **QUALITY, **_suites(), **_star_rules()}
