@@ -4,18 +4,18 @@
    counts once, however many copies it has.
 2. Every class gives its signatures. Classes that share one form a bucket; only
    buckets of several classes go on.
-3. Each class is compared with the class it shares most signatures with, which
-   already joins most groups. Components are made of the links found.
-4. Buckets that still hold several components are compared, large ones in
-   blocks, each class with all of the other components; buckets with the same
-   first class together, each pair once. At first only the best partner of each
-   class goes on, which joins nearly all that belongs together; then all that is
-   still in different components. So every pair of classes that share a signature
-   is either compared or already in one component, and large groups of near
-   copies need no pair of every two members.
-
-A pair is compared by bitmaps first, which only rule out pairs that cannot be
-similar, and then by its whole sets.
+3. Buckets with the same first class are compared together. Bitmaps of the sets,
+   a twentieth of their size, tell which classes may have a partner; the others
+   go no further. The rest is compared with whole sets: at first each class only in the bucket group it
+   shares most signatures with, which joins most that belongs together; then all
+   classes of buckets that still hold several components. Inside a call every
+   class meets all of other components, rare shingles first; a call returns links
+   that join two components, so no more than it has classes.
+4. Large groups of buckets go in blocks: first inside blocks, then, if components
+   are still apart, in pairs of blocks.
+
+So every pair of classes that share a signature is either compared or already in
+one component, and no step makes more rows than classes in buckets.
 """
 
 from __future__ import annotations
@@ -29,18 +29,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.llm.graph import components
-from merchlens.llm.part_enum import Bands, folded, may_resemble, profile, signatures
+from merchlens.llm.part_enum import Bands, profile, signatures, with_possible_partner
 from merchlens.llm.word_sets import set_key, shingle_sets
 from merchlens.session import stage
 
-# Classes in a block of a large bucket, and rows of small buckets compared by one call.
-_BLOCK = 256
-_ROWS_A_CALL = 20_000
+# Bytes of whole sets that one call compares; larger buckets go in blocks of so many.
+_CALL_BYTES = 24 << 20
 # So many class keys (24 bytes each) are broadcast at most; more are joined by a shuffle.
 _BROADCAST_KEYS = 200_000
 
 
-def _describe(words: int, id_type: pa.DataType) -> Callable:
+def _describe(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes, profiles = [], [], []
@@ -92,33 +91,10 @@ def _sets(words: int) -> Callable:
     return run
 
 
-def _may_resemble(num: int, den: int):
-    bands = Bands(num, den)
-
-    @F.pandas_udf("boolean")
-    def test(p: pd.Series, n: pd.Series, q: pd.Series, m: pd.Series) -> pd.Series:
-        return pd.Series([may_resemble(*x, bands) for x in zip(p, n, q, m, strict=True)], dtype=bool)
-
-    return test
-
-
-def _alike(num: int, den: int):
-    @F.pandas_udf("boolean")
-    def test(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(left, right, strict=True):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(den * both >= num * (len(a) + len(b) - both))
-        return pd.Series(out, dtype=bool)
-
-    return test
-
-
-def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets are similar enough."""
+def _elements(keys: DataFrame, classes: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """The whole sets of classes: (key, elements)."""
     wanted = stage(
-        pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes.select("key", "rep"), "key")
+        keys.select("key").distinct().join(classes.select("key", "rep"), "key")
         .select("key", F.col("rep.id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash")),
         "wanted",
     )
@@ -134,108 +110,131 @@ def _linked(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, n
         .filter(F.col("same").isNull())
         .drop("same")
     )
-    elements = stage(elements, "elements")
-    return (
-        pairs.join(elements.toDF("a", "left"), "a")
-        .join(elements.toDF("b", "right"), "b")
-        .filter(_alike(num, den)("left", "right"))
-        .select("a", "b")
-    )
+    return stage(elements, "elements")
 
 
-def _pairs_to_compare(frame: pd.DataFrame, of_row: np.ndarray, classes: int, num: int, den: int) -> np.ndarray:
-    """Distinct pairs of classes, as one number each, that share a bucket but no component and have fitting sizes."""
-    order = np.argsort(frame["sig"].to_numpy(), kind="stable")
-    sig, comp, n, block = (frame[c].to_numpy()[order] for c in ("sig", "comp", "n", "block"))
-    owner, crossed = of_row[order], frame["low"].iloc[0] != frame["high"].iloc[0]
-    at, found, step = np.arange(len(order) - 1), [], 1
-    while len(at):
-        at = at[at < len(order) - step]
-        at = at[sig[at] == sig[at + step]]
-        i, j = at, at + step
-        may = (comp[i] != comp[j]) & (den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j]))
-        if crossed:
-            may &= block[i] != block[j]
-        a, b = owner[i[may]], owner[j[may]]
-        found.append(np.unique(np.minimum(a, b) * classes + np.maximum(a, b)))
-        step += 1
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
-
-def _compare(num: int, den: int, best_only: bool) -> Callable:
-    """Pairs of a call that may be similar, with how far apart their bitmaps are;
-    with ``best_only`` just the nearest partner of each class."""
-    bands = Bands(num, den)
+def _gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions of runs, one run after the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+
 
+def joining_links(sets: list[np.ndarray], label: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Links between similar sets that join two components; ``label`` names each set's component and is changed.
+
+    Two similar sets share one of their first n - ceil(t n) + 1 elements in any
+    common order, so with the rarest elements first, only sets that share one of
+    those are compared, in whole. Of a set's candidates those that share most go
+    first; once one has joined it to a component, the others there are left out.
+    """
+    sizes = np.array([len(s) for s in sets])
+    by_size = np.argsort(sizes, kind="stable")
+    starts = np.cumsum(sizes) - sizes
+    _, element, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.lexsort((element, times[element], owner))
+    rare_first = element[order]
+    head = np.arange(len(element)) - np.repeat(starts, sizes) < np.repeat(sizes - -(-num * sizes // den) + 1, sizes)
+    head_element, head_owner = rare_first[head], owner[head]
+    place = np.argsort(head_element, kind="stable")
+    posted = head_owner[place]
+    first = np.searchsorted(head_element[place], np.arange(len(times) + 1))
+    head_starts = np.searchsorted(head_owner, np.arange(len(sets) + 1))
+    turn = np.empty(len(sets), np.int64)
+    turn[by_size] = np.arange(len(sets))
+    marked = np.zeros(len(times), bool)
+    out = []
+    for a in by_size:
+        own = head_element[head_starts[a] : head_starts[a + 1]]
+        met = posted[_gathered(first[own], first[own + 1] - first[own])]
+        met = met[(turn[met] < turn[a]) & (label[met] != label[a]) & (den * sizes[met] >= num * sizes[a])]
+        if not len(met):
+            continue
+        near, shared = np.unique(met, return_counts=True)
+        near = near[np.argsort(-shared, kind="stable")]
+        marked[element[starts[a] : starts[a] + sizes[a]]] = True
+        step = 8
+        while len(near):
+            some, near = near[:step], near[step:]
+            both = np.add.reduceat(marked[element[_gathered(starts[some], sizes[some])]], np.cumsum(sizes[some]) - sizes[some], dtype=np.int64)
+            for b in some[den * both >= num * (sizes[some] + sizes[a] - both)]:
+                if label[a] != label[b]:
+                    label[label == label[b]] = label[a]
+                    out.append((int(a), int(b)))
+            near, step = near[label[near] != label[a]], min(step * 4, 512)
+        marked[element[starts[a] : starts[a] + sizes[a]]] = False
+    return out
+
+
+def _join(num: int, den: int) -> Callable:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, first, of_row = np.unique(frame["key"].to_numpy(), return_index=True, return_inverse=True)
-        pairs = _pairs_to_compare(frame, of_row, len(keys), num, den)
-        left, right = pairs // len(keys), pairs % len(keys)
-        profiles, sizes = frame["profile"].to_numpy()[first], frame["n"].to_numpy()[first]
-        widths = np.array([len(p) for p in profiles])
-        out, distance = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
-        narrow = np.minimum(widths[left], widths[right])
-        for width in np.unique(narrow):
-            a, b = left[narrow == width], right[narrow == width]
-            used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-            table = np.frombuffer(b"".join(folded(profiles[k], int(width)) for k in used), np.uint64).reshape(len(used), -1)
-            a_row, b_row = place[: len(a)], place[len(a) :]
-            for k in range(0, len(a), 20_000):
-                part = slice(k, k + 20_000)
-                apart = np.bitwise_count(table[a_row[part]] ^ table[b_row[part]]).sum(axis=1, dtype=np.int64)
-                total = sizes[a[part]] + sizes[b[part]]
-                near = apart <= (bands.den - bands.num) * total // (bands.den + bands.num)
-                out.append(np.stack([a[part][near], b[part][near]], axis=1))
-                distance.append(apart[near] / total[near])
-        found, far = np.concatenate(out), np.concatenate(distance)
-        if best_only:
-            order = np.argsort(far, kind="stable")
-            found, far = found[order], far[order]
-            chosen = np.concatenate([np.unique(found[:, side], return_index=True)[1] for side in (0, 1)])
-            chosen = np.unique(chosen)
-            found, far = found[chosen], far[chosen]
-        return pd.DataFrame({"a": keys[found[:, 0]], "b": keys[found[:, 1]], "apart": far})
+        # A class may be in several buckets of the call.
+        frame = frame.drop_duplicates("key")
+        keys = frame["key"].to_numpy()
+        label = np.unique(frame["comp"].to_numpy(), return_inverse=True)[1]
+        links = joining_links([np.frombuffer(e, np.uint64) for e in frame["elements"]], label, num, den)
+        a, b = (keys[[link[side] for link in links]] if links else np.zeros(0, np.int64) for side in (0, 1))
+        return pd.DataFrame({"a": a, "b": b})
 
     return run
 
 
-def _open_pairs(
-    shared: DataFrame, comps: DataFrame, classes: DataFrame, num: int, den: int, best_only: bool
-) -> DataFrame:
-    """Pairs of classes of different components that share a signature and may be similar."""
+def _open_classes(shared: DataFrame, comps: DataFrame) -> DataFrame:
+    """Classes in buckets that hold several components, by the first class of the bucket: (hub, key, comp)."""
     members = shared.select("sig", "hub", "key").union(shared.select("sig", "hub", F.col("hub").alias("key")).distinct())
     placed = members.join(comps.toDF("key", "comp"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    sizes = (
-        placed.groupBy("sig")
-        .agg(F.count("*").alias("size"), F.min("comp").alias("first"), F.max("comp").alias("last"))
-        .filter("first < last")
-        .select("sig", "size")
-    )
-    todo = stage(placed.join(sizes, "sig"), "open")
-    calls = todo.count() // _ROWS_A_CALL + 1
-    paired = (
-        todo.withColumn("blocks", F.ceil(F.col("size") / _BLOCK).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("key", "sig"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-        # A class is the first of no more buckets than it has signatures, so these calls are
-        # bounded; a pair of blocks of a large bucket has a call of its own.
-        .withColumn("call", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("hub"), F.lit(calls))).otherwise(F.col("sig")))
-        .select("sig", "key", "comp", "blocks", "block", "low", "high", "call")
-    )
-    found = (
-        paired.join(classes.select("key", "n", "profile"), "key")
-        .groupBy("call", "blocks", "low", "high")
-        .applyInPandas(_compare(num, den, best_only), "a long, b long, apart double")
+    mixed = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("sig")
+    return placed.join(mixed, "sig", "left_semi").select("hub", "key", "comp").distinct()
+
+
+def _in_calls(todo: DataFrame, bytes_of: DataFrame, across: bool) -> tuple[DataFrame, DataFrame]:
+    """Classes of one hub dealt to calls, (call, blocks, low, high, hub, key, comp), and the hubs with several blocks.
+
+    ``bytes_of``: (key, bytes). Small hubs share calls; larger ones go in blocks, of which each has a call of its own,
+    or with ``across`` each pair of blocks.
+    """
+    sized = todo.join(bytes_of, "key")
+    hubs = sized.groupBy("hub").agg(F.sum("bytes").alias("bytes"))
+    hubs = stage(hubs.select("hub", "bytes", F.ceil(F.col("bytes") / _CALL_BYTES).cast("int").alias("blocks")), "hubs")
+    held = hubs.filter("blocks = 1").agg(F.sum("bytes")).first()[0] or 0
+    blocks = todo.join(hubs.select("hub", "blocks"), "hub").withColumn("block", F.pmod(F.xxhash64("key", "hub"), F.col("blocks")).cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if across else F.col("block"))
+    call = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("hub"), F.lit(held // _CALL_BYTES + 1))).otherwise(F.col("hub"))
+    calls = blocks.select(
+        call.alias("call"), "blocks", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "hub", "key", "comp"
     )
-    if not best_only:
-        return found.select("a", "b").distinct()
-    # The best of all calls, for each class as either end.
-    best = F.min(F.struct("apart", "b")).alias("best")
-    ends = found.select("a", "b", "apart").union(found.select("b", "a", "apart"))
-    chosen = ends.groupBy("a").agg(best).select("a", F.col("best.b").alias("b"))
-    return chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return calls, hubs.filter("blocks > 1").select("hub")
+
+
+def _promising(num: int, den: int) -> Callable:
+    bands = Bands(num, den)
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("hub", kind="stable")
+        hubs, sizes, label = frame["hub"].to_numpy(), frame["n"].to_numpy(), frame["comp"].to_numpy()
+        profiles = frame["profile"].tolist()
+        keep = np.zeros(len(frame), bool)
+        edges = [0, *(np.flatnonzero(np.diff(hubs)) + 1).tolist(), len(hubs)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            keep[a:b] = with_possible_partner(profiles[a:b], sizes[a:b], label[a:b], bands)
+        return frame.loc[keep, ["hub", "key", "comp"]]
+
+    return run
+
+
+def _joins(
+    todo: DataFrame, classes: DataFrame, rows: DataFrame, words: int, across: bool, num: int, den: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links that join components, among classes of one hub, inside blocks or with ``across`` over all pairs of
+    blocks; and the hubs that went in several blocks."""
+    calls, large = _in_calls(todo, classes.select("key", F.length("profile").alias("bytes")), across)
+    found = calls.join(classes.select("key", "n", "profile"), "key").groupBy("call", "blocks", "low", "high")
+    likely = stage(found.applyInPandas(_promising(num, den), "hub long, key long, comp long").distinct(), "likely")
+    calls, also = _in_calls(likely, classes.select("key", (F.col("n") * 8).alias("bytes")), across)
+    elements = _elements(likely, classes, rows, words)
+    links = calls.drop("hub").join(elements, "key").groupBy("call", "blocks", "low", "high").applyInPandas(_join(num, den), "a long, b long")
+    return stage(links, "found"), large.union(also).distinct()
 
 
 def jaccard_groups(
@@ -257,7 +256,7 @@ def jaccard_groups(
         F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash")
     )
     described = stage(
-        rows.mapInArrow(_describe(words, pa.int64()), "id long, text_hash long, key long, n long, profile binary"), "sets"
+        rows.mapInArrow(_describe(words), "id long, text_hash long, key long, n long, profile binary"), "sets"
     )
     classes = stage(
         described.filter("n > 0")
@@ -280,23 +279,22 @@ def jaccard_groups(
         .select("sig", "key", "hub"),
         "shared",
     )
+    hubs = shared.select("hub", F.col("hub").alias("key")).distinct()
     closest = shared.groupBy("key", "hub").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("hub", "c").alias("hub"))
-    likely = stage(
-        closest.join(classes.select("key", "n", "profile"), "key")
-        .join(classes.select(F.col("key").alias("hub"), F.col("n").alias("hub_n"), F.col("profile").alias("hub_profile")), "hub")
-        .filter(_may_resemble(num, den)("profile", "n", "hub_profile", "hub_n"))
-        .select(F.col("hub").alias("a"), F.col("key").alias("b")),
-        "likely",
-    )
-    links = stage(_linked(likely, classes, rows, words, num, den), "found")
-    comps = stage(components(links, "a", "b"), "comps")
-    for best_only in (True, False):
-        more = stage(_open_pairs(shared, comps, classes, num, den, best_only), "pairs")
-        if more.isEmpty():
+    todo = stage(closest.select("hub", "key").union(hubs).withColumn("comp", F.col("key")), "open")
+    comps = None
+    # First each class with its closest, then all that is still apart, both inside blocks; then large hubs over all pairs of blocks.
+    for across in (None, False, True):
+        if across is not None:
+            todo = _open_classes(shared, comps)
+            todo = stage(todo.join(large, "hub", "left_semi") if across else todo, "open")
+        if todo.isEmpty():
             break
-        found = stage(_linked(more, classes, rows, words, num, den), "found")
+        links, large = _joins(todo, classes, rows, words, bool(across), num, den)
         # Components stand for the links that made them.
-        comps = stage(components(comps.toDF("a", "b").union(found), "a", "b"), "comps")
+        comps = stage(components(links if comps is None else comps.toDF("a", "b").union(links), "a", "b"), "comps")
+    if comps is None:
+        comps = classes.select("key", F.col("key").alias("comp")).limit(0)
     named = (
         classes.select("key", "least_id").join(comps.toDF("key", "comp"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     )

@@ -112,22 +112,42 @@ def profile(s: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def folded(bits: bytes, size: int) -> bytes:
-    """A bitmap brought to fewer cells (``size`` bytes), as if made with so many."""
-    while len(bits) > size:
-        half = len(bits) // 2
-        bits = (int.from_bytes(bits[:half], "little") | int.from_bytes(bits[half:], "little")).to_bytes(half, "little")
-    return bits
+def folded(table: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) brought to fewer cells, as if made with so many."""
+    while table.shape[1] > words:
+        half = table.shape[1] // 2
+        table = table[:, :half] | table[:, half:]
+    return table
 
 
-def may_resemble(p: bytes, n: int, q: bytes, m: int, bands: Bands) -> bool:
-    """False only if two sets with these profiles and sizes cannot be similar enough.
+def with_possible_partner(profiles: list[bytes], sizes: np.ndarray, label: np.ndarray, bands: Bands) -> np.ndarray:
+    """Which of some sets may be similar to one of them with another label.
 
-    A cell that one bitmap has and the other has not holds an element that one
-    set has and the other has not.
+    False only for a set that is similar to none: a cell that one bitmap has and
+    the other has not holds an element that one set has and the other has not.
     """
-    if n == 0 or m == 0:
-        return False
-    size = min(len(p), len(q))
-    apart = int.from_bytes(folded(p, size), "little") ^ int.from_bytes(folded(q, size), "little")
-    return apart.bit_count() <= bands.differ(n + m)
+    words = np.array([len(p) // 8 for p in profiles])
+    out = np.zeros(len(profiles), bool)
+    for width in np.unique(words):
+        # Similar sets differ in size by less than a factor of two, so their bitmaps have one width or neighbouring ones.
+        narrow = np.flatnonzero(words == width)
+        others = np.flatnonzero((words == width) | (words == 2 * width))
+        table = np.empty((len(others), width), np.uint64)
+        for w in (width, 2 * width):
+            at = np.flatnonzero(words[others] == w)
+            if len(at):
+                table[at] = folded(np.frombuffer(b"".join(profiles[i] for i in others[at]), np.uint64).reshape(len(at), -1), int(width))
+        place = np.searchsorted(others, narrow)
+        for i, k in zip(narrow, place, strict=True):
+            fits = np.flatnonzero(
+                (label[others] != label[i])
+                & (bands.den * np.minimum(sizes[others], sizes[i]) >= bands.num * np.maximum(sizes[others], sizes[i]))
+                & ~(out[others] & out[i])
+            )
+            if not len(fits):
+                continue
+            apart = np.bitwise_count(table[fits] ^ table[k]).sum(axis=1, dtype=np.int64)
+            near = fits[apart <= (bands.den - bands.num) * (sizes[others[fits]] + sizes[i]) // (bands.den + bands.num)]
+            if len(near):
+                out[others[near]] = out[i] = True
+    return out

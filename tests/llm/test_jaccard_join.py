@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from merchlens.llm import jaccard_join as jj
-from merchlens.llm.part_enum import Bands, may_resemble, profile, signatures
+from merchlens.llm.part_enum import Bands, profile, signatures, with_possible_partner
 from merchlens.llm.word_sets import shingle_sets
 
 
@@ -23,7 +23,8 @@ def test_similar_sets_share_a_signature(num):
         if not len(b) or 100 * both < num * (len(a) + len(b) - both):
             continue
         similar += 1
-        assert may_resemble(profile(a), len(a), profile(b), len(b), bands)
+        assert with_possible_partner([profile(a), profile(b)], np.array([len(a), len(b)]), np.array([0, 1]), bands).all(), (len(a), len(b), both)
+        assert not with_possible_partner([profile(a), profile(b)], np.array([len(a), len(b)]), np.array([1, 1]), bands).any()
         if len(a) == len(b) == both:
             assert np.array_equal(signatures(a, bands), signatures(b, bands))
         else:
@@ -80,8 +81,7 @@ def test_against_brute_force(spark, monkeypatch):
     want = sorted(map(str, brute.jaccard_components(rows)))
     assert _run(spark, rows) == want
     # The same with buckets cut into many blocks, and class texts joined by a shuffle.
-    monkeypatch.setattr(jj, "_BLOCK", 3)
-    monkeypatch.setattr(jj, "_ROWS_A_CALL", 50)
+    monkeypatch.setattr(jj, "_CALL_BYTES", 2_000)
     monkeypatch.setattr(jj, "_BROADCAST_KEYS", 0)
     assert _run(spark, rows) == want
 
@@ -98,3 +98,48 @@ def test_keeps_one_of_each_group(spark):
     docs = spark.createDataFrame([(*r, "a") for r in rows], "doc_id long, text string, g_id string")
     kept = sorted(r.doc_id for r in jj.keep_one_of_each_group(docs).collect())
     assert kept == sorted(i for i, _, c in brute.jaccard_components(rows) if i == c)
+
+
+@pytest.mark.parametrize("changed", [(3, 6), (6, 9)])
+def test_links_of_a_call_are_no_more_than_its_classes(changed):
+    rng = random.Random(changed[0])
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(200):
+        w = base[:]
+        for _ in range(rng.randrange(*changed)):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    sets = list(shingle_sets(pa.array(texts), 5))
+    label = np.arange(len(sets))
+    links = jj.joining_links(sets, label, 80, 100)
+    assert len(links) < len(sets)
+    want = [c for _, _, c in brute.jaccard_components(list(enumerate(texts)))]
+    assert [min(np.flatnonzero(label == x)) for x in label] == want
+
+
+def test_family_and_common_passage_make_few_rows(spark):
+    rng = random.Random(8)
+    base, passage = [f"b{i}" for i in range(300)], [f"p{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        w = base[:]
+        for _ in range(rng.randrange(3, 6)):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(passage + [f"o{i}x{k}" for k in range(150)])) for i in range(300)]
+    sizes = []
+
+    def counted(df, label, real=jj.stage):
+        out = real(df, label)
+        if label in ("found", "open"):
+            sizes.append(out.count())
+        return out
+
+    jj.stage, real = counted, jj.stage
+    try:
+        got = _run(spark, rows)
+    finally:
+        jj.stage = real
+    assert got == sorted(map(str, brute.jaccard_components(rows)))
+    assert max(sizes) <= 20 * len(rows), sizes
