@@ -380,7 +380,7 @@ class Scanner:
 
 def _scan(threshold: float, texts: tuple[tuple[str, str], ...]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = kept(f"licenses:{threshold}", lambda: Scanner(threshold=threshold, texts=texts))
+        scanner = kept("licenses", f"licenses:{threshold}", lambda: Scanner(threshold=threshold, texts=texts))
         for batch in batches:
             found = [scanner.licenses(t or "") for t in batch.column("text").to_pylist()]
             # The best first; equal ones by name.

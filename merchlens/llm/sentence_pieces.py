@@ -31,6 +31,8 @@ _SPACE = 0x2581  # how a space is written in pieces
 _RAW = 0x110000  # added to a text's own U+2581, which no piece may match
 _U = np.uint64
 _DECODE_ROWS = 200
+_BATCH_CHARS = 500_000  # texts filtered at once
+_TABLE_BYTES = 128 << 20  # lattices a worker keeps
 
 
 class Vocabulary:
@@ -119,6 +121,10 @@ class Lattices(Units):
         self.origin = np.zeros(0, np.int32)
         self.token = np.zeros(0, np.int32)  # a piece's id, or -1 - code point for one spelled in bytes
 
+    def full(self) -> bool:
+        arrays = (self.first, self.last, self.head, self.cuts, self.origin, self.token)
+        return super().full() or sum(a.nbytes for a in arrays) > _TABLE_BYTES
+
     def learn(self, strings: list[str]) -> None:
         # The text's first unit gets the space that every text begins with.
         marked = [s if s.startswith(" ") and self._follows(i) else " " + s for i, s in enumerate(strings)]
@@ -250,11 +256,11 @@ class Lattices(Units):
 
 def _encoder(path: str, theta: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = kept(f"pieces:{path}", lambda: Vocabulary(path))
-        lattices: Lattices = kept(f"lattices:{path}:{theta}", lambda: Lattices(vocabulary, theta))
+        vocabulary = kept("sentence pieces", f"pieces:{path}", lambda: Vocabulary(path))
+        lattices: Lattices = kept("sentence pieces", f"lattices:{path}:{theta}", lambda: Lattices(vocabulary, theta))
         for batch in batches:
             keys = batch.column("key").to_numpy(zero_copy_only=False)
-            for at, texts in text_batches(batch.column("text").to_pylist()):
+            for at, texts in text_batches(batch.column("text").to_pylist(), _BATCH_CHARS):
                 ids, counts = lattices.sample(texts, keys[at : at + len(texts)])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
@@ -284,7 +290,7 @@ def encode(
 
 def _digester(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = kept(f"pieces:{path}", lambda: Vocabulary(path))
+        vocabulary: Vocabulary = kept("sentence pieces", f"pieces:{path}", lambda: Vocabulary(path))
         for batch in batches:
             texts = [vocabulary.decode(ids) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "decoded"])
@@ -303,7 +309,7 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", out: str = "decode
 
 def _coder(path: str, theta: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = kept(f"pieces:{path}", lambda: Vocabulary(path))
+        vocabulary: Vocabulary = kept("sentence pieces", f"pieces:{path}", lambda: Vocabulary(path))
         for batch in _encoder(path, theta)(batches):
             ids = batch.column("ids")
             flat, bounds = ids.values.to_numpy(), ids.offsets.to_numpy()

@@ -64,13 +64,13 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
-def text_batches(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of about ``_BATCH_CHARS`` characters, with the place of the first; a null is empty."""
+def text_batches(texts: list[str | None], chars: int = _BATCH_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of about ``chars`` characters, with the place of the first; a null is empty."""
     at, batch, size = 0, [], 0
     for text in texts:
         batch.append(text or "")
         size += len(batch[-1])
-        if size >= _BATCH_CHARS:
+        if size >= chars:
             yield at, batch
             at, batch, size = at + len(batch), [], 0
     if batch:
@@ -79,7 +79,7 @@ def text_batches(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 
 def _writer(path: str, first: int, end_id: int, shard_ids: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units: UnitTable = kept(f"units:{path}", lambda: byte_bpe_units(path))
+        units: UnitTable = kept("token files", f"units:{path}", lambda: byte_bpe_units(path))
         part, shard, before = TaskContext.get().partitionId(), 0, 0
         docs: list[int | None] = []
         ids: list[np.ndarray] = []

@@ -199,7 +199,7 @@ def _score(model: Model) -> Callable:
     name = f"toxicity:{hashlib.sha256(model.weights.tobytes() + model.codes.tobytes()).hexdigest()}:{model.offset}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer: _Scorer = kept(name, lambda: _Scorer(model))
+        scorer: _Scorer = kept("toxicity", name, lambda: _Scorer(model))
         for batch in batches:
             parts = [scorer.documents(texts) for _, texts in text_batches(batch.column("text").to_pylist())]
             margins = np.concatenate(parts) if parts else np.zeros(0)

@@ -32,8 +32,8 @@ class _Numbers(dict):
 class Units:
     """Numbers the units of texts; a subclass keeps what it learns of each unit by its number.
 
-    All is forgotten once ``limit`` units are held, which bounds the memory;
-    results do not depend on it.
+    All is forgotten once ``limit`` units, or more than a subclass may hold, are
+    held, which bounds the memory; results do not depend on it.
     """
 
     def __init__(self, limit: int):
@@ -44,6 +44,9 @@ class Units:
         self.numbers = _Numbers()
         self.clean = np.zeros(0, bool)
 
+    def full(self) -> bool:
+        return len(self.numbers) > self.limit
+
     def learn(self, strings: list[str]) -> None:
         """Take in new units; a unit that does not begin its text has its leading space."""
         raise NotImplementedError
@@ -60,7 +63,7 @@ class Units:
 
     def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of all texts one after the other, and how many each text has."""
-        if len(self.numbers) > self.limit:
+        if self.full():
             self.forget()
         parts: list[Hashable] = []
         counts = np.zeros(len(texts), np.int64)

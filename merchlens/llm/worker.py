@@ -7,12 +7,16 @@ import types
 from collections.abc import Callable
 
 
-def kept(name: str, make: Callable[[], object]) -> object:
+def kept(owner: str, name: str, make: Callable[[], object]) -> object:
     """The object called ``name`` of this worker process, made at first use.
 
-    Only for tables that change speed, never results: a worker may be new at any time.
+    Only for tables that change speed, never results: a worker may be new at any
+    time. Workers outlive jobs, so what other owners left here goes when a new
+    owner comes: a worker holds the tables of one operator.
     """
     box = sys.modules.setdefault("_merchlens_worker", types.ModuleType("_merchlens_worker"))
-    if not hasattr(box, name):
-        setattr(box, name, make())
-    return getattr(box, name)
+    if getattr(box, "owner", None) != owner:
+        box.owner, box.tables = owner, {}
+    if name not in box.tables:
+        box.tables[name] = make()
+    return box.tables[name]
