@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from merchlens.operators import calendar as cal
 from merchlens.operators import orders as ops
 from merchlens.params import Params
 from merchlens.session import scratch_path
+from merchlens.sources.append import SNAPSHOT
+from merchlens.sources.append import append_months as append
 from merchlens.sources.publish import publish_table
-from merchlens.sources.star import Star, read_star_table, stored_form
+from merchlens.sources.star import Star, StoredStar, read_star_table, stored_form, stored_snapshot
 
 
 def calendar_dimension(star: Star, params: Params) -> DataFrame:
@@ -110,6 +114,20 @@ def customer_monthly_snapshot(star: Star, params: Params) -> DataFrame:
     )
 
 
+def append_months(star: Star, params: Params) -> DataFrame:
+    """Publish the snapshot up to a quarter before the horizon, append the months since, and read it all back."""
+    root = scratch_path(star.spark, "append")
+    since = (star.horizon.replace(day=1) - dt.timedelta(days=63)).replace(day=1)
+    publish_table(stored_snapshot(star.snapshot().filter(F.col("month_end") < F.lit(since))), root, SNAPSHOT)
+    append(star, root, since)
+    rows = StoredStar(star.spark, root).snapshot()
+    return rows.select(
+        *[c for c in rows.columns if not c.endswith("_c")],
+        currency(F.col("cumulative_net_c")).alias("cumulative_net_revenue_to_date"),
+        currency(F.col("rolling_12mo_c")).alias("rolling_12mo_net_revenue"),
+    )
+
+
 def publish_orders(star: Star, params: Params) -> DataFrame:
     """Publish the order fact, read it back from where it was put."""
     root = scratch_path(star.spark, "publish")
@@ -148,6 +166,7 @@ JOBS = {
     "discount_allocation": discount_allocation,
     "refund_proration": refund_proration,
     "customer_monthly_snapshot": customer_monthly_snapshot,
+    "append_months": append_months,
     "publish_table": publish_orders,
     "read_star_table": read_returns_csv,
 }

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 from abc import ABC, abstractmethod
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from merchlens.functions.dates import date_key, date_of_key
 from merchlens.functions.money import cents_of_decimal, decimal_of
+from merchlens.operators.snapshot import customer_monthly_snapshot, first_day_needed
 from merchlens.schema import TABLES, table_schema
 from merchlens.sources.versions import current
 
@@ -93,6 +94,18 @@ class Star(ABC):
     def snapshot(self) -> DataFrame:
         """Customer x month-end rows; money in cents, ``month_end`` as DATE."""
 
+    def snapshot_since(self, since: dt.date, state: DataFrame) -> DataFrame:
+        """The snapshot's months from ``since`` on, given the month before; events of the last year are read at most."""
+        events = (first_day_needed(since), self.horizon)
+        return customer_monthly_snapshot(
+            self.customers("customer_key", "signup_date"),
+            self.orders("customer_key", "order_date", "net_c", during=events),
+            self.returns("customer_key", "return_date", "refund_c", during=events),
+            self.horizon,
+            since,
+            state,
+        )
+
     # -- pre-aggregates that plans share; sources may have a shorter way -------
 
     def final_snapshot(self) -> DataFrame:
@@ -282,8 +295,12 @@ class StoredStar(Star):
 
     def final_snapshot(self) -> DataFrame:
         """The last month end, read from its partition alone."""
+        return self.snapshot_of(self.horizon)
+
+    def snapshot_of(self, month_end: dt.date) -> DataFrame:
+        """The rows of one month end."""
         s = self.table("fact_customer_monthly_snapshot")
-        return self._months(self._within(s, "snapshot_month_date_key", (self.horizon, self.horizon)))
+        return self._months(self._within(s, "snapshot_month_date_key", (month_end, month_end)))
 
     @staticmethod
     def _months(s: DataFrame) -> DataFrame:
@@ -320,9 +337,20 @@ def _stored_table(spark: SparkSession, root: str, name: str, fmt: str) -> DataFr
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("dateFormat", "yyyy-MM-dd").option("mode", "FAILFAST")
-    df = reader.format(fmt).load(version.folder if version else path)
-    if version is None and not df.take(1):
-        raise ValueError(f"table {name} at {path} is empty")
+    reader = reader.format(fmt)
+    if version is None:
+        df = reader.load(path)
+        if not df.take(1):
+            raise ValueError(f"table {name} at {path} is empty")
+        return df
+    layers = [_layer(reader.load(x.folder), version.partition_by, x.first, x.last) for x in version.read_from()]
+    return reduce(DataFrame.unionByName, layers)
+
+
+def _layer(df: DataFrame, column: str | None, first: int | None, last: int | None) -> DataFrame:
+    for edge, inside in ((first, lambda: F.col(column) >= first), (last, lambda: F.col(column) <= last)):
+        if edge is not None:
+            df = df.filter(inside())
     return df
 
 
@@ -390,13 +418,20 @@ def stored_form(star: Star, name: str) -> DataFrame:
             decimal_of(F.col("fee_c"), 10).alias("restocking_fee"),
         )
     elif name == "fact_customer_monthly_snapshot":
-        df = star.snapshot().select(
-            "*",
-            F.concat_ws("-", "customer_key", date_key(F.col("month_end"))).alias("snapshot_key"),
-            date_key(F.col("month_end")).alias("snapshot_month_date_key"),
-            decimal_of(F.col("cumulative_net_c"), 14).alias("cumulative_net_revenue_to_date"),
-            decimal_of(F.col("rolling_12mo_c"), 14).alias("rolling_12mo_net_revenue"),
-        )
+        return stored_snapshot(star.snapshot())
     else:
         raise ValueError(f"unknown table {name!r}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(name).fields])
+
+
+def stored_snapshot(rows: DataFrame) -> DataFrame:
+    """Rows of a snapshot in the columns and types they are stored with."""
+    df = rows.select(
+        "*",
+        F.concat_ws("-", "customer_key", date_key(F.col("month_end"))).alias("snapshot_key"),
+        date_key(F.col("month_end")).alias("snapshot_month_date_key"),
+        decimal_of(F.col("cumulative_net_c"), 14).alias("cumulative_net_revenue_to_date"),
+        decimal_of(F.col("rolling_12mo_c"), 14).alias("rolling_12mo_net_revenue"),
+    )
+    fields = table_schema("fact_customer_monthly_snapshot").fields
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])

@@ -3,10 +3,19 @@
 import calendar
 import datetime as dt
 import random
+from pathlib import Path
 
+import pytest
+from pyspark.sql import functions as F
+
+from merchlens import RetailStar, StoredStar
 from merchlens.operators import quality as q
-from merchlens.operators.snapshot import customer_monthly_snapshot
+from merchlens.operators.snapshot import customer_monthly_snapshot, first_day_needed
 from merchlens.operators.snapshot_check import dense_snapshot
+from merchlens.session import scratch_path
+from merchlens.sources import append, versions
+from merchlens.sources.publish import publish_months, publish_star, publish_table
+from merchlens.sources.star import stored_snapshot
 
 D = dt.date
 HORIZON = D(2025, 6, 30)
@@ -104,3 +113,104 @@ def test_orders_before_signup_count_from_the_first_row_on(spark):
     rows = [(1, D(2025, 5, 2))], [(1, D(2025, 1, 5), 100)], [(1, D(2025, 4, 5), 40)]
     got = customer_monthly_snapshot(*frames(spark, *rows), HORIZON).collect()
     assert {(r.month_end.month, r.cumulative_orders_to_date, r.cumulative_net_c) for r in got} == {(5, 1, 60), (6, 1, 60)}
+
+
+def _columns(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+def test_months_from_a_state_equal_a_full_build(spark):
+    customers, orders, returns = edge_rows()
+    # Only customers whose first row lies in the period or before it; the state stands for all that came before.
+    whole = customer_monthly_snapshot(*frames(spark, customers, orders, returns), HORIZON).cache()
+    for since in (D(2025, 6, 1), D(2025, 2, 1), D(2024, 3, 1), D(2023, 2, 1)):
+        needed = first_day_needed(since)
+        last = since - dt.timedelta(days=1)
+        recent = [o for o in orders if o[1] >= needed], [r for r in returns if r[1] >= needed]
+        state = whole.filter(F.col("month_end") == F.lit(last))
+        got = customer_monthly_snapshot(*frames(spark, customers, *recent), HORIZON, since, state)
+        assert _columns(got) == _columns(whole.filter(F.col("month_end") > F.lit(last)))
+
+
+class _Until(RetailStar):
+    """The star as it was at a month end, with some late refunds left out."""
+
+    def __init__(self, spark, root, day, without=()):
+        super().__init__(spark, root)
+        self.day, self.without = day, list(without)
+
+    @property
+    def horizon(self):
+        return self.day
+
+    def _known(self, df, date):
+        return df.filter(F.col(date) <= F.lit(self.day))
+
+    def orders(self, *cols, during=None):
+        more = [c for c in ("order_date",) if c not in cols]
+        return self._known(super().orders(*cols, *more, during=during), "order_date").select(*cols)
+
+    def returns(self, *cols, during=None):
+        more = [c for c in ("return_key", "return_date") if c not in cols]
+        rows = self._known(super().returns(*cols, *more, during=during), "return_date")
+        return rows.filter(~F.col("return_key").isin(self.without)).select(*cols) if self.without else rows.select(*cols)
+
+
+def _parts(spark, root):
+    """The files of each month that readers see, with their times."""
+    seen = {}
+    rows = StoredStar(spark, root).table(append.SNAPSHOT).select("month_key", F.input_file_name().alias("f")).distinct().collect()
+    for r in rows:
+        path = r.f.removeprefix("file://")
+        seen.setdefault(r.month_key, set()).add((path, Path(path).stat().st_mtime_ns))
+    return seen
+
+
+def test_a_month_and_a_late_refund_rewrite_what_they_touch(spark, sf_dir):
+    now = RetailStar(spark, sf_dir)
+    late = now.returns("return_key", "return_date").filter("return_date between '2000-02-01' and '2000-02-29'").orderBy("return_key").first()
+    may = dt.date(2000, 5, 31)
+    was = _Until(spark, sf_dir, may, [late.return_key])
+    root = scratch_path(spark, "append")
+    publish_star(was, root, ("dim_date",))
+    publish_table(stored_snapshot(was.snapshot()), root, append.SNAPSHOT)
+    before = _parts(spark, root)
+
+    # One month more.
+    june = _Until(spark, sf_dir, dt.date(2000, 6, 30), [late.return_key])
+    assert append.first_changed_month(was, june) == dt.date(2000, 6, 1)
+    append.append_months(june, root, dt.date(2000, 6, 1))
+    assert _columns(StoredStar(spark, root).snapshot()) == _columns(june.snapshot())
+    after = _parts(spark, root)
+    assert {m: f for m, f in after.items() if m != 200006} == before and 200006 in after
+
+    # A refund of February comes late.
+    whole = _Until(spark, sf_dir, dt.date(2000, 6, 30))
+    since = append.first_changed_month(june, whole)
+    assert since == dt.date(2000, 2, 1)
+    append.append_months(whole, root, since)
+    assert _columns(StoredStar(spark, root).snapshot()) == _columns(whole.snapshot())
+    last = _parts(spark, root)
+    assert {m: f for m, f in last.items() if m < 200002} == {m: f for m, f in before.items() if m < 200002}
+    assert all(last[m] != after[m] for m in after if m >= 200002)
+    assert append.first_changed_month(whole, whole) is None
+
+    # The version before can still be read, and its months are kept for it.
+    table = f"{root}/{append.SNAPSHOT}"
+    assert len(versions.collect(spark, table, keep=1, grace_s=0)) >= 0
+    assert _columns(StoredStar(spark, root).snapshot()) == _columns(whole.snapshot())
+    stored = versions.current(spark, table)
+    assert stored.rows == sum(stored.parts.values()) == StoredStar(spark, root).snapshot().count()
+
+
+def test_append_refuses_what_it_cannot_carry_on(spark, sf_dir):
+    star = _Until(spark, sf_dir, dt.date(2000, 5, 31))
+    root = scratch_path(spark, "refused")
+    publish_star(star, root, ("dim_date",))
+    some = star.snapshot().filter("customer_key > 3")
+    publish_table(stored_snapshot(some), root, append.SNAPSHOT)
+    with pytest.raises(ValueError, match="is not in the stored month"):
+        append.append_months(_Until(spark, sf_dir, dt.date(2000, 6, 30)), root, dt.date(2000, 6, 1))
+    with pytest.raises(ValueError, match="no months to append to"):
+        publish_months(star.calendar(), root, "dim_date", 200006)
+    assert StoredStar(spark, root).snapshot().count() == some.count()
