@@ -136,27 +136,63 @@ def with_turns(records: DataFrame, json_col: str = "record", layouts: Iterable[M
     found = records.select(F.struct("*").alias("row"), canonical(F.col(json_col)).alias("found"))
     made = ("fingerprint", "layout", "turns")
     return found.select(
-        *[F.col("row")[c].alias(c) for c in records.columns if c not in made], *[F.col("found")[c].alias(c) for c in made]
+        *[F.col("row")[c].alias(c) for c in records.columns if c.lower() not in made], *[F.col("found")[c].alias(c) for c in made]
     )
 
 
 def conversation_records(turns: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as one JSON record of messages per conversation.
+    """Rows (conv_id, turn, role, text) as one JSON record per conversation, in the layouts that corpora come in.
 
     Rows go by turn, nulls first, then by role and text. A null role or text is
-    empty. A row without a conversation id is a conversation of its own.
+    empty. A row without a conversation id is a conversation of its own. A hash
+    of the id deals conversations to the layouts that can hold them without
+    loss: a user's turn and its answer, with a system turn before them or not,
+    to layouts of single fields; others to lists of turns, whose roles one
+    layout names in its own way.
     """
     alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
     item = F.struct(
         "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content")
     )
     grouped = turns.select("conv_id", alone.alias("alone"), item.alias("item")).groupBy("conv_id", "alone")
-    messages = F.transform(F.col("items"), lambda i: F.struct(i["role"], i["content"]))
-    return grouped.agg(F.array_sort(F.collect_list("item"), _turn_order).alias("items")).select(
-"conv_id", F.to_json(F.struct(messages.alias("messages"))).alias("record")
+    whole = grouped.agg(F.array_sort(F.collect_list("item"), _turn_order).alias("items"))
+    return whole.select("conv_id", _dealt(F.col("items"), F.pmod(F.xxhash64("conv_id", "alone"), F.lit(5))).alias("record"))
+
+
+def _dealt(items: Column, number: Column) -> Column:
+    """The record of a conversation in the layout of a number from 0 to 4, or in ``messages``."""
+    roles = F.transform(items, lambda i: i["role"])
+
+    def text(k: int) -> Column:
+        return F.get(items, F.lit(k))["content"]
+
+    def fields(**named: int) -> Column:
+        return F.to_json(F.struct(*[text(k).alias(name) for name, k in named.items()]))
+
+    two = roles == F.array(F.lit("user"), F.lit("assistant"))
+    # A system text of nothing would be taken for none.
+    three = (roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))) & (text(0) != "")
+    messages = F.struct(F.transform(items, lambda i: F.struct(i["role"].alias("role"), i["content"].alias("content"))).alias("messages"))
+    own = {"user": "human", "assistant": "gpt"}
+    said = F.transform(items, lambda i: F.struct(_renamed(i["role"], own).alias("from"), i["content"].alias("value")))
+    # Roles that this layout would read as others cannot be held by it.
+    plain = ~F.arrays_overlap(roles, F.array(*[F.lit(r) for r in ("human", "gpt", "bot")]))
+    return (
+        F.when(two & (number == 1), fields(prompt=0, response=1))
+        .when(two & (number == 2), fields(instruction=0, output=1))
+        .when(two & (number == 3), fields(prompt=0, completion=1))
+        .when(two & (number == 4), fields(question=0, answer=1))
+        .when(three & (number == 1), fields(system=0, prompt=1, response=2))
+        .when(three & (number == 2), fields(system=0, instruction=1, output=2))
+        .when(plain & (number >= 3), F.to_json(F.struct(said.alias("conversations"))))
+        .otherwise(F.to_json(messages))
     )
 
 
+def _renamed(role: Column, names: dict[str, str]) -> Column:
+    return F.coalesce(*[F.when(role == a, F.lit(b)) for a, b in names.items()], role)
+
+
 def _order(a: Column, b: Column) -> Column:
     return F.when(a < b, F.lit(-1)).when(a > b, F.lit(1)).otherwise(F.lit(0))
 
@@ -231,7 +267,7 @@ def formatted(turns: DataFrame, turns_col: str = "turns", trained: str = "assist
     )
     text = F.array_join(F.transform(F.col("p"), lambda p: F.concat(p["head"], p["body"], F.lit(tail))), "")
     return row.withColumn("s", sizes).select(
-        *[F.col("row")[c].alias(c) for c in turns.columns if c not in made], text.alias("formatted"), walked.alias("loss_mask")
+        *[F.col("row")[c].alias(c) for c in turns.columns if c.lower() not in made], text.alias("formatted"), walked.alias("loss_mask")
     )
 
 

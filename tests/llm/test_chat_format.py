@@ -88,3 +88,21 @@ def test_same_as_sql(spark, sf_dir):
     got = cf.chat_digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     names = ", ".join(got.columns)
     assert sorted(tuple(r) for r in got.collect()) == sorted(con.sql(f"SELECT {names} FROM ({cf.SQL})").fetchall())
+
+
+def test_conversations_come_in_several_layouts_without_loss(spark):
+    shapes = [["user", "assistant"], ["system", "user", "assistant"], ["user", "assistant", "user"], ["user"], ["human", "gpt"], ["system", "user"], ["assistant", "user"]]
+    rows, want = [], {}
+    for c in range(210):
+        turns = [(r, TEXTS[(c + k) % 12]) for k, r in enumerate(shapes[c % len(shapes)])]
+        want[c] = turns
+        rows += [(c, k, r, t) for k, (r, t) in enumerate(turns)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = cf.with_turns(cf.conversation_records(frame)).collect()
+    assert {r.conv_id: [tuple(t) for t in r.turns] for r in got} == want
+    assert {r.layout for r in got} == {m.name for m in cf.LAYOUTS} and len({r.fingerprint for r in got}) >= 7
+
+
+def test_the_query_sees_several_fingerprints(spark, sf_dir):
+    seen = cf.with_turns(cf.conversation_records(spark.read.parquet(f"{sf_dir}/conversations.parquet"))).select("fingerprint").distinct()
+    assert seen.count() >= 3
