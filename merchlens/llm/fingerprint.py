@@ -94,7 +94,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", out: str = "sketch
     """
     hashed = docs.select(F.struct("*").alias("row"), word_hashes(F.col(text_col)).alias("hashes"))
     return hashed.select(
-        *[F.col("row")[c].alias(c) for c in docs.columns if c != out], sketch(F.col("hashes")).alias(out)
+        *[F.col("row")[c].alias(c) for c in docs.columns if c.lower() != out.lower()], sketch(F.col("hashes")).alias(out)
     )
 
 

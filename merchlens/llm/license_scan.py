@@ -402,7 +402,7 @@ def with_licenses(docs: DataFrame, threshold: float = THRESHOLD, text_col: str =
     kind = packed.schema["row"].dataType.simpleString()
     done = packed.mapInArrow(_scan(threshold, whole_texts()), f"row {kind}, licenses array<string>, scores array<double>")
     made = ("licenses", "scores")
-    return done.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in made], *made)
+    return done.select(*[F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in made], *made)
 
 
 def license_report(docs: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ def drop_repeated_lines(
     passed = [
         text.alias(text_col) if name == text_col else F.col("row")[name].alias(name)
         for name in docs.columns
-        if name not in made
+        if name.lower() not in made
     ]
     return joined.select(
         *passed,

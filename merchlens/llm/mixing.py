@@ -149,7 +149,7 @@ def mix(
     made = ("tokens", "epoch")
     name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("-"), F.coalesce(F.col(text_col), F.lit(""))))
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c not in made]).alias("row"),
+        F.struct(*[c for c in docs.columns if c.lower() not in made]).alias("row"),
         *[F.col(c).cast("string").alias(f"l_{c}") for c in levels],
         token_count(F.col(text_col)).alias("tokens"),
         F.md5(name).alias("name"),
@@ -158,7 +158,7 @@ def mix(
     named = {f"l_{k}": v for k, v in weights.items()}
     counted = stage(rows.select(*leaf, "tokens", "name"), "mix-rows")
     leaves = counted.groupBy(*leaf).agg(F.sum("tokens").alias("leaf_tokens"))
-    total = F.floor(F.sum("leaf_tokens").over(Window.partitionBy()) * share)
+    total = leaves.agg(F.floor(F.sum("leaf_tokens") * share)).scalar()
     budgets = leaf_budgets(leaves.withColumn("_total", total), leaf, named, F.col("_total"), max_epochs).drop("_total")
     empty = F.col("leaf_tokens") == 0
     plan = stage(
@@ -184,7 +184,7 @@ def mix(
     times = F.col("full") + F.coalesce(partly, F.lit(False)).cast("int")
     taken = chosen.withColumn("times", times).filter("times > 0")
     return taken.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1))).select(
-        *[F.col("row")[c].alias(c) for c in docs.columns if c not in made], *made
+        *[F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in made], *made
     )
 
 

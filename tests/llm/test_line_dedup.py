@@ -57,3 +57,9 @@ def test_same_as_sql(spark, sf_dir):
     got = line_dedup_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     want = sorted(con.sql(f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({SQL})").fetchall())
     assert sorted(tuple(r) for r in got.select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()) == want
+
+
+def test_names_that_differ_in_case_only(spark):
+    docs = spark.createDataFrame([(1, "a line\nb", 5, "r"), (2, "b", 6, "r")], "doc_id long, text string, N_Lines int, ROW string")
+    got = drop_repeated_lines(docs)
+    assert got.columns == ["doc_id", "text", "ROW", "n_lines", "n_dropped"] and got.count() == 2

@@ -53,3 +53,9 @@ def test_odd_tables(spark):
     assert _run(spark, []).collect() == []
     assert [r.doc_id for r in _run(spark, [(1, None, None, None, None), (None, "", None, None, None)]).orderBy("doc_id").collect()] == [None, 1]
     assert _run(spark, [(1, "a", "web", "en", "s1")], share=1.0, max_epochs=1).count() == 1
+
+
+def test_names_that_differ_in_case_only(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", 5, 6)], "doc_id long, text string, lang string, Tokens int, EPOCH int")
+    got = mixing.mix(docs, levels=("lang",), weights={}, share=1.0, max_epochs=1)
+    assert got.columns == ["doc_id", "text", "lang", "tokens", "epoch"] and [r.tokens for r in got.collect()] == [2]
