@@ -31,8 +31,8 @@ _SPACE = 0x2581  # how a space is written in pieces
 _RAW = 0x110000  # added to a text's own U+2581, which no piece may match
 _U = np.uint64
 _DECODE_ROWS = 200
-_BATCH_CHARS = 500_000  # texts filtered at once
-_TABLE_BYTES = 128 << 20  # lattices a worker keeps
+_BATCH_CHARS = 250_000  # texts filtered at once
+_TABLE_BYTES = 64 << 20  # lattices a worker keeps
 
 
 class Vocabulary:
@@ -285,7 +285,7 @@ def encode(
     packed = docs.select(F.struct("*").alias("row"), key.alias("key"), F.col(text_col).alias("text"))
     kind = packed.schema["row"].dataType.simpleString()
     done = packed.mapInArrow(_encoder(path, theta), f"row {kind}, ids array<int>")
-    return done.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != out], F.col("ids").alias(out))
+    return done.select(*[F.col("row")[c].alias(c) for c in docs.columns if c.lower() != out.lower()], F.col("ids").alias(out))
 
 
 def _digester(path: str) -> Callable:
@@ -304,7 +304,7 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", out: str = "decode
     packed = coded.select(F.struct("*").alias("row"), ids.alias("ids"))
     kind = packed.schema["row"].dataType.simpleString()
     done = packed.mapInArrow(_digester(path), f"row {kind}, decoded string")
-    return done.select(*[F.col("row")[c].alias(c) for c in coded.columns if c != out], F.col("decoded").alias(out))
+    return done.select(*[F.col("row")[c].alias(c) for c in coded.columns if c.lower() != out.lower()], F.col("decoded").alias(out))
 
 
 def _coder(path: str, theta: float) -> Callable:

@@ -2,20 +2,27 @@
 
 Two strings are alike in this kernel if they share subsequences of three and
 four letters; a subsequence that spans s letters weighs decay ** s, so letters
-may be put between those of an insult, and other characters do not count. A sentence is a bag of
-windows (its words, runs of single letters taken together, and stretches of
-very long words) and scores as its highest window does.
-
-Training is on labelled sentences, each distinct one once: those of documents
-labelled 0 are clean; those of documents labelled 1 are toxic if they hold a
-witness, a word found in more of them than chance explains and at a far lower
-rate in clean ones, so a few wrong labels remove none. Witnesses of rare insults
-are looked for again among the documents that no other witness explains.
+may be put between those of an insult, and other characters do not count. A text
+is a bag of windows (its words, runs of single letters taken together, and
+stretches of very long words), of which its three highest margins count.
+
+Training is by multiple instances: a label says of a bag that some window of it
+is toxic, or none. Each distinct sentence of the labelled documents counts once;
+one that a clean document has is clean. At first the windows that tell are those
+that toxic sentences have far more often than chance explains. Bags without one
+are looked through again; there a window tells if it is far more frequent than
+in clean sentences that share its most frequent companion, so that words of a
+language that has few labels tell nothing by themselves. All windows of clean
+sentences are negative; rounds add those that the machine scores highest until
+none scores above the cut, also as landmarks. Windows that tell are also shown
+with a letter put in.
+
 Nystroem features of the kernel against landmarks, which are windows of both
-kinds, go into a linear support vector machine, trained in rounds that add the
-clean windows scored highest so far, also as landmarks. As the kernel is a
-finite sum over subsequences, the trained machine folds into one weight for
-each of them, and a window's score is a sum over its own subsequences.
+kinds, go into a linear support vector machine. As the kernel is a finite sum
+over subsequences, the trained machine folds into one weight for each of them.
+Last, a logistic function of a document's three highest margins is fitted to the
+labelled documents: one window that no clean text has is enough, windows that
+clean texts have now and then must occur more than once.
 """
 
 from __future__ import annotations
@@ -43,16 +50,18 @@ LANDMARKS = 200
 SAMPLE_DOCS = 4_000
 CANDIDATES = 4_000
 NEGATIVES = 6_000
-ROUNDS = 4
+ROUNDS = 8
+TOP = 3  # margins of a document that its score depends on
 # A witness stands in clean sentences at most at this share of its rate in toxic ones.
 CLEAN_RATE = 0.1
+NOTHING = -1.0  # the margin of a window without subsequences, and of no window
 _CACHE = 300_000
 _WINDOWS_AT_ONCE = 2_000  # windows whose subsequences are made at once
 _CHUNK = 200  # windows whose kernel rows are made at once
 
 # Characters read as letters.
 _READ_AS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-_SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+_SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]{1,3}\S){2,}(?!\S)")
 
 
 def _letter(c: str) -> int:
@@ -71,6 +80,8 @@ class _Letters(dict):
 
 
 def windows_of(word: str) -> list[str]:
+    # At a word's end this is punctuation, elsewhere a letter.
+    word = word.rstrip("!") or word
     if len(word) <= WINDOW:
         return [word]
     half = WINDOW // 2
@@ -139,12 +150,12 @@ def _features(words: list[str], landmarks: list[str]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights of subsequences (those that have one), the offset, and the slope and shift of the score."""
+    """Weights of subsequences (those that have one), the offset, and what the score makes of the highest margins."""
 
     codes: np.ndarray
     weights: np.ndarray
     offset: float
-    slope: float = 1.0
+    slopes: tuple[float, ...] = (1.0,)
     shift: float = 0.0
 
     def table(self) -> np.ndarray:
@@ -153,8 +164,8 @@ class Model:
         return out
 
     def margins(self, words: list[str], letters: dict[str, int], table: np.ndarray) -> np.ndarray:
-        """The margins of windows; ``table`` is that of this model."""
-        out = np.zeros(len(words))
+        """The margins of windows; ``table`` is that of this model. A window too short for a subsequence is clean."""
+        out = np.full(len(words), NOTHING)
         # By length, so that short windows are not padded to long ones.
         sizes = np.array([len(w) for w in words])
         for low, high in ((0, 8), (8, 12), (12, 16), (16, WINDOW)):
@@ -162,11 +173,18 @@ class Model:
             for a in range(0, len(group), _WINDOWS_AT_ONCE):
                 at = group[a : a + _WINDOWS_AT_ONCE]
                 owner, code, weight = subsequences([words[i] for i in at], letters)
-                out[at] = np.bincount(owner, weights=weight * table[code], minlength=len(at))
-        return out + self.offset
+                found = np.bincount(owner, weights=weight * table[code], minlength=len(at)) + self.offset
+                out[at] = np.where(np.bincount(owner, minlength=len(at)) > 0, found, NOTHING)
+        return out
+
+    def probability(self, top: np.ndarray) -> np.ndarray:
+        """The score of documents by their highest margins, in falling order."""
+        z = _clipped(top)[:, : len(self.slopes)] @ np.array(self.slopes) + self.shift
+        return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
-    def probability(self, margin: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -40, 40)))
+
+def _clipped(top: np.ndarray) -> np.ndarray:
+    return np.clip(top, -2.0, 2.0)
 
 
 class _Scorer:
@@ -176,8 +194,8 @@ class _Scorer:
         self.model, self.letters, self.table = model, _Letters(), model.table()
         self.known: dict[str, float] = {}
 
-    def documents(self, texts: list[str]) -> np.ndarray:
-        """The highest margin of any window of each text; the offset for a text without windows."""
+    def top(self, texts: list[str]) -> np.ndarray:
+        """The three highest margins of the windows of each text, in falling order; that of nothing where it has fewer."""
         if len(self.known) > _CACHE:
             self.known = {}
         split = [t.split() for t in texts]
@@ -187,23 +205,32 @@ class _Scorer:
         if new:
             self.known.update(zip(new, np.maximum.reduceat(margins, np.cumsum([0, *map(len, cut)])[:-1]).tolist(), strict=True))
         look = self.known.__getitem__
-        out = np.array([max(map(look, words), default=self.model.offset) for words in split], np.float64)
-        for i, text in enumerate(texts):
+        out = np.full((len(texts), TOP), NOTHING)
+        for i, (text, words) in enumerate(zip(texts, split, strict=True)):
+            found = np.fromiter(map(look, words), np.float64, len(words))
             spelled = [w for run in _SPELLED.findall(text) for w in windows_of(run)]
             if spelled:
-                out[i] = max(out[i], self.model.margins(spelled, self.letters, self.table).max())
+                found = np.concatenate([found, self.model.margins(spelled, self.letters, self.table)])
+            if len(found) > TOP:
+                found = found[np.argpartition(found, -TOP)[-TOP:]]
+            out[i, : len(found)] = np.sort(found)[::-1]
         return out
 
 
-def _score(model: Model) -> Callable:
+def _score(model: Model, margins: bool = False) -> Callable:
+    """Scores of texts, or with ``margins`` their highest margins."""
     name = f"toxicity:{hashlib.sha256(model.weights.tobytes() + model.codes.tobytes()).hexdigest()}:{model.offset}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer: _Scorer = kept("toxicity", name, lambda: _Scorer(model))
         for batch in batches:
-            parts = [scorer.documents(texts) for _, texts in text_batches(batch.column("text").to_pylist())]
-            margins = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(model.probability(margins))], ["row", "score"])
+            parts = [scorer.top(texts) for _, texts in text_batches(batch.column("text").to_pylist())]
+            top = np.concatenate(parts) if parts else np.zeros((0, TOP))
+            if margins:
+                out = pa.FixedSizeListArray.from_arrays(pa.array(top.ravel()), TOP).cast(pa.list_(pa.float64()))
+            else:
+                out = pa.array(model.probability(top))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), out], ["row", "score"])
 
     return run
 
@@ -267,30 +294,77 @@ def _telling(counts: DataFrame, n_words: int, n_toxic: int, n_clean: int) -> lis
     return [(r["word"], r["n_toxic"]) for r in found.select("word", "n_toxic").collect()]
 
 
+def _by_companion(rest: DataFrame, distinct: DataFrame, counts: DataFrame, totals: dict[int, int]) -> list[tuple[str, int]]:
+    """Words of unexplained toxic sentences that clean sentences with the same companion do not account for.
+
+    A word's companion is the one it stands with most often here, most often a
+    common word of its language. If the word were as frequent in toxic sentences
+    with the companion as in clean ones, its number there would be Poisson; it
+    tells if chance gives so large a number hardly ever.
+    """
+    own = _words(rest.select(F.lit(1).alias("toxic"), "sentence")).groupBy("word").agg(F.count("*").alias("k"))
+    few = (
+        own.join(counts.select("word", "n_clean"), "word")
+        .filter((F.col("k") >= 3) & (F.col("n_clean") * totals[1] <= CLEAN_RATE * totals[0] * F.col("k")))
+        .orderBy(F.desc("k"), "n_clean", "word").limit(CANDIDATES // 4)
+    )
+    candidates = [r["word"] for r in few.select("word").collect()]
+    if not candidates:
+        return []
+
+    def pairs(sentences: DataFrame) -> DataFrame:
+        every = F.array_distinct(F.split("sentence", r"\s+"))
+        named = F.array_intersect(every, F.array(*[F.lit(c) for c in candidates]))
+        held = sentences.select(every.alias("every"), F.explode(named).alias("word"))
+        return held.select("word", F.explode("every").alias("with")).filter("word != with").groupBy("word", "with").agg(F.count("*").alias("n"))
+
+    toxic = pairs(rest).withColumnRenamed("n", "both")
+    clean = pairs(distinct.filter("toxic = 0")).withColumnRenamed("n", "clean_both")
+    usual = counts.select(F.col("word").alias("with"), F.col("n_clean").alias("clean_with"))
+    # The companion must be known from clean sentences, or it could not tell what is usual beside it.
+    best = (
+        toxic.join(usual, "with").filter("clean_with >= 10")
+        .groupBy("word").agg(F.max_by(F.struct("with", "both", "clean_with"), F.struct("both", "clean_with", "with")).alias("c"))
+        .select("word", "c.*")
+    )
+    rows = (
+        best.join(clean, ["word", "with"], "left")
+        .join(own.select(F.col("word").alias("with"), F.col("k").alias("rest_with")), "with", "left")
+        .select("word", "both", "clean_with", F.coalesce("clean_both", F.lit(0)).alias("clean_both"), F.coalesce("rest_with", "both").alias("rest_with"))
+    )
+    expected = F.col("rest_with") * (F.col("clean_both") + 0.5) / (F.col("clean_with") + 1)
+    evidence = F.col("both") * F.log(F.col("both") / expected) - (F.col("both") - expected)
+    found = rows.filter((F.col("both") >= 3) & (F.col("both") > expected) & (evidence >= 2 * float(np.log(max(len(candidates), 2))))).join(own, "word")
+    return sorted(((r["word"], r["k"]) for r in found.select("word", "k").collect()), key=lambda r: (-r[1], r[0]))
+
+
 def _witnesses(sample: DataFrame, distinct: DataFrame, counts: DataFrame, totals: dict[int, int]) -> dict[str, int]:
-    """All witnesses with their toxic sentences, most frequent first within each round.
+    """All windows that tell with their toxic sentences, most frequent first within each round.
 
-    The more toxic sentences the sample has, the more often a word must occur to
-    tell. So documents with a witness are set aside and the rest looked through
-    again, until none is found: there a rare insult needs a few sentences only.
+    Documents that have one are set aside and the rest looked through again, until none is found.
     """
     n_words = counts.count()
     found = dict(_telling(counts, n_words, totals[1], totals[0]))
-    more = found
     toxic = sample.filter("toxic = 1")
-    while more and len(found) < CANDIDATES:
+    while len(found) < CANDIDATES:
         have = toxic.select("id", F.explode(F.split("text", r"\s+")).alias("word")).filter(F.col("word").isin(list(found)))
         rest = _sentences(toxic.join(have.select("id").distinct(), "id", "left_anti"))
         rest = stage(rest.join(distinct.filter("toxic = 1").select("sentence"), "sentence", "left_semi"), "unexplained")
-        n_rest = rest.count()
-        if not n_rest:
+        more = {w: n for w, n in _by_companion(rest, distinct, counts, totals) if w not in found}
+        if not more:
             break
-        again = _words(rest).groupBy("word").agg(F.count("*").alias("n_toxic")).join(counts.select("word", "n_clean"), "word")
-        more = {w: n for w, n in _telling(again, n_words, n_rest, totals[0]) if w not in found}
         found |= dict(list(more.items())[: CANDIDATES - len(found)])
     return found
 
 
+def _with_a_letter(words: list[str], seed: int = 0) -> list[str]:
+    """Each word once more, with a letter put in between two of its own."""
+    rng = np.random.default_rng(seed)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    places = [int(rng.integers(1, len(w))) for w in words]
+    return [w[:k] + letters[int(rng.integers(26))] + w[k:] for w, k in zip(words, places, strict=True)]
+
+
 def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 50.0, steps: int = 400) -> tuple[np.ndarray, float]:
     """A linear support vector machine with squared hinge loss, by Newton steps on its primal form."""
     x1 = np.concatenate([x, np.ones((len(x), 1))], axis=1)
@@ -331,7 +405,7 @@ def train(
     the driver holds is bounded by ``CANDIDATES`` and ``NEGATIVES`` words.
     """
     sample = stage(_sample(docs, labels, per_label, id_col, text_col), "labelled")
-    empty = Model(np.zeros(0, np.int64), np.zeros(0), -1.0, 4.0, 0.0)
+    empty = Model(np.zeros(0, np.int64), np.zeros(0), -1.0, (4.0,), 0.0)
     distinct, counts, totals = _window_counts(sample)
     if not totals.get(0) or not totals.get(1):
         return empty
@@ -339,11 +413,16 @@ def train(
     if not telling:
         return empty
     positives = list(telling)
-    # A word that leans to toxic sentences, such as a rare form of a witness, is on neither side.
-    usual = counts.filter((F.col("n_clean") * (2 * totals[1]) >= F.col("n_toxic") * totals[0]) & (F.col("n_clean") > 0))
-    usual = usual.filter(~F.col("word").isin(positives))
-    clean = usual.orderBy(F.xxhash64("word"), "word").limit(NEGATIVES // 2).select("word").toPandas()["word"].tolist()
+    # Every window of a clean sentence is negative, also one that tells; one sentence alone may be a wrong label.
+    usual = counts.filter("n_clean > 1")
+    clean = counts.filter((F.col("n_clean") > 0) & ~F.col("word").isin(positives)).orderBy(F.xxhash64("word"), "word").limit(NEGATIVES // 2)
+    clean = clean.select("word").toPandas()["word"].tolist()
+    seen = {r["word"]: r["n_clean"] for r in counts.filter(F.col("word").isin(positives) & (F.col("n_clean") > 0)).collect()}
+    mixed = [w for w in positives if w in seen]
+    against = np.log1p(np.array([seen[w] for w in mixed], float))
     importance = np.log1p(np.array(list(telling.values()), float))
+    shown = positives + _with_a_letter(positives)
+    importance = np.concatenate([importance, importance / 2])
     landmarks = _choose_landmarks(positives[: 2 * LANDMARKS], LANDMARKS // 2)
     landmarks += _choose_landmarks(clean[: 2 * LANDMARKS], LANDMARKS - len(landmarks))
     model = empty
@@ -351,19 +430,19 @@ def train(
         values, vectors = np.linalg.eigh(_features(landmarks, landmarks))
         good = values > 1e-6 * values.max()
         whiten = vectors[:, good] / np.sqrt(values[good])
-        x = _features(positives + clean, landmarks) @ whiten
-        y = np.concatenate([np.ones(len(positives)), -np.ones(len(clean))])
-        each = np.concatenate([importance / importance.sum(), np.full(len(clean), 1 / max(len(clean), 1))]) * len(y) / 2
+        x = _features(shown + clean + mixed, landmarks) @ whiten
+        y = np.concatenate([np.ones(len(shown)), -np.ones(len(clean) + len(mixed))])
+        both = importance.sum()
+        each = np.concatenate([importance / both, np.full(len(clean), 1 / max(len(clean), 1)), against / both]) * len(y) / 2
         w, b = _hinge(x, y, each)
         owner, code, weight = subsequences(landmarks, _Letters())
         codes, row = np.unique(code, return_inverse=True)
         model = Model(codes, np.bincount(row, weights=weight * (whiten @ w)[owner], minlength=len(codes)), b)
         # The clean windows that this model scores highest join the training.
         hard = (
-            # One clean sentence may be one wrong label.
-            usual.filter("n_clean > 1").select("word")
+            usual.filter(~F.col("word").isin(positives)).select("word")
             .mapInArrow(_rank_words(model), "word string, margin double")
-            .orderBy(F.desc("margin"), "word").limit(NEGATIVES // 8).select("word").toPandas()["word"].tolist()
+            .filter("margin > 0").orderBy(F.desc("margin"), "word").limit(NEGATIVES // 8).select("word").toPandas()["word"].tolist()
         )
         met = set(clean)
         fresh = [w for w in hard if w not in met]
@@ -371,7 +450,8 @@ def train(
             break
         clean += fresh
         landmarks += fresh[: LANDMARKS // 4]
-    return _calibrated(model, sample)
+    pure = [w for w in positives if w not in seen]
+    return _calibrated(model, sample, labels, id_col, pure)
 
 
 def _rank_words(model: Model) -> Callable:
@@ -384,28 +464,51 @@ def _rank_words(model: Model) -> Callable:
     return run
 
 
-def _calibrated(model: Model, sample: DataFrame) -> Model:
-    """Fit slope and offset of the score to the highest margins of the sample's documents."""
-    margins = (
-        sample.select(F.col("toxic").alias("row"), "text")
-        .mapInArrow(_score(Model(model.codes, model.weights, model.offset)), "row int, score double")
-        .groupBy("row", F.round("score", 4).alias("score"))
-        .count()
-        .toPandas()
-    )
-    p = np.clip(margins["score"].to_numpy(), 1e-9, 1 - 1e-9)
-    m, y, n = np.log(p / (1 - p)), margins["row"].to_numpy(float), margins["count"].to_numpy(float)
-    # The cut that gets most documents right, in the middle of the widest gap that does.
-    order = np.argsort(m, kind="stable")
-    m, y, n = m[order], y[order], n[order]
-    share = np.where(y == 1, n / n[y == 1].sum(), n / n[y == 0].sum())
-    errors = np.concatenate([[0], np.cumsum(np.where(y == 1, share, -share))])
-    edges = np.concatenate([[m[0] - 1], m, [m[-1] + 1]])
-    gaps = np.diff(edges)
-    best = np.flatnonzero(errors <= errors.min() + 1e-12)
-    k = best[np.argmax(gaps[best])]
-    cut = (edges[k] + edges[k + 1]) / 2
-    return Model(model.codes, model.weights, model.offset, 6.0, -6.0 * cut)
+def _calibrated(model: Model, sample: DataFrame, labels: DataFrame, id_col: str, pure: list[str]) -> Model:
+    """Fit what the score makes of the three highest margins to the sample's documents, each label at its true share.
+
+    A bag is toxic if one window is. So the ``pure`` windows that tell, which no clean sentence of the sample has, are
+    put into clean documents, one into each, and these count as toxic ones, together as much as those.
+    """
+    rows = sample.select(F.col("toxic").alias("row"), "text").mapInArrow(_score(model, margins=True), "row int, score array<double>")
+    found = rows.toPandas()  # as many rows as the sample has documents
+    y, top = found["row"].to_numpy(float), _clipped(np.array(found["score"].tolist(), float).reshape(-1, TOP))
+    true = {r["toxic"]: r["n"] for r in labels.filter("toxic in (0, 1)").groupBy(F.col("toxic").cast("int").alias("toxic")).agg(F.count_distinct(id_col).alias("n")).collect()}
+    weight = np.where(y == 1, true[1] / max(y.sum(), 1), true[0] / max((1 - y).sum(), 1))
+    if pure:
+        made = np.repeat(model.margins([windows_of(w)[0] for w in pure], _Letters(), model.table()), -(-int((1 - y).sum()) // len(pure)))
+        host = top[y == 0]
+        made = np.sort(np.concatenate([host, _clipped(made[: len(host), None])], axis=1), axis=1)[:, ::-1][:, :TOP]
+        weight = np.concatenate([weight, np.full(len(made), weight[y == 1].sum() / max(len(made), 1))])
+        top, y = np.concatenate([top, made]), np.concatenate([y, np.ones(len(made))])
+    used = list(range(TOP))
+    while True:
+        slopes, shift = _logistic(top[:, used], y, weight)
+        # A higher margin never makes a text less toxic.
+        if len(used) == 1 or slopes.min() >= 0:
+            break
+        used.pop(int(slopes.argmin()))
+    out = np.zeros(TOP)
+    out[used] = np.maximum(slopes, 0.01)
+    return Model(model.codes, model.weights, model.offset, tuple(out.tolist()), float(shift))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 100) -> tuple[np.ndarray, float]:
+    """Logistic regression by Newton steps, with a little ridge so that separable data has an answer."""
+    x1 = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    w = np.zeros(x1.shape[1])
+    ridge = np.eye(len(w)) * 0.01
+    ridge[-1, -1] = 1e-6
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
+        slope = x1.T @ (weight * (p - y)) + ridge @ w
+        bend = (x1 * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x1 + ridge
+        step = np.linalg.solve(bend, slope)
+        # Damped, since a full step may overshoot where the two labels are far apart.
+        w -= step * min(1.0, 3.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-8:
+            break
+    return w[:-1], float(w[-1])
 
 
 def with_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
@@ -417,7 +520,7 @@ def with_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out: st
     packed = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     kind = packed.schema["row"].dataType.simpleString()
     scored = packed.mapInArrow(_score(model), f"row {kind}, score double")
-    return scored.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != out], F.col("score").alias(out))
+    return scored.select(*[F.col("row")[c].alias(c) for c in docs.columns if c.lower() != out.lower()], F.col("score").alias(out))
 
 
 def held_out(id_col: str = "doc_id"):

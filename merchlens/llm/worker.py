@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable
@@ -17,6 +19,15 @@ def kept(owner: str, name: str, make: Callable[[], object]) -> object:
     box = sys.modules.setdefault("_merchlens_worker", types.ModuleType("_merchlens_worker"))
     if getattr(box, "owner", None) != owner:
         box.owner, box.tables = owner, {}
+        _give_back()
     if name not in box.tables:
         box.tables[name] = make()
     return box.tables[name]
+
+
+def _give_back() -> None:
+    """Hand memory that is no longer used back to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

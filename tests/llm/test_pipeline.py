@@ -1,6 +1,8 @@
 import brute
 import corpus_pipeline as cp
 
+from pyspark.sql import functions as F
+
 from merchlens.llm import mixing, queries, toxicity
 
 
@@ -19,8 +21,8 @@ def test_every_stage_against_brute_force(spark, sf_dir, tmp_path):
         if name == "toxicity":
             labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~toxicity.held_out())
             model = toxicity.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels)
-            margins = toxicity._Scorer(model).documents([r[1] or "" for r in rows])
-            want = [r for r, p in zip(rows, model.probability(margins), strict=True) if p < 0.5]
+            top = toxicity._Scorer(model).top([r[1] or "" for r in rows])
+            want = [r for r, p in zip(rows, model.probability(top), strict=True) if p < 0.5]
         elif name == "line dedup":
             texts = [t for _, _, t in brute.kept_lines([r[:2] for r in rows])]
             want = [(r[0], t, *r[2:4], len(t)) for r, t in zip(rows, texts, strict=True)]
@@ -47,5 +49,16 @@ def test_run_gives_coded_documents(spark, sf_dir):
 
 def test_every_operator_has_its_query():
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14)) and set(queries.SQL) <= set(queries.QUERIES)
     assert cp.ORACLE_SQL is None
+
+
+def test_columns_that_clash_with_an_operators_own_keep_their_values(spark, sf_dir):
+    extra = {"domain": "d", "tokens": "t", "epoch": "e", "N_Lines": "n", "n_dropped": "x", "Toxicity_Score": "s", "score": "z", "row": "r"}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns({c: F.lit(v) for c, v in extra.items()})
+    names = docs.columns
+    for name, function in cp.STAGES[:-1]:
+        docs = function(spark, docs, sf_dir)
+        assert docs.columns == names, name
+        wrong = docs.filter(" or ".join(f"`{c}` <> '{v}'" for c, v in extra.items()))
+        assert docs.count() > 0 and wrong.count() == 0, name
