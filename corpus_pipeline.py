@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens.llm import jaccard_join, line_dedup, mixing, queries, sentence_pieces, toxicity
@@ -19,17 +19,23 @@ from merchlens.session import stage
 MIX_SHARE = 0.9
 
 
+def _beside(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """The columns an operator needs beside the whole row, so that no column of the row can clash with one it makes."""
+    return docs.select(F.struct("*").alias("whole_row"), *columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the labels outside the held-out fifth and drop documents that score one half or more."""
     labels = queries.table(spark, sf_dir, "labels").filter(~toxicity.held_out())
     model = toxicity.train(docs, labels)
-    return toxicity.with_toxicity(docs, model, out="toxicity_score").filter("toxicity_score < 0.5").select(docs.columns)
+    return toxicity.with_toxicity(_beside(docs, "text"), model).filter("score < 0.5").select("whole_row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines that many documents share, except in the last document that holds them."""
-    kept = line_dedup.drop_repeated_lines(docs)
-    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    kept = line_dedup.drop_repeated_lines(_beside(docs, "doc_id", "text"))
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)}
+    return kept.select(*[new.get(c, F.col("whole_row")[c]).alias(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +45,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents so that tokens follow the weights of domains, languages and sources."""
-    placed = docs.withColumn("domain", mixing.domain_of(F.col("source")))
-    return mixing.mix(placed, share=MIX_SHARE, max_epochs=1).select(docs.columns)
+    placed = _beside(docs, "doc_id", "text", "lang", "source", mixing.domain_of(F.col("source")).alias("domain"))
+    return mixing.mix(placed, share=MIX_SHARE, max_epochs=1).select("whole_row.*")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
