@@ -1,15 +1,16 @@
 """Verdicts on the reports: every report against a second way to its totals.
 
 Each module's reports are rolled up to one row of totals and compared with
-totals taken from the facts by another path. The rows that meet on the driver
-are single rows of sums; all row-level work is in the reports.
+totals taken from the facts by another path. Each such row is a scalar of the
+one row that the verdicts are columns of, so they are decided by the plan and
+nothing is collected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.operators import customers as cust
@@ -30,16 +31,55 @@ from merchlens.plans import (
     revenue,
     rfm,
 )
-from merchlens.session import run_together
+from merchlens.session import run_together, stage
 from merchlens.sources.star import Star
 
 # (statement, measure, holds)
-Verdict = tuple[str, float, bool]
+Verdict = tuple[str, Column, Column]
 CENT = 0.0051
 
 
-def near(a: float | None, b: float | None, tolerance: float = CENT) -> bool:
-    return a is not None and b is not None and abs(a - b) <= tolerance
+def near(a: Column, b: Column | float, tolerance: float | Column = CENT) -> Column:
+    """Whether two amounts agree; one that is missing agrees with none."""
+    return F.coalesce(F.abs(a - b) <= tolerance, F.lit(False))
+
+
+def all_of(*conditions: Column) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
+
+
+# The three sets of high-value customers and their overlaps.
+_SETS = ("A RFM Champions", "B Elite value class", "C Top value decile", "A and B", "A and C", "B and C", "A and B and C")
+
+
+class Totals:
+    """The columns of one row of totals, by name."""
+
+    def __init__(self, name: str):
+        self._name = name
+
+    def __getitem__(self, column: str) -> Column:
+        return F.col(self._name)[column]
+
+    __getattr__ = __getitem__
+
+
+class Frames:
+    """Rows of totals that verdicts compare."""
+
+    def __init__(self):
+        self.made: dict[str, DataFrame] = {}
+
+    def __call__(self, frames: dict[str, Callable[[], DataFrame]]) -> dict[str, Totals]:
+        # Side by side, each stored as its one row: reports hold scalars of their own, which do not nest well.
+        self.made = dict(zip(frames, run_together([lambda f=f: stage(f(), "totals") for f in frames.values()])))
+        return {name: Totals(name) for name in frames}
+
+    def row(self, star: Star) -> DataFrame:
+        return star.spark.range(1).select(*[df.select(F.struct("*")).scalar().alias(name) for name, df in self.made.items()])
 
 
 def _headers(star: Star) -> DataFrame:
@@ -95,12 +135,8 @@ def _sums(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in columns])
 
 
-def _rows(frames: dict[str, Callable[[], DataFrame]]) -> dict[str, Row]:
-    return dict(zip(frames, run_together([lambda f=f: f().first() for f in frames.values()])))
-
-
-def _executive(s: Star, p: Params) -> Iterable[Verdict]:
-    r = _rows(
+def _executive(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
+    r = rows(
         {
             "panel": lambda: executive.kpi_panel(s, p),
             "onr": lambda: executive.kpi_order_net_revenue(s, p),
@@ -115,7 +151,7 @@ def _executive(s: Star, p: Params) -> Iterable[Verdict]:
     )
     panel, ln = r["panel"], r["lines"]
     onr = r["onr"].order_net_revenue
-    yield "order net revenue equals line net", onr, near(onr, ln.net) and near(onr, panel.order_net_revenue)
+    yield "order net revenue equals line net", onr, all_of(near(onr, ln.net), near(onr, panel.order_net_revenue))
     yield "net revenue agrees with the panel", r["net"].net_revenue, near(r["net"].net_revenue, panel.net_revenue)
     m = r["margin"].gross_margin_pct
     yield "gross margin agrees with the panel", m, near(m, panel.gross_margin_pct)
@@ -129,12 +165,12 @@ def _executive(s: Star, p: Params) -> Iterable[Verdict]:
     yield "repeat rate agrees with the panel", y, near(y, panel.repeat_purchase_rate_pct)
 
 
-def _revenue(s: Star, p: Params) -> Iterable[Verdict]:
+def _revenue(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     paths = revenue.revenue_path_reconciliation(s, p)
     wide = paths.groupBy().pivot(
         "path", ["header_total", "header_by_year", "header_by_channel", "line_by_category"]
     ).agg(F.first("order_net_revenue"))
-    r = _rows(
+    r = rows(
         {
             "head": lambda: _headers(s),
             "year": lambda: _sums(revenue.revenue_by_year(s, p), "order_net_revenue"),
@@ -155,9 +191,9 @@ def _revenue(s: Star, p: Params) -> Iterable[Verdict]:
         yield f"path {path}", r["paths"][path], near(r["paths"][path], net)
 
 
-def _product(s: Star, p: Params) -> Iterable[Verdict]:
+def _product(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     per_product = s.product_totals().agg((F.sum(F.col("net_c") - F.col("cost_c")) / 100).alias("profit"))
-    r = _rows(
+    r = rows(
         {
             "econ": lambda: _profit(s),
             "back": lambda: _back(s),
@@ -174,15 +210,15 @@ def _product(s: Star, p: Params) -> Iterable[Verdict]:
     c = r["cat"]
     yield "categories sum to total profit", c.gross_profit, near(c.gross_profit, profit, 0.05)
     yield "products sum to total profit", r["each"].profit, near(r["each"].profit, profit)
-    ok = r["ret"].units_returned == r["back"].units and near(r["ret"].revenue_returned, r["back"].refund, 0.05)
+    ok = all_of(r["ret"].units_returned == r["back"].units, near(r["ret"].revenue_returned, r["back"].refund, 0.05))
     yield "category returns sum to all returns", r["ret"].revenue_returned, ok
-    ok = near(r["div"].revenue, net, 0.05) and near(r["div"].gross_profit, profit, 0.05)
+    ok = all_of(near(r["div"].revenue, net, 0.05), near(r["div"].gross_profit, profit, 0.05))
     yield "divergence covers revenue and profit", r["div"].gross_profit, ok
-    yield "unit positions cover all units", float(r["vol"].units_sold), r["vol"].units_sold == ln.units
+    yield "unit positions cover all units", r["vol"].units_sold, r["vol"].units_sold == ln.units
     yield "quadrants cover all revenue", r["quad"].revenue, near(r["quad"].revenue, ln.net, 0.05)
 
 
-def _geography(s: Star, p: Params) -> Iterable[Verdict]:
+def _geography(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     y1, y2, y3 = p.growth_years
     per_year = s.orders("order_date", "net_c").agg(
         *[
@@ -191,7 +227,7 @@ def _geography(s: Star, p: Params) -> Iterable[Verdict]:
         ]
     )
     quality = geography.region_customer_quality(s, p)
-    r = _rows(
+    r = rows(
         {
             "head": lambda: _headers(s),
             "people": lambda: _people(s),
@@ -210,16 +246,16 @@ def _geography(s: Star, p: Params) -> Iterable[Verdict]:
     yield "regions sum to the header total", got, near(got, net, 0.05)
     yield "national value per customer", r["rpc"].v, near(r["rpc"].v, net / people.n, 0.011)
     # The regional rates are rounded to a tenth of a percent.
-    yield "regional repeat customers", float(people.again), abs(r["rep"].again - people.again) <= people.n / 1000 + 5
-    ok = all(near(r["yoy"][f"rev_year_{i}"], r["years"][f"rev_year_{i}"], 0.05) for i in (1, 2, 3))
+    yield "regional repeat customers", people.again, F.abs(r["rep"].again - people.again) <= people.n / 1000 + 5
+    ok = all_of(*[near(r["yoy"][f"rev_year_{i}"], r["years"][f"rev_year_{i}"], 0.05) for i in (1, 2, 3)])
     yield "regional years sum to the years", r["yoy"].rev_year_3, ok
     yield "quadrants cover all revenue", r["quad"].revenue, near(r["quad"].revenue, net, 0.05)
 
 
-def _marketing(s: Star, p: Params) -> Iterable[Verdict]:
+def _marketing(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     quality = marketing.channel_customer_quality(s, p)
     attributed = s.orders("campaign_key", "net_c").filter("campaign_key is not null")
-    r = _rows(
+    r = rows(
         {
             "head": lambda: _headers(s),
             "people": lambda: _people(s),
@@ -235,25 +271,25 @@ def _marketing(s: Star, p: Params) -> Iterable[Verdict]:
         }
     )
     net, people, vol = r["head"].net, r["people"], r["vol"]
-    ok = near(vol.order_net_revenue, net, 0.05) and vol.customers_acquired == people.n
+    ok = all_of(near(vol.order_net_revenue, net, 0.05), vol.customers_acquired == people.n)
     yield "channels cover revenue and customers", vol.order_net_revenue, ok
-    yield "channel repeat customers", float(people.again), abs(r["rep"].again - people.again) <= people.n / 1000 + 5
+    yield "channel repeat customers", people.again, F.abs(r["rep"].again - people.again) <= people.n / 1000 + 5
     got = r["camp"].campaign_revenue_gross
     yield "campaign types cover attributed revenue", got, near(got, r["attr"].net, 0.05)
     shares = r["gap"]
     half = 0.05 * shares.rows + 1e-6
-    ok = abs(shares.revenue_share_pct - 100) <= half and abs(shares.customer_share_pct - 100) <= half
-    yield "channel shares sum to 100", 100.0, ok
+    ok = all_of(near(shares.revenue_share_pct, 100.0, half), near(shares.customer_share_pct, 100.0, half))
+    yield "channel shares sum to 100", F.lit(100.0), ok
     got = r["mix"].channel_category_revenue
     yield "category mix covers all revenue", got, near(got, net, 0.05)
-    yield "quadrants cover all customers", float(r["quad"].customers), r["quad"].customers == people.n
+    yield "quadrants cover all customers", r["quad"].customers, r["quad"].customers == people.n
 
 
-def _retention(s: Star, p: Params) -> Iterable[Verdict]:
+def _retention(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     split = retention.customer_portfolio_split(s, p)
     again = F.when(F.col("segment") == "Repeat (2+)", F.col("order_net_revenue"))
     deciles = retention.value_deciles(s, p)
-    r = _rows(
+    r = rows(
         {
             "people": lambda: _people(s),
             "split": lambda: split.agg(F.sum("customers").alias("n"), F.sum("order_net_revenue").alias("net")),
@@ -268,20 +304,20 @@ def _retention(s: Star, p: Params) -> Iterable[Verdict]:
         }
     )
     people = r["people"]
-    ok = r["split"].n == people.n and near(r["split"].net, people.net, 0.05)
+    ok = all_of(r["split"].n == people.n, near(r["split"].net, people.net, 0.05))
     yield "the split covers customers and revenue", r["split"].net, ok
-    ok = r["tiers"].customers == people.n and near(r["tiers"].net_revenue, people.value, 0.05)
+    ok = all_of(r["tiers"].customers == people.n, near(r["tiers"].net_revenue, people.value, 0.05))
     yield "tiers cover customers and net revenue", r["tiers"].net_revenue, ok
     yield "deciles cover the buyers' value", r["dec"].value, near(r["dec"].value, people.value, 0.05)
     yield "repeat revenue agrees with the ledger", r["once"].net, near(r["once"].net, people.again_net)
     rate = r["quick"].repeat_90d_rate_pct
-    yield "90-day rate lies below the lifetime rate", rate, 0 < rate <= 100 * people.again / people.buyers
-    yield "the top decile is a tenth of the buyers", float(r["dec"].top), r["dec"].top == -(-people.buyers // 10)
+    yield "90-day rate lies below the lifetime rate", rate, all_of(rate > 0, rate <= 100 * people.again / people.buyers)
+    yield "the top decile is a tenth of the buyers", r["dec"].top, r["dec"].top == F.ceil(people.buyers / 10)
 
 
-def _returns(s: Star, p: Params) -> Iterable[Verdict]:
+def _returns(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     realized = F.when(F.col("leakage_class") == "Realized", F.col("dollars"))
-    r = _rows(
+    r = rows(
         {
             "head": lambda: _headers(s),
             "back": lambda: _back(s),
@@ -296,21 +332,21 @@ def _returns(s: Star, p: Params) -> Iterable[Verdict]:
         }
     )
     back, over = r["back"], r["over"]
-    ok = over.total_returns == back.n and over.units_returned == back.units
-    yield "the overview covers all returns", over.revenue_refunded, ok and near(over.revenue_refunded, back.refund)
+    ok = all_of(over.total_returns == back.n, over.units_returned == back.units)
+    yield "the overview covers all returns", over.revenue_refunded, all_of(ok, near(over.revenue_refunded, back.refund))
     for label, key in (("reasons", "why"), ("categories", "cat")):
         got = r[key].revenue_returned
         yield f"{label} sum to all refunds", got, near(got, back.refund, 0.05)
-    yield "bands cover all buyers", float(r["bands"].customers), r["bands"].customers == r["people"].buyers
+    yield "bands cover all buyers", r["bands"].customers, r["bands"].customers == r["people"].buyers
     for label, key in (("regions", "region"), ("channels", "chan")):
-        yield f"{label} cover all returned units", float(r[key].units_returned), r[key].units_returned == back.units
+        yield f"{label} cover all returned units", r[key].units_returned, r[key].units_returned == back.units
     got = r["leak"].v
     yield "realised leakage is refunds and discounts", got, near(got, back.refund + r["head"].discount, 0.05)
 
 
-def _rfm(s: Star, p: Params) -> Iterable[Verdict]:
+def _rfm(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     scores = rfm.rfm_score_distribution(s, p)
-    r = _rows(
+    r = rows(
         {
             "people": lambda: _people(s),
             "score": lambda: scores.agg(
@@ -324,14 +360,14 @@ def _rfm(s: Star, p: Params) -> Iterable[Verdict]:
         }
     )
     people, score = r["people"], r["score"]
-    yield "frequency bands cover all buyers", float(score.n), score.n == people.buyers and score.odd == 0
-    yield "recency and value use five levels", float(score.r), score.r == 5 and score.m == 5
-    yield "every buyer has a segment", float(r["seg"].customers), r["seg"].customers == people.buyers
-    ok = r["rec"].regression_result == PASS and near(r["rec"].rfm_net_revenue, people.value)
+    yield "frequency bands cover all buyers", score.n, all_of(score.n == people.buyers, score.odd == 0)
+    yield "recency and value use five levels", score.r, all_of(score.r == 5, score.m == 5)
+    yield "every buyer has a segment", r["seg"].customers, r["seg"].customers == people.buyers
+    ok = all_of(r["rec"].regression_result == PASS, near(r["rec"].rfm_net_revenue, people.value))
     yield "segment value reconciles", r["rec"].rfm_net_revenue, ok
 
 
-def _cohorts(s: Star, p: Params) -> Iterable[Verdict]:
+def _cohorts(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     base = cohorts.cohort_base(s, p)
     same_month = (
         s.orders("customer_key", "order_date")
@@ -340,7 +376,7 @@ def _cohorts(s: Star, p: Params) -> Iterable[Verdict]:
         .join(s.customers("customer_key", "signup_date"), "customer_key")
         .filter(F.col("m") == F.trunc("signup_date", "MM"))
     )
-    r = _rows(
+    r = rows(
         {
             "people": lambda: _people(s),
             "head": lambda: _headers(s),
@@ -356,21 +392,21 @@ def _cohorts(s: Star, p: Params) -> Iterable[Verdict]:
         }
     )
     people = r["people"]
-    yield "cohorts cover all customers", float(r["base"].cohort_customers), r["base"].cohort_customers == people.n
-    yield "first-month activity counted directly", float(r["age0"].n), r["age0"].n == r["same"].n
+    yield "cohorts cover all customers", r["base"].cohort_customers, r["base"].cohort_customers == people.n
+    yield "first-month activity counted directly", r["age0"].n, r["age0"].n == r["same"].n
     eng = r["eng"]
-    ok = eng.buyers_at_age == eng.engaged_customers == people.buyers
-    yield "every buyer is engaged in the first month", float(eng.buyers_at_age), ok
-    ok = near(r["rev"].order_net_revenue, r["head"].net, 0.05) and r["rev"].orders == r["head"].n
+    ok = all_of(eng.buyers_at_age == eng.engaged_customers, eng.engaged_customers == people.buyers)
+    yield "every buyer is engaged in the first month", eng.buyers_at_age, ok
+    ok = all_of(near(r["rev"].order_net_revenue, r["head"].net, 0.05), r["rev"].orders == r["head"].n)
     yield "classes cover revenue and orders", r["rev"].order_net_revenue, ok
-    ok = near(r["val"].net_revenue, people.value, 0.05) and r["val"].customers == people.n
+    ok = all_of(near(r["val"].net_revenue, people.value, 0.05), r["val"].customers == people.n)
     yield "classes cover customer value", r["val"].net_revenue, ok
-    yield "every scored buyer has a cohort", float(r["mix"].n), r["mix"].n == people.buyers
+    yield "every scored buyer has a cohort", r["mix"].n, r["mix"].n == people.buyers
 
 
-def _clv(s: Star, p: Params) -> Iterable[Verdict]:
+def _clv(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     last = s.snapshot().filter(F.col("month_end") == F.lit(s.horizon))
-    r = _rows(
+    r = rows(
         {
             "people": lambda: _people(s),
             "head": lambda: _headers(s),
@@ -384,15 +420,15 @@ def _clv(s: Star, p: Params) -> Iterable[Verdict]:
     people = r["people"]
     yield "customer value is net revenue", people.value, near(people.value, r["head"].net - r["back"].refund)
     yield "snapshot and facts give one value", r["snap"].v, near(r["snap"].v, people.value)
-    yield "tiers cover all customers", float(r["tiers"].customers), r["tiers"].customers == people.n
-    yield "classes cover positive customers", float(r["classes"].customers), r["classes"].customers == people.positive
+    yield "tiers cover all customers", r["tiers"].customers, r["tiers"].customers == people.n
+    yield "classes cover positive customers", r["classes"].customers, r["classes"].customers == people.positive
     got = r["seg"].total_historical_clv
     yield "segments cover all value", got, near(got, people.value, 0.05)
 
 
-def _concentration(s: Star, p: Params) -> Iterable[Verdict]:
+def _concentration(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     full = F.col("analytical_basis") == concentration.FULL
-    r = _rows(
+    r = rows(
         {
             "people": lambda: _people(s),
             "bases": lambda: concentration.concentration_bases(s, p).filter(full),
@@ -407,22 +443,22 @@ def _concentration(s: Star, p: Params) -> Iterable[Verdict]:
         }
     )
     people, b = r["people"], r["bases"]
-    ok = b.customers == people.n and near(b.total_historical_clv, people.value)
+    ok = all_of(b.customers == people.n, near(b.total_historical_clv, people.value))
     yield "the base covers customers and value", b.total_historical_clv, ok
-    steps = [0.0, *[r["ladder"][f"top_{x}_pct"] or 0.0 for x in concentration.LADDER], 100.0]
-    yield "the ladder never falls", steps[-2], all(x <= y for x, y in zip(steps, steps[1:]))
+    steps = [F.lit(0.0), *[F.coalesce(r["ladder"][f"top_{x}_pct"], F.lit(0.0)) for x in concentration.LADDER], F.lit(100.0)]
+    yield "the ladder never falls", steps[-2], all_of(*[x <= y for x, y in zip(steps, steps[1:])])
     top = r["top"].top_decile_share_pct
     yield "decile share agrees with the decile report", top, near(top, r["dec"].pct_of_net_revenue)
     yield "the Lorenz curve ends at 100", r["lorenz"].v, near(r["lorenz"].v, 100.0, 0.1)
     g = r["gini"]
-    yield "Gini lies in range and falls for buyers", g["all"], 0 <= g["buyers"] <= g["all"] <= 1
+    yield "Gini lies in range and falls for buyers", g["all"], all_of(g["buyers"] >= 0, g["buyers"] <= g["all"], g["all"] <= 1)
 
 
-def _behaviour(s: Star, p: Params) -> Iterable[Verdict]:
+def _behaviour(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     feats = cust.behavioral_features(s, p)
     freq, gap = F.col("order_frequency"), F.col("purchase_cadence_days")
     in_strata = freq.isin(*p.breadth_strata)
-    r = _rows(
+    r = rows(
         {
             "people": lambda: _people(s),
             "f": lambda: feats.agg(
@@ -453,26 +489,26 @@ def _behaviour(s: Star, p: Params) -> Iterable[Verdict]:
         }
     )
     people, f = r["people"], r["f"]
-    yield "the population has positive value", float(f.n), f.n == people.positive
-    yield "population and exclusions make the base", float(r["pop"].n), r["pop"].n == people.n
-    yield "no feature is missing", float(f.missing), f.missing == 0
-    yield "cadence exists exactly from two orders on", float(f.odd_gap), f.odd_gap == 0
-    ok = f.lo >= 1 and f.hi <= r["cats"].n and f.lo2 >= 1 and f.hi2 <= r["chans"].n and (f.lo3 or 0) >= 0
-    yield "breadth and cadence lie in range", float(f.hi), ok
-    yield "classes cover the population", float(r["cls"].customers), r["cls"].customers == f.n
-    yield "cells cover their strata", float(r["cells"].customers), r["cells"].customers == f.strata
-    yield "cadence leaves single orders out", float(f.with_gap), f.single == 0 and f.with_gap > 0
-    yield "basket measures cover the population", float(r["non"].customers), r["non"].customers == f.n
-    yield "segments cover the population", float(r["seg"].customers), r["seg"].customers == f.n
-
-
-def _portfolio(s: Star, p: Params) -> Iterable[Verdict]:
+    yield "the population has positive value", f.n, f.n == people.positive
+    yield "population and exclusions make the base", r["pop"].n, r["pop"].n == people.n
+    yield "no feature is missing", f.missing, f.missing == 0
+    yield "cadence exists exactly from two orders on", f.odd_gap, f.odd_gap == 0
+    ok = all_of(f.lo >= 1, f.hi <= r["cats"].n, f.lo2 >= 1, f.hi2 <= r["chans"].n, F.coalesce(f.lo3, F.lit(0)) >= 0)
+    yield "breadth and cadence lie in range", f.hi, ok
+    yield "classes cover the population", r["cls"].customers, r["cls"].customers == f.n
+    yield "cells cover their strata", r["cells"].customers, r["cells"].customers == f.strata
+    yield "cadence leaves single orders out", f.with_gap, all_of(f.single == 0, f.with_gap > 0)
+    yield "basket measures cover the population", r["non"].customers, r["non"].customers == f.n
+    yield "segments cover the population", r["seg"].customers, r["seg"].customers == f.n
+
+
+def _portfolio(s: Star, p: Params, rows: Frames) -> Iterable[Verdict]:
     folio = cust.held_portfolio(s, p, ranked=True)
     sets = portfolio.method_convergence(s, p).groupBy().pivot(
         "method_or_overlap",
-        ["A RFM Champions", "B Elite value class", "C Top value decile", "A and B", "A and C", "B and C", "A and B and C"],
+        list(_SETS),
     ).agg(F.first("customers"))
-    r = _rows(
+    r = rows(
         {
             "people": lambda: _people(s),
             "rows": lambda: folio.agg(
@@ -484,14 +520,14 @@ def _portfolio(s: Star, p: Params) -> Iterable[Verdict]:
             "sets": lambda: sets,
         }
     )
-    people, rows = r["people"], r["rows"]
-    yield "one row per customer", float(rows.n), rows.n == rows["keys"] == people.n
-    yield "the portfolio covers all value", rows.value, near(rows.value, people.value)
+    people, whole = r["people"], r["rows"]
+    yield "one row per customer", whole.n, all_of(whole.n == whole["keys"], whole["keys"] == people.n)
+    yield "the portfolio covers all value", whole.value, near(whole.value, people.value)
     drift = r["drift"].rfm_segment_drift + r["drift"].value_class_drift
-    yield "no classification drifts", float(drift), drift == 0
-    a, b, c, ab, ac, bc, abc = r["sets"]
-    ok = ab <= min(a, b) and ac <= min(a, c) and bc <= min(b, c) and 0 < abc <= min(ab, ac, bc)
-    yield "overlaps lie within their sets", float(abc), ok
+    yield "no classification drifts", drift, drift == 0
+    a, b, c, ab, ac, bc, abc = (r["sets"][name] for name in _SETS)
+    ok = all_of(ab <= F.least(a, b), ac <= F.least(a, c), bc <= F.least(b, c), abc > 0, abc <= F.least(ab, ac, bc))
+    yield "overlaps lie within their sets", abc, ok
 
 
 _MODULES = {
@@ -511,16 +547,22 @@ _MODULES = {
 }
 
 
-def _table(module: str, judge: Callable[[Star, Params], Iterable[Verdict]]) -> Callable[[Star, Params], DataFrame]:
+def _table(module: str, judge: Callable[[Star, Params, Frames], Iterable[Verdict]]) -> Callable[[Star, Params], DataFrame]:
     def verdicts(star: Star, params: Params) -> DataFrame:
         cust.hold_buyer_totals(star, breadth=module in ("behaviour", "portfolio"))
+        frames = Frames()
         rows = [
-            (module, i, statement, round(float(measure or 0), 2), PASS if holds else FAIL)
-            for i, (statement, measure, holds) in enumerate(judge(star, params), start=1)
+            F.struct(
+                F.lit(module).alias("module"),
+                F.lit(i).cast("int").alias("check_no"),
+                F.lit(statement).alias("statement"),
+                F.round(F.coalesce(measure.cast("double"), F.lit(0.0)), 2).alias("measure"),
+                # What cannot be decided does not hold.
+                F.when(holds, PASS).otherwise(FAIL).alias("verdict"),
+            )
+            for i, (statement, measure, holds) in enumerate(judge(star, params, frames), start=1)
         ]
-        return star.spark.createDataFrame(
-            rows, "module string, check_no int, statement string, measure double, verdict string"
-        )
+        return frames.row(star).select(F.inline(F.array(*rows)))
 
     return verdicts
 

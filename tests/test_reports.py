@@ -104,3 +104,23 @@ def test_ties_on_one_value_have_gini_zero(spark):
             return df.select(*cols)
 
     assert {r.gini_coefficient for r in concentration.gini(Flat(), RETAIL_PARAMS).collect()} == {0.0}
+
+
+def test_verdicts_fail_where_two_paths_differ(spark, sf_dir):
+    from merchlens import RetailStar
+    from merchlens.plans.verdicts import VERDICTS
+
+    class Doubled(RetailStar):
+        """Headers that say twice what their lines do."""
+
+        def orders(self, *cols, during=None):
+            more = [c for c in ("net_c",) if c not in cols]
+            return super().orders(*cols, *more, during=during).withColumn("net_c", F.col("net_c") * 2).select(*cols)
+
+    found = {r.statement: r.verdict for r in VERDICTS["verdicts_revenue"](Doubled(spark, sf_dir), RETAIL_PARAMS).collect()}
+    assert found["categories sum to the header total"] == found["path line_by_category"] == "FAIL"
+    assert found["years sum to the header total"] == "PASS"
+    # What is not there decides nothing in favour.
+    none = Doubled(spark, sf_dir, status="no such status")
+    none.__dict__["_bounds"] = RetailStar(spark, sf_dir)._bounds
+    assert {r.verdict for r in VERDICTS["verdicts_clv"](none, RETAIL_PARAMS).collect()} >= {"FAIL"}
