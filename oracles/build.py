@@ -79,20 +79,21 @@ TABLES: dict[str, str] = {
                CASE WHEN freq >= 12 THEN 5 WHEN freq >= 7 THEN 4 WHEN freq >= 4 THEN 3 WHEN freq >= 2 THEN 2
                     ELSE 1 END AS f
         FROM rfm0""",
-    # The ten segments as a five by five grid.
-    "grid": """
-        SELECT r, f, seg FROM (VALUES
-            (5, ['New / Recent', 'Potential Loyalists', 'Loyal', 'Champions', 'Champions']),
-            (4, ['New / Recent', 'Potential Loyalists', 'Loyal', 'Champions', 'Champions']),
-            (3, ['Promising', 'Promising', 'Loyal', 'Loyal', 'Loyal']),
-            (2, ['At Risk', 'At Risk', 'Needs Attention', 'Needs Attention', 'Needs Attention']),
-            (1, ['Lost', 'Hibernating', 'Hibernating', 'Cant Lose', 'Cant Lose'])) AS t(r, segs),
-            LATERAL (SELECT unnest(segs) AS seg, unnest(range(1, 6)) AS f)""",
     "rfm": """
-        SELECT x.cust, x.rec, x.freq, x.mon, CAST(x.r AS BIGINT) AS r, CAST(x.f AS BIGINT) AS f,
-               CAST(x.m AS BIGINT) AS m, g.seg AS segment,
-               'R' || x.r || 'F' || x.f || 'M' || x.m AS code
-        FROM rfm1 x JOIN grid g ON g.r = x.r AND g.f = x.f""",
+        SELECT cust, rec, freq, mon, CAST(r AS BIGINT) AS r, CAST(f AS BIGINT) AS f, CAST(m AS BIGINT) AS m,
+               -- Fixed values: the ten segments by recency and frequency score.
+               CASE WHEN r >= 4 AND f >= 4 THEN 'Champions'
+                    WHEN r >= 3 AND f >= 3 THEN 'Loyal'
+                    WHEN r >= 4 AND f = 2 THEN 'Potential Loyalists'
+                    WHEN r >= 4 THEN 'New / Recent'
+                    WHEN r = 3 THEN 'Promising'
+                    WHEN r = 2 AND f >= 3 THEN 'Needs Attention'
+                    WHEN r = 2 THEN 'At Risk'
+                    WHEN f >= 4 THEN 'Cant Lose'
+                    WHEN f >= 2 THEN 'Hibernating'
+                    ELSE 'Lost' END AS segment,
+               'R' || r || 'F' || f || 'M' || m AS code
+        FROM rfm1""",
     "aged": """
         SELECT *, CAST(date_trunc('month', signup) AS DATE) AS cohort,
                date_diff('month', date_trunc('month', signup), date_trunc('month', (SELECT horizon FROM span))) AS obs
@@ -124,9 +125,10 @@ TABLES: dict[str, str] = {
     "folio": """
         SELECT p.cust, p.orders, p.value, t.class, s.segment, s.code, t.cats, t.chans, t.cadence,
                CASE WHEN s.segment IS NULL THEN '5 Not activated'
-                    ELSE COALESCE(map(['Champions', 'Loyal', 'Potential Loyalists', 'Promising', 'At Risk', 'Lost'],
-                             ['1 Protect', '1 Protect', '2 Grow', '2 Grow', '3 Convert', '3 Convert'])[s.segment],
-                             '4 Other') END AS grp,
+                    WHEN s.segment IN ('Champions', 'Loyal') THEN '1 Protect'
+                    WHEN s.segment IN ('Potential Loyalists', 'Promising') THEN '2 Grow'
+                    WHEN s.segment IN ('At Risk', 'Lost') THEN '3 Convert'
+                    ELSE '4 Other' END AS grp,
                ROW_NUMBER() OVER (ORDER BY p.value DESC, p.cust) AS pos, COUNT(*) OVER () AS n
         FROM purse p LEFT JOIN rfm s ON s.cust = p.cust LEFT JOIN traits t ON t.cust = p.cust""",
     "bases": """

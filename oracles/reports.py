@@ -62,13 +62,10 @@ SQL: dict[str, str] = {
         SELECT cat AS category, {i(year(day))} AS year, {d(SUM(net))} AS order_net_revenue
         FROM sale GROUP BY cat, year(day)""",
     "revenue_category_concentration": """
-        SELECT a.cat AS category, {d(a.net)} AS order_net_revenue,
-               {pct(a.net, SUM(z.net), 1)} AS pct_of_revenue,
-               {pct(SUM(z.net) FILTER (WHERE z.net >= a.net), SUM(z.net), 1)} AS cumulative_pct,
-               COUNT(*) FILTER (WHERE z.net > a.net OR (z.net = a.net AND z.cat <= a.cat)) AS revenue_rank
-        FROM (SELECT cat, SUM(net) AS net FROM sale GROUP BY cat) a
-        CROSS JOIN (SELECT cat, SUM(net) AS net FROM sale GROUP BY cat) z
-        GROUP BY a.cat, a.net""",
+        SELECT category, {d(net)} AS order_net_revenue, {pct(net, SUM(net) OVER (), 1)} AS pct_of_revenue,
+               {pct(SUM(net) OVER (ORDER BY net DESC), SUM(net) OVER (), 1)} AS cumulative_pct,
+               ROW_NUMBER() OVER (ORDER BY net DESC, category) AS revenue_rank
+        FROM (SELECT cat AS category, SUM(net) AS net FROM sale GROUP BY cat)""",
     "variance_by_channel": """
         SELECT chan AS channel_name, {d(a)} AS rev_base_year, {d(z)} AS rev_next_year, {d(z - a)} AS yoy_change,
                {pct(z - a, SUM(z - a) OVER (), 1)} AS pct_of_total_change
@@ -123,8 +120,8 @@ SQL: dict[str, str] = {
     "category_premium_volume": """
         SELECT cat AS category, {avg(net, units, 2)} AS avg_unit_price, {b(units)} AS units_sold,
                {avg(all_net, all_units, 2)} AS portfolio_avg_price,
-               CASE WHEN sign({d(net)} / {d(units)} - {d(all_net)} / {d(all_units)}) >= 0 AND units < mean THEN 'PREMIUM'
-                    WHEN sign({d(net)} / {d(units)} - {d(all_net)} / {d(all_units)}) < 0 AND units > mean THEN 'VOLUME'
+               CASE WHEN {d(net)} / {d(units)} >= {d(all_net)} / {d(all_units)} AND units < mean THEN 'PREMIUM'
+                    WHEN {d(net)} / {d(units)} < {d(all_net)} / {d(all_units)} AND units > mean THEN 'VOLUME'
                     ELSE 'BALANCED' END AS classification
         FROM (SELECT cat, SUM(net) AS net, SUM(qty) AS units, SUM(SUM(net)) OVER () AS all_net,
                      SUM(SUM(qty)) OVER () AS all_units, AVG(SUM(qty)) OVER () AS mean FROM sale GROUP BY cat)""",
@@ -225,7 +222,7 @@ SQL: dict[str, str] = {
              (SELECT {d(SUM(net))} / COUNT(*) AS nat FROM purse)""",
     # -- retention -------------------------------------------------------------
     "customer_portfolio_split": """
-        SELECT ['Never Purchased', 'One-Time', 'Repeat (2+)'][1 + LEAST(orders, 2)] AS segment,
+        SELECT CASE WHEN orders = 0 THEN 'Never Purchased' WHEN orders = 1 THEN 'One-Time' ELSE 'Repeat (2+)' END AS segment,
                COUNT(*) AS customers, {pct(COUNT(*), (SELECT COUNT(*) FROM purse), 1)} AS pct_of_customers,
                {b(SUM(orders))} AS orders, {d(SUM(net))} AS order_net_revenue,
                {pct(SUM(net), (SELECT SUM(net) FROM purse), 1)} AS pct_of_revenue
