@@ -18,6 +18,7 @@ from merchlens.session import stage
 
 # Position layout of monotonically_increasing_id: partition above, row below.
 _ROW_BITS = 33
+_BROADCAST_GROUPS = 100_000
 
 
 def with_rank(df: DataFrame, *order: Column, rank: str = "rank", total: str = "n") -> DataFrame:
@@ -88,16 +89,17 @@ def with_group_rank(df: DataFrame, groups: Sequence[str], *order: Column, rank:
     """Like ``with_rank`` inside each group, for a large group as well as a small one.
 
     One order over all groups is cut up by the first rank of each group, so a
-    group may span many partitions. ``groups`` must be few (bands, segments,
-    strata): one row per group is broadcast.
+    group may span many partitions. The groups' sizes are broadcast if they are
+    few (bands, segments, strata) and joined by a shuffle otherwise.
     """
     ranked = with_rank(df, *[F.col(g) for g in groups], *order, rank="_rank", total="_all").drop("_all")
     sizes = ranked.groupBy(*[F.col(g).alias(f"_g_{g}") for g in groups]).agg(
         F.count("*").alias(total), F.min("_rank").alias("_first")
     )
     same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
+    few = sizes.count() <= _BROADCAST_GROUPS
     return (
-        ranked.join(F.broadcast(sizes), same)
+        ranked.join(F.broadcast(sizes) if few else sizes, same)
         .withColumn(rank, F.col("_rank") - F.col("_first") + 1)
         .drop("_rank", "_first", *[f"_g_{g}" for g in groups])
     )
