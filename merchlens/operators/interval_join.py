@@ -48,13 +48,16 @@ def blocks_of(first: Column, last: Column) -> Column:
 
 
 def interval_join(
-    events: DataFrame, windows: DataFrame, at: str, start: str, end: str, on: Sequence[str] = ()
+    events: DataFrame, windows: DataFrame, at: str, start: str, end: str, on: Sequence[str] = (), both_large: bool = False
 ) -> DataFrame:
     """Every pair of an event and a window with ``start`` <= ``at`` <= ``end`` that agree in the columns ``on``.
 
     ``at``, ``start`` and ``end`` are dates or whole numbers. All columns of both sides are returned, ``on`` once; others
     must differ in name. Events or windows with a NULL in these columns, and windows that end before they start, meet
     nothing. Repeated rows meet as often as they are repeated.
+
+    Unfolding and what was unfolded before it hide from Spark how many rows a side has, and a side it thinks small goes
+    through the driver. ``both_large`` says that neither is small, so both are shuffled.
     """
     clash = {c.lower() for c in events.columns} & {c.lower() for c in windows.columns if c not in on}
     if clash:
@@ -70,4 +73,6 @@ def interval_join(
     place = _number(events, at)
     own = F.array(*[F.struct(F.lit(k).alias("_level"), F.shiftright(place, k).alias("_block")) for k in levels])
     unfolded = events.filter(F.col(at).isNotNull()).select("*", F.inline(own))
+    if both_large:
+        unfolded = unfolded.hint("merge")
     return unfolded.join(cut, [*on, "_level", "_block"]).drop("_level", "_block")

@@ -43,7 +43,7 @@ def dense_snapshot(customers: DataFrame, orders: DataFrame, returns: DataFrame,
     months = spine.select("customer_key", "month", month_index(F.col("month")).alias("m"))
     age = F.datediff(F.last_day("month"), "order_date")
     near = (
-        interval_join(months, spans, "m", "first_m", "last_m", ["customer_key"])
+        interval_join(months, spans, "m", "first_m", "last_m", ["customer_key"], both_large=True)
         .filter(age < 90)
         .groupBy("customer_key", "month")
         .agg(F.count_if(age < 30).alias("n30"), F.count("*").alias("n90"))

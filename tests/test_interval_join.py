@@ -100,3 +100,16 @@ def test_near_orders_equal_the_one_by_one_count(spark):
     for r in rows:
         ages = [(r.month_end - d).days for k, d, _ in orders if k == r.customer_key and d <= r.month_end]
         assert r.orders_last_30_days == sum(a < 30 for a in ages) and r.orders_last_90_days == sum(a < 90 for a in ages)
+
+
+def test_unfolded_months_do_not_go_through_the_driver(spark):
+    from merchlens.operators.snapshot_check import dense_snapshot
+
+    # Spark knows these to be small.
+    people = spark.range(1).selectExpr("id AS customer_key", "DATE'2024-01-05' AS signup_date")
+    orders = spark.range(1).selectExpr("id AS customer_key", "DATE'2024-01-07' AS order_date", "100L AS net_c")
+    back = spark.range(1).selectExpr("id AS customer_key", "DATE'2024-02-01' AS return_date", "10L AS refund_c")
+    rows = dense_snapshot(people, orders, back, D(2024, 6, 30))
+    plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    joins = [line for line in plan if "Join" in line and "_level" in line]
+    assert joins and not [line for line in joins if "Broadcast" in line]
