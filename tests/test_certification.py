@@ -186,3 +186,12 @@ def test_rules_and_grains_of_one_pass(spark):
     assert [tuple(r) for r in rolled.grain("positive").collect()] == [(1.0, 1, 5)]
     counts = {r.check: r.n for r in rolled.violations().groupBy("check").agg(F.sum("n").alias("n")).collect()}
     assert counts == {"r1": 6, "r2": 0}
+
+
+def test_keys_are_counted_in_generated_code(stored):
+    from merchlens.plans.ledger import Ledger
+
+    keys = Ledger(stored).key_checks(certification._UNUSED)
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    # Lists of users, of which every key had one, were collected by sorts.
+    assert "ObjectHashAggregate" not in plan and "collect_list" not in plan
