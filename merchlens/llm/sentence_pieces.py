@@ -8,7 +8,9 @@ from the row's key, the unit's place in the text and the step, so a row gets the
 same path wherever and whenever it is encoded.
 
 As no piece goes on past a space that follows another character, the lattice of
-a text falls into those of its units, which are filtered once each per task.
+a text falls into those of its units; as no piece holds two neighbours that no
+piece of the vocabulary has side by side, that of a unit falls into those of its
+links. Every path meets between two links, so each is filtered once per task.
 """
 
 from __future__ import annotations
@@ -18,11 +20,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchlens.llm.token_files import text_batches
-from merchlens.llm.units import Units
+from merchlens.llm.units import Units, column_batches
 from merchlens.llm.word_sets import _STEP, mix
 from merchlens.llm.worker import kept
 
@@ -31,8 +33,9 @@ _SPACE = 0x2581  # how a space is written in pieces
 _RAW = 0x110000  # added to a text's own U+2581, which no piece may match
 _U = np.uint64
 _DECODE_ROWS = 200
-_BATCH_CHARS = 250_000  # texts filtered at once
-_TABLE_BYTES = 64 << 20  # lattices a worker keeps
+_BATCH_CHARS = 500_000  # texts sampled at once
+_FILTER_CHARS = 50_000  # links filtered at once
+_TABLE_BYTES = 48 << 20  # lattices a worker keeps
 
 
 class Vocabulary:
@@ -74,6 +77,8 @@ class Vocabulary:
                     prefixes.setdefault(h, (-1, 0.0))
                 else:
                     prefixes[h] = found
+        # Neighbours within a piece; no piece goes over any others.
+        self.pairs = pa.array(sorted({_pair(ord(a), ord(b)) for p in plain for a, b in zip(p, p[1:], strict=False)}), pa.int64())
         order = sorted(prefixes)
         self.hashes = np.array(order, np.uint64)
         self.ids = np.array([prefixes[h][0] for h in order], np.int64)
@@ -102,42 +107,99 @@ class Vocabulary:
             yield from (text[x + 1 : y] for x, y in zip(cuts, cuts[1:], strict=False))
 
 
+def _pair(a, b):
+    return a * (1 << 22) + b
+
+
+class _Column:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.size, self.room = 0, np.empty(1024, kind)
+
+    def add(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.room):
+            room = np.empty(2 * size, self.room.dtype)
+            room[: self.size] = self.room[: self.size]
+            self.room = room
+        self.room[self.size : size] = values
+        self.size = size
+
+    @property
+    def nbytes(self) -> int:
+        return self.size * self.room.itemsize
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        return self.room[at]
+
+
 class Lattices(Units):
-    """Filtered lattices of units.
+    """Filtered lattices of the links that units consist of.
 
-    Nodes are positions in units, numbered through; ``head`` is the first of the
+    Nodes are positions in links, numbered through; ``head`` is the first of the
     edges that end at a node. ``cuts`` holds, for every edge, the probability
-    that it or one before it at its node is taken on the way back.
+    that it or one before it at its node is taken on the way back. A unit's
+    links are those in ``chain`` from ``begin`` to ``end``.
     """
 
-    def __init__(self, vocabulary: Vocabulary, theta: float, limit: int = 250_000):
+    def __init__(self, vocabulary: Vocabulary, theta: float, limit: int = 200_000):
         self.vocabulary, self.theta = vocabulary, theta
+        self.links: dict[str, int] = {}
         super().__init__(limit)
 
     def forget(self) -> None:
         super().forget()
-        self.first = self.last = self.head = np.zeros(0, np.int32)
-        self.cuts = np.zeros(0)
-        self.origin = np.zeros(0, np.int32)
-        self.token = np.zeros(0, np.int32)  # a piece's id, or -1 - code point for one spelled in bytes
+        self.chain, self.begin, self.end = _Column(np.int32), _Column(np.int32), _Column(np.int32)
+        # Links are kept when units are forgotten, while there is room.
+        if not self.links or self._heavy():
+            self.links = {}
+            self.first, self.last, self.head = _Column(np.int32), _Column(np.int32), _Column(np.int32)
+            self.cuts = _Column(np.float64)
+            self.origin = _Column(np.int32)
+            self.token = _Column(np.int32)  # a piece's id, or -1 - code point for one spelled in bytes
+
+    def _heavy(self) -> bool:
+        return sum(a.nbytes for a in (self.first, self.last, self.head, self.cuts, self.origin, self.token)) > _TABLE_BYTES
 
     def full(self) -> bool:
-        arrays = (self.first, self.last, self.head, self.cuts, self.origin, self.token)
-        return super().full() or sum(a.nbytes for a in arrays) > _TABLE_BYTES
+        return super().full() or self._heavy()
 
-    def learn(self, strings: list[str]) -> None:
+    def learn(self, strings: list[str], begins: bool) -> None:
         # The text's first unit gets the space that every text begins with.
-        marked = [s if s.startswith(" ") and self._follows(i) else " " + s for i, s in enumerate(strings)]
-        sizes = np.fromiter(map(len, marked), np.int64, len(marked))
-        codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        codes = np.where(codes == _SPACE, _RAW + _SPACE, np.where(codes == 32, _SPACE, codes))
+        text = "".join([" " + s for s in strings] if begins else strings)
+        bounds = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)) + begins)
+        codes = _codes(text)
+        apart = np.ones(len(codes), bool)
+        inside = pc.is_in(pa.array(_pair(codes[:-1], codes[1:])), self.vocabulary.pairs)
+        apart[1:] = ~inside.to_numpy(zero_copy_only=False)
+        apart[bounds[:-1]] = True
+        cuts = np.append(np.flatnonzero(apart), len(codes))
+        places = cuts.tolist()
+        links = [text[a:b] for a, b in zip(places, places[1:], strict=False)]
+        new = [k for k in dict.fromkeys(links) if k not in self.links]
+        self.links.update(zip(new, range(len(self.links), len(self.links) + len(new)), strict=True))
+        for _, some in column_batches(pa.array(new, pa.string()), _FILTER_CHARS):
+            self._filter(some.to_numpy(zero_copy_only=False).tolist())
+        ends = len(self.chain) + np.searchsorted(cuts, bounds)
+        self.begin.add(np.append(len(self.chain), ends[:-1]))
+        self.end.add(ends)
+        self.chain.add(np.fromiter(map(self.links.__getitem__, links), np.int32, len(links)))
+
+    def _filter(self, links: list[str]) -> None:
+        """Take in the lattices of new links."""
+        sizes = np.fromiter(map(len, links), np.int64, len(links))
+        codes = _codes("".join(links))
         ends = np.cumsum(sizes)
         starts, tokens, weights, stops = self._edges(codes, np.repeat(ends, sizes))
-        # A node stands before every character and one more at the end of each unit.
-        unit_of = np.repeat(np.arange(len(sizes)), sizes)
-        source = starts + unit_of[starts]
-        target = stops + unit_of[stops - 1]
-        depth = (stops - (ends - sizes)[unit_of[stops - 1]]).astype(np.int64)
+        # A node stands before every character and one more at the end of each link.
+        link_of = np.repeat(np.arange(len(sizes)), sizes)
+        source = starts + link_of[starts]
+        target = stops + link_of[stops - 1]
+        depth = (stops - (ends - sizes)[link_of[stops - 1]]).astype(np.int64)
         order = np.lexsort((source, target, depth))
         source, target, weight, token, depth = source[order], target[order], weights[order], tokens[order], depth[order]
         alpha = np.zeros(int(sizes.sum()) + len(sizes))
@@ -162,18 +224,10 @@ class Lattices(Units):
         grown = {"head": heads, "cuts": chance[order], "origin": base + source[order], "token": token[order],
                  "first": base + last - sizes, "last": base + last}
         for name, values in grown.items():
-            have = getattr(self, name)
-            setattr(self, name, np.concatenate([have, values.astype(have.dtype)]))
-
-    def _follows(self, i: int) -> bool:
-        return not self._begins[i]
+            getattr(self, name).add(values)
 
-    def _learn(self) -> None:
-        self._begins = [isinstance(k, tuple) and len(k) == 1 for k in self.numbers.new]
-        super()._learn()
-
-    def _edges(self, codes: np.ndarray, unit_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """All pieces in the units as (start, token, weight, stop); a character that is no piece is spelled in bytes."""
+    def _edges(self, codes: np.ndarray, link_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces in the links as (start, token, weight, stop); a character that is no piece is spelled in bytes."""
         v = self.vocabulary
         at = np.arange(len(codes))
         h = np.zeros(len(codes), np.uint64)
@@ -191,7 +245,7 @@ class Lattices(Units):
                 stops.append(at[whole] + length)
                 if length == 1:
                     single[at[whole]] = True
-                on = known & (at + length < unit_end[at])
+                on = known & (at + length < link_end[at])
                 at, h = at[on], h[on]
                 if not len(at):
                     break
@@ -202,14 +256,15 @@ class Lattices(Units):
         stops.append(spelled + 1)
         return tuple(np.concatenate(x) for x in (starts, tokens, weights, stops))
 
-    def sample(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def sample(self, texts: pa.Array | list[str | None], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One sampled segmentation of each text: all ids one after the other, and how many each text has."""
         every, counts = self.units(texts)
         doc = np.repeat(np.arange(len(texts)), counts)
         place = np.arange(len(every)) - np.repeat(np.cumsum(counts) - counts, counts)
         with np.errstate(over="ignore"):
             seed = mix(keys.astype(np.int64).view(np.uint64)[doc] ^ mix((place.astype(np.uint64) + _U(1)) * _STEP))
-        node, stop = self.last[every], self.first[every]
+        link, begin = self.end[every] - 1, self.begin[every]
+        node, stop = self.last[self.chain[link]], self.first[self.chain[link]]
         live = np.arange(len(every))
         steps, sizes = [], np.zeros(len(every), np.int64)
         step = 0
@@ -224,6 +279,11 @@ class Lattices(Units):
             steps.append((live, self.token[edge]))
             sizes[live] += 1
             node[live] = self.origin[edge]
+            left = live[node[live] == stop[live]]
+            left = left[link[left] > begin[left]]
+            link[left] -= 1
+            own = self.chain[link[left]]
+            node[left], stop[left] = self.last[own], self.first[own]
             live = live[node[live] != stop[live]]
             step += 1
         # Steps run from the end of a unit to its start.
@@ -254,13 +314,19 @@ class Lattices(Units):
         return tokens.astype(np.int32), np.bincount(owner, minlength=texts)
 
 
+def _codes(text: str) -> np.ndarray:
+    """Code points as pieces write them."""
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    return np.where(codes == _SPACE, _RAW + _SPACE, np.where(codes == 32, _SPACE, codes))
+
+
 def _encoder(path: str, theta: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = kept("sentence pieces", f"pieces:{path}", lambda: Vocabulary(path))
         lattices: Lattices = kept("sentence pieces", f"lattices:{path}:{theta}", lambda: Lattices(vocabulary, theta))
         for batch in batches:
             keys = batch.column("key").to_numpy(zero_copy_only=False)
-            for at, texts in text_batches(batch.column("text").to_pylist(), _BATCH_CHARS):
+            for at, texts in column_batches(batch.column("text"), _BATCH_CHARS):
                 ids, counts = lattices.sample(texts, keys[at : at + len(texts)])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(

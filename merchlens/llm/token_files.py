@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from merchlens.llm.repair import Shard, pack
-from merchlens.llm.units import UnitTable
+from merchlens.llm.units import UnitTable, column_batches, follows
 from merchlens.llm.worker import kept
 
 SHARD_IDS = 2_000_000
@@ -28,34 +28,68 @@ END_ID = 0
 _SHARD_SCHEMA = "part int, shard int, before long, n_ids long, first long, doc_ids array<long>, payload binary"
 # Texts of a task are taken in batches of about this many characters.
 _BATCH_CHARS = 1_500_000
+_UNIT_CHARS = 8_000_000  # of which units are looked up at once
 
 
-# So many units are handed to the tokenizer as one text, with a special token between them.
-_JOINED = 500
+# So many units are handed to the tokenizer as one text.
+_JOINED = 100
+_AT_ONCE = 20  # such texts
 
 
 def byte_bpe_units(path: str) -> UnitTable:
     """Units of a tokenizers-library file that splits before single spaces, as byte-level BPE does.
 
-    A special token cuts a text before anything else happens to it, so units
-    with one between them get the ids that each gets alone.
+    Units that begin with such a space follow each other as they would in a
+    text; how many bytes each token stands for tells where one ends. Others
+    stand between special tokens, which cut a text before anything else happens
+    to it, so they get the ids that each gets alone.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
-    between, mark = next((i, t.content) for i, t in tokenizer.get_added_tokens_decoder().items() if t.special)
-
-    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    added = tokenizer.get_added_tokens_decoder()
+    between, mark = next((i, t.content) for i, t in added.items() if t.special)
+    sizes = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        # A byte-level token has one character for each byte.
+        sizes[i] = len(added[i].content.encode()) if i in added else len(token)
+    sizes[between] = 0
+
+    def run(texts: list[str]) -> np.ndarray:
+        found = []
+        # A few at a time, so that their encodings stay near the processor.
+        for i in range(0, len(texts), _AT_ONCE):
+            found += [np.array(e.ids, np.int64) for e in tokenizer.encode_batch_fast(texts[i : i + _AT_ONCE], add_special_tokens=False)]
+        return np.concatenate(found)
+
+    def apart(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if any(mark in u for u in units):
             found = [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
             return np.array([i for ids in found for i in ids], np.int64), np.array(list(map(len, found)), np.int64)
-        texts = [mark.join(units[i : i + _JOINED]) + mark for i in range(0, len(units), _JOINED)]
-        ids = np.concatenate([np.array(e.ids, np.int64) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ids = run([mark.join(units[i : i + _JOINED]) + mark for i in range(0, len(units), _JOINED)])
         ends = np.flatnonzero(ids == between)
         return ids[ids != between], np.diff(ends, prepend=-1) - 1
 
-    return UnitTable(encode)
+    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if any(mark in u for u in units):
+            return apart(units)
+        parts = [u if follows(u) else mark + u + mark for u in units]
+        ids = run(["".join(parts[i : i + _JOINED]) for i in range(0, len(parts), _JOINED)])
+        ids = ids[ids != between]
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, units)), np.int64, len(units)))
+        reached = np.cumsum(sizes[ids])
+        stops = np.searchsorted(reached, ends, side="right")
+        # Where tokens do not end with their units (no byte-level tokens), units are taken apart.
+        if not np.array_equal(np.concatenate([[0], reached])[stops], ends):
+            return apart(units)
+        return ids, np.diff(stops, prepend=0)
+
+    # Byte-level BPE's own pattern ends a run of letters before these marks, and runs of them before white space.
+    splitter = tokenizer.pre_tokenizer
+    apart_from_letters = isinstance(splitter, ByteLevel) and splitter.use_regex and tokenizer.normalizer is None
+    return UnitTable(encode, ends=".,;:!?" if apart_from_letters else "")
 
 
 def vocabulary_size(path: str) -> int:
@@ -98,15 +132,20 @@ def _writer(path: str, first: int, end_id: int, shard_ids: int) -> Callable:
 
         for batch in batches:
             names = batch.column("id").to_pylist()
-            for at, texts in text_batches(batch.column("text").to_pylist()):
+            for at, texts in column_batches(batch.column("text"), _UNIT_CHARS):
                 found, counts = units.ids(texts)
-                ends = np.cumsum(counts)
-                ids.append(np.insert(found, ends, end_id))
-                lengths.append(counts + 1)
-                docs += names[at : at + len(texts)]
-                held += len(ids[-1])
-                if held >= shard_ids:
-                    yield flush()
+                found = np.insert(found, np.cumsum(counts), end_id)
+                ends = np.concatenate([[0], np.cumsum(counts + 1)])
+                a = 0
+                while a < len(texts):
+                    b = min(int(np.searchsorted(ends, ends[a] + shard_ids - held)), len(texts))
+                    ids.append(found[ends[a] : ends[b]])
+                    lengths.append(counts[a:b] + 1)
+                    docs += names[at + a : at + b]
+                    held += len(ids[-1])
+                    a = b
+                    if held >= shard_ids:
+                        yield flush()
         if docs:
             yield flush()
 
@@ -123,7 +162,7 @@ def write_token_files(
     is its end id alone; a null id comes first; rows that share an id are
     ordered by a hash of their text, and repeated rows stand next to each other;
     other columns are not read; an empty table writes no shard. A shard is
-    closed with the batch of texts that fills it, so it may be longer by one batch.
+    closed with the document that fills it, so it may be longer by one document.
     """
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))

@@ -76,3 +76,36 @@ def test_encode_and_decode_frames(spark):
         assert done[r.doc_id].ids == r.ids and done[r.doc_id].n_tokens == len(r.ids)
         assert done[r.doc_id].decoded_sha256 == brute.sha(r.text or "")
     assert sp.coded_documents(docs.limit(0), path).collect() == []
+
+
+def test_units_share_the_lattices_of_their_links(pieces):
+    marks = [m for m in ".,;:!?" if sp._pair(ord("e"), ord(m)) not in pieces.pairs.to_pylist()]
+    assert len(marks) > 1
+    lattices = sp.Lattices(pieces, sp.THETA)
+    text = " ".join(["there", *("there" + m for m in marks)])
+    ids, counts = lattices.sample([text, "there"], np.arange(2))
+    assert [pieces.decode(i) for i in _split(ids, counts)] == [text, "there"]
+    # A link of n characters has n + 1 nodes.
+    assert len(lattices.head) == len(" there") + 1 + 2 * len(marks)
+
+
+def test_samples_of_linked_units_follow_the_weights_of_all_paths(pieces):
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    logs = _paths(pieces, model, "▁to,in", 5e-4)
+    assert len(pieces.pairs.filter(np.isin(pieces.pairs.to_numpy(), [sp._pair(ord("o"), ord(","))]))) == 0
+    weights = {k: math.exp(w - max(logs.values())) for k, w in logs.items()}
+    n, total = 20_000, sum(weights.values())
+    found = Counter(_split(*sp.Lattices(pieces, 5e-4, limit=3).sample(["to,in"] * n, np.arange(n))))
+    assert set(found) <= set(weights)
+    for path, w in weights.items():
+        p = w / total
+        assert abs(found[path] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4
+
+
+def test_forgotten_units_change_nothing(pieces):
+    lattices, texts = sp.Lattices(pieces, sp.THETA, limit=2), [f"word{i}, and word{i % 3}" for i in range(9)]
+    want = _split(*sp.Lattices(pieces, sp.THETA).sample(texts, np.arange(9)))
+    got = [_split(*lattices.sample([t], np.array([k])))[0] for k, t in enumerate(texts)]
+    assert got == want and len(lattices.links) >= 4
