@@ -16,6 +16,8 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _HEAD = "<4sIIIIQQ"
 _BINS = 20  # log2 of the bins in which pairs are counted first
@@ -27,7 +29,9 @@ MIN_SHARE = 1 / 8192
 
 def _frequent(codes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent pair codes in ascending order, and the positions of pairs in their bins."""
-    bins = (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BINS)).astype(np.int64)
+    bins = codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    bins >>= np.uint64(64 - _BINS)
+    bins = bins.view(np.int64)
     counts = np.bincount(bins, minlength=1 << _BINS)
     hot = np.flatnonzero(counts >= least)
     if len(hot) > _ROUND_PAIRS:
@@ -46,7 +50,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, first: int, rounds: int = ROU
     Each round replaces its frequent pairs from left to right. ``first`` is the
     first nonterminal; all ids are below it.
     """
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.int32)
     filled = lengths > 0
     last = np.zeros(len(symbols), bool)
     last[np.cumsum(lengths)[filled] - 1] = True
@@ -56,15 +60,15 @@ def compress(ids: np.ndarray, lengths: np.ndarray, first: int, rounds: int = ROU
         if len(symbols) < 2:
             break
         top = first + len(rules)
-        codes = symbols[:-1] * top + symbols[1:]
+        codes = symbols[:-1] * np.int64(top)
+        codes += symbols[1:]
         codes[last[:-1]] = -1
         pairs, at = _frequent(codes, least)
         pairs = pairs[pairs >= 0]
         if not len(pairs):
             break
-        rank = np.searchsorted(pairs, codes[at])
-        rank[rank == len(pairs)] = 0
-        hit = pairs[rank] == codes[at]
+        rank = pc.index_in(pa.array(codes[at]), pa.array(pairs)).fill_null(-1).to_numpy()
+        hit = rank >= 0
         at, rank = at[hit], rank[hit]
         # Overlapping pairs follow each other; in each run of them every other one is taken.
         starts = np.concatenate([[True], np.diff(at) != 1])

@@ -168,7 +168,7 @@ class Lattices(Units):
     def full(self) -> bool:
         return super().full() or self._heavy()
 
-    def learn(self, strings: list[str], begins: bool) -> None:
+    def learn(self, strings: list[str], begins: bool, clean: np.ndarray) -> None:
         # The text's first unit gets the space that every text begins with.
         text = "".join([" " + s for s in strings] if begins else strings)
         bounds = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)) + begins)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from merchlens.llm.repair import Shard, pack
-from merchlens.llm.units import UnitTable, column_batches, follows
+from merchlens.llm.units import UnitTable, column_batches
 from merchlens.llm.worker import kept
 
 SHARD_IDS = 2_000_000
@@ -72,10 +72,10 @@ def byte_bpe_units(path: str) -> UnitTable:
         ends = np.flatnonzero(ids == between)
         return ids[ids != between], np.diff(ends, prepend=-1) - 1
 
-    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(units: list[str], joining: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if any(mark in u for u in units):
             return apart(units)
-        parts = [u if follows(u) else mark + u + mark for u in units]
+        parts = [u if j else mark + u + mark for u, j in zip(units, joining.tolist(), strict=True)]
         ids = run(["".join(parts[i : i + _JOINED]) for i in range(0, len(parts), _JOINED)])
         ids = ids[ids != between]
         ends = np.cumsum(np.fromiter(map(len, map(str.encode, units)), np.int64, len(units)))

@@ -54,20 +54,24 @@ class Units:
     def full(self) -> bool:
         return len(self.clean) > self.limit
 
-    def learn(self, strings: list[str], begins: bool) -> None:
-        """Take in new units, which all begin their texts or all do not; the latter have their leading space."""
+    def learn(self, strings: list[str], begins: bool, clean: np.ndarray) -> None:
+        """Take in new units, which all begin their texts or all do not; the latter have their leading space.
+
+        ``clean`` tells which have no white space at an end besides that.
+        """
         raise NotImplementedError
 
-    def _add(self, strings: list[str], begins: bool, clean: list[bool]) -> None:
-        if strings:
-            self.learn(strings, begins)
-            self.clean = np.concatenate([self.clean, np.array(clean, bool)])
+    def _add(self, parts: list[str], begins: bool, cut_anew: bool = False) -> None:
+        if parts:
+            clean = _clean(parts)
+            self.learn(parts if begins else [" " + p for p in parts], begins, clean)
+            self.clean = np.concatenate([self.clean, clean | cut_anew])
 
     def units(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The unit numbers of all texts one after the other, and how many each text has; a null text is empty."""
         if self.full():
             self.forget()
-        column = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string()).fill_null("")
+        column = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
         lists = pc.split_pattern(column, " ")
         bounds, parts = lists.offsets.to_numpy().astype(np.int64), lists.flatten()
         bounds -= bounds[0]
@@ -111,10 +115,11 @@ class Units:
             bare = pc.utf8_rtrim(names, characters=self.ends)
             letter = pc.utf8_slice_codeunits(bare, -1)
             cut = pc.and_(pc.and_(pc.utf8_is_alpha(letter), pc.less(letter, _LATIN)), pc.not_equal(bare, names))
-            size = pc.utf8_length(bare).to_numpy()
-            at = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
-            own = [n[k:] for n, k in zip(_strings(names.take(pa.array(at))), size[at].tolist(), strict=True)]
-            tails[at] = self._numbered([(t, False) for t in own])
+            marks = np.where(cut.to_numpy(zero_copy_only=False), pc.subtract(pc.utf8_length(names), pc.utf8_length(bare)).to_numpy(), 0)
+            for n in np.unique(marks[marks > 0]).tolist():
+                at = np.flatnonzero(marks == n)
+                own = pc.utf8_slice_codeunits(names.take(pa.array(at)), -n).dictionary_encode()
+                tails[at] = self._numbered([(t, False) for t in _strings(own.dictionary)])[own.indices.to_numpy()]
             again = pc.if_else(cut, bare, names).dictionary_encode()
             numbers = self._taken(_strings(again.dictionary))[again.indices.to_numpy()]
         else:
@@ -128,7 +133,7 @@ class Units:
         new = list(map(strings.__getitem__, fresh.tolist()))
         numbers[fresh] = np.arange(len(self.clean), len(self.clean) + len(new))
         self.numbers.update(zip(new, numbers[fresh].tolist(), strict=True))
-        self._add([" " + p for p in new], False, list(map(_clean, new)))
+        self._add(new, False)
         return numbers
 
     def _numbered(self, keys: list[tuple[str, bool]]) -> np.ndarray:
@@ -137,14 +142,15 @@ class Units:
         for follows in (False, True):
             own = [k for k in new if k[1] == follows]
             self.numbers.update(zip(own, range(len(self.clean), len(self.clean) + len(own)), strict=True))
-            self._add([" " + k[0] if follows else k[0] for k in own], not follows, [follows or _clean(k[0]) for k in own])
+            self._add([k[0] for k in own], not follows, cut_anew=follows)
         return np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
 
 
 class UnitTable(Units):
-    """Ids of units by number, from ``encode``, which takes strings and returns all their ids and how many each has."""
+    """Ids of units by number, from ``encode``, which takes strings and whether they begin with a boundary's space and end with no
+    white space, so that they may stand beside others like them, and returns all their ids and how many each has."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000, ends: str = ""):
+    def __init__(self, encode: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000, ends: str = ""):
         self.encode, self.ends = encode, ends
         super().__init__(limit)
 
@@ -153,8 +159,8 @@ class UnitTable(Units):
         self.lengths = self.starts = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def learn(self, strings: list[str], begins: bool) -> None:
-        flat, lengths = self.encode(strings)
+    def learn(self, strings: list[str], begins: bool, clean: np.ndarray) -> None:
+        flat, lengths = self.encode(strings, clean & (not begins))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
@@ -171,14 +177,14 @@ class UnitTable(Units):
         return self.flat[at], np.diff(bounds)
 
 
-def follows(unit: str) -> bool:
-    """Whether a unit begins with a boundary's space and ends with no white space, so it may stand beside others like it."""
-    return unit.startswith(" ") and _clean(unit[1:])
-
-
 def _strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
-def _clean(part: str) -> bool:
-    return bool(part) and not part[0].isspace() and not part[-1].isspace()
+def _clean(parts: list[str]) -> np.ndarray:
+    """Which parts are not empty and have no white space at an end."""
+    column, out = pa.array(parts, pa.string()), np.ones(len(parts), bool)
+    for ends in (pc.utf8_slice_codeunits(column, 0, 1), pc.utf8_slice_codeunits(column, -1)):
+        coded = ends.dictionary_encode()
+        out &= np.array([bool(c) and not c.isspace() for c in _strings(coded.dictionary)], bool)[coded.indices.to_numpy()]
+    return out

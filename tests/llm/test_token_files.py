@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 
 from merchlens.llm import repair
 from merchlens.llm.queries import vocabulary
-from merchlens.llm.token_files import read_token_files, write_token_files
+from merchlens.llm.token_files import byte_bpe_units, read_token_files, write_token_files
+from merchlens.llm.units import Units
 from merchlens.session import scratch_path
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -67,3 +68,32 @@ def test_shared_ids_repeated_rows_and_empty_table(spark, tokenizer):
     assert [r.doc_id for r in got] == [0, 1, 1, 1] and len({r.start for r in got}) == 4
     assert sorted(tokenizer.decode(r.ids[:-1]) for r in got) == ["a b", "a b", "c", "z"]
     assert read_token_files(spark, _write(spark, [])).collect() == []
+
+
+def test_units_get_the_ids_that_each_gets_alone(tokenizer):
+    units = [" a", "b", " <|endoftext|>x", " c ", " it's", " \n", "\n d", " é😀", " \x1c", " 12,", "", " e" * 120, " z"]
+    for own in (units, [u for u in units if "<|" not in u] * 60):
+        joining = np.array([u[:1] == " " and u[1:].strip() == u[1:] != "" for u in own])
+        ids, counts = byte_bpe_units(vocabulary("byte_bpe_50k.json")).encode(own, joining)
+        want = [tokenizer.encode(u, add_special_tokens=False).ids for u in own]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_marks_behind_letters_are_units_of_their_own(tokenizer):
+    texts = ["a x, y... z?! é, ü. ж, 日, 1, x), it's, don't. \n, q\n, <|endoftext|>, x", "to. no, .", "so, so. so", "a b,\u00a0c, d ,. e,"]
+    table = byte_bpe_units(vocabulary("byte_bpe_50k.json"))
+    ids, counts = table.ids(texts)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    assert "so" in table.numbers and "so," not in table.numbers and "so." not in table.numbers
+
+
+def test_only_distinct_units_are_looked_up(tokenizer, monkeypatch):
+    asked = []
+    numbered = Units._numbered
+    monkeypatch.setattr(Units, "_numbered", lambda self, parts: asked.append(len(parts)) or numbered(self, parts))
+    texts = ["one two " * 500 + "three", "", "two one\tone", " two", "two  one", "two"]
+    ids, counts = byte_bpe_units(vocabulary("byte_bpe_50k.json")).ids(texts)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    assert sum(asked) < 30
