@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from merchlens.llm.graph import components
 from merchlens.llm.part_enum import Bands, profile, signatures, with_possible_partner
 from merchlens.llm.word_sets import set_key, shingle_sets
-from merchlens.session import stage
+from merchlens.llm.worker import keeps_nothing
+from merchlens.session import stage, together
 
 # Bytes of whole sets that one call compares; larger buckets go in blocks of so many.
 _CALL_BYTES = 24 << 20
@@ -53,7 +54,7 @@ def _describe(words: int) -> Callable:
                 ["id", "text_hash", "key", "n", "profile"],
             )
 
-    return run
+    return keeps_nothing(run)
 
 
 def _sign(words: int, num: int, den: int) -> Callable:
@@ -75,7 +76,7 @@ def _sign(words: int, num: int, den: int) -> Callable:
             if found:
                 yield _signed(found, owners)
 
-    return run
+    return keeps_nothing(run)
 
 
 def _signed(found: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
@@ -88,7 +89,7 @@ def _sets(words: int) -> Callable:
             sets = pa.array([s.tobytes() for s in shingle_sets(batch.column("text"), words)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("key"), sets], ["key", "elements"])
 
-    return run
+    return keeps_nothing(run)
 
 
 def _elements(keys: DataFrame, classes: DataFrame, rows: DataFrame, words: int) -> DataFrame:
@@ -256,7 +257,7 @@ def jaccard_groups(
         F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash")
     )
     described = stage(
-        rows.mapInArrow(_describe(words), "id long, text_hash long, key long, n long, profile binary"), "sets"
+        together(rows.mapInArrow(_describe(words), "id long, text_hash long, key long, n long, profile binary")), "sets"
     )
     classes = stage(
         described.filter("n > 0")
@@ -270,15 +271,15 @@ def jaccard_groups(
         "classes",
     )
     in_bucket = Window.partitionBy("sig").orderBy("key")
-    shared = stage(
+    shared = (
         rows.select("text")
         .mapInArrow(_sign(words, num, den), "sig long, key long")
         .withColumn("hub", F.first("key").over(in_bucket))
         .withColumn("before", F.lag("key").over(in_bucket))
         .filter("key > hub and key > before")
-        .select("sig", "key", "hub"),
-        "shared",
+        .select("sig", "key", "hub")
     )
+    shared = stage(together(shared), "shared")
     hubs = shared.select("hub", F.col("hub").alias("key")).distinct()
     closest = shared.groupBy("key", "hub").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("hub", "c").alias("hub"))
     todo = stage(closest.select("hub", "key").union(hubs).withColumn("comp", F.col("key")), "open")

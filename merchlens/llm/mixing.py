@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlens.session import stage
+from merchlens.session import stage, together
 
 # Hexadecimal digits of the hash that make a range; two rounds of ranges.
 _DIGITS = 3
@@ -156,7 +156,7 @@ def mix(
     )
     leaf = [f"l_{c}" for c in levels]
     named = {f"l_{k}": v for k, v in weights.items()}
-    counted = stage(rows.select(*leaf, "tokens", "name"), "mix-rows")
+    counted = stage(together(rows.select(*leaf, "tokens", "name")), "mix-rows")
     leaves = counted.groupBy(*leaf).agg(F.sum("tokens").alias("leaf_tokens"))
     total = leaves.agg(F.floor(F.sum("leaf_tokens") * share)).scalar()
     budgets = leaf_budgets(leaves.withColumn("_total", total), leaf, named, F.col("_total"), max_epochs).drop("_total")

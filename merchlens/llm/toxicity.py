@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.llm.token_files import text_batches
-from merchlens.llm.worker import kept
+from merchlens.llm.worker import give_back, kept
 from merchlens.session import stage
 
 DECAY = 0.7
@@ -231,6 +231,7 @@ def _score(model: Model, margins: bool = False) -> Callable:
             else:
                 out = pa.array(model.probability(top))
             yield pa.RecordBatch.from_arrays([batch.column("row"), out], ["row", "score"])
+        give_back()
 
     return run
 

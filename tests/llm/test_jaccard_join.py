@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from merchlens.llm import jaccard_join as jj
+from merchlens.llm import worker
 from merchlens.llm.part_enum import Bands, profile, signatures, with_possible_partner
 from merchlens.llm.word_sets import shingle_sets
 
@@ -143,3 +144,11 @@ def test_family_and_common_passage_make_few_rows(spark):
         jj.stage = real
     assert got == sorted(map(str, brute.jaccard_components(rows)))
     assert max(sizes) <= 20 * len(rows), sizes
+
+
+def test_tables_that_another_operator_left_go():
+    held = worker.kept("another operator", "table", lambda: list(range(1000)))
+    assert worker.kept("another operator", "table", list) is held
+    texts = pa.RecordBatch.from_arrays([pa.array(["a b c d e f"])], ["text"])
+    list(jj._sign(5, 80, 100)(iter([texts])))
+    assert worker.kept("another operator", "table", list) == []

@@ -59,3 +59,18 @@ def test_names_that_differ_in_case_only(spark):
     docs = spark.createDataFrame([(1, "a b", "x", 5, 6)], "doc_id long, text string, lang string, Tokens int, EPOCH int")
     got = mixing.mix(docs, levels=("lang",), weights={}, share=1.0, max_epochs=1)
     assert got.columns == ["doc_id", "text", "lang", "tokens", "epoch"] and [r.tokens for r in got.collect()] == [2]
+
+
+def test_counted_rows_are_written_to_few_files(spark, monkeypatch):
+    staged = {}
+    real = mixing.stage
+
+    def watched(df, label):
+        staged[label] = out = real(df, label)
+        return out
+
+    monkeypatch.setattr(mixing, "stage", watched)
+    docs = spark.createDataFrame(_rows(), "doc_id long, text string, domain string, lang string, source string").repartition(40)
+    mixing.mix(docs, LEVELS, WEIGHTS, share=0.5, max_epochs=1)
+    assert len(staged["mix-rows"].inputFiles()) <= 4
+    assert staged["mix-rows"].count() == 400

@@ -2,7 +2,7 @@
 
 import pytest
 
-from merchlens.session import _bytes, tune_tables
+from merchlens.session import _bytes, stage, together, tune_tables
 
 KEYS = (
     "spark.sql.autoBroadcastJoinThreshold",
@@ -42,3 +42,12 @@ def test_a_task_reads_little_whatever_the_tables_size(settings):
     parts = rows.rdd.getNumPartitions()
     # Some 80 MB are shuffled; they used to come in 8 parts.
     assert parts > 12
+
+
+def test_small_rows_are_staged_in_few_files(spark):
+    rows = spark.range(0, 4000, 1, 40).selectExpr("id", "repeat('x', 1000) AS text")
+    lengths = rows.selectExpr("id", "length(text) AS n")
+    assert len(stage(lengths, "lengths").inputFiles()) == 40
+    staged = stage(together(lengths), "lengths")
+    assert len(staged.inputFiles()) <= 4
+    assert sorted(map(tuple, staged.collect())) == [(i, 1000) for i in range(4000)]
