@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -64,6 +65,38 @@ def test_documents_equal_a_slow_network():
     assert np.allclose(net.documents(many), net.documents(many[:1]), atol=1e-6)
 
 
+@pytest.mark.parametrize("steep", [1, 400])
+def test_documents_equal_a_slow_network_with_offsets(steep):
+    net = Network.new(["a", "b", "c"], states=5, seed=4)
+    rng, some = random.Random(5), np.random.default_rng(6)
+    for d in (net.forward, net.backward):
+        d.bytes_in *= steep  # gates far beyond where their exponentials are infinite
+        d.new_offset += some.normal(0, 1, 5)
+    net.offset += some.normal(0, 1, 3)
+    texts = [_text(rng, rng.choice(list(SOUNDS)), n) for n in (1, 1, 2, 3, 5, 9, 40)] + ["", "k", "ß" * WINDOW]
+    with np.errstate(all="raise", under="ignore"):
+        found = net.documents(texts)
+    assert np.allclose(found, [_slow(net, t) for t in texts], atol=1e-5)
+
+
+def test_reading_uses_its_room_again(monkeypatch):
+    net = Network.new(["a", "b", "c", "d"])
+    texts = ["ka lo mi " * 3000] * 4
+
+    def peak(some):
+        tracemalloc.start()
+        net.documents(some)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    # States of all bytes of a group of windows, in both directions, are 2.6 MB.
+    assert peak(texts) < 2.6e6
+    # Twice as slow as exponentials on CPUs without AVX-512.
+    monkeypatch.setattr(np, "tanh", None)
+    assert np.allclose(net.documents(texts).sum(axis=1), 1, atol=1e-5)
+
+
 def test_gradients_equal_differences():
     net = Network.new(["a", "b"], states=3, seed=1, kind=np.float64)
     rng = np.random.default_rng(0)
