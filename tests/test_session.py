@@ -1,7 +1,11 @@
 """The settings that tables are read with."""
 
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
+from merchlens import session
 from merchlens.session import _bytes, stage, together, tune_tables
 
 KEYS = (
@@ -51,3 +55,33 @@ def test_small_rows_are_staged_in_few_files(spark):
     staged = stage(together(lengths), "lengths")
     assert len(staged.inputFiles()) <= 4
     assert sorted(map(tuple, staged.collect())) == [(i, 1000) for i in range(4000)]
+
+
+def _shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {str(blocks.apply(i)) for i in range(blocks.size()) if blocks.apply(i).isShuffle()}
+
+
+def test_a_lean_stage_leaves_no_shuffle_files_and_no_settings(spark):
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("k"), "id")
+    before, held = _shuffle_files(spark), {k: spark.conf.get(k, None) for k in session._LEAN}
+    stored = session.stage(rows.groupBy("k").agg(F.max("id").alias("id")), "lean", lean=True)
+    left = _shuffle_files(spark) - before
+    for _ in range(50):  # the files go in the background
+        if not left:
+            break
+        time.sleep(0.1)
+        left = _shuffle_files(spark) - before
+    assert not left
+    assert {k: spark.conf.get(k, None) for k in session._LEAN} == held
+    assert stored.count() == 20_000
+
+
+def test_lean_jobs_side_by_side_put_the_settings_back(spark):
+    held = {k: spark.conf.get(k, None) for k in session._LEAN}
+    jobs = [lambda i=i: session.stage(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), f"lean-{i}", lean=True) for i in range(6)]
+    assert [df.count() for df in session.run_together(jobs)] == [7] * 6
+    assert {k: spark.conf.get(k, None) for k in session._LEAN} == held
+    with pytest.raises(Exception), session._lean(spark):
+        raise ValueError
+    assert {k: spark.conf.get(k, None) for k in session._LEAN} == held
