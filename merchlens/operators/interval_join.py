@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from merchlens.session import lean_jobs
+
 
 def _number(df: DataFrame, column: str) -> Column:
     return F.unix_date(column) if isinstance(df.schema[column].dataType, T.DateType) else F.col(column).cast("bigint")
@@ -67,7 +69,8 @@ def interval_join(
     )
     cut = cut.select("*", F.col("_w.level").alias("_level"), F.col("_w.block").alias("_block")).drop("_w")
     # A few dozen at most: one for each power of two up to the longest window.
-    levels = sorted(r[0] for r in cut.select("_level").distinct().collect())
+    with lean_jobs(windows.sparkSession):
+        levels = sorted(r[0] for r in cut.select("_level").distinct().collect())
     if not levels:
         levels = [0]
     place = _number(events, at)

@@ -19,7 +19,17 @@ def dense_snapshot(customers: DataFrame, orders: DataFrame, returns: DataFrame,
     """customer_key, month_end and the measures that events decide.
 
     For events not before the signup month, which the integrity checks assert.
+
+    Events shrink to customers' days and months, which are dealt out by customer before anything is unfolded; the joins
+    and windows below take them as they are in a job that is lean (``session.stage``). A customer with very many orders
+    is no more than his days.
     """
+    customers = customers.select("customer_key", "signup_date").repartition("customer_key")
+    days = (
+        orders.groupBy("customer_key", "order_date")
+        .agg(F.count("*").alias("n"), F.sum("net_c").alias("net_c"))
+        .repartition("customer_key")
+    )
     spine = customers.select(
         "customer_key",
         "signup_date",
@@ -27,16 +37,19 @@ def dense_snapshot(customers: DataFrame, orders: DataFrame, returns: DataFrame,
             F.sequence(F.trunc("signup_date", "MM"), F.trunc(F.lit(horizon), "MM"), F.expr("interval 1 month"))
         ).alias("month"),
     )
-    sold = orders.groupBy("customer_key", F.trunc("order_date", "MM").alias("month")).agg(
-        F.count("*").alias("n"), F.sum("net_c").alias("net_c"), F.max("order_date").alias("last")
+    sold = days.groupBy("customer_key", F.trunc("order_date", "MM").alias("month")).agg(
+        F.sum("n").alias("n"), F.sum("net_c").alias("net_c"), F.max("order_date").alias("last")
     )
-    back = returns.groupBy("customer_key", F.trunc("return_date", "MM").alias("month")).agg(
-        F.sum("refund_c").alias("refund_c")
+    back = (
+        returns.groupBy("customer_key", F.trunc("return_date", "MM").alias("month"))
+        .agg(F.sum("refund_c").alias("refund_c"))
+        .repartition("customer_key")
     )
     # Each order counts in the month ends of the 90 days from its own.
-    spans = orders.select(
+    spans = days.select(
         "customer_key",
         "order_date",
+        "n",
         month_index(F.col("order_date")).alias("first_m"),
         month_index(F.date_add("order_date", 89)).alias("last_m"),
     )
@@ -46,7 +59,7 @@ def dense_snapshot(customers: DataFrame, orders: DataFrame, returns: DataFrame,
         interval_join(months, spans, "m", "first_m", "last_m", ["customer_key"], both_large=True)
         .filter(age < 90)
         .groupBy("customer_key", "month")
-        .agg(F.count_if(age < 30).alias("n30"), F.count("*").alias("n90"))
+        .agg(F.sum(F.when(age < 30, F.col("n")).otherwise(0)).alias("n30"), F.sum("n").alias("n90"))
     )
     key = ["customer_key", "month"]
     dense = spine.join(sold, key, "left").join(back, key, "left").join(near, key, "left")

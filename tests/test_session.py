@@ -82,6 +82,6 @@ def test_lean_jobs_side_by_side_put_the_settings_back(spark):
     jobs = [lambda i=i: session.stage(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), f"lean-{i}", lean=True) for i in range(6)]
     assert [df.count() for df in session.run_together(jobs)] == [7] * 6
     assert {k: spark.conf.get(k, None) for k in session._LEAN} == held
-    with pytest.raises(Exception), session._lean(spark):
+    with pytest.raises(Exception), session.lean_jobs(spark):
         raise ValueError
     assert {k: spark.conf.get(k, None) for k in session._LEAN} == held

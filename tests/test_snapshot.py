@@ -214,3 +214,36 @@ def test_append_refuses_what_it_cannot_carry_on(spark, sf_dir):
     with pytest.raises(ValueError, match="no months to append to"):
         publish_months(star.calendar(), root, "dim_date", 200006)
     assert StoredStar(spark, root).snapshot().count() == some.count()
+
+
+def test_derivations_are_compared_where_their_months_are_made(spark, star, monkeypatch):
+    from merchlens.params import RETAIL_PARAMS
+    from merchlens.plans import quality
+
+    plans = []
+
+    def planned(df, label, lean=False):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(quality, "stage", planned)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        row = quality.dq_rederive_snapshot(star, RETAIL_PARAMS).first().asDict()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert row.pop("compared_rows") > 500 and not any(row.values())
+    # Months, and the blocks that they meet windows in, are many times the rows that are dealt out.
+    unfolded = [line for line in plans[0].splitlines() if "Exchange" in line and ("month_end" in line or "_level" in line or " month#" in line)]
+    assert not unfolded, unfolded
+
+
+def test_orders_of_one_day_count_each(spark):
+    people, day = [(1, D(2025, 1, 3))], D(2025, 4, 20)
+    orders, returns = [(1, day, 10), (1, day, 10), (1, D(2025, 3, 25), 5)], [(1, D(2025, 5, 2), 7)]
+    last = dense_snapshot(*frames(spark, people, orders, returns), HORIZON).filter(F.col("month_end") == HORIZON).first()
+    assert (last.orders_last_30_days, last.orders_last_90_days, last.cumulative_orders_to_date, last.cumulative_net_c) == (0, 2, 3, 18)
