@@ -250,3 +250,22 @@ def test_a_line_without_an_order_has_no_header_though_it_was_returned(spark, sto
     star = _Broken(spark, stored.root, fact_order_lines=_set("order_key", "order_line_key", back.order_line_key, F.lit(None)))
     alone = stored.lines("order_key").filter(F.col("order_key") == back.order_key).count() == 1
     assert _checks(star)["2.2"].violations == 1 + alone
+
+
+def test_keys_of_lines_and_other_keys_are_stored_apart(spark, sf_dir, stored, fine):
+    from merchlens.plans.ledger import Ledger
+
+    of_lines, others = (p._jdf.queryExecution().optimizedPlan().toString() for p in Ledger(RetailStar(spark, sf_dir)).key_parts(certification._UNUSED))
+    # Neither customers nor the months of the snapshot are read for keys of lines, and these are not made for the others.
+    assert "Relation [c_custkey" not in of_lines and "sequence(" not in of_lines and "concat_ws(-" in of_lines
+    assert "Relation [c_custkey" in others and "sequence(" in others and "concat_ws(-" not in others
+    # Both are looked at: a line and an order that are there twice are named under one check.
+    line = stored.table("fact_order_lines").orderBy("order_line_key").first().order_line_key
+    order = stored.table("fact_orders").orderBy("order_key").first().order_key
+    star = _Broken(
+        spark, stored.root,
+        fact_order_lines=lambda df: df.unionByName(df.filter(F.col("order_line_key") == line)),
+        fact_orders=lambda df: df.unionByName(df.filter(F.col("order_key") == order)),
+    )
+    row = _checks(star)["0.2"]
+    assert (row.violations, row.evidence) == (2, f"line {line}, order {order}")
