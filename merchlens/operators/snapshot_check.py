@@ -22,7 +22,7 @@ def dense_snapshot(customers: DataFrame, orders: DataFrame, returns: DataFrame,
 
     Events shrink to customers' days and months, which are dealt out by customer before anything is unfolded; the joins
     and windows below take them as they are in a job that is lean (``session.stage``). A customer with very many orders
-    is no more than his days.
+    is no more than their days.
     """
     customers = customers.select("customer_key", "signup_date").repartition("customer_key")
     days = (
